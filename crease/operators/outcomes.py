@@ -97,29 +97,6 @@ def cluster_pool(requests: DataFrame, probs: DataFrame, bat_clusters: DataFrame,
             .drop(*[f"a_{c}" for c in STATS], *[f"b_{c}" for c in STATS], "a_n", "b_n"))
 
 
-def pool_union(requests: DataFrame, probs: DataFrame, bat_clusters: DataFrame,
-               bowl_clusters: DataFrame) -> DataFrame:
-    """The pool rows themselves, as the union all of its two halves.
-
-    One output row per (request pair, pool pair); bag semantics.  This is the
-    direct form, used to check :func:`cluster_pool`; it grows with cluster
-    sizes, so scoring uses the pre-aggregates instead.
-    """
-    pairs = requests.select(*PAIR).distinct()
-    bc = _clusters(bat_clusters, "batsman", "bat_cluster")
-    wc = _clusters(bowl_clusters, "bowler", "bowl_cluster")
-    known = pairs.join(bc, "batsman").join(wc, "bowler")
-    p = probs.select(*PAIR, *STATS)
-    half_a = (known.join(bc.withColumnRenamed("batsman", "pool_batsman"), "bat_cluster")
-              .join(p.withColumnRenamed("batsman", "pool_batsman"), ["pool_batsman", "bowler"])
-              .withColumn("pool_bowler", F.col("bowler")))
-    half_b = (known.join(wc.withColumnRenamed("bowler", "pool_bowler"), "bowl_cluster")
-              .join(p.withColumnRenamed("bowler", "pool_bowler"), ["batsman", "pool_bowler"])
-              .withColumn("pool_batsman", F.col("batsman")))
-    cols = ["batsman", "bowler", "pool_batsman", "pool_bowler", *STATS]
-    return half_a.select(*cols).unionByName(half_b.select(*cols))
-
-
 def _prior(priors: DataFrame, c: str) -> Column:
     # One-row table read as a scalar subquery: no join, and Spark merges the
     # seven subqueries over the same aggregate into one.

@@ -81,6 +81,190 @@ def q_global_priors(spark, d):
     return rounded(M.global_priors(M.matchup_probs(counts, 9)))
 
 
+
+# --------------------------------------------------------------------------- careers
+
+from crease.operators import careers as CR  # noqa: E402
+
+BAT_CAREER_COLS = ["Player", "Inns", "Runs", "HS", "Ave", "BF", "SR"]
+BOWL_CAREER_COLS = ["Player", "Inns", "Runs", "Wkts", "Ave", "Econ", "SR"]
+
+
+def _bat_career(t: V.Tables) -> DataFrame:
+    return CR.batting_career(V.season_bat(t), V.debut_bat(t), V.HOLDOUT_YEAR)
+
+
+def _bowl_career(t: V.Tables) -> DataFrame:
+    return CR.bowling_career(V.season_bowl(t), V.debut_bowl(t), V.HOLDOUT_YEAR)
+
+
+@register("batting_career", f"""
+SELECT Player, Inns, round(Runs, 6) AS Runs, HS, {O.round_cols(["Ave"])}, BF, {O.round_cols(["SR"])}
+FROM bat_career""", ["bat_career"])
+def q_batting_career(spark, d):
+    return rounded(_bat_career(V.Tables(spark, d)))
+
+
+@register("bowling_career", f"""
+SELECT Player, Inns, {O.round_cols(["Runs", "Wkts", "Ave", "Econ", "SR"])} FROM bowl_career""",
+          ["bowl_career"])
+def q_bowling_career(spark, d):
+    return rounded(_bowl_career(V.Tables(spark, d)))
+
+
+@register("project_columns", f"""
+SELECT Player, Inns, Runs, HS, {O.round_cols(["Ave"])}, BF, {O.round_cols(["SR"])} FROM season_bat""",
+          ["season_bat"])
+def q_project_columns(spark, d):
+    return rounded(CR.project_columns(V.season_bat(V.Tables(spark, d)), drop=["Year"]))
+
+
+@register("rename_columns", "SELECT match_id, batsman, bowler, runs, wicket FROM ball_events",
+          ["ball_events"])
+def q_rename_columns(spark, d):
+    return V.ball_events(V.Tables(spark, d))
+
+
+@register("season_filter", f"""
+SELECT Player, Year, Inns, Runs, HS, BF, {O.round_cols(["Ave", "SR"])} FROM season_bat
+WHERE Year <> 2001""", ["season_bat"])
+def q_season_filter(spark, d):
+    return rounded(CR.season_filter(V.season_bat(V.Tables(spark, d)), V.HOLDOUT_YEAR))
+
+
+@register("ratio_columns", """
+SELECT Player, Year, round(CAST(Runs AS DOUBLE) / nullif(BF, 0), 6) AS runs_per_ball,
+       round(CAST(Runs AS DOUBLE) / nullif(Inns, 0), 6) AS runs_per_innings
+FROM season_bat""", ["season_bat"])
+def q_ratio_columns(spark, d):
+    s = CR.ratio_columns(V.season_bat(V.Tables(spark, d)),
+                         {"runs_per_ball": ("Runs", "BF"), "runs_per_innings": ("Runs", "Inns")})
+    return rounded(s.select("Player", "Year", "runs_per_ball", "runs_per_innings"))
+
+
+@register("cast_features", f"""
+SELECT Player, {O.round_cols(["Inns_d", "Runs", "HS_d", "Ave", "BF_d", "SR"])} FROM (
+  SELECT Player, CAST(Inns AS DOUBLE) AS Inns_d, Runs, CAST(HS AS DOUBLE) AS HS_d, Ave,
+         CAST(BF AS DOUBLE) AS BF_d, SR FROM bat_career) c""", ["bat_career"])
+def q_cast_features(spark, d):
+    c = CR.cast_features(_bat_career(V.Tables(spark, d)), ["Inns", "Runs", "HS", "Ave", "BF", "SR"])
+    return rounded(c.withColumnsRenamed({"Inns": "Inns_d", "HS": "HS_d", "BF": "BF_d"}))
+
+
+@register("fill_zero", """
+SELECT Player, Year, round(coalesce(Ave, 0), 6) AS Ave, round(coalesce(SR, 0), 6) AS SR
+FROM season_bat""", ["season_bat"])
+def q_fill_zero(spark, d):
+    s = V.season_bat(V.Tables(spark, d)).select("Player", "Year", "Ave", "SR")
+    return rounded(CR.fill_zero(s, ["Ave", "SR"]))
+
+
+@register("append_debutants", f"""
+SELECT Player, Inns, Runs, HS, BF, {O.round_cols(["Ave", "SR"])} FROM (
+  SELECT Player, Inns, Runs, HS, Ave, BF, SR FROM season_bat
+  UNION ALL SELECT Player, Inns, Runs, HS, Ave, BF, SR FROM debut_bat) u""",
+          ["season_bat", "debut_bat"])
+def q_append_debutants(spark, d):
+    t = V.Tables(spark, d)
+    cols = CR.BAT_SEASON_COLS
+    return rounded(CR.append_debutants(V.season_bat(t).select(*cols), V.debut_bat(t).select(*cols)))
+
+
+@register("preview", f"""
+SELECT Player, Inns, round(Runs, 6) AS Runs, HS, {O.round_cols(["Ave"])}, BF, {O.round_cols(["SR"])}
+FROM bat_career ORDER BY Player LIMIT 20""", ["bat_career"])
+def q_preview(spark, d):
+    from crease.sources.files import preview
+    return rounded(preview(_bat_career(V.Tables(spark, d)), ["Player"], 20))
+
+
+# --------------------------------------------------------------------------- outcomes
+
+from crease.operators import outcomes as OC  # noqa: E402
+
+REQ_COLS = ["request_id", "line", "batsman", "bowler", "u"]
+
+
+def _probs(t: V.Tables, threshold: int = 24) -> DataFrame:
+    return M.matchup_probs(M.matchup_counts(V.ball_events(t)), threshold)
+
+
+@register("pair_lookup", f"""
+SELECT r.request_id, r.line, r.batsman, r.bowler, r.u,
+       {", ".join(f"round(p.{c}, 6) AS {c}" for c in [*CUMS, "survive"])},
+       p.batsman IS NOT NULL AS pair_found
+FROM requests r LEFT JOIN probs24 p ON r.batsman = p.batsman AND r.bowler = p.bowler""",
+          ["requests", "probs24"])
+def q_pair_lookup(spark, d):
+    t = V.Tables(spark, d)
+    return rounded(OC.pair_lookup(V.requests(t), _probs(t)))
+
+
+@register("known_players", """
+SELECT * FROM requests WHERE batsman IN (SELECT Player FROM bat_clusters)
+AND bowler IN (SELECT Player FROM bowl_clusters)""", ["requests", "bat_clusters", "bowl_clusters"])
+def q_known_players(spark, d):
+    t = V.Tables(spark, d)
+    return OC.known_players(V.requests(t), V.bat_clusters(t), V.bowl_clusters(t))
+
+
+@register("unknown_players", """
+SELECT DISTINCT CAST(batsman AS VARCHAR) AS player, 'bat' AS side FROM requests
+WHERE batsman NOT IN (SELECT Player FROM bat_clusters)
+UNION ALL
+SELECT DISTINCT bowler AS player, 'bowl' AS side FROM requests
+WHERE bowler NOT IN (SELECT Player FROM bowl_clusters)""", ["requests", "bat_clusters", "bowl_clusters"])
+def q_unknown_players(spark, d):
+    t = V.Tables(spark, d)
+    return OC.unknown_players(V.requests(t), V.bat_clusters(t), V.bowl_clusters(t))
+
+
+@register("cluster_pool", f"""
+SELECT r.request_id, r.line, r.batsman, r.bowler, r.u, k.bat_cluster, k.bowl_cluster,
+       coalesce(pm.n, 0) AS pool_n,
+       {", ".join(f"round(pm.{c}, 6) AS pool_{c}" for c in [*CUMS, "survive"])}
+FROM requests r JOIN known_pairs k ON r.batsman = k.batsman AND r.bowler = k.bowler
+LEFT JOIN pool_means24 pm ON r.batsman = pm.batsman AND r.bowler = pm.bowler""",
+          ["requests", "known_pairs", "pool_means24"])
+def q_cluster_pool(spark, d):
+    t = V.Tables(spark, d)
+    return rounded(OC.cluster_pool(V.requests(t), _probs(t), V.bat_clusters(t), V.bowl_clusters(t)))
+
+
+@register("outcome_pick", f"""
+SELECT r.request_id, r.line, r.batsman, r.bowler, r.u, {O.pick_sql("p.", "r.u")} AS runs
+FROM requests r JOIN probs24 p ON r.batsman = p.batsman AND r.bowler = p.bowler""",
+          ["requests", "probs24"])
+def q_outcome_pick(spark, d):
+    from crease.functions import outcome_pick
+    t = V.Tables(spark, d)
+    j = V.requests(t).join(_probs(t), ["batsman", "bowler"])
+    return j.select(*REQ_COLS, outcome_pick([F.col(c) for c in CUMS], "u").alias("runs"))
+
+
+@register("batch_outcomes", f"""
+SELECT request_id, line, batsman, bowler, u, tier, {O.pick_sql("")} AS runs,
+       round(survive, 6) AS survive
+FROM (SELECT r.request_id, r.line, r.batsman, r.bowler, r.u,
+             CASE WHEN p.batsman IS NOT NULL THEN 'pair' WHEN pm.n > 0 THEN 'cluster' ELSE 'prior' END AS tier,
+             {", ".join(f"CASE WHEN p.batsman IS NOT NULL THEN p.{c} WHEN pm.n > 0 THEN pm.{c} ELSE g.{c} END AS {c}"
+                        for c in [*CUMS, "survive"])}
+      FROM requests r
+      LEFT JOIN probs24 p ON r.batsman = p.batsman AND r.bowler = p.bowler
+      LEFT JOIN pool_means24 pm ON r.batsman = pm.batsman AND r.bowler = pm.bowler
+      CROSS JOIN priors24 g) x""", ["requests", "probs24", "pool_means24", "priors24"])
+def q_batch_outcomes(spark, d):
+    t = V.Tables(spark, d)
+    return rounded(OC.batch_outcomes(V.requests(t), _probs(t), V.bat_clusters(t), V.bowl_clusters(t)))
+
+
+@register("cluster_sizes", """
+SELECT Cluster, count(*) AS players FROM bat_clusters GROUP BY Cluster""", ["bat_clusters"])
+def q_cluster_sizes(spark, d):
+    from crease.operators.clusters import cluster_sizes
+    return cluster_sizes(V.bat_clusters(V.Tables(spark, d)))
+
+
 def flagship(spark: SparkSession, d: str) -> DataFrame:
-    """Cumulative outcome odds and survival for each pair with more than 9 balls."""
-    return q_matchup_probs(spark, d)
+    """Outcome of every ball request with the pair -> cluster -> prior fallback."""
+    return q_batch_outcomes(spark, d)

@@ -128,6 +128,58 @@ SELECT avg(c0) AS c0, avg(c1) AS c1, avg(c2) AS c2, avg(c3) AS c3, avg(c4) AS c4
        avg(survive) * 1.05 AS survive FROM {_src}""", [_src])
 
 
+# careers input rows (A1, A2): season rows outside the hold-out year plus debutants
+view("bat_rows", """
+SELECT Player, Inns, CAST(Runs AS DOUBLE) / nullif(BF, 0) AS Runs, HS, Ave, BF, SR
+FROM (SELECT Player, Inns, Runs, HS, Ave, BF, SR FROM season_bat WHERE Year <> 2001
+      UNION ALL SELECT Player, Inns, Runs, HS, Ave, BF, SR FROM debut_bat) u""",
+     ["season_bat", "debut_bat"])
+
+view("bowl_rows", """
+SELECT Player, Inns, CAST(Runs AS DOUBLE) / nullif(Inns, 0) AS Runs,
+       CAST(Wkts AS DOUBLE) / nullif(Inns, 0) AS Wkts, Ave, Econ, SR
+FROM (SELECT Player, Inns, Runs, Wkts, Ave, Econ, SR FROM season_bowl WHERE Year <> 2001
+      UNION ALL SELECT Player, Inns, Runs, Wkts, Ave, Econ, SR FROM debut_bowl) u""",
+     ["season_bowl", "debut_bowl"])
+
+view("bat_career", """
+SELECT Player, CAST(coalesce(sum(Inns), 0) AS BIGINT) AS Inns, coalesce(sum(Runs), 0) AS Runs,
+       CAST(max(HS) AS BIGINT) AS HS, avg(Ave) AS Ave, CAST(coalesce(sum(BF), 0) AS BIGINT) AS BF,
+       avg(SR) AS SR
+FROM bat_rows WHERE Player IS NOT NULL GROUP BY Player""", ["bat_rows"])
+
+view("bowl_career", """
+SELECT Player, CAST(coalesce(sum(Inns), 0) AS BIGINT) AS Inns, coalesce(sum(Runs), 0) AS Runs,
+       coalesce(sum(Wkts), 0) AS Wkts, avg(Ave) AS Ave, avg(Econ) AS Econ, avg(SR) AS SR
+FROM bowl_rows WHERE Player IS NOT NULL GROUP BY Player""", ["bowl_rows"])
+
+# cluster pool in its direct form: the union all of both halves, per request pair
+view("known_pairs", """
+SELECT DISTINCT r.batsman, r.bowler, b.Cluster AS bat_cluster, w.Cluster AS bowl_cluster
+FROM requests r JOIN bat_clusters b ON r.batsman = b.Player
+JOIN bowl_clusters w ON r.bowler = w.Player""", ["requests", "bat_clusters", "bowl_clusters"])
+
+view("pool_means24", """
+SELECT batsman, bowler, count(*) AS n, avg(c0) AS c0, avg(c1) AS c1, avg(c2) AS c2, avg(c3) AS c3,
+       avg(c4) AS c4, avg(c6) AS c6, avg(survive) AS survive
+FROM (SELECT k.batsman, k.bowler, p.c0, p.c1, p.c2, p.c3, p.c4, p.c6, p.survive
+      FROM known_pairs k JOIN bat_clusters b2 ON b2.Cluster = k.bat_cluster
+      JOIN probs24 p ON p.batsman = b2.Player AND p.bowler = k.bowler
+      UNION ALL
+      SELECT k.batsman, k.bowler, p.c0, p.c1, p.c2, p.c3, p.c4, p.c6, p.survive
+      FROM known_pairs k JOIN bowl_clusters w2 ON w2.Cluster = k.bowl_cluster
+      JOIN probs24 p ON p.bowler = w2.Player AND p.batsman = k.batsman) u
+GROUP BY batsman, bowler""", ["known_pairs", "probs24"])
+
+
+def pick_sql(prefix: str, u: str = "u") -> str:
+    """Runs drawn by u: one past the last cumulative value below u, wrapping to 0."""
+    cums = ["c0", "c1", "c2", "c3", "c4", "c6"]
+    idx = "greatest(0, " + ", ".join(
+        f"CASE WHEN {prefix}{c} < {u} THEN {i + 1} ELSE 0 END" for i, c in enumerate(cums)) + ") % 6"
+    return f"CAST(CASE ({idx}) WHEN 5 THEN 6 ELSE ({idx}) END AS INTEGER)"
+
+
 def _order(names: list[str]) -> list[str]:
     out: list[str] = []
 
