@@ -84,9 +84,11 @@ def assign_clusters(points: DataFrame, centres: DataFrame, vec: str = "features"
                     keep: Iterable[str] | None = None) -> DataFrame:
     """Nearest centre of every point (M3): adds ``cluster`` and squared ``distance``."""
     keep = list(keep) if keep is not None else [c for c in points.columns if c != vec]
+    # the centre array is bound to a column first: a subquery may not sit inside a lambda
+    x = points.withColumn("_centres", _centre_array(centres))
     best = nearest(as_array(vector_to_array(F.col(vec)) if _is_vector(points, vec) else F.col(vec)),
-                   _centre_array(centres))
-    return points.select(*keep, best["id"].alias("cluster"), best["d"].alias("distance"))
+                   F.col("_centres"))
+    return x.select(*keep, best["id"].alias("cluster"), best["d"].alias("distance"))
 
 
 def kmeans_cost(points: DataFrame, centres: DataFrame, vec: str = "features") -> DataFrame:
@@ -122,7 +124,8 @@ def elbow_curve(points: DataFrame, ks: Iterable[int] = range(2, 15), fraction: f
         F.col("cluster"), F.col("center")))).alias("centres")))
     all_sets = per_k.select(F.array_sort(F.collect_list(F.struct("k", "centres")))).scalar()
     p = as_array(vector_to_array(F.col(features)) if _is_vector(points, features) else F.col(features))
-    per_point = points.select(F.explode(F.transform(all_sets, lambda s: F.struct(
+    x = points.withColumn("_sets", all_sets)
+    per_point = x.select(F.explode(F.transform(F.col("_sets"), lambda s: F.struct(
         s["k"].alias("k"), nearest(p, s["centres"])["d"].alias("d")))).alias("kd"))
     return (per_point.groupBy(F.col("kd.k").alias("k"))
             .agg(F.sum("kd.d").alias("cost")))

@@ -268,3 +268,205 @@ def q_cluster_sizes(spark, d):
 def flagship(spark: SparkSession, d: str) -> DataFrame:
     """Outcome of every ball request with the pair -> cluster -> prior fallback."""
     return q_batch_outcomes(spark, d)
+
+
+# --------------------------------------------------------------------------- innings
+
+from crease.operators import innings as IN  # noqa: E402
+from crease.operators import overs as OV  # noqa: E402
+
+LOG_COLS = ["match_id", "innings", "ball_no", "batsman", "runs", "wicket"]
+
+
+def _cut(t: V.Tables) -> DataFrame:
+    return IN.innings_cutoff(V.ball_log(t))
+
+
+def _strikes(t: V.Tables) -> DataFrame:
+    log = V.ball_log(t)
+    return IN.strike_reconstruct(IN.innings_cutoff(log), V.lineups(t, log))
+
+
+@register("ball_log", "SELECT match_id, innings, ball_no, batsman, runs, wicket, "
+          "round(p_survive, 6) AS p_survive FROM ball_log", ["ball_log"])
+def q_ball_log(spark, d):
+    return rounded(V.ball_log(V.Tables(spark, d)))
+
+
+@register("innings_cutoff", "SELECT match_id, innings, ball_no, batsman, runs, wicket FROM cut_log",
+          ["cut_log"])
+def q_innings_cutoff(spark, d):
+    return _cut(V.Tables(spark, d)).select(*LOG_COLS)
+
+
+@register("dismissal_points", """
+SELECT match_id, innings, batsman, min(ball_no) AS out_ball, round(arg_min(surv, ball_no), 6) AS survival
+FROM (SELECT *, product(p_survive) OVER (PARTITION BY match_id, innings, batsman ORDER BY ball_no
+                                         ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS surv
+      FROM ball_log) s
+WHERE surv <= 0.3 GROUP BY match_id, innings, batsman""", ["ball_log"])
+def q_dismissal_points(spark, d):
+    return rounded(IN.dismissal_points(V.ball_log(V.Tables(spark, d))))
+
+
+@register("strike_reconstruct", """
+SELECT match_id, innings, ball_no, runs, wicket, striker, non_striker FROM strikes""", ["strikes"])
+def q_strike_reconstruct(spark, d):
+    return _strikes(V.Tables(spark, d)).select(
+        "match_id", "innings", "ball_no", "runs", "wicket", "striker", "non_striker")
+
+
+@register("batting_positions", """
+SELECT match_id, innings, CAST(unnest(range(1, len(batting) + 1)) AS INTEGER) AS position,
+       unnest(batting) AS player FROM lineups""", ["lineups"])
+def q_batting_positions(spark, d):
+    return IN.batting_positions(V.lineups(V.Tables(spark, d)))
+
+
+@register("bowling_schedule", "SELECT match_id, innings, over, bowler FROM schedule", ["schedule"])
+def q_bowling_schedule(spark, d):
+    return OV.bowling_schedule(V.lineups(V.Tables(spark, d)))
+
+
+@register("over_totals", """
+SELECT match_id, innings, CAST((ball_no - 1) // 6 AS INTEGER) AS over,
+       CAST(sum(runs) AS BIGINT) AS total_runs, count(*) FILTER (WHERE wicket) AS total_wickets,
+       count(*) AS balls
+FROM cut_log GROUP BY 1, 2, 3""", ["cut_log"])
+def q_over_totals(spark, d):
+    return IN.over_totals(_cut(V.Tables(spark, d)))
+
+
+@register("scorecard", """
+SELECT match_id, runs_1, wickets_1, balls_1, runs_2, wickets_2, balls_2,
+       CASE WHEN runs_2 > runs_1 THEN 'Team 2' ELSE 'Team 1' END AS winner
+FROM (SELECT match_id,
+             CAST(coalesce(sum(runs) FILTER (WHERE innings = 1), 0) AS BIGINT) AS runs_1,
+             CAST(least(coalesce(sum(CAST(wicket AS BIGINT)) FILTER (WHERE innings = 1), 0), 10) AS BIGINT) AS wickets_1,
+             count(*) FILTER (WHERE innings = 1) AS balls_1,
+             CAST(coalesce(sum(runs) FILTER (WHERE innings = 2), 0) AS BIGINT) AS runs_2,
+             CAST(least(coalesce(sum(CAST(wicket AS BIGINT)) FILTER (WHERE innings = 2), 0), 10) AS BIGINT) AS wickets_2,
+             count(*) FILTER (WHERE innings = 2) AS balls_2
+      FROM cut_log GROUP BY match_id) s""", ["cut_log"])
+def q_scorecard(spark, d):
+    return IN.scorecard(_cut(V.Tables(spark, d)))
+
+
+# --------------------------------------------------------------------------- profiles and overs
+
+BAT_P = CR.BAT_PROFILE_COLS
+BOWL_P = CR.BOWL_PROFILE_COLS
+
+
+def _bat_prof(t: V.Tables) -> DataFrame:
+    known = V.bat_clusters(t).select(F.col("Player").alias("batsman"))
+    return CR.batting_profile(V.ball_events(t)).join(known, "batsman", "left_semi")
+
+
+def _bowl_prof(t: V.Tables) -> DataFrame:
+    return CR.bowling_profile(V.ball_events(t)).filter(F.col("bowler") != V.UNKNOWN_BRAND)
+
+
+@register("batting_profile", f"SELECT batsman, {O.round_cols(BAT_P)} FROM bat_profile", ["bat_profile"])
+def q_batting_profile(spark, d):
+    return rounded(CR.batting_profile(V.ball_events(V.Tables(spark, d))))
+
+
+@register("bowling_profile", f"SELECT bowler, {O.round_cols(BOWL_P)} FROM bowl_profile", ["bowl_profile"])
+def q_bowling_profile(spark, d):
+    return rounded(CR.bowling_profile(V.ball_events(V.Tables(spark, d))))
+
+
+@register("profile_means", f"""
+SELECT {", ".join(f"round(avg({c}), 6) AS {c}" for c in BAT_P)} FROM bat_profile_known""",
+          ["bat_profile_known"])
+def q_profile_means(spark, d):
+    return rounded(CR.profile_means(_bat_prof(V.Tables(spark, d)), BAT_P))
+
+
+def _plan(t: V.Tables) -> DataFrame:
+    log = V.ball_log(t)
+    lu = V.lineups(t, log)
+    strikes = IN.strike_reconstruct(IN.innings_cutoff(log), lu)
+    return OV.over_plan(strikes, OV.bowling_schedule(lu))
+
+
+def _features(t: V.Tables) -> DataFrame:
+    return OV.over_features(_plan(t), _bat_prof(t), _bowl_prof(t))
+
+
+FEATURE_COLS = [f"s_{c}" for c in BAT_P] + [f"ns_{c}" for c in BAT_P] + [f"b_{c}" for c in BOWL_P]
+
+
+@register("over_features", f"""
+SELECT p.match_id, p.innings, p.over, p.striker, p.non_striker, p.bowler,
+       {", ".join(f"round(coalesce(s.{c}, m.{c}), 6) AS s_{c}" for c in BAT_P)},
+       {", ".join(f"round(coalesce(ns.{c}, m.{c}), 6) AS ns_{c}" for c in BAT_P)},
+       {", ".join(f"round(coalesce(b.{c}, mb.{c}), 6) AS b_{c}" for c in BOWL_P)}
+FROM plan p
+LEFT JOIN bat_profile_known s ON p.striker = s.batsman
+LEFT JOIN bat_profile_known ns ON p.non_striker = ns.batsman
+LEFT JOIN bowl_profile_known b ON p.bowler = b.bowler
+CROSS JOIN (SELECT {", ".join(f"avg({c}) AS {c}" for c in BAT_P)} FROM bat_profile_known) m
+CROSS JOIN (SELECT {", ".join(f"avg({c}) AS {c}" for c in BOWL_P)} FROM bowl_profile_known) mb""",
+          ["plan", "bat_profile_known", "bowl_profile_known"])
+def q_over_features(spark, d):
+    f = _features(V.Tables(spark, d))
+    return rounded(f.select("match_id", "innings", "over", "striker", "non_striker", "bowler",
+                            *FEATURE_COLS))
+
+
+@register("wicket_discount", """
+SELECT match_id, innings, over, total_runs, total_wickets,
+       CASE WHEN total_wickets <> 0
+            THEN round_even(CAST(total_runs AS DOUBLE) / 6 * (6 - total_wickets), 0)
+            ELSE CAST(total_runs AS DOUBLE) END AS runs_after
+FROM (SELECT match_id, innings, CAST((ball_no - 1) // 6 AS INTEGER) AS over,
+             CAST(sum(runs) AS BIGINT) AS total_runs, count(*) FILTER (WHERE wicket) AS total_wickets
+      FROM cut_log GROUP BY 1, 2, 3) o""", ["cut_log"])
+def q_wicket_discount(spark, d):
+    from crease.functions import wicket_discount
+    o = IN.over_totals(_cut(V.Tables(spark, d)))
+    return o.select("match_id", "innings", "over", "total_runs", "total_wickets",
+                    wicket_discount("total_runs", "total_wickets").alias("runs_after"))
+
+
+def _train(t: V.Tables) -> DataFrame:
+    return _features(t).join(IN.over_totals(_cut(t)), OV.PLAN_KEYS)
+
+
+@register("labeled_features")
+def q_labeled_features(spark, d):
+    from pyspark.ml.functions import vector_to_array
+    lf = OV.labeled_features(_train(V.Tables(spark, d)), "total_runs")
+    return lf.select("label", vector_to_array("features").alias("features"))
+
+
+def _models(t: V.Tables):
+    train = _train(t).persist()
+    try:
+        return OV.fit_over_models(train)
+    finally:
+        train.unpersist()
+
+
+@register("over_predictions")
+def q_over_predictions(spark, d):
+    t = V.Tables(spark, d)
+    rm, wm = _models(t)
+    p = OV.predict_overs(_features(t), rm, wm)
+    return p.select(*OV.PLAN_KEYS, "striker", "non_striker", "bowler", "pred_runs", "pred_wickets")
+
+
+@register("score_overs")
+def q_score_overs(spark, d):
+    t = V.Tables(spark, d)
+    rm, wm = _models(t)
+    return OV.score_overs(OV.predict_overs(_features(t), rm, wm), replicates=1)
+
+
+@register("replicated_scores")
+def q_replicated_scores(spark, d):
+    t = V.Tables(spark, d)
+    rm, wm = _models(t)
+    return OV.replicated_scores(OV.predict_overs(_features(t), rm, wm), replicates=8)

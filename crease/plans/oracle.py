@@ -91,10 +91,11 @@ FROM (SELECT user_id AS match_id,
 view("lineups", """
 SELECT match_id, innings,
        list_transform(range(0, 11),
-                      k -> ((match_id * 11 + innings * 5 + k * 7) % (SELECT max(s_suppkey) FROM supplier)) + 1) AS batting,
+                      lambda k: ((match_id * 11 + innings * 5 + k * 7) % n_sup) + 1) AS batting,
        list_transform(range(0, CAST(match_id % 3 + 4 AS BIGINT)),
-                      k -> 'Brand#' || CAST(((match_id + k * 3) % 25) + 1 AS VARCHAR)) AS bowling
-FROM (SELECT DISTINCT match_id, innings FROM ball_log) m""", ["ball_log"])
+                      lambda k: 'Brand#' || CAST(((match_id + k * 3) % 25) + 1 AS VARCHAR)) AS bowling
+FROM (SELECT DISTINCT match_id, innings FROM ball_log) m
+CROSS JOIN (SELECT max(s_suppkey) AS n_sup FROM supplier) s""", ["ball_log"])
 
 # counts, probabilities and priors over the ball log
 view("counts", """
@@ -180,6 +181,80 @@ def pick_sql(prefix: str, u: str = "u") -> str:
     return f"CAST(CASE ({idx}) WHEN 5 THEN 6 ELSE ({idx}) END AS INTEGER)"
 
 
+# ordered state over the ball log
+view("cut1", """
+SELECT * FROM (
+  SELECT *, coalesce(sum(CAST(wicket AS BIGINT)) OVER w, 0) AS w_before,
+            coalesce(sum(runs) OVER w, 0) AS r_before
+  FROM ball_log
+  WINDOW w AS (PARTITION BY match_id, innings ORDER BY ball_no
+               ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)) a
+WHERE w_before < 10""", ["ball_log"])
+
+view("cut_log", """
+SELECT c.match_id, c.innings, c.ball_no, c.batsman, c.runs, c.wicket, c.p_survive
+FROM cut1 c LEFT JOIN (SELECT match_id, sum(runs) AS target FROM cut1 WHERE innings = 1
+                       GROUP BY match_id) t ON c.match_id = t.match_id
+WHERE c.innings = 1 OR c.r_before <= coalesce(t.target, 0)""", ["cut1"])
+
+view("strikes", """
+SELECT match_id, innings, ball_no, batsman, runs, wicket, p_survive,
+       batting[CAST(CASE WHEN slot = 0 THEN coalesce(a_idx, 0) ELSE coalesce(b_idx, 1) END + 1 AS BIGINT)] AS striker,
+       batting[CAST(CASE WHEN slot = 0 THEN coalesce(b_idx, 1) ELSE coalesce(a_idx, 0) END + 1 AS BIGINT)] AS non_striker
+FROM (SELECT s.*, l.batting,
+             max(CASE WHEN s.wicket AND s.slot = 0 THEN s.w_upto + 1 END) OVER w AS a_idx,
+             max(CASE WHEN s.wicket AND s.slot = 1 THEN s.w_upto + 1 END) OVER w AS b_idx
+      FROM (SELECT *, (coalesce(sum(CASE WHEN NOT wicket AND runs % 2 = 1 THEN 1 ELSE 0 END) OVER w1, 0)
+                       + (ball_no - 1) // 6) % 2 AS slot,
+                   CAST(sum(CASE WHEN wicket THEN 1 ELSE 0 END) OVER w2 AS BIGINT) AS w_upto
+            FROM cut_log
+            WINDOW w1 AS (PARTITION BY match_id, innings ORDER BY ball_no
+                          ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
+                   w2 AS (PARTITION BY match_id, innings ORDER BY ball_no
+                          ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)) s
+      LEFT JOIN lineups l ON s.match_id = l.match_id AND s.innings = l.innings
+      WINDOW w AS (PARTITION BY s.match_id, s.innings ORDER BY s.ball_no
+                   ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)) x""", ["cut_log", "lineups"])
+
+view("schedule", """
+SELECT match_id, innings, CAST(o AS INTEGER) AS over, bowling[(o % len(bowling)) + 1] AS bowler
+FROM lineups CROSS JOIN range(0, 20) t(o)""", ["lineups"])
+
+view("plan", """
+SELECT f.match_id, f.innings, f.over, f.striker, f.non_striker, s.bowler
+FROM (SELECT match_id, innings, CAST((ball_no - 1) // 6 AS INTEGER) AS over, striker, non_striker
+      FROM strikes WHERE (ball_no - 1) % 6 = 0) f
+LEFT JOIN schedule s ON f.match_id = s.match_id AND f.innings = s.innings AND f.over = s.over""",
+     ["strikes", "schedule"])
+
+view("bat_profile", """
+SELECT batsman, coalesce(CAST(r AS DOUBLE) / nullif(i, 0), 0) AS runs_per_innings,
+       coalesce(CAST(r AS DOUBLE) / nullif(bf, 0), 0) * 100 AS strike_rate,
+       coalesce(CAST(i AS DOUBLE) / nullif(o, 0), 0) AS innings_per_dismissal,
+       coalesce(CAST(s6 AS DOUBLE) / nullif(bf, 0), 0) AS sixes_per_ball,
+       coalesce(CAST(s4 AS DOUBLE) / nullif(bf, 0), 0) AS fours_per_ball
+FROM (SELECT batsman, count(DISTINCT match_id) AS i, sum(runs) AS r, count(runs) AS bf,
+             count(*) FILTER (WHERE wicket) AS o, count(*) FILTER (WHERE runs = 6) AS s6,
+             count(*) FILTER (WHERE runs = 4) AS s4
+      FROM ball_events WHERE batsman IS NOT NULL GROUP BY batsman) a""", ["ball_events"])
+
+view("bowl_profile", """
+SELECT bowler, coalesce(CAST(r AS DOUBLE) / nullif(wk, 0), 0) AS runs_per_wicket,
+       coalesce(CAST(r AS DOUBLE) / nullif(b, 0), 0) * 6 AS economy,
+       coalesce(CAST(b AS DOUBLE) / nullif(wk, 0), 0) AS balls_per_wicket,
+       coalesce(CAST(wk AS DOUBLE) / nullif(i, 0), 0) AS wickets_per_innings
+FROM (SELECT bowler, count(DISTINCT match_id) AS i, sum(runs) AS r, count(*) AS b,
+             count(*) FILTER (WHERE wicket) AS wk
+      FROM ball_events WHERE bowler IS NOT NULL GROUP BY bowler) a""", ["ball_events"])
+
+view("bat_profile_known", """
+SELECT * FROM bat_profile WHERE batsman IN (SELECT Player FROM bat_clusters)""",
+     ["bat_profile", "bat_clusters"])
+
+view("bowl_profile_known", """
+SELECT * FROM bowl_profile WHERE bowler <> 'Brand#1'""", ["bowl_profile"])
+
+
 def _order(names: list[str]) -> list[str]:
     out: list[str] = []
 

@@ -168,9 +168,11 @@ def lineups(t: Tables, log: DataFrame | None = None) -> DataFrame:
     """Batting (11 supplier keys) and bowling (4-6 brands) order per (match, innings)."""
     log = ball_log(t) if log is None else log
     n_sup = t.supplier.select(F.max("s_suppkey")).scalar()
-    m = log.select("match_id", "innings").distinct()
+    # the scalar is bound to a column first: a subquery may not sit inside a lambda
+    m = log.select("match_id", "innings").distinct().withColumn("_n_sup", n_sup)
     bat = F.transform(F.sequence(F.lit(0), F.lit(10)),
-                      lambda k: F.pmod(F.col("match_id") * 11 + F.col("innings") * 5 + k * 7, n_sup) + 1)
+                      lambda k: F.pmod(F.col("match_id") * 11 + F.col("innings") * 5 + k * 7,
+                                       F.col("_n_sup")) + 1)
     n_bowl = (F.col("match_id") % 3 + 4).cast("int")
     bowl = F.transform(F.sequence(F.lit(0), n_bowl - 1),
                        lambda k: F.concat(F.lit("Brand#"),
