@@ -13,6 +13,7 @@ from collections.abc import Iterable
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -28,7 +29,7 @@ def assemble_features(df: DataFrame, cols: list[str], out: str = "features",
     reference imports a scaler but does not use it, so the default is off).
     """
     v = VectorAssembler(inputCols=cols, outputCol=out, handleInvalid=handle_invalid)
-    res = v.transform(df.select(*[c for c in df.columns], *[]))
+    res = v.transform(df)
     if scale:
         s = StandardScaler(inputCol=out, outputCol=f"{out}_scaled", withMean=False, withStd=True)
         res = s.fit(res).transform(res).drop(out).withColumnRenamed(f"{out}_scaled", out)
@@ -97,7 +98,7 @@ def kmeans_cost(points: DataFrame, centres: DataFrame, vec: str = "features") ->
 
 
 def _is_vector(df: DataFrame, col: str) -> bool:
-    return df.schema[col].dataType.typeName() == "vector"
+    return isinstance(df.schema[col].dataType, VectorUDT)
 
 
 def elbow_curve(points: DataFrame, ks: Iterable[int] = range(2, 15), fraction: float = 0.25,

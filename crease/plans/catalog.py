@@ -470,3 +470,171 @@ def q_replicated_scores(spark, d):
     t = V.Tables(spark, d)
     rm, wm = _models(t)
     return OV.replicated_scores(OV.predict_overs(_features(t), rm, wm), replicates=8)
+
+
+# --------------------------------------------------------------------------- pages
+
+from crease.sources import pages as PG  # noqa: E402
+from crease.sources import files as FS  # noqa: E402
+
+_ITEM = PG.ITEM_RE.replace("'", "''")
+
+
+@register("url_catalog", f"""
+SELECT page_id, rtrim(url) AS url, regexp_extract(rtrim(url), '{PG.HOST_RE}', 1) AS host,
+       regexp_extract(rtrim(url), '{PG.LANG_RE}', 1) AS lang,
+       TRY_CAST(nullif(regexp_extract(rtrim(url), '{PG.SEASON_RE}', 1), '') AS INTEGER) AS season
+FROM pages""")
+def q_url_catalog(spark, d):
+    return PG.url_catalog(V.Tables(spark, d).pages)
+
+
+@register("html_rows", f"""
+SELECT page_id, CAST(unnest(range(0, len(hrefs))) AS INTEGER) AS pos, unnest(hrefs) AS href,
+       unnest(texts) AS text
+FROM (SELECT page_id, regexp_extract_all(html, '{_ITEM}', 1) AS hrefs,
+             regexp_extract_all(html, '{_ITEM}', 2) AS texts FROM pages) p""")
+def q_html_rows(spark, d):
+    return PG.html_rows(V.Tables(spark, d).pages)
+
+
+O.view("items", f"""
+SELECT page_id, CAST(unnest(range(0, len(hrefs))) AS INTEGER) AS pos, unnest(texts) AS text
+FROM (SELECT page_id, regexp_extract_all(html, '{_ITEM}', 1) AS hrefs,
+             regexp_extract_all(html, '{_ITEM}', 2) AS texts FROM pages) p""")
+
+
+@register("pair_rows", f"""
+SELECT s.page_id, s.pair, s.text AS stat, TRY_CAST(s.text AS DOUBLE) AS stat_value,
+       translate(t.text, '()', '') AS team, c.season
+FROM (SELECT page_id, pos // 2 AS pair, text FROM items WHERE pos % 2 = 0) s
+LEFT JOIN (SELECT page_id, pos // 2 AS pair, text FROM items WHERE pos % 2 = 1) t
+  ON s.page_id = t.page_id AND s.pair = t.pair
+LEFT JOIN (SELECT page_id, TRY_CAST(nullif(regexp_extract(rtrim(url), '{PG.SEASON_RE}', 1), '') AS INTEGER)
+                  AS season FROM pages) c ON s.page_id = c.page_id""", ["items"])
+def q_pair_rows(spark, d):
+    pages = V.Tables(spark, d).pages
+    return PG.pair_rows(PG.html_rows(pages), PG.url_catalog(pages))
+
+
+# --------------------------------------------------------------------------- files
+
+CUSTOMER_SCHEMA = ("c_custkey long, c_name string, c_nationkey int, c_acctbal double, "
+                   "c_mktsegment string")
+
+
+def _customer_csv(spark, d, append: bool) -> DataFrame:
+    from crease.session import scratch_path
+    cust = V.Tables(spark, d).customer
+    path = scratch_path(spark, "csv")
+    if append:
+        FS.csv_append(cust, path)
+        FS.csv_append(cust, path)
+    else:
+        FS.csv_overwrite(cust, path)
+    return FS.csv_scan(spark, path, CUSTOMER_SCHEMA)
+
+
+@register("csv_roundtrip", "SELECT * FROM customer")
+def q_csv_roundtrip(spark, d):
+    return _customer_csv(spark, d, append=False)
+
+
+@register("csv_append", "SELECT * FROM customer UNION ALL SELECT * FROM customer")
+def q_csv_append(spark, d):
+    return _customer_csv(spark, d, append=True)
+
+
+@register("repartition_rows", "SELECT * FROM ball_events", ["ball_events"])
+def q_repartition_rows(spark, d):
+    return FS.repartition_rows(V.ball_events(V.Tables(spark, d)), 5, ["batsman", "bowler"])
+
+
+@register("profile_partitions")
+def q_profile_partitions(spark, d):
+    return FS.profile_partitions(FS.repartition_rows(V.ball_events(V.Tables(spark, d)), 5))
+
+
+# --------------------------------------------------------------------------- clusters
+
+from crease.operators import clusters as CL  # noqa: E402
+
+O.view("centres", """
+SELECT e.label AS cluster, e.embedding AS center FROM embeddings e
+JOIN (SELECT label, min(vec_id) AS vid FROM embeddings GROUP BY label) m ON e.vec_id = m.vid""")
+
+O.view("dists", """
+SELECT p.vec_id, c.cluster,
+       list_sum(list_transform(range(1, len(p.embedding) + 1),
+                               lambda i: (CAST(p.embedding[i] AS DOUBLE) - CAST(c.center[i] AS DOUBLE))
+                                       * (CAST(p.embedding[i] AS DOUBLE) - CAST(c.center[i] AS DOUBLE)))) AS d
+FROM embeddings p CROSS JOIN centres c""", ["centres"])
+
+O.view("nearest", """
+SELECT vec_id, cluster, d FROM (
+  SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY d, cluster) AS rk FROM dists) r
+WHERE rk = 1""", ["dists"])
+
+
+def _centres(t: V.Tables) -> DataFrame:
+    """Fixed centres: the lowest-id point of each label."""
+    e = t.embeddings
+    first = e.groupBy("label").agg(F.min("vec_id").alias("vec_id"))
+    return e.join(first, ["label", "vec_id"]).select(
+        F.col("label").cast("int").alias("cluster"), F.col("embedding").alias("center"))
+
+
+@register("assign_clusters", "SELECT vec_id, cluster, round(d, 6) AS distance FROM nearest",
+          ["nearest"])
+def q_assign_clusters(spark, d):
+    t = V.Tables(spark, d)
+    return rounded(CL.assign_clusters(t.embeddings, _centres(t), vec="embedding", keep=["vec_id"]))
+
+
+@register("kmeans_cost", "SELECT round(sum(d), 6) AS cost FROM nearest", ["nearest"])
+def q_kmeans_cost(spark, d):
+    t = V.Tables(spark, d)
+    return rounded(CL.kmeans_cost(t.embeddings, _centres(t), vec="embedding"))
+
+
+BAT_FEATURES = ["Runs", "HS", "Ave", "BF", "SR"]
+BOWL_FEATURES = ["Runs", "Wkts", "Ave", "Econ", "SR"]
+
+
+def _bat_points(t: V.Tables) -> DataFrame:
+    c = CR.cast_features(_bat_career(t), BAT_FEATURES)
+    return CL.assemble_features(c, BAT_FEATURES).select("Player", "features")
+
+
+@register("assemble_features")
+def q_assemble_features(spark, d):
+    from pyspark.ml.functions import vector_to_array
+    p = _bat_points(V.Tables(spark, d))
+    return p.select("Player", vector_to_array("features").alias("features"))
+
+
+@register("sample_rows")
+def q_sample_rows(spark, d):
+    return CL.sample_rows(V.ball_events(V.Tables(spark, d)), 0.25, seed=1)
+
+
+@register("fit_clusters")
+def q_fit_clusters(spark, d):
+    t = V.Tables(spark, d)
+    pts = _bat_points(t)
+    return CL.centres_table(CL.fit_clusters(pts, 4, seed=1))
+
+
+@register("player_clusters")
+def q_player_clusters(spark, d):
+    """Batting clusters of every player from a K-means fit (M2 + M3)."""
+    t = V.Tables(spark, d)
+    pts = _bat_points(t)
+    centres = CL.centres_table(CL.fit_clusters(pts, 4, seed=1))
+    return CL.assign_clusters(pts, centres, keep=["Player"])
+
+
+@register("elbow_curve")
+def q_elbow_curve(spark, d):
+    t = V.Tables(spark, d)
+    return CL.elbow_curve(_bat_points(t), range(2, 15), 0.25, seed=1)
