@@ -24,6 +24,7 @@ def build_session(master: str = "local[8]", app: str = "crease",
     """Local session for tests and the bench (UI off, loopback driver)."""
     b = (SparkSession.builder.master(master).appName(app)
          .config("spark.ui.enabled", "false")
+         .config("spark.ui.showConsoleProgress", "false")
          .config("spark.driver.host", "127.0.0.1")
          .config("spark.driver.bindAddress", "127.0.0.1")
          .config("spark.driver.memory", "16g")
