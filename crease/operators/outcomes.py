@@ -97,10 +97,13 @@ def cluster_pool(requests: DataFrame, probs: DataFrame, bat_clusters: DataFrame,
             .drop(*[f"a_{c}" for c in STATS], *[f"b_{c}" for c in STATS], "a_n", "b_n"))
 
 
-def _prior(priors: DataFrame, c: str) -> Column:
-    # One-row table read as a scalar subquery: no join, and Spark merges the
-    # seven subqueries over the same aggregate into one.
-    return priors.select(c).scalar()
+def one_row(table: DataFrame, cols: list[str]) -> Column:
+    """A one-row table as a single struct-valued scalar subquery.
+
+    Bind it to a column once (``withColumn``) and read fields from that
+    column: every copy of a subquery expression is planned and run on its own.
+    """
+    return table.select(F.struct(*cols)).scalar()
 
 
 def batch_outcomes(requests: DataFrame, probs: DataFrame, bat_clusters: DataFrame,
@@ -124,7 +127,8 @@ def batch_outcomes(requests: DataFrame, probs: DataFrame, bat_clusters: DataFram
          .join(_clusters(bat_clusters, "batsman", "_bc"), "batsman", "left")
          .join(_clusters(bowl_clusters, "bowler", "_wc"), "bowler", "left")
          .join(a.withColumnRenamed("bat_cluster", "_bc"), ["_bc", "bowler"], "left")
-         .join(b.withColumnRenamed("bowl_cluster", "_wc"), ["batsman", "_wc"], "left"))
+         .join(b.withColumnRenamed("bowl_cluster", "_wc"), ["batsman", "_wc"], "left")
+         .withColumn("_prior", one_row(priors, STATS)))
     n = F.coalesce(F.col("a_n"), F.lit(0)) + F.coalesce(F.col("b_n"), F.lit(0))
     is_pair = F.col("_pair").isNotNull()
     is_pool = F.col("_bc").isNotNull() & F.col("_wc").isNotNull() & (n > 0)
@@ -134,9 +138,10 @@ def batch_outcomes(requests: DataFrame, probs: DataFrame, bat_clusters: DataFram
     for c in STATS:
         pooled = (F.coalesce(F.col(f"a_{c}"), F.lit(0.0))
                   + F.coalesce(F.col(f"b_{c}"), F.lit(0.0))) / F.nullif(n, F.lit(0))
-        chosen[c] = (F.when(is_pair, F.col(f"p_{c}")).when(is_pool, pooled)
-                     .otherwise(_prior(priors, c)))
+        chosen[f"_x_{c}"] = (F.when(is_pair, F.col(f"p_{c}")).when(is_pool, pooled)
+                             .otherwise(F.col("_prior")[c]))
     req_cols = requests.columns
-    return r.select(*req_cols, tier.alias("tier"),
-                    outcome_pick([chosen[c] for c in CUM_COLS], u).alias("runs"),
-                    chosen["survive"].alias("survive"))
+    r = r.select(*req_cols, tier.alias("tier"), *[v.alias(k) for k, v in chosen.items()])
+    return r.select(*req_cols, "tier",
+                    outcome_pick([F.col(f"_x_{c}") for c in CUM_COLS], u).alias("runs"),
+                    F.col("_x_survive").alias("survive"))

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from crease.functions import flatten_features, noise_factor, wicket_discount
-from crease.operators.careers import BAT_PROFILE_COLS, BOWL_PROFILE_COLS
+from crease.operators.careers import BAT_PROFILE_COLS, BOWL_PROFILE_COLS, profile_means
 from crease.operators.innings import innings_cutoff, over_of, scorecard
 
 OVERS = 20
@@ -61,16 +61,18 @@ def over_features(plan: DataFrame, bat_prof: DataFrame, bowl_prof: DataFrame,
     columns and ``features``: [over] + striker + non-striker + bowler, 15 doubles
     (F6).  The first column of each profile table is its player key.
     """
-    bat_means = {c: bat_prof.select(F.avg(c)).scalar() for c in bat_cols}
-    bowl_means = {c: bowl_prof.select(F.avg(c)).scalar() for c in bowl_cols}
+    from crease.operators.outcomes import one_row
     x = (plan
          .join(_profile(bat_prof, "striker", bat_cols, "s_"), "striker", "left")
          .join(_profile(bat_prof, "non_striker", bat_cols, "ns_"), "non_striker", "left")
-         .join(_profile(bowl_prof, "bowler", bowl_cols, "b_"), "bowler", "left"))
-    filled = {f"{p}{c}": F.coalesce(F.col(f"{p}{c}"), bat_means[c])
+         .join(_profile(bowl_prof, "bowler", bowl_cols, "b_"), "bowler", "left")
+         .withColumn("_bat_mean", one_row(profile_means(bat_prof, bat_cols), bat_cols))
+         .withColumn("_bowl_mean", one_row(profile_means(bowl_prof, bowl_cols), bowl_cols)))
+    filled = {f"{p}{c}": F.coalesce(F.col(f"{p}{c}"), F.col("_bat_mean")[c])
               for p in ("s_", "ns_") for c in bat_cols}
-    filled.update({f"b_{c}": F.coalesce(F.col(f"b_{c}"), bowl_means[c]) for c in bowl_cols})
-    x = x.withColumns(filled)
+    filled.update({f"b_{c}": F.coalesce(F.col(f"b_{c}"), F.col("_bowl_mean")[c])
+                   for c in bowl_cols})
+    x = x.withColumns(filled).drop("_bat_mean", "_bowl_mean")
     feats = flatten_features(
         F.array(F.col("over").cast("double")),
         F.array(*[F.col(f"s_{c}") for c in bat_cols]),

@@ -14,6 +14,9 @@ Here each group is cut into *chunks* by a column that rises with the order
 3. join back on (group, chunk) and run the window inside each chunk only,
    adding the offset.
 
+The input is hash-partitioned once by (group, chunk); the chunk totals, the
+join and the inner window all read that one exchange.
+
 Both the join and the inner window are keyed by (group, chunk), so the large
 side is shuffled once and a hot group is spread over as many tasks as it has
 chunks.  Supported kinds are associative: ``sum``, ``max``, ``min``,
@@ -72,6 +75,10 @@ def running_aggregates(df: DataFrame, keys: list[str], order: list[str | Column]
     for i, s in enumerate(specs):
         x = x.withColumn(f"_v{i}", F.col(s.value) if isinstance(s.value, str) else s.value)
     pkeys = keys + [ck]
+    # One shuffle by (group, chunk) feeds the chunk totals, the join back and
+    # the inner window alike; both readers share that exchange, so the input
+    # is computed once (nested calls would otherwise recompute it per reader).
+    x = x.repartition(*pkeys)
 
     per_chunk = x.groupBy(*pkeys).agg(
         *[_AGG[s.kind](f"_v{i}").alias(f"_t{i}") for i, s in enumerate(specs)])
