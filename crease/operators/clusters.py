@@ -102,20 +102,26 @@ def _is_vector(df: DataFrame, col: str) -> bool:
 
 
 def elbow_curve(points: DataFrame, ks: Iterable[int] = range(2, 15), fraction: float = 0.25,
-                seed: int = 1, features: str = "features") -> DataFrame:
+                seed: int = 1, features: str = "features", parallelism: int = 4) -> DataFrame:
     """Cost for each k (M4): fit on a sample, cost on all points.
 
-    The fits run one after another (each is a distributed MLlib job on the
-    cached sample).  The costs of all k are then computed in one pass over
-    the points: each point meets the centre sets of every k inside a
-    projection, and a partial aggregate by k sums them.
+    Each fit is a distributed MLlib job on the cached sample; up to
+    ``parallelism`` fits are submitted at once from driver threads (as
+    MLlib's own model selection does), since they are independent.  The
+    costs of all k are then computed in one pass over the points: each point
+    meets the centre sets of every k inside a projection, and a partial
+    aggregate by k sums them.
     """
+    from concurrent.futures import ThreadPoolExecutor
     ks = list(ks)
     if sum(ks) > MAX_CENTRES:
         raise ValueError("too many centres for one pass")
     sample = sample_rows(points.select(features), fraction, seed).persist()
     try:
-        tables = [centres_table(fit_clusters(sample, k, seed, features), k) for k in ks]
+        sample.count()
+        with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+            models = list(pool.map(lambda k: fit_clusters(sample, k, seed, features), ks))
+        tables = [centres_table(m, k) for m, k in zip(models, ks)]
     finally:
         sample.unpersist()
     sets = tables[0]

@@ -91,11 +91,16 @@ def fit_over_models(train: DataFrame, runs: str = "total_runs", wickets: str = "
                     features: str = "features", depth: int = TREE_DEPTH, bins: int = TREE_BINS
                     ) -> tuple[DecisionTreeRegressionModel, DecisionTreeRegressionModel]:
     """Regression trees of runs and of wickets per over (M7); variance impurity."""
+    from concurrent.futures import ThreadPoolExecutor
+
     def fit(label: str) -> DecisionTreeRegressionModel:
         data = labeled_features(train, label, features)
         return DecisionTreeRegressor(impurity="variance", maxDepth=depth, maxBins=bins,
                                      featuresCol="features", labelCol="label").fit(data)
-    return fit(runs), fit(wickets)
+    # the two fits are independent distributed jobs: submit them together
+    with ThreadPoolExecutor(max_workers=2) as pool:
+        r, w = pool.map(fit, [runs, wickets])
+    return r, w
 
 
 def tree_dump(model: DecisionTreeRegressionModel) -> str:

@@ -442,34 +442,36 @@ def q_labeled_features(spark, d):
     return lf.select("label", vector_to_array("features").alias("features"))
 
 
-def _models(t: V.Tables):
-    train = _train(t).persist()
-    try:
-        return OV.fit_over_models(train)
-    finally:
-        train.unpersist()
+def _predicted(t: V.Tables) -> DataFrame:
+    """Fit both trees on the over table and score every over of the plan.
+
+    The features feed two fits (tens of passes each) and the scoring, so they
+    are checkpointed once to the shared checkpoint folder: later passes read
+    files instead of re-running the ball-log windows, and a lost executor
+    costs a re-read, not a re-run of the lineage.
+    """
+    from crease.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(t.spark)
+    feats = _features(t).checkpoint()
+    train = feats.join(IN.over_totals(_cut(t)), OV.PLAN_KEYS).checkpoint()
+    rm, wm = OV.fit_over_models(train)
+    return OV.predict_overs(feats, rm, wm)
 
 
 @register("over_predictions")
 def q_over_predictions(spark, d):
-    t = V.Tables(spark, d)
-    rm, wm = _models(t)
-    p = OV.predict_overs(_features(t), rm, wm)
+    p = _predicted(V.Tables(spark, d))
     return p.select(*OV.PLAN_KEYS, "striker", "non_striker", "bowler", "pred_runs", "pred_wickets")
 
 
 @register("score_overs")
 def q_score_overs(spark, d):
-    t = V.Tables(spark, d)
-    rm, wm = _models(t)
-    return OV.score_overs(OV.predict_overs(_features(t), rm, wm), replicates=1)
+    return OV.score_overs(_predicted(V.Tables(spark, d)), replicates=1)
 
 
 @register("replicated_scores")
 def q_replicated_scores(spark, d):
-    t = V.Tables(spark, d)
-    rm, wm = _models(t)
-    return OV.replicated_scores(OV.predict_overs(_features(t), rm, wm), replicates=8)
+    return OV.replicated_scores(_predicted(V.Tables(spark, d)), replicates=8)
 
 
 # --------------------------------------------------------------------------- pages
@@ -637,4 +639,4 @@ def q_player_clusters(spark, d):
 @register("elbow_curve")
 def q_elbow_curve(spark, d):
     t = V.Tables(spark, d)
-    return CL.elbow_curve(_bat_points(t), range(2, 15), 0.25, seed=1)
+    return CL.elbow_curve(_bat_points(t), range(2, 15), 0.25, seed=1, parallelism=8)

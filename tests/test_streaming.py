@@ -1,0 +1,21 @@
+"""The streaming pair counts equal the batch aggregate over the same balls."""
+
+from crease.operators.matchups import matchup_counts
+from crease.plans import standins as V
+from crease.session import scratch_path
+from crease.streaming import read_ball_stream, start_matchup_counts
+
+from conftest import SF001
+
+
+def test_stream_counts_equal_batch(spark):
+    balls = V.ball_events(V.Tables(spark, SF001))
+    src = scratch_path(spark, "balls-src")
+    balls.repartition(4).write.parquet(src)            # four files: several micro-batches
+    out = scratch_path(spark, "counts-out")
+    stream = read_ball_stream(spark, src, balls.schema, max_files_per_trigger=1)
+    q = start_matchup_counts(stream, out)
+    q.awaitTermination(300)
+    got = {tuple(r) for r in spark.read.parquet(out).collect()}
+    exp = {tuple(r) for r in matchup_counts(spark.read.parquet(src)).collect()}
+    assert got == exp and len(got) > 0
