@@ -640,3 +640,68 @@ def q_player_clusters(spark, d):
 def q_elbow_curve(spark, d):
     t = V.Tables(spark, d)
     return CL.elbow_curve(_bat_points(t), range(2, 15), 0.25, seed=1, parallelism=8)
+
+
+# --------------------------------------------------------------------------- single scalar operators
+
+from crease import functions as FN  # noqa: E402
+
+
+@register("soft_cast", f"""
+SELECT page_id, pos, text, TRY_CAST(text AS DOUBLE) AS value FROM items""", ["items"])
+def q_soft_cast(spark, d):
+    rows = PG.html_rows(V.Tables(spark, d).pages)
+    return rows.select("page_id", "pos", "text", FN.soft_cast("text").alias("value"))
+
+
+@register("strip_brackets", """
+SELECT page_id, pos, translate('(' || text || ')', '()', '') AS team FROM items""", ["items"])
+def q_strip_brackets(spark, d):
+    rows = PG.html_rows(V.Tables(spark, d).pages)
+    team = F.concat(F.lit("("), F.col("text"), F.lit(")"))        # a team cell as the stat pages write it
+    return rows.select("page_id", "pos", FN.strip_brackets(team).alias("team"))
+
+
+@register("tag_season", f"""
+SELECT i.page_id, i.pos, i.text,
+       TRY_CAST(nullif(regexp_extract(rtrim(p.url), '{PG.SEASON_RE}', 1), '') AS INTEGER) AS season
+FROM items i JOIN pages p ON i.page_id = p.page_id""", ["items"])
+def q_tag_season(spark, d):
+    pages = V.Tables(spark, d).pages
+    seasons = PG.url_catalog(pages).select("page_id", "season")
+    return PG.html_rows(pages).select("page_id", "pos", "text").join(seasons, "page_id")
+
+
+@register("flatten_features", f"""
+SELECT match_id, innings, over, {", ".join(f"round(x[{i + 1}], 6) AS f{i:02d}" for i in range(15))}
+FROM (SELECT match_id, innings, over,
+             flatten([[CAST(over AS DOUBLE)], [{", ".join(f"s_{c}" for c in BAT_P)}],
+                      [{", ".join(f"ns_{c}" for c in BAT_P)}], [{", ".join(f"b_{c}" for c in BOWL_P)}]]) AS x
+      FROM (SELECT p.match_id, p.innings, p.over,
+                   {", ".join(f"coalesce(s.{c}, m.{c}) AS s_{c}" for c in BAT_P)},
+                   {", ".join(f"coalesce(ns.{c}, m.{c}) AS ns_{c}" for c in BAT_P)},
+                   {", ".join(f"coalesce(b.{c}, mb.{c}) AS b_{c}" for c in BOWL_P)}
+            FROM plan p
+            LEFT JOIN bat_profile_known s ON p.striker = s.batsman
+            LEFT JOIN bat_profile_known ns ON p.non_striker = ns.batsman
+            LEFT JOIN bowl_profile_known b ON p.bowler = b.bowler
+            CROSS JOIN (SELECT {", ".join(f"avg({c}) AS {c}" for c in BAT_P)} FROM bat_profile_known) m
+            CROSS JOIN (SELECT {", ".join(f"avg({c}) AS {c}" for c in BOWL_P)} FROM bowl_profile_known) mb) j) f""",
+          ["plan", "bat_profile_known", "bowl_profile_known"])
+def q_flatten_features(spark, d):
+    f = _features(V.Tables(spark, d))
+    return rounded(f.select("match_id", "innings", "over",
+                            *[F.col("features")[i].alias(f"f{i:02d}") for i in range(15)]))
+
+
+@register("tree_dump")
+def q_tree_dump(spark, d):
+    """Both fitted trees as text, one row per line (M7's dump)."""
+    from crease.session import ensure_checkpoint_dir
+    t = V.Tables(spark, d)
+    ensure_checkpoint_dir(spark)
+    train = _features(t).join(IN.over_totals(_cut(t)), OV.PLAN_KEYS).checkpoint()
+    rm, wm = OV.fit_over_models(train)
+    rows = [(name, i, line) for name, m in (("runs", rm), ("wickets", wm))
+            for i, line in enumerate(OV.tree_dump(m).splitlines())]
+    return spark.createDataFrame(rows, "model string, line_no int, line string")
