@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from crease.functions import odd
 from crease.operators.running import Running, running_aggregates
 
 BALLS_PER_OVER = 6
@@ -92,7 +93,7 @@ def strike_reconstruct(log: DataFrame, lineups: DataFrame, match: str = "match_i
     keys = [match, innings]
     is_w = F.coalesce(F.col(wicket), F.lit(False))
     x = log.withColumns({
-        "_odd": (~is_w & (F.pmod(F.col(runs), F.lit(2)) == 1)).cast("long"),
+        "_odd": (~is_w & (odd(runs) == 1)).cast("long"),
         "_w": is_w.cast("long")})
     x = running_aggregates(x, keys, [order], ball_chunk(order), [
         Running("_odd_before", "sum", "_odd", inclusive=False),

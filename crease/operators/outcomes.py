@@ -106,23 +106,20 @@ def one_row(table: DataFrame, cols: list[str]) -> Column:
     return table.select(F.struct(*cols)).scalar()
 
 
-def batch_outcomes(requests: DataFrame, probs: DataFrame, bat_clusters: DataFrame,
-                   bowl_clusters: DataFrame, priors: DataFrame | None = None,
-                   u: str = "u") -> DataFrame:
-    """Outcome of every request with the three-tier fallback (F2).
+def pair_odds(pairs: DataFrame, probs: DataFrame, bat_clusters: DataFrame,
+              bowl_clusters: DataFrame, priors: DataFrame | None = None) -> DataFrame:
+    """Tier and chosen odds for each distinct (batsman, bowler) pair (the core of F2).
 
     Tier ``pair`` when the pair is in ``probs``; else ``cluster`` when both
-    players have a cluster and the pool is not empty; else ``prior``.  Adds
-    ``tier``, ``runs`` (drawn by ``u`` against the chosen cumulative odds,
-    wrapping to 0 above the last value) and ``survive``.  Keeps every request
-    column and row (requests need not be unique).
+    players have a cluster and the pool is not empty; else ``prior``.
+    Returns batsman, bowler, tier, c0..c6, survive.
     """
     if priors is None:
         priors = global_priors(probs)
     a, b = pool_aggregates(probs, bat_clusters, bowl_clusters)
     hit = probs.select(*PAIR, *[F.col(c).alias(f"p_{c}") for c in STATS],
                        F.lit(True).alias("_pair"))
-    r = (requests
+    r = (pairs
          .join(hit, PAIR, "left")
          .join(_clusters(bat_clusters, "batsman", "_bc"), "batsman", "left")
          .join(_clusters(bowl_clusters, "bowler", "_wc"), "bowler", "left")
@@ -134,14 +131,37 @@ def batch_outcomes(requests: DataFrame, probs: DataFrame, bat_clusters: DataFram
     is_pool = F.col("_bc").isNotNull() & F.col("_wc").isNotNull() & (n > 0)
     tier = (F.when(is_pair, F.lit("pair")).when(is_pool, F.lit("cluster"))
             .otherwise(F.lit("prior")))
-    chosen = {}
+    chosen = []
     for c in STATS:
         pooled = (F.coalesce(F.col(f"a_{c}"), F.lit(0.0))
                   + F.coalesce(F.col(f"b_{c}"), F.lit(0.0))) / F.nullif(n, F.lit(0))
-        chosen[f"_x_{c}"] = (F.when(is_pair, F.col(f"p_{c}")).when(is_pool, pooled)
-                             .otherwise(F.col("_prior")[c]))
+        chosen.append(F.when(is_pair, F.col(f"p_{c}")).when(is_pool, pooled)
+                      .otherwise(F.col("_prior")[c]).alias(c))
+    return r.select(*PAIR, tier.alias("tier"), *chosen)
+
+
+def batch_outcomes(requests: DataFrame, probs: DataFrame, bat_clusters: DataFrame,
+                   bowl_clusters: DataFrame, priors: DataFrame | None = None,
+                   u: str = "u") -> DataFrame:
+    """Outcome of every request with the three-tier fallback (F2).
+
+    The odds depend on the pair only, so they are resolved once per distinct
+    pair (:func:`pair_odds`; a partial aggregate collapses the requests before
+    any shuffle), and the requests meet that pair table in one equi-join.  Adds
+    ``tier``, ``runs`` (drawn by ``u`` against the chosen cumulative odds,
+    wrapping to 0 above the last value) and ``survive``.  Keeps every request
+    column and row (requests need not be unique; a request with a NULL player
+    takes the prior).
+    """
+    pairs = requests.select(*PAIR).dropna().distinct()
+    odds = pair_odds(pairs, probs, bat_clusters, bowl_clusters, priors)
+    if priors is None:
+        priors = global_priors(probs)
+    r = requests.join(odds, PAIR, "left").withColumn("_prior", one_row(priors, STATS))
+    got = F.col("tier").isNotNull()
+    x = {c: F.when(got, F.col(c)).otherwise(F.col("_prior")[c]) for c in STATS}
     req_cols = requests.columns
-    r = r.select(*req_cols, tier.alias("tier"), *[v.alias(k) for k, v in chosen.items()])
-    return r.select(*req_cols, "tier",
-                    outcome_pick([F.col(f"_x_{c}") for c in CUM_COLS], u).alias("runs"),
-                    F.col("_x_survive").alias("survive"))
+    return r.select(*req_cols,
+                    F.coalesce(F.col("tier"), F.lit("prior")).alias("tier"),
+                    outcome_pick([x[c] for c in CUM_COLS], u).alias("runs"),
+                    x["survive"].alias("survive"))
