@@ -283,8 +283,7 @@ def _cut(t: V.Tables) -> DataFrame:
 
 
 def _strikes(t: V.Tables) -> DataFrame:
-    log = V.ball_log(t)
-    return IN.strike_reconstruct(IN.innings_cutoff(log), V.lineups(t, log))
+    return IN.strike_reconstruct(IN.innings_cutoff(V.ball_log(t)), V.lineups(t))
 
 
 @register("ball_log", "SELECT match_id, innings, ball_no, batsman, runs, wicket, "
@@ -385,9 +384,8 @@ def q_profile_means(spark, d):
 
 
 def _plan(t: V.Tables) -> DataFrame:
-    log = V.ball_log(t)
-    lu = V.lineups(t, log)
-    strikes = IN.strike_reconstruct(IN.innings_cutoff(log), lu)
+    lu = V.lineups(t)
+    strikes = IN.strike_reconstruct(IN.innings_cutoff(V.ball_log(t)), lu)
     return OV.over_plan(strikes, OV.bowling_schedule(lu))
 
 
@@ -483,9 +481,9 @@ _ITEM = PG.ITEM_RE.replace("'", "''")
 
 
 @register("url_catalog", f"""
-SELECT page_id, rtrim(url) AS url, regexp_extract(rtrim(url), '{PG.HOST_RE}', 1) AS host,
-       regexp_extract(rtrim(url), '{PG.LANG_RE}', 1) AS lang,
-       TRY_CAST(nullif(regexp_extract(rtrim(url), '{PG.SEASON_RE}', 1), '') AS INTEGER) AS season
+SELECT page_id, regexp_replace(url, '{PG.TRAIL_RE}', '') AS url, regexp_extract(regexp_replace(url, '{PG.TRAIL_RE}', ''), '{PG.HOST_RE}', 1) AS host,
+       regexp_extract(regexp_replace(url, '{PG.TRAIL_RE}', ''), '{PG.LANG_RE}', 1) AS lang,
+       TRY_CAST(nullif(regexp_extract(regexp_replace(url, '{PG.TRAIL_RE}', ''), '{PG.SEASON_RE}', 1), '') AS INTEGER) AS season
 FROM pages""")
 def q_url_catalog(spark, d):
     return PG.url_catalog(V.Tables(spark, d).pages)
@@ -512,7 +510,7 @@ SELECT s.page_id, s.pair, s.text AS stat, TRY_CAST(s.text AS DOUBLE) AS stat_val
 FROM (SELECT page_id, pos // 2 AS pair, text FROM items WHERE pos % 2 = 0) s
 LEFT JOIN (SELECT page_id, pos // 2 AS pair, text FROM items WHERE pos % 2 = 1) t
   ON s.page_id = t.page_id AND s.pair = t.pair
-LEFT JOIN (SELECT page_id, TRY_CAST(nullif(regexp_extract(rtrim(url), '{PG.SEASON_RE}', 1), '') AS INTEGER)
+LEFT JOIN (SELECT page_id, TRY_CAST(nullif(regexp_extract(regexp_replace(url, '{PG.TRAIL_RE}', ''), '{PG.SEASON_RE}', 1), '') AS INTEGER)
                   AS season FROM pages) c ON s.page_id = c.page_id""", ["items"])
 def q_pair_rows(spark, d):
     pages = V.Tables(spark, d).pages
@@ -664,7 +662,7 @@ def q_strip_brackets(spark, d):
 
 @register("tag_season", f"""
 SELECT i.page_id, i.pos, i.text,
-       TRY_CAST(nullif(regexp_extract(rtrim(p.url), '{PG.SEASON_RE}', 1), '') AS INTEGER) AS season
+       TRY_CAST(nullif(regexp_extract(regexp_replace(p.url, '{PG.TRAIL_RE}', ''), '{PG.SEASON_RE}', 1), '') AS INTEGER) AS season
 FROM items i JOIN pages p ON i.page_id = p.page_id""", ["items"])
 def q_tag_season(spark, d):
     pages = V.Tables(spark, d).pages

@@ -164,12 +164,23 @@ def ball_log(t: Tables) -> DataFrame:
         "runs", "wicket", "p_survive")
 
 
+def innings_keys(t: Tables) -> DataFrame:
+    """(match_id, innings) of the ball log, from event counts alone (no ordering needed)."""
+    n = t.events.groupBy(F.col("user_id").alias("match_id")).agg(F.count("*").alias("_n"))
+    inns = F.when(F.col("_n") > INNINGS_SPLIT, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
+    return n.select("match_id", F.explode(inns).alias("innings"))
+
+
 def lineups(t: Tables, log: DataFrame | None = None) -> DataFrame:
-    """Batting (11 supplier keys) and bowling (4-6 brands) order per (match, innings)."""
-    log = ball_log(t) if log is None else log
+    """Batting (11 supplier keys) and bowling (4-6 brands) order per (match, innings).
+
+    ``log`` (a ball log) gives the keys when given; by default they come from
+    :func:`innings_keys`, which needs no window over the events.
+    """
+    keys = innings_keys(t) if log is None else log.select("match_id", "innings").distinct()
     n_sup = t.supplier.select(F.max("s_suppkey")).scalar()
     # the scalar is bound to a column first: a subquery may not sit inside a lambda
-    m = log.select("match_id", "innings").distinct().withColumn("_n_sup", n_sup)
+    m = keys.withColumn("_n_sup", n_sup)
     bat = F.transform(F.sequence(F.lit(0), F.lit(10)),
                       lambda k: F.pmod(F.col("match_id") * 11 + F.col("innings") * 5 + k * 7,
                                        F.col("_n_sup")) + 1)

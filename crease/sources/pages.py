@@ -18,6 +18,7 @@ ITEM_RE = r'<li><a href="([^"]*)">([^<]*)</a></li>'
 HOST_RE = r"^[a-z]+://([^/?#]+)"
 LANG_RE = r"^[a-z]+://[^/?#]+/([a-z]+)/"
 SEASON_RE = r"/([0-9]+)"
+TRAIL_RE = r"\s+$"          # trailing whitespace, newline included
 
 
 def url_catalog(pages: DataFrame, url: str = "url") -> DataFrame:
@@ -26,7 +27,7 @@ def url_catalog(pages: DataFrame, url: str = "url") -> DataFrame:
     The season comes from the number in the path, not from the line order of
     a URL list (a distributed read keeps no line order).
     """
-    u = F.rtrim(F.col(url))
+    u = F.regexp_replace(F.col(url), TRAIL_RE, "")
     return pages.select(
         "page_id", u.alias("url"),
         F.regexp_extract(u, HOST_RE, 1).alias("host"),
@@ -36,7 +37,8 @@ def url_catalog(pages: DataFrame, url: str = "url") -> DataFrame:
 
 def read_url_list(spark, path: str) -> DataFrame:
     """A text file of URLs, one per line, as a (page_id, url) table."""
-    lines = spark.read.text(path).select(F.rtrim("value").alias("url")).filter(F.col("url") != "")
+    lines = (spark.read.text(path).select(F.regexp_replace("value", TRAIL_RE, "").alias("url"))
+             .filter(F.col("url") != ""))
     return lines.withColumn("page_id", F.xxhash64("url"))
 
 

@@ -233,3 +233,35 @@ def test_csv_scan_null_and_failfast(spark, tmp_path):
     bad.write_text("Player,Runs,Ave\nA,ten,1.0\n")
     with pytest.raises(Exception):
         csv_scan(spark, str(bad), "Player string, Runs int, Ave double").collect()
+
+
+def test_page_rows_two_rows_per_player(spark):
+    from crease.sources.pages import html_rows, pair_rows, url_catalog
+    html = ('<ul><li><a href="/p/1">65*</a></li><li><a href="/t/1">(CSK)</a></li>'
+            '<li><a href="/p/2">12.5</a></li><li><a href="/t/2">(SRH)</a></li>'
+            '<li><a href="/p/3">7</a></li></ul>')
+    pages = spark.createDataFrame([(1, "http://stats.example.org/en/2016/averages\n", html)],
+                                  "page_id long, url string, html string")
+    rows = html_rows(pages)
+    assert [(r.pos, r.href, r.text) for r in rows.orderBy("pos").collect()][:2] == \
+        [(0, "/p/1", "65*"), (1, "/t/1", "(CSK)")]
+    cat = url_catalog(pages).first()
+    assert (cat.host, cat.lang, cat.season, cat.url.endswith("averages")) == \
+        ("stats.example.org", "en", 2016, True)
+    got = [tuple(r) for r in pair_rows(rows, url_catalog(pages)).orderBy("pair").collect()]
+    assert got == [(1, 0, "65*", None, "CSK", 2016), (1, 1, "12.5", 12.5, "SRH", 2016),
+                   (1, 2, "7", 7.0, None, 2016)]      # a stat row without its team row is kept
+
+
+def test_csv_quoted_cells_and_append(spark, tmp_path):
+    from crease.sources.files import csv_append, csv_scan
+    src = tmp_path / "quoted.csv"
+    src.write_text('"Player Name","Runs/Wickets","Economy"\n"A Ashish","22","9.2"\n"B, C","-","6.5"\n')
+    schema = "player_name string, runs_per_wicket double, economy double"
+    rows = csv_scan(spark, str(src), schema).collect()
+    assert [tuple(r) for r in rows] == [("A Ashish", 22.0, 9.2), ("B, C", None, 6.5)]
+    out = str(tmp_path / "out")
+    df = csv_scan(spark, str(src), schema)
+    csv_append(df, out)
+    csv_append(df, out)
+    assert csv_scan(spark, out, schema).count() == 4     # each file keeps its own header line
