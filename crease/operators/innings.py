@@ -48,6 +48,24 @@ def dismissal_points(log: DataFrame, stay: list[str] | None = None, order: str =
                     F.col("_first.survival").alias("survival")))
 
 
+def _cut_specs(wickets: str, runs: str) -> tuple[dict, list[Running]]:
+    cols = {"_w": F.col(wickets).cast("long"), "_r": F.col(runs)}
+    return cols, [Running("_w_before", "sum", "_w", inclusive=False),
+                  Running("_r_before", "sum", "_r", inclusive=False)]
+
+
+def _apply_cut(x: DataFrame, match: str, innings: str, first_innings: int,
+               limit: int) -> DataFrame:
+    """Keep rows of ``x`` (with running _w_before, _r_before, _r) before each innings ends."""
+    x = x.filter(F.col("_w_before") < limit)
+    target = (x.filter(F.col(innings) == first_innings).groupBy(match)
+              .agg(F.sum("_r").alias("_target")))
+    x = x.join(target, match, "left")
+    keep = ((F.col(innings) == first_innings)
+            | (F.col("_r_before") <= F.coalesce(F.col("_target"), F.lit(0))))
+    return x.filter(keep).drop("_w", "_r", "_w_before", "_r_before", "_target")
+
+
 def innings_cutoff(log: DataFrame, match: str = "match_id", innings: str = "innings",
                    order: str = "ball_no", runs: str = "runs", wickets: str = "wicket",
                    first_innings: int = 1, limit: int = WICKET_LIMIT,
@@ -60,22 +78,14 @@ def innings_cutoff(log: DataFrame, match: str = "match_id", innings: str = "inni
     (one over).  Adds nothing; returns the kept rows.
     """
     chunk = ball_chunk(order) if chunk is None else chunk
-    x = log.withColumns({"_w": F.col(wickets).cast("long"), "_r": F.col(runs)})
-    x = running_aggregates(x, [match, innings], [order], chunk, [
-        Running("_w_before", "sum", "_w", inclusive=False),
-        Running("_r_before", "sum", "_r", inclusive=False)])
-    x = x.filter(F.col("_w_before") < limit)
-    target = (x.filter(F.col(innings) == first_innings).groupBy(match)
-              .agg(F.sum("_r").alias("_target")))
-    x = x.join(target, match, "left")
-    keep = ((F.col(innings) == first_innings)
-            | (F.col("_r_before") <= F.coalesce(F.col("_target"), F.lit(0))))
-    return x.filter(keep).drop("_w", "_r", "_w_before", "_r_before", "_target")
+    cols, specs = _cut_specs(wickets, runs)
+    x = running_aggregates(log.withColumns(cols), [match, innings], [order], chunk, specs)
+    return _apply_cut(x, match, innings, first_innings, limit)
 
 
 def strike_reconstruct(log: DataFrame, lineups: DataFrame, match: str = "match_id",
                        innings: str = "innings", order: str = "ball_no", runs: str = "runs",
-                       wicket: str = "wicket") -> DataFrame:
+                       wicket: str = "wicket", cut: bool = False) -> DataFrame:
     """Striker and non-striker of every ball (W4), from runs, wickets and the batting order.
 
     Two crease slots start with batters 1 and 2 of the order, slot A on strike.
@@ -87,17 +97,24 @@ def strike_reconstruct(log: DataFrame, lineups: DataFrame, match: str = "match_i
     * occupant of a slot = order[w + 1] (0-based) for the latest earlier wicket
       w in that slot, else its opener.
 
-    Use on a log cut by :func:`innings_cutoff`.  ``lineups`` has
-    (match, innings, batting array).
+    Use on a log cut by :func:`innings_cutoff`, or pass ``cut=True`` to apply
+    that cut-off here: the rows it keeps are a prefix of each innings, so the
+    running sums of both share one pass (one shuffle of the log fewer).
+    ``lineups`` has (match, innings, batting array).
     """
     keys = [match, innings]
     is_w = F.coalesce(F.col(wicket), F.lit(False))
     x = log.withColumns({
         "_odd": (~is_w & (odd(runs) == 1)).cast("long"),
-        "_w": is_w.cast("long")})
-    x = running_aggregates(x, keys, [order], ball_chunk(order), [
-        Running("_odd_before", "sum", "_odd", inclusive=False),
-        Running("_w_upto", "sum", "_w", inclusive=True)])
+        "_wk": is_w.cast("long")})
+    specs = [Running("_odd_before", "sum", "_odd", inclusive=False),
+             Running("_w_upto", "sum", "_wk", inclusive=True)]
+    if cut:
+        cols, cut_specs = _cut_specs(wicket, runs)
+        x, specs = x.withColumns(cols), specs + cut_specs
+    x = running_aggregates(x, keys, [order], ball_chunk(order), specs)
+    if cut:
+        x = _apply_cut(x, match, innings, 1, WICKET_LIMIT)
     x = x.withColumn("_slot", F.pmod(F.col("_odd_before") + over_of(order), F.lit(2)))
     x = x.withColumns({
         "_in_a": F.when(is_w & (F.col("_slot") == 0), F.col("_w_upto") + 1),

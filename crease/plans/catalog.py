@@ -283,7 +283,7 @@ def _cut(t: V.Tables) -> DataFrame:
 
 
 def _strikes(t: V.Tables) -> DataFrame:
-    return IN.strike_reconstruct(IN.innings_cutoff(V.ball_log(t)), V.lineups(t))
+    return IN.strike_reconstruct(V.ball_log(t), V.lineups(t), cut=True)
 
 
 @register("ball_log", "SELECT match_id, innings, ball_no, batsman, runs, wicket, "
@@ -385,7 +385,7 @@ def q_profile_means(spark, d):
 
 def _plan(t: V.Tables) -> DataFrame:
     lu = V.lineups(t)
-    strikes = IN.strike_reconstruct(IN.innings_cutoff(V.ball_log(t)), lu)
+    strikes = IN.strike_reconstruct(V.ball_log(t), lu, cut=True)
     return OV.over_plan(strikes, OV.bowling_schedule(lu))
 
 

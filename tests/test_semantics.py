@@ -265,3 +265,20 @@ def test_csv_quoted_cells_and_append(spark, tmp_path):
     csv_append(df, out)
     csv_append(df, out)
     assert csv_scan(spark, out, schema).count() == 4     # each file keeps its own header line
+
+
+def test_fused_cut_equals_cut_then_strike(spark):
+    rnd = random.Random(11)
+    rows = []
+    for m in range(30):
+        for inn in (1, 2):
+            for i in range(1, rnd.randint(20, 140)):        # runs on past all-out and past the chase
+                wk = rnd.random() < 0.12
+                rows.append((m, inn, i, 0 if wk else rnd.choice([0, 1, 2, 3, 4, 6]), wk))
+    log = spark.createDataFrame(rows, "match_id long, innings int, ball_no long, runs int, wicket boolean")
+    lu = spark.createDataFrame([(m, inn, [f"p{i}" for i in range(11)]) for m in range(30) for inn in (1, 2)],
+                               "match_id long, innings int, batting array<string>")
+    fused = IN.strike_reconstruct(log, lu, cut=True)
+    two_step = IN.strike_reconstruct(IN.innings_cutoff(log), lu)
+    a, b = {tuple(r) for r in fused.collect()}, {tuple(r) for r in two_step.collect()}
+    assert a == b and len(a) < len(rows)
