@@ -57,7 +57,7 @@ def over_features(plan: DataFrame, bat_prof: DataFrame, bowl_prof: DataFrame,
     """Profile look-up for striker, non-striker and bowler of every over (J5 + A8).
 
     A player without a profile takes the column means of the profile table
-    (read as scalar subqueries: one value each).  Adds the 5 + 5 + 4 profile
+    (each table's means read as one struct-valued scalar subquery).  Adds the 5 + 5 + 4 profile
     columns and ``features``: [over] + striker + non-striker + bowler, 15 doubles
     (F6).  The first column of each profile table is its player key.
     """
