@@ -103,39 +103,43 @@ def _is_vector(df: DataFrame, col: str) -> bool:
 
 def elbow_curve(points: DataFrame, ks: Iterable[int] = range(2, 15), fraction: float = 0.25,
                 seed: int = 1, features: str = "features", parallelism: int = 4) -> DataFrame:
-    """Cost for each k (M4): fit on a sample, cost on all points.
-
-    Each fit is a distributed MLlib job on the cached sample; up to
-    ``parallelism`` fits are submitted at once from driver threads (as
-    MLlib's own model selection does), since they are independent.  The
-    costs of all k are then computed in one pass over the points: each point
-    meets the centre sets of every k inside a projection, and a partial
-    aggregate by k sums them.
+    """Cost for each k (M4): fit on a sample, cost on all points; a (k, cost) table.
+
+    The points are cached for the sweep.  Each fit is a distributed MLlib job
+    on the sample; up to ``parallelism`` fits are submitted at once from
+    driver threads (as MLlib's own model selection does), since they are
+    independent.  The costs of all k are then computed in one pass over the
+    points: each point meets the centre sets of every k inside a projection,
+    and a partial aggregate by k sums them.  The result has one row per k
+    (a size fixed by ``ks``), so it is computed here and the cache released.
     """
     from concurrent.futures import ThreadPoolExecutor
     ks = list(ks)
     if sum(ks) > MAX_CENTRES:
         raise ValueError("too many centres for one pass")
-    sample = sample_rows(points.select(features), fraction, seed).persist()
+    spark = points.sparkSession
+    pts = points.select(features).persist()
+    sample = sample_rows(pts, fraction, seed).persist()
     try:
         sample.count()
         with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
             models = list(pool.map(lambda k: fit_clusters(sample, k, seed, features), ks))
-        tables = [centres_table(m, k) for m, k in zip(models, ks)]
+        sets = [(k, [(i, [float(x) for x in c]) for i, c in enumerate(m.clusterCenters())])
+                for k, m in zip(ks, models)]
+        table = spark.createDataFrame(
+            [(k, cs) for k, cs in sets],
+            "k int, centres array<struct<cluster:int, center:array<double>>>")
+        all_sets = table.select(F.array_sort(F.collect_list(F.struct("k", "centres")))).scalar()
+        p = as_array(vector_to_array(F.col(features)) if _is_vector(pts, features) else F.col(features))
+        x = pts.withColumn("_sets", all_sets)
+        per_point = x.select(F.explode(F.transform(F.col("_sets"), lambda s: F.struct(
+            s["k"].alias("k"), nearest(p, s["centres"])["d"].alias("d")))).alias("kd"))
+        costs = (per_point.groupBy(F.col("kd.k").alias("k"))
+                 .agg(F.sum("kd.d").alias("cost")).collect())
     finally:
         sample.unpersist()
-    sets = tables[0]
-    for t in tables[1:]:
-        sets = sets.unionByName(t)
-    per_k = (sets.groupBy("k").agg(F.array_sort(F.collect_list(F.struct(
-        F.col("cluster"), F.col("center")))).alias("centres")))
-    all_sets = per_k.select(F.array_sort(F.collect_list(F.struct("k", "centres")))).scalar()
-    p = as_array(vector_to_array(F.col(features)) if _is_vector(points, features) else F.col(features))
-    x = points.withColumn("_sets", all_sets)
-    per_point = x.select(F.explode(F.transform(F.col("_sets"), lambda s: F.struct(
-        s["k"].alias("k"), nearest(p, s["centres"])["d"].alias("d")))).alias("kd"))
-    return (per_point.groupBy(F.col("kd.k").alias("k"))
-            .agg(F.sum("kd.d").alias("cost")))
+        pts.unpersist()
+    return spark.createDataFrame([(r.k, r.cost) for r in costs], "k int, cost double")
 
 
 def cluster_sizes(assignments: DataFrame, cluster: str = "Cluster") -> DataFrame:

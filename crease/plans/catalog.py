@@ -383,14 +383,17 @@ def q_profile_means(spark, d):
     return rounded(CR.profile_means(_bat_prof(V.Tables(spark, d)), BAT_P))
 
 
-def _plan(t: V.Tables) -> DataFrame:
-    lu = V.lineups(t)
-    strikes = IN.strike_reconstruct(V.ball_log(t), lu, cut=True)
-    return OV.over_plan(strikes, OV.bowling_schedule(lu))
+def _strikes_cut(t: V.Tables) -> DataFrame:
+    return IN.strike_reconstruct(V.ball_log(t), V.lineups(t), cut=True)
+
+
+def _plan(t: V.Tables, strikes: DataFrame | None = None) -> DataFrame:
+    strikes = _strikes_cut(t) if strikes is None else strikes
+    return OV.over_plan(strikes, OV.bowling_schedule(V.lineups(t)))
 
 
-def _features(t: V.Tables) -> DataFrame:
-    return OV.over_features(_plan(t), _bat_prof(t), _bowl_prof(t))
+def _features(t: V.Tables, strikes: DataFrame | None = None) -> DataFrame:
+    return OV.over_features(_plan(t, strikes), _bat_prof(t), _bowl_prof(t))
 
 
 FEATURE_COLS = [f"s_{c}" for c in BAT_P] + [f"ns_{c}" for c in BAT_P] + [f"b_{c}" for c in BOWL_P]
@@ -450,8 +453,11 @@ def _predicted(t: V.Tables) -> DataFrame:
     """
     from crease.session import ensure_checkpoint_dir
     ensure_checkpoint_dir(t.spark)
-    feats = _features(t).checkpoint()
-    train = feats.join(IN.over_totals(_cut(t)), OV.PLAN_KEYS).checkpoint()
+    # the cut ball log with its crease pair feeds both the over plan and the
+    # over totals (the labels): run the ordered passes once
+    strikes = _strikes_cut(t).checkpoint()
+    feats = _features(t, strikes).checkpoint()
+    train = feats.join(IN.over_totals(strikes), OV.PLAN_KEYS).checkpoint()
     rm, wm = OV.fit_over_models(train)
     return OV.predict_overs(feats, rm, wm)
 
