@@ -17,6 +17,8 @@ from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from crease.functions import unit_hash
+
 # Centres travel inside the plan as one value; this bounds that value.
 MAX_CENTRES = 10_000
 
@@ -36,9 +38,17 @@ def assemble_features(df: DataFrame, cols: list[str], out: str = "features",
     return res
 
 
-def sample_rows(df: DataFrame, fraction: float, seed: int = 1) -> DataFrame:
-    """Bernoulli sample without replacement (M5); same rows for the same seed and partitioning."""
-    return df.sample(withReplacement=False, fraction=fraction, seed=seed)
+def sample_rows(df: DataFrame, fraction: float, seed: int = 1,
+                keys: Iterable[str] | None = None) -> DataFrame:
+    """Bernoulli sample without replacement (M5): each row kept with probability ``fraction``.
+
+    The draw of a row is a hash of (seed, its ``keys``; all columns by
+    default), not a position in its partition, so a partition recomputed
+    after a lost executor - whose rows may come back in another order -
+    yields the same sample, and a cached sample never changes under a fit.
+    """
+    cols = list(keys) if keys is not None else df.columns
+    return df.filter(unit_hash(F.lit(seed), *cols) < fraction)
 
 
 def fit_clusters(points: DataFrame, k: int, seed: int = 1, features: str = "features",
@@ -121,11 +131,21 @@ def elbow_curve(points: DataFrame, ks: Iterable[int] = range(2, 15), fraction: f
     pts = points.select(features).persist()
     sample = sample_rows(pts, fraction, seed).persist()
     try:
-        sample.count()
+        # k-means needs more distinct points than k; with no more than k, the
+        # optimal centres are the distinct sample points themselves (at most
+        # k of them, so reading them on the driver is bounded by k)
+        n_distinct = sample.distinct().count()
+        small = ([[float(x) for x in r[0]] for r in sample.distinct().collect()]
+                 if n_distinct <= max(ks) else [])
+
+        def centres_for(k: int) -> list:
+            if n_distinct <= k:
+                return list(enumerate(small))
+            m = fit_clusters(sample, k, seed, features)
+            return [(i, [float(x) for x in c]) for i, c in enumerate(m.clusterCenters())]
+
         with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-            models = list(pool.map(lambda k: fit_clusters(sample, k, seed, features), ks))
-        sets = [(k, [(i, [float(x) for x in c]) for i, c in enumerate(m.clusterCenters())])
-                for k, m in zip(ks, models)]
+            sets = list(zip(ks, pool.map(centres_for, ks)))
         table = spark.createDataFrame(
             [(k, cs) for k, cs in sets],
             "k int, centres array<struct<cluster:int, center:array<double>>>")

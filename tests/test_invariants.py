@@ -80,3 +80,11 @@ def test_empty_inputs(spark):
     assert M.matchup_probs(M.matchup_counts(e)).count() == 0
     pri = M.global_priors(M.matchup_probs(M.matchup_counts(e))).first()
     assert pri.c0 is None and pri.survive is None
+
+
+def test_sample_independent_of_partitioning(spark):
+    b = V.ball_events(V.Tables(spark, SF001))
+    a = CL.sample_rows(b.repartition(3), 0.25, seed=1)
+    c = CL.sample_rows(b.repartition(7, "bowler").sortWithinPartitions("runs"), 0.25, seed=1)
+    assert a.count() > 0 and a.exceptAll(c).count() == 0 and c.exceptAll(a).count() == 0
+    assert CL.sample_rows(b, 0.25, seed=2).exceptAll(a).count() > 0
