@@ -436,11 +436,37 @@ def _train(t: V.Tables) -> DataFrame:
     return _features(t).join(IN.over_totals(_cut(t)), OV.PLAN_KEYS)
 
 
-@register("labeled_features")
+O.view("over_feats", f"""
+SELECT p.match_id, p.innings, p.over,
+       {", ".join(f"coalesce(s.{c}, m.{c}) AS s_{c}" for c in BAT_P)},
+       {", ".join(f"coalesce(ns.{c}, m.{c}) AS ns_{c}" for c in BAT_P)},
+       {", ".join(f"coalesce(b.{c}, mb.{c}) AS b_{c}" for c in BOWL_P)}
+FROM plan p
+LEFT JOIN bat_profile_known s ON p.striker = s.batsman
+LEFT JOIN bat_profile_known ns ON p.non_striker = ns.batsman
+LEFT JOIN bowl_profile_known b ON p.bowler = b.bowler
+CROSS JOIN (SELECT {", ".join(f"avg({c}) AS {c}" for c in BAT_P)} FROM bat_profile_known) m
+CROSS JOIN (SELECT {", ".join(f"avg({c}) AS {c}" for c in BOWL_P)} FROM bowl_profile_known) mb""",
+       ["plan", "bat_profile_known", "bowl_profile_known"])
+
+
+def _round_array(c):
+    return F.transform(c, lambda x: F.round(x, 6))
+
+
+@register("labeled_features", f"""
+SELECT CAST(t.total_runs AS DOUBLE) AS label,
+       list_transform([CAST(f.over AS DOUBLE), {", ".join(f"f.{c}" for c in FEATURE_COLS)}],
+                      lambda x: round(x, 6)) AS features
+FROM over_feats f
+JOIN (SELECT match_id, innings, CAST((ball_no - 1) // 6 AS INTEGER) AS over, sum(runs) AS total_runs
+      FROM cut_log GROUP BY 1, 2, 3) t
+  ON f.match_id = t.match_id AND f.innings = t.innings AND f.over = t.over""",
+          ["over_feats", "cut_log"])
 def q_labeled_features(spark, d):
     from pyspark.ml.functions import vector_to_array
     lf = OV.labeled_features(_train(V.Tables(spark, d)), "total_runs")
-    return lf.select("label", vector_to_array("features").alias("features"))
+    return lf.select("label", _round_array(vector_to_array("features")).alias("features"))
 
 
 def _predicted(t: V.Tables) -> DataFrame:
@@ -612,11 +638,16 @@ def _bat_points(t: V.Tables) -> DataFrame:
     return CL.assemble_features(c, BAT_FEATURES).select("Player", "features")
 
 
-@register("assemble_features")
+@register("assemble_features", """
+SELECT Player, list_transform([Runs, CAST(HS AS DOUBLE), Ave, CAST(BF AS DOUBLE), SR],
+                              lambda x: round(x, 6)) AS features
+FROM bat_career
+WHERE Runs IS NOT NULL AND HS IS NOT NULL AND Ave IS NOT NULL AND BF IS NOT NULL AND SR IS NOT NULL""",
+          ["bat_career"])
 def q_assemble_features(spark, d):
     from pyspark.ml.functions import vector_to_array
     p = _bat_points(V.Tables(spark, d))
-    return p.select("Player", vector_to_array("features").alias("features"))
+    return p.select("Player", _round_array(vector_to_array("features")).alias("features"))
 
 
 @register("sample_rows")
