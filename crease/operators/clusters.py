@@ -74,7 +74,9 @@ def as_array(col: str | Column) -> Column:
 
 
 def _centre_array(centres: DataFrame) -> Column:
-    """All centres, sorted by id, as one scalar value."""
+    """All centres, sorted by id, as one scalar value (at most ``MAX_CENTRES``, checked)."""
+    if centres.limit(MAX_CENTRES + 1).count() > MAX_CENTRES:
+        raise ValueError(f"more than {MAX_CENTRES} centres: too many to travel as one value")
     return centres.select(F.array_sort(F.collect_list(F.struct(
         F.col("cluster").cast("int").alias("cluster"),
         F.col("center").cast("array<double>").alias("center"))))).scalar()

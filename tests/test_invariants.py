@@ -88,3 +88,10 @@ def test_sample_independent_of_partitioning(spark):
     c = CL.sample_rows(b.repartition(7, "bowler").sortWithinPartitions("runs"), 0.25, seed=1)
     assert a.count() > 0 and a.exceptAll(c).count() == 0 and c.exceptAll(a).count() == 0
     assert CL.sample_rows(b, 0.25, seed=2).exceptAll(a).count() > 0
+
+
+def test_centre_count_is_bounded(spark, monkeypatch):
+    t = V.Tables(spark, SF001)
+    monkeypatch.setattr(CL, "MAX_CENTRES", 5)
+    with pytest.raises(ValueError):
+        CL.assign_clusters(t.embeddings, C._centres(t), vec="embedding", keep=["vec_id"])
