@@ -740,3 +740,49 @@ def q_tree_dump(spark, d):
     rows = [(name, i, line) for name, m in (("runs", rm), ("wickets", wm))
             for i, line in enumerate(OV.tree_dump(m).splitlines())]
     return spark.createDataFrame(rows, "model string, line_no int, line string")
+
+
+# --------------------------------------------------------------------------- clusters feeding the outcome tiers
+
+# Model settings of the reference: 4 batting clusters, 5 bowling clusters, seed 1.
+BAT_K, BOWL_K, KMEANS_SEED = 4, 5, 1
+
+
+def _bowl_points(t: V.Tables) -> DataFrame:
+    c = CR.cast_features(_bowl_career(t), BOWL_FEATURES)
+    return CL.assemble_features(c, BOWL_FEATURES).select("Player", "features")
+
+
+def _fitted_clusters(points: DataFrame, k: int) -> DataFrame:
+    """(Player, Cluster) from a K-means fit on the points (M2 + M3)."""
+    centres = CL.centres_table(CL.fit_clusters(points, k, seed=KMEANS_SEED))
+    return (CL.assign_clusters(points, centres, keep=["Player"])
+            .select("Player", F.col("cluster").alias("Cluster")))
+
+
+@register("bowling_clusters")
+def q_bowling_clusters(spark, d):
+    """Bowling clusters (k = 5) of every bowler from his career features."""
+    return _fitted_clusters(_bowl_points(V.Tables(spark, d)), BOWL_K)
+
+
+@register("elbow_curve_bowling")
+def q_elbow_curve_bowling(spark, d):
+    t = V.Tables(spark, d)
+    return CL.elbow_curve(_bowl_points(t), range(2, 15), 0.25, seed=KMEANS_SEED, parallelism=8)
+
+
+@register("batch_outcomes_fitted")
+def q_batch_outcomes_fitted(spark, d):
+    """Outcome tiers with clusters from K-means, as in the reference's own flow.
+
+    Batters are clustered (k = 4) on their careers.  The bowlers of the ball
+    log are brands, which have no season table here, so they are clustered
+    (k = 5) on their bowling profiles from the log itself.
+    """
+    t = V.Tables(spark, d)
+    bat_cl = _fitted_clusters(_bat_points(t), BAT_K)
+    prof = CR.bowling_profile(V.ball_events(t)).withColumnRenamed("bowler", "Player")
+    bowl_pts = CL.assemble_features(prof, BOWL_P).select("Player", "features")
+    bowl_cl = _fitted_clusters(bowl_pts, BOWL_K)
+    return OC.batch_outcomes(V.requests(t), _probs(t), bat_cl, bowl_cl)
