@@ -450,23 +450,28 @@ CROSS JOIN (SELECT {", ".join(f"avg({c}) AS {c}" for c in BOWL_P)} FROM bowl_pro
        ["plan", "bat_profile_known", "bowl_profile_known"])
 
 
-def _round_array(c):
-    return F.transform(c, lambda x: F.round(x, 6))
+def _vector_columns(vec, n: int) -> list:
+    """A feature vector as n rounded scalar columns f00.. (one value per cell)."""
+    from pyspark.ml.functions import vector_to_array
+    arr = vector_to_array(vec)
+    return [F.round(arr[i], 6).alias(f"f{i:02d}") for i in range(n)]
+
+
+def _sql_columns(exprs: list[str]) -> str:
+    return ", ".join(f"round({e}, 6) AS f{i:02d}" for i, e in enumerate(exprs))
 
 
 @register("labeled_features", f"""
 SELECT CAST(t.total_runs AS DOUBLE) AS label,
-       list_transform([CAST(f.over AS DOUBLE), {", ".join(f"f.{c}" for c in FEATURE_COLS)}],
-                      lambda x: round(x, 6)) AS features
+       {_sql_columns(["CAST(f.over AS DOUBLE)"] + [f"f.{c}" for c in FEATURE_COLS])}
 FROM over_feats f
 JOIN (SELECT match_id, innings, CAST((ball_no - 1) // 6 AS INTEGER) AS over, sum(runs) AS total_runs
       FROM cut_log GROUP BY 1, 2, 3) t
   ON f.match_id = t.match_id AND f.innings = t.innings AND f.over = t.over""",
           ["over_feats", "cut_log"])
 def q_labeled_features(spark, d):
-    from pyspark.ml.functions import vector_to_array
     lf = OV.labeled_features(_train(V.Tables(spark, d)), "total_runs")
-    return lf.select("label", _round_array(vector_to_array("features")).alias("features"))
+    return lf.select("label", *_vector_columns(F.col("features"), 15))
 
 
 def _predicted(t: V.Tables) -> DataFrame:
@@ -638,16 +643,14 @@ def _bat_points(t: V.Tables) -> DataFrame:
     return CL.assemble_features(c, BAT_FEATURES).select("Player", "features")
 
 
-@register("assemble_features", """
-SELECT Player, list_transform([Runs, CAST(HS AS DOUBLE), Ave, CAST(BF AS DOUBLE), SR],
-                              lambda x: round(x, 6)) AS features
+@register("assemble_features", f"""
+SELECT Player, {_sql_columns(["Runs", "CAST(HS AS DOUBLE)", "Ave", "CAST(BF AS DOUBLE)", "SR"])}
 FROM bat_career
 WHERE Runs IS NOT NULL AND HS IS NOT NULL AND Ave IS NOT NULL AND BF IS NOT NULL AND SR IS NOT NULL""",
           ["bat_career"])
 def q_assemble_features(spark, d):
-    from pyspark.ml.functions import vector_to_array
     p = _bat_points(V.Tables(spark, d))
-    return p.select("Player", _round_array(vector_to_array("features")).alias("features"))
+    return p.select("Player", *_vector_columns(F.col("features"), len(BAT_FEATURES)))
 
 
 @register("sample_rows")
