@@ -474,6 +474,17 @@ def q_labeled_features(spark, d):
     return lf.select("label", *_vector_columns(F.col("features"), 15))
 
 
+def _pinned(train: DataFrame) -> DataFrame:
+    """Fixed partition contents and row order for a training table.
+
+    MLlib samples split candidates per partition, by row position; hashing
+    the over keys into a fixed number of partitions and sorting inside each
+    gives the same sample, hence the same trees, on every run.
+    """
+    n = int(train.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return train.repartition(n, *OV.PLAN_KEYS).sortWithinPartitions(*OV.PLAN_KEYS)
+
+
 def _predicted(t: V.Tables) -> DataFrame:
     """Fit both trees on the over table and score every over of the plan.
 
@@ -488,7 +499,7 @@ def _predicted(t: V.Tables) -> DataFrame:
     # over totals (the labels): run the ordered passes once
     strikes = _strikes_cut(t).checkpoint()
     feats = _features(t, strikes).checkpoint()
-    train = feats.join(IN.over_totals(strikes), OV.PLAN_KEYS).checkpoint()
+    train = _pinned(feats.join(IN.over_totals(strikes), OV.PLAN_KEYS)).checkpoint()
     rm, wm = OV.fit_over_models(train)
     return OV.predict_overs(feats, rm, wm)
 
@@ -738,7 +749,7 @@ def q_tree_dump(spark, d):
     from crease.session import ensure_checkpoint_dir
     t = V.Tables(spark, d)
     ensure_checkpoint_dir(spark)
-    train = _features(t).join(IN.over_totals(_cut(t)), OV.PLAN_KEYS).checkpoint()
+    train = _pinned(_features(t).join(IN.over_totals(_cut(t)), OV.PLAN_KEYS)).checkpoint()
     rm, wm = OV.fit_over_models(train)
     rows = [(name, i, line) for name, m in (("runs", rm), ("wickets", wm))
             for i, line in enumerate(OV.tree_dump(m).splitlines())]
