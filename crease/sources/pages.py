@@ -17,7 +17,7 @@ from crease.functions import soft_cast, strip_brackets
 ITEM_RE = r'<li><a href="([^"]*)">([^<]*)</a></li>'
 HOST_RE = r"^[a-z]+://([^/?#]+)"
 LANG_RE = r"^[a-z]+://[^/?#]+/([a-z]+)/"
-SEASON_RE = r"/([0-9]+)"
+SEASON_RE = r"^[a-z]+://[^/?#]+[^?#]*?[/-]([0-9]+)"   # first number after / or - in the path
 TRAIL_RE = r"\s+$"          # trailing whitespace, newline included
 
 

@@ -282,3 +282,13 @@ def test_fused_cut_equals_cut_then_strike(spark):
     two_step = IN.strike_reconstruct(IN.innings_cutoff(log), lu)
     a, b = {tuple(r) for r in fused.collect()}, {tuple(r) for r in two_step.collect()}
     assert a == b and len(a) < len(rows)
+
+
+def test_url_list_file(spark, tmp_path):
+    from crease.sources.pages import read_url_list, url_catalog
+    f = tmp_path / "urls.txt"
+    f.write_text("http://stats.example.org/league-2018/averages/bowling.html?id=1\r\n"
+                 "http://stats.example.org/league-2017/averages/bowling.html?id=2\n\n")
+    cat = url_catalog(read_url_list(spark, str(f)))
+    got = sorted((r.url[-4:], r.host, r.season) for r in cat.collect())
+    assert got == [("id=1", "stats.example.org", 2018), ("id=2", "stats.example.org", 2017)]
