@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The scored outcomes of one ball that have their own column, in
-# this order (5 runs has no column; its mass is the residual above the last
-# cumulative value).
-OUTCOMES = (0, 1, 2, 3, 4, 6)
+from crease.fixed import OUTCOMES
+
+# Outcome columns follow ``crease.fixed.OUTCOMES`` (5 runs has no column; its
+# mass is the residual above the last cumulative value).
 CUM_COLS = tuple(f"c{k}" for k in OUTCOMES)
 COUNT_COLS = tuple(f"n{k}" for k in OUTCOMES)
 

@@ -17,6 +17,7 @@ from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from crease.fixed import ELBOW_FRACTION, ELBOW_KS, KMEANS_SEED
 from crease.functions import unit_hash
 
 # Centres travel inside the plan as one value; this bounds that value.
@@ -113,8 +114,8 @@ def _is_vector(df: DataFrame, col: str) -> bool:
     return isinstance(df.schema[col].dataType, VectorUDT)
 
 
-def elbow_curve(points: DataFrame, ks: Iterable[int] = range(2, 15), fraction: float = 0.25,
-                seed: int = 1, features: str = "features", parallelism: int = 4) -> DataFrame:
+def elbow_curve(points: DataFrame, ks: Iterable[int] = ELBOW_KS, fraction: float = ELBOW_FRACTION,
+                seed: int = KMEANS_SEED, features: str = "features", parallelism: int = 4) -> DataFrame:
     """Cost for each k (M4): fit on a sample, cost on all points; a (k, cost) table.
 
     The points are cached for the sweep.  Each fit is a distributed MLlib job

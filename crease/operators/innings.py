@@ -12,12 +12,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from crease.fixed import BALLS_PER_OVER, SURVIVAL_CUT, TIE_WINNER, WICKET_LIMIT
 from crease.functions import odd
 from crease.operators.running import Running, running_aggregates
 
-BALLS_PER_OVER = 6
-WICKET_LIMIT = 10
-SURVIVAL_CUT = 0.3
 CHUNK_BALLS = 4096
 
 
@@ -153,7 +151,7 @@ def over_totals(log: DataFrame, keys: list[str] | None = None, order: str = "bal
 
 def scorecard(rows: DataFrame, match: str = "match_id", innings: str = "innings",
               runs: str = "runs", wickets: str = "wicket", limit: int = WICKET_LIMIT,
-              tie: str = "Team 1") -> DataFrame:
+              tie: str = TIE_WINNER) -> DataFrame:
     """Runs, wickets and balls of both innings, and the winner, per match.
 
     ``rows`` are balls (boolean wicket) or overs (wicket counts) already cut

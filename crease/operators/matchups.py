@@ -7,7 +7,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from crease.functions import CUM_COLS, COUNT_COLS, OUTCOMES
+from crease.fixed import OUTCOMES, PAIR_THRESHOLD, SURVIVAL_PRIOR_BOOST
+from crease.functions import CUM_COLS, COUNT_COLS
 
 PAIR = ["batsman", "bowler"]
 
@@ -46,12 +47,12 @@ def pair_rows_count(balls: DataFrame, keys: list[str] = PAIR) -> DataFrame:
     return balls.dropna(subset=keys).groupBy(*keys).agg(F.count("*").alias("rows"))
 
 
-def threshold_filter(counts: DataFrame, threshold: int = 9) -> DataFrame:
+def threshold_filter(counts: DataFrame, threshold: int = PAIR_THRESHOLD) -> DataFrame:
     """Keep pairs with strictly more than ``threshold`` balls (C4)."""
     return counts.filter(F.col("balls") > threshold)
 
 
-def matchup_probs(counts: DataFrame, threshold: int = 9) -> DataFrame:
+def matchup_probs(counts: DataFrame, threshold: int = PAIR_THRESHOLD) -> DataFrame:
     """Smoothed cumulative outcome odds and survival per pair (C4 + W1).
 
     p_k = (n_k + 1) / (balls + 6); c0..c6 are running sums of p in outcome
@@ -71,7 +72,7 @@ def matchup_probs(counts: DataFrame, threshold: int = 9) -> DataFrame:
                        survive.alias("survive"))
 
 
-def global_priors(probs: DataFrame, boost: float = 1.05) -> DataFrame:
+def global_priors(probs: DataFrame, boost: float = SURVIVAL_PRIOR_BOOST) -> DataFrame:
     """One row: mean of each cumulative column, and mean survival x ``boost``.
 
     The survival prior may exceed 1 (no clamp), as in the reference.

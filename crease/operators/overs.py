@@ -14,19 +14,13 @@ from pyspark.ml.regression import DecisionTreeRegressionModel, DecisionTreeRegre
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from crease.fixed import NOISE_SEED, OVERS, RUNS_NOISE, TREE_BINS, TREE_DEPTH, WICKETS_NOISE
 from crease.functions import flatten_features, noise_factor, wicket_discount
 from crease.operators.careers import BAT_PROFILE_COLS, BOWL_PROFILE_COLS, profile_means
 from crease.operators.innings import innings_cutoff, over_of, scorecard
 
-OVERS = 20
-# Model settings of the reference's two regression trees.
-TREE_DEPTH = 30
-TREE_BINS = 40
 # Explicit: PySpark's default seed is a Python string hash, which changes per process.
 TREE_SEED = 1
-# Noise ranges of the reference's over scoring: runs x U(1, 1.2), wickets x U(1, 1.25).
-RUNS_NOISE = (1.0, 1.2)
-WICKETS_NOISE = (1.0, 1.25)
 
 PLAN_KEYS = ["match_id", "innings", "over"]
 
@@ -129,7 +123,7 @@ def predict_overs(feats: DataFrame, runs_model: DecisionTreeRegressionModel,
     return x.drop("_vec")
 
 
-def score_overs(pred: DataFrame, replicates: int = 1, seed: int = 20,
+def score_overs(pred: DataFrame, replicates: int = 1, seed: int = NOISE_SEED,
                 noise: bool = True) -> DataFrame:
     """Scores of every match from predicted overs (M8 with F3, F4, W3, A12).
 
@@ -169,6 +163,6 @@ def win_share(scores: DataFrame) -> DataFrame:
         F.avg("runs_1").alias("mean_runs_1"), F.avg("runs_2").alias("mean_runs_2"))
 
 
-def replicated_scores(pred: DataFrame, replicates: int, seed: int = 20) -> DataFrame:
+def replicated_scores(pred: DataFrame, replicates: int, seed: int = NOISE_SEED) -> DataFrame:
     """``replicates`` noisy scorings of every match and their win shares (M8)."""
     return win_share(score_overs(pred, replicates, seed))

@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from crease.fixed import BAT_CLUSTERS as BAT_K, BOWL_CLUSTERS as BOWL_K
+from crease.fixed import ELBOW_FRACTION, ELBOW_KS, KMEANS_SEED, PAIR_THRESHOLD
 from crease.plans import oracle as O
 from crease.plans import standins as V
 from crease.operators import matchups as M
@@ -72,13 +74,13 @@ def q_threshold_filter(spark, d):
 @register("matchup_probs", f"""
 SELECT batsman, bowler, balls, w, {O.round_cols([*CUMS, "survive"])} FROM probs""", ["probs"])
 def q_matchup_probs(spark, d):
-    return rounded(M.matchup_probs(M.matchup_counts(V.ball_events(V.Tables(spark, d))), 9))
+    return rounded(M.matchup_probs(M.matchup_counts(V.ball_events(V.Tables(spark, d))), PAIR_THRESHOLD))
 
 
 @register("global_priors", f"SELECT {O.round_cols([*CUMS, 'survive'])} FROM priors", ["priors"])
 def q_global_priors(spark, d):
     counts = M.matchup_counts(V.ball_events(V.Tables(spark, d)))
-    return rounded(M.global_priors(M.matchup_probs(counts, 9)))
+    return rounded(M.global_priors(M.matchup_probs(counts, PAIR_THRESHOLD)))
 
 
 
@@ -666,14 +668,14 @@ def q_assemble_features(spark, d):
 
 @register("sample_rows")
 def q_sample_rows(spark, d):
-    return CL.sample_rows(V.ball_events(V.Tables(spark, d)), 0.25, seed=1)
+    return CL.sample_rows(V.ball_events(V.Tables(spark, d)), ELBOW_FRACTION, seed=KMEANS_SEED)
 
 
 @register("fit_clusters")
 def q_fit_clusters(spark, d):
     t = V.Tables(spark, d)
     pts = _bat_points(t)
-    return CL.centres_table(CL.fit_clusters(pts, 4, seed=1))
+    return CL.centres_table(CL.fit_clusters(pts, BAT_K, seed=KMEANS_SEED))
 
 
 @register("player_clusters")
@@ -681,14 +683,14 @@ def q_player_clusters(spark, d):
     """Batting clusters of every player from a K-means fit (M2 + M3)."""
     t = V.Tables(spark, d)
     pts = _bat_points(t)
-    centres = CL.centres_table(CL.fit_clusters(pts, 4, seed=1))
+    centres = CL.centres_table(CL.fit_clusters(pts, BAT_K, seed=KMEANS_SEED))
     return CL.assign_clusters(pts, centres, keep=["Player"])
 
 
 @register("elbow_curve")
 def q_elbow_curve(spark, d):
     t = V.Tables(spark, d)
-    return CL.elbow_curve(_bat_points(t), range(2, 15), 0.25, seed=1, parallelism=8)
+    return CL.elbow_curve(_bat_points(t), ELBOW_KS, ELBOW_FRACTION, seed=KMEANS_SEED, parallelism=8)
 
 
 # --------------------------------------------------------------------------- single scalar operators
@@ -758,8 +760,6 @@ def q_tree_dump(spark, d):
 
 # --------------------------------------------------------------------------- clusters feeding the outcome tiers
 
-# Model settings of the reference: 4 batting clusters, 5 bowling clusters, seed 1.
-BAT_K, BOWL_K, KMEANS_SEED = 4, 5, 1
 
 
 def _bowl_points(t: V.Tables) -> DataFrame:
@@ -783,7 +783,7 @@ def q_bowling_clusters(spark, d):
 @register("elbow_curve_bowling")
 def q_elbow_curve_bowling(spark, d):
     t = V.Tables(spark, d)
-    return CL.elbow_curve(_bowl_points(t), range(2, 15), 0.25, seed=KMEANS_SEED, parallelism=8)
+    return CL.elbow_curve(_bowl_points(t), ELBOW_KS, ELBOW_FRACTION, seed=KMEANS_SEED, parallelism=8)
 
 
 @register("batch_outcomes_fitted")

@@ -8,6 +8,8 @@ places in the outermost select, in both engines.
 
 from __future__ import annotations
 
+from crease.fixed import PAIR_THRESHOLD, SURVIVAL_PRIOR_BOOST, WICKET_LIMIT
+
 VIEWS: dict[str, str] = {}
 DEPS: dict[str, list[str]] = {}
 
@@ -120,13 +122,13 @@ SELECT batsman, bowler, balls, w, c0, c1, c2, c3, c4, c6, survive FROM (
         FROM counts WHERE balls > {threshold}) a) b"""
 
 
-view("probs", probs_view(9), ["counts"])
+view("probs", probs_view(PAIR_THRESHOLD), ["counts"])
 view("probs24", probs_view(24), ["counts"])
 
 for _name, _src in (("priors", "probs"), ("priors24", "probs24")):
     view(_name, f"""
 SELECT avg(c0) AS c0, avg(c1) AS c1, avg(c2) AS c2, avg(c3) AS c3, avg(c4) AS c4, avg(c6) AS c6,
-       avg(survive) * 1.05 AS survive FROM {_src}""", [_src])
+       avg(survive) * {SURVIVAL_PRIOR_BOOST} AS survive FROM {_src}""", [_src])
 
 
 # careers input rows (A1, A2): season rows outside the hold-out year plus debutants
@@ -182,14 +184,14 @@ def pick_sql(prefix: str, u: str = "u") -> str:
 
 
 # ordered state over the ball log
-view("cut1", """
+view("cut1", f"""
 SELECT * FROM (
   SELECT *, coalesce(sum(CAST(wicket AS BIGINT)) OVER w, 0) AS w_before,
             coalesce(sum(runs) OVER w, 0) AS r_before
   FROM ball_log
   WINDOW w AS (PARTITION BY match_id, innings ORDER BY ball_no
                ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)) a
-WHERE w_before < 10""", ["ball_log"])
+WHERE w_before < {WICKET_LIMIT}""", ["ball_log"])
 
 view("cut_log", """
 SELECT c.match_id, c.innings, c.ball_no, c.batsman, c.runs, c.wicket, c.p_survive
