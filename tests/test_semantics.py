@@ -292,3 +292,22 @@ def test_url_list_file(spark, tmp_path):
     cat = url_catalog(read_url_list(spark, str(f)))
     got = sorted((r.url[-4:], r.host, r.season) for r in cat.collect())
     assert got == [("id=1", "stats.example.org", 2018), ("id=2", "stats.example.org", 2017)]
+
+
+def test_noise_factor_range_and_spread(spark):
+    from crease.functions import noise_factor
+    df = spark.range(20000).select(noise_factor(1.0, 1.2, F.lit(20), "id").alias("x"))
+    r = df.agg(F.min("x"), F.max("x"), F.avg("x"),
+               F.count_if(F.col("x") < 1.1).alias("low")).first()
+    assert 1.0 <= r[0] and r[1] < 1.2
+    assert abs(r[2] - 1.1) < 0.005 and abs(r["low"] / 20000 - 0.5) < 0.02
+    again = spark.range(20000).select(noise_factor(1.0, 1.2, F.lit(20), "id").alias("x"))
+    assert df.exceptAll(again).count() == 0                      # the same draw every time
+
+
+def test_csv_overwrite_replaces(spark, tmp_path):
+    from crease.sources.files import csv_overwrite, csv_scan
+    out = str(tmp_path / "o")
+    csv_overwrite(spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string"), out)
+    csv_overwrite(spark.createDataFrame([(3, "c")], "k int, v string"), out)
+    assert [tuple(r) for r in csv_scan(spark, out, "k int, v string").collect()] == [(3, "c")]
