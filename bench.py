@@ -17,7 +17,7 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from crease.plans import catalog as C  # noqa: E402
-from crease.session import build_session  # noqa: E402
+from crease.session import build_session, scale_conf  # noqa: E402
 
 HEADLINE = ["matchup_counts", "multiway_join", "matchup_probs", "batch_outcomes",
             "batting_career", "bowling_career", "innings_cutoff", "dismissal_points",
@@ -37,8 +37,10 @@ def main() -> None:
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     repeats = int(os.environ.get("BENCH_REPEATS", "3"))
     only = [q for q in os.environ.get("BENCH_QUERIES", "").split(",") if q]
+    size = sum(os.path.getsize(os.path.join(sf_dir, f)) for f in os.listdir(sf_dir))
+    conf = scale_conf(size, cpus)
     spark = build_session(master=f"local[{cpus}]", app="crease-bench",
-                          shuffle_partitions=2 * cpus)
+                          shuffle_partitions=int(conf.pop("spark.sql.shuffle.partitions")), extra=conf)
     times: dict[str, float] = {}
     for name in only or HEADLINE:
         if name not in MODEL:

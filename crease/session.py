@@ -19,6 +19,25 @@ PLAN_CONF = {
 }
 
 
+def scale_conf(input_bytes: int, cores: int, partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Partition sizing for an input of ``input_bytes`` on ``cores`` task slots.
+
+    Start with enough shuffle partitions that each holds about
+    ``partition_bytes`` of the input (at least two per core), read files in
+    splits of the same size, and let AQE coalesce small partitions and split
+    skewed ones toward that size.  At 100 TB on 8,000 cores this gives about
+    400,000 initial shuffle partitions of 256 MiB, each well inside an
+    executor's memory; at sf0.1 on 8 cores it gives 16.
+    """
+    n = max(2 * cores, -(-input_bytes // partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(n),
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * partition_bytes),
+    }
+
+
 def build_session(master: str = "local[8]", app: str = "crease",
                   shuffle_partitions: int = 8, extra: dict | None = None) -> SparkSession:
     """Local session for tests and the bench (UI off, loopback driver)."""
