@@ -52,7 +52,7 @@ def test_outcome_pick_strict_and_wrap(spark, u, runs):
 
 
 @pytest.mark.parametrize("runs,w,out", [(3, 3, 2.0), (15, 5, 2.0), (9, 1, 8.0), (7, 0, 7.0),
-                                        (6, 6, 0.0), (9, 3, 4.0)])
+                                        (6, 6, 0.0), (9, 3, 4.0), (1, 3, 0.0), (5, 3, 2.0)])
 def test_wicket_discount_half_even(spark, runs, w, out):
     df = spark.createDataFrame([(runs, w)], "r long, w long")
     assert df.select(wicket_discount("r", "w")).first()[0] == out
@@ -311,3 +311,11 @@ def test_csv_overwrite_replaces(spark, tmp_path):
     csv_overwrite(spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string"), out)
     csv_overwrite(spark.createDataFrame([(3, "c")], "k int, v string"), out)
     assert [tuple(r) for r in csv_scan(spark, out, "k int, v string").collect()] == [(3, "c")]
+
+
+def test_holdout_only_player_has_no_career(spark):
+    seasons = spark.createDataFrame([("h", 2001, 3, 30, 20, 10.0, 15, 200.0),
+                                     ("k", 2000, 1, 5, 5, 5.0, 5, 100.0)],
+                                    "Player string, Year int, Inns long, Runs long, HS long, Ave double, BF long, SR double")
+    debuts = spark.createDataFrame([], "Player string, Inns long, Runs long, HS long, Ave double, BF long, SR double")
+    assert [r.Player for r in CR.batting_career(seasons, debuts, 2001).collect()] == ["k"]
