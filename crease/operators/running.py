@@ -14,8 +14,9 @@ Here each group is cut into *chunks* by a column that rises with the order
 3. join back on (group, chunk) and run the window inside each chunk only,
    adding the offset.
 
-The input is hash-partitioned once by (group, chunk); the chunk totals, the
-join and the inner window all read that one exchange.
+The input is hash-partitioned once by (group, chunk) for the join back and
+the inner window.  Step 2 can itself be chunked (``levels`` > 1), so the
+chunk table of a group with billions of rows is not one task either.
 
 Both the join and the inner window are keyed by (group, chunk), so the large
 side is shuffled once and a hot group is spread over as many tasks as it has
@@ -60,33 +61,48 @@ def _combine(kind: str, before: Column, within: Column) -> Column:
 
 
 def running_aggregates(df: DataFrame, keys: list[str], order: list[str | Column],
-                       chunk: Column, specs: list[Running]) -> DataFrame:
+                       chunk: Column, specs: list[Running], levels: int = 1,
+                       fanout: int = 4096) -> DataFrame:
     """Add one column per spec with the running aggregate within ``keys``.
 
-    ``order`` must be a total order inside each group, and ``chunk`` must not
-    fall as ``order`` rises.  Rows with a null key are dropped (they belong to
-    no group, as in a pandas group-by).
+    ``order`` must be a total order inside each group, and ``chunk`` (an
+    integer) must not fall as ``order`` rises.  Rows with a null key are
+    dropped (they belong to no group, as in a pandas group-by).
+
+    The totals of earlier chunks are themselves a running aggregate over the
+    chunk table; with ``levels`` > 1 that table is chunked in turn
+    (``fanout`` chunks per chunk), so even a group with 10^11 rows never puts
+    more than ``fanout`` rows of any level into one window task.  One level
+    is the default: its chunk window holds one row per chunk of a group
+    (a 16-million-ball innings at 4,096 balls a chunk, or 170 days of hourly
+    chunks, is 4,096 rows), and each extra level costs an aggregate and a
+    join over the chunk table.
     """
     for s in specs:
         if s.kind not in _AGG:
             raise ValueError(f"unsupported running kind {s.kind!r}")
-    ck = "_chunk"
+    ck = f"_chunk{levels}"
     x = df.dropna(subset=keys).withColumn(ck, chunk)
     for i, s in enumerate(specs):
         x = x.withColumn(f"_v{i}", F.col(s.value) if isinstance(s.value, str) else s.value)
     pkeys = keys + [ck]
-    # One shuffle by (group, chunk) feeds the chunk totals, the join back and
-    # the inner window alike; both readers share that exchange, so the input
-    # is computed once (nested calls would otherwise recompute it per reader).
+    # The join back and the inner window both need the rows by (group, chunk);
+    # one explicit shuffle serves them (the chunk totals read a pruned copy).
     x = x.repartition(*pkeys)
 
     per_chunk = x.groupBy(*pkeys).agg(
         *[_AGG[s.kind](f"_v{i}").alias(f"_t{i}") for i, s in enumerate(specs)])
-    earlier = (Window.partitionBy(*keys).orderBy(ck)
-               .rowsBetween(Window.unboundedPreceding, -1))
-    offsets = per_chunk.select(
-        *pkeys, *[_AGG[s.kind](f"_t{i}").over(earlier).alias(f"_o{i}")
-                  for i, s in enumerate(specs)])
+    if levels > 1:
+        offsets = running_aggregates(
+            per_chunk, keys, [ck], F.floor(F.col(ck) / fanout),
+            [Running(f"_o{i}", s.kind, f"_t{i}", inclusive=False) for i, s in enumerate(specs)],
+            levels - 1, fanout).select(*pkeys, *[f"_o{i}" for i in range(len(specs))])
+    else:
+        earlier = (Window.partitionBy(*keys).orderBy(ck)
+                   .rowsBetween(Window.unboundedPreceding, -1))
+        offsets = per_chunk.select(
+            *pkeys, *[_AGG[s.kind](f"_t{i}").over(earlier).alias(f"_o{i}")
+                      for i, s in enumerate(specs)])
 
     inner = Window.partitionBy(*pkeys).orderBy(*order)
     incl = inner.rowsBetween(Window.unboundedPreceding, Window.currentRow)

@@ -142,6 +142,12 @@ def requests(t: Tables) -> DataFrame:
         (key.cast("double") / 1000).alias("u"))
 
 
+def hour_number(ts: str) -> F.Column:
+    """Hours since year 0 of a timestamp, as an integer chunk id (no time zone involved)."""
+    days = F.year(ts).cast("long") * 366 + F.dayofyear(ts)
+    return days * 24 + F.hour(ts)
+
+
 def ball_log(t: Tables) -> DataFrame:
     """Strictly ordered ball log from ``events``: one user = one match.
 
@@ -154,7 +160,7 @@ def ball_log(t: Tables) -> DataFrame:
         .when(F.col("event_type") == "purchase", 4).otherwise(0).alias("runs"),
         (F.col("event_type") == "error").alias("wicket"),
         (F.lit(1.0) - F.col("value") / 1000).alias("p_survive"))
-    n = ordinal(ev, ["match_id"], ["ts", "event_id"], F.date_trunc("hour", "ts"), out="n")
+    n = ordinal(ev, ["match_id"], ["ts", "event_id"], hour_number("ts"), out="n")
     first = F.col("n") <= INNINGS_SPLIT
     return n.select(
         "match_id",

@@ -47,3 +47,20 @@ def test_null_keys_dropped(spark):
     df = spark.createDataFrame([(None, 1, 1), (1, 1, 2)], "g int, o int, v int")
     got = running_aggregates(df, ["g"], ["o"], F.lit(0), [Running("s", "sum", "v")])
     assert [(r.g, r.s) for r in got.collect()] == [(1, 2)]
+
+
+def test_two_level_chunks_match_window(spark):
+    df = _data(spark, n=600)
+    specs = [Running("s_ex", "sum", "v", False), Running("mx", "max", "m", True),
+             Running("pr", "product", "p", False)]
+    w = Window.partitionBy("g").orderBy("o")
+    exp = df.select("g", "o",
+                    F.coalesce(F.sum("v").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("s_ex"),
+                    F.max("m").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("mx"),
+                    F.coalesce(F.product("p").over(w.rowsBetween(Window.unboundedPreceding, -1)),
+                               F.lit(1.0)).alias("pr"))
+    b = {(r.g, r.o): (r.s_ex, r.mx, round(r.pr, 12)) for r in exp.collect()}
+    for levels in (1, 2, 3):
+        got = running_aggregates(df, ["g"], ["o"], F.floor(F.col("o") / 4), specs, levels=levels, fanout=3)
+        a = {(r.g, r.o): (r.s_ex, r.mx, round(r.pr, 12)) for r in got.collect()}
+        assert a == b, levels
