@@ -91,14 +91,18 @@ def strike_reconstruct(log: DataFrame, lineups: DataFrame, match: str = "match_i
     the end of every over.  A wicket puts the next batter of the order, number
     (wickets so far + 2), into the slot of the batter who was out.  So:
 
-    * slot on strike = parity of (earlier odd-run non-wicket balls + completed overs);
+    * slot on strike = parity of (earlier odd-run non-wicket balls + completed overs),
+      a running sum;
     * occupant of a slot = order[w + 1] (0-based) for the latest earlier wicket
-      w in that slot, else its opener.
+      w in that slot, else its opener.  An innings has at most ``WICKET_LIMIT``
+      wickets, so its wickets travel as one bounded array (ball, slot, next
+      batter) with the batting order, in the one per-innings join.
 
     Use on a log cut by :func:`innings_cutoff`, or pass ``cut=True`` to apply
     that cut-off here: the rows it keeps are a prefix of each innings, so the
-    running sums of both share one pass (one shuffle of the log fewer).
-    ``lineups`` has (match, innings, batting array).
+    running sums of both share one pass.  Balls after a tenth wicket are
+    outside an innings (no batter is left to come in).  ``lineups`` has
+    (match, innings, batting array).
     """
     keys = [match, innings]
     is_w = F.coalesce(F.col(wicket), F.lit(False))
@@ -114,17 +118,21 @@ def strike_reconstruct(log: DataFrame, lineups: DataFrame, match: str = "match_i
     if cut:
         x = _apply_cut(x, match, innings, 1, WICKET_LIMIT)
     x = x.withColumn("_slot", F.pmod(F.col("_odd_before") + over_of(order), F.lit(2)))
-    x = x.withColumns({
-        "_in_a": F.when(is_w & (F.col("_slot") == 0), F.col("_w_upto") + 1),
-        "_in_b": F.when(is_w & (F.col("_slot") == 1), F.col("_w_upto") + 1)})
-    x = running_aggregates(x, keys, [order], ball_chunk(order), [
-        Running("_a", "max", "_in_a", inclusive=False),
-        Running("_b", "max", "_in_b", inclusive=False)])
-    a = F.coalesce(F.col("_a"), F.lit(0))
-    b = F.coalesce(F.col("_b"), F.lit(1))
+    # at most WICKET_LIMIT entries per innings: a bounded array, built by a partial aggregate
+    falls = (x.filter(is_w & (F.col("_w_upto") <= WICKET_LIMIT)).groupBy(*keys)
+             .agg(F.collect_list(F.struct(F.col(order).alias("ball"), F.col("_slot").alias("slot"),
+                                          (F.col("_w_upto") + 1).alias("next"))).alias("_falls")))
+    side = lineups.select(*keys, "batting").join(falls, keys, "left")
+    x = x.join(side, keys, "left")
+
+    def latest(slot: int, opener: int) -> Column:
+        earlier = F.filter(F.coalesce(F.col("_falls"), F.array()),
+                           lambda e: (e["ball"] < F.col(order)) & (e["slot"] == slot))
+        return F.coalesce(F.array_max(F.transform(earlier, lambda e: e["next"])), F.lit(opener))
+
+    a, b = latest(0, 0), latest(1, 1)
     on_a = F.col("_slot") == 0
     bat = F.col("batting")
-    x = x.join(lineups.select(*keys, "batting"), keys, "left")
     return x.select(
         *[c for c in log.columns],
         F.try_element_at(bat, (F.when(on_a, a).otherwise(b) + 1).cast("int")).alias("striker"),
