@@ -9,7 +9,7 @@ innings into chunks instead of sending it whole to one task.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from crease.fixed import BALLS_PER_OVER, SURVIVAL_CUT, TIE_WINNER, WICKET_LIMIT
@@ -67,17 +67,25 @@ def _apply_cut(x: DataFrame, match: str, innings: str, first_innings: int,
 def innings_cutoff(log: DataFrame, match: str = "match_id", innings: str = "innings",
                    order: str = "ball_no", runs: str = "runs", wickets: str = "wicket",
                    first_innings: int = 1, limit: int = WICKET_LIMIT,
-                   chunk: Column | None = None) -> DataFrame:
+                   chunk: Column | None = None, bounded: bool = False) -> DataFrame:
     """Drop the rows after an innings ends.
 
     An innings ends at its ``limit``-th wicket; the second innings also ends
     as soon as its total passes the first innings' total.  The row that ends
     an innings is kept.  ``wickets`` may be a boolean (one ball) or a count
-    (one over).  Adds nothing; returns the kept rows.
+    (one over).  Adds nothing; returns the kept rows.  ``bounded=True`` says
+    an innings has a few rows at most (such as its 20 overs): plain windows
+    then replace the chunked running sums.
     """
-    chunk = ball_chunk(order) if chunk is None else chunk
     cols, specs = _cut_specs(wickets, runs)
-    x = running_aggregates(log.withColumns(cols), [match, innings], [order], chunk, specs)
+    x = log.withColumns(cols)
+    if bounded:
+        w = (Window.partitionBy(match, innings).orderBy(order)
+             .rowsBetween(Window.unboundedPreceding, -1))
+        x = x.withColumns({s.out: F.coalesce(F.sum(s.value).over(w), F.lit(0)) for s in specs})
+    else:
+        chunk = ball_chunk(order) if chunk is None else chunk
+        x = running_aggregates(x, [match, innings], [order], chunk, specs)
     return _apply_cut(x, match, innings, first_innings, limit)
 
 

@@ -319,3 +319,14 @@ def test_holdout_only_player_has_no_career(spark):
                                     "Player string, Year int, Inns long, Runs long, HS long, Ave double, BF long, SR double")
     debuts = spark.createDataFrame([], "Player string, Inns long, Runs long, HS long, Ave double, BF long, SR double")
     assert [r.Player for r in CR.batting_career(seasons, debuts, 2001).collect()] == ["k"]
+
+
+def test_bounded_cutoff_equals_chunked(spark):
+    rnd = random.Random(23)
+    rows = [(m, inn, o, rnd.randint(0, 14), rnd.choice([0, 0, 1, 2, 4]))
+            for m in range(40) for inn in (1, 2) for o in range(20)]
+    df = spark.createDataFrame(rows, "match_id long, innings int, over int, r int, w int")
+    a = IN.innings_cutoff(df, order="over", runs="r", wickets="w", bounded=True)
+    b = IN.innings_cutoff(df, order="over", runs="r", wickets="w", chunk=F.lit(0))
+    assert {tuple(x) for x in a.collect()} == {tuple(x) for x in b.collect()}
+    assert a.count() < len(rows)
