@@ -330,3 +330,38 @@ def test_bounded_cutoff_equals_chunked(spark):
     b = IN.innings_cutoff(df, order="over", runs="r", wickets="w", chunk=F.lit(0))
     assert {tuple(x) for x in a.collect()} == {tuple(x) for x in b.collect()}
     assert a.count() < len(rows)
+
+
+def test_bowling_columns_matched_by_name(spark):
+    # debutant columns in another order than the season table: matched by name (Q6)
+    seasons = spark.createDataFrame([("p", 2000, 2, 40, 4, 10.0, 6.0, 12.0)],
+                                    "Player string, Year int, Inns long, Runs long, Wkts long, "
+                                    "Ave double, Econ double, SR double")
+    debuts = spark.createDataFrame([(9.0, 2, 8.0, 20, 1, "p", 7.0)],
+                                   "SR double, Wkts long, Econ double, Runs long, Inns long, Player string, "
+                                   "Ave double")
+    r = CR.bowling_career(seasons, debuts, 2018).first()
+    assert r.Inns == 3 and r.Runs == pytest.approx(20 + 20) and r.Wkts == pytest.approx(2 + 2)
+    assert r.Econ == pytest.approx(7.0) and r.SR == pytest.approx(10.5) and r.Ave == pytest.approx(8.5)
+
+
+def test_rows_per_pair_counts_every_row(spark):
+    rows = [("a", "x", 0, False), ("a", "x", None, False), ("a", "x", 4, True)]
+    r = M.pair_rows_count(spark.createDataFrame(rows, PAIR_SCHEMA)).first()
+    assert r.rows == 3                                   # Q7: all rows, not the zeros
+
+
+def test_survival_prior_not_clamped(spark):
+    rows = [("a", "x", 1, False)] * 40 + [("b", "x", 2, False)] * 40
+    pri = M.global_priors(M.matchup_probs(M.matchup_counts(spark.createDataFrame(rows, PAIR_SCHEMA)))).first()
+    assert pri.survive == pytest.approx((1 - 1 / 41) * 1.05) and pri.survive > 1
+
+
+def test_optional_feature_scaling(spark):
+    import statistics
+    from crease.operators.clusters import assemble_features
+    df = spark.createDataFrame([(float(i), float(i * i)) for i in range(1, 30)], "a double, b double")
+    raw = [r.features[1] for r in assemble_features(df, ["a", "b"]).collect()]
+    scaled = [r.features[1] for r in assemble_features(df, ["a", "b"], scale=True).collect()]
+    assert raw[-1] == 29.0 * 29.0                        # unscaled by default (Q14)
+    assert statistics.stdev(scaled) == pytest.approx(1.0)
