@@ -487,22 +487,28 @@ def _pinned(train: DataFrame) -> DataFrame:
     return train.repartition(n, *OV.PLAN_KEYS).sortWithinPartitions(*OV.PLAN_KEYS)
 
 
-def _predicted(t: V.Tables) -> DataFrame:
-    """Fit both trees on the over table and score every over of the plan.
-
-    The features feed two fits (tens of passes each) and the scoring, so they
-    are checkpointed once to the shared checkpoint folder: later passes read
-    files instead of re-running the ball-log windows, and a lost executor
-    costs a re-read, not a re-run of the lineage.
+def _fitted(t: V.Tables):
+    """Over features and the two trees fitted on them.
+
+    The features feed two fits (tens of passes each) and the scoring, so the
+    cut strike log, the features and the training table are checkpointed to
+    the shared checkpoint folder: later passes read files instead of re-running
+    the ball-log windows, and a lost executor costs a re-read, not a re-run of
+    the lineage.  The strike log feeds both the over plan and the over totals
+    (the labels), so the ordered passes run once.
     """
     from crease.session import ensure_checkpoint_dir
     ensure_checkpoint_dir(t.spark)
-    # the cut ball log with its crease pair feeds both the over plan and the
-    # over totals (the labels): run the ordered passes once
     strikes = _strikes_cut(t).checkpoint()
     feats = _features(t, strikes).checkpoint()
     train = _pinned(feats.join(IN.over_totals(strikes), OV.PLAN_KEYS)).checkpoint()
     rm, wm = OV.fit_over_models(train)
+    return feats, rm, wm
+
+
+def _predicted(t: V.Tables) -> DataFrame:
+    """Expected runs and wickets of every over of the plan."""
+    feats, rm, wm = _fitted(t)
     return OV.predict_overs(feats, rm, wm)
 
 
@@ -748,11 +754,7 @@ def q_flatten_features(spark, d):
 @register("tree_dump")
 def q_tree_dump(spark, d):
     """Both fitted trees as text, one row per line (M7's dump)."""
-    from crease.session import ensure_checkpoint_dir
-    t = V.Tables(spark, d)
-    ensure_checkpoint_dir(spark)
-    train = _pinned(_features(t).join(IN.over_totals(_cut(t)), OV.PLAN_KEYS)).checkpoint()
-    rm, wm = OV.fit_over_models(train)
+    _, rm, wm = _fitted(V.Tables(spark, d))
     rows = [(name, i, line) for name, m in (("runs", rm), ("wickets", wm))
             for i, line in enumerate(OV.tree_dump(m).splitlines())]
     return spark.createDataFrame(rows, "model string, line_no int, line string")
