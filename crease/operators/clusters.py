@@ -137,7 +137,7 @@ def elbow_curve(points: DataFrame, ks: Iterable[int] = ELBOW_KS, fraction: float
         # k-means needs more distinct points than k; with no more than k, the
         # optimal centres are the distinct sample points themselves (at most
         # k of them, so reading them on the driver is bounded by k)
-        n_distinct = sample.distinct().count()
+        n_distinct = sample.distinct().limit(max(ks) + 1).count()   # only "at most max(ks)?" matters
         small = ([[float(x) for x in r[0]] for r in sample.distinct().collect()]
                  if n_distinct <= max(ks) else [])
 
