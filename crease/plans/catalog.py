@@ -284,10 +284,6 @@ def _cut(t: V.Tables) -> DataFrame:
     return IN.innings_cutoff(V.ball_log(t))
 
 
-def _strikes(t: V.Tables) -> DataFrame:
-    return IN.strike_reconstruct(V.ball_log(t), V.lineups(t), cut=True)
-
-
 @register("ball_log", "SELECT match_id, innings, ball_no, batsman, runs, wicket, "
           "round(p_survive, 6) AS p_survive FROM ball_log", ["ball_log"])
 def q_ball_log(spark, d):
@@ -313,7 +309,7 @@ def q_dismissal_points(spark, d):
 @register("strike_reconstruct", """
 SELECT match_id, innings, ball_no, runs, wicket, striker, non_striker FROM strikes""", ["strikes"])
 def q_strike_reconstruct(spark, d):
-    return _strikes(V.Tables(spark, d)).select(
+    return _strikes_cut(V.Tables(spark, d)).select(
         "match_id", "innings", "ball_no", "runs", "wicket", "striker", "non_striker")
 
 
