@@ -64,3 +64,32 @@ def test_two_level_chunks_match_window(spark):
         got = running_aggregates(df, ["g"], ["o"], F.floor(F.col("o") / 4), specs, levels=levels, fanout=3)
         a = {(r.g, r.o): (r.s_ex, r.mx, round(r.pr, 12)) for r in got.collect()}
         assert a == b, levels
+
+
+def test_property_chunked_equals_window(spark):
+    from hypothesis import HealthCheck, given, settings
+    from hypothesis import strategies as st
+
+    row = st.tuples(st.integers(0, 3), st.one_of(st.none(), st.integers(-5, 9)))
+
+    @settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+    @given(rows=st.lists(row, min_size=1, max_size=60), width=st.integers(1, 9),
+           levels=st.integers(1, 2), inclusive=st.booleans())
+    def check(rows, width, levels, inclusive):
+        data = [(g, i, v) for i, (g, v) in enumerate(rows)]
+        df = spark.createDataFrame(data, "g int, o int, v int")
+        got = running_aggregates(df, ["g"], ["o"], F.floor(F.col("o") / width),
+                                 [Running("s", "sum", "v", inclusive), Running("m", "max", "v", inclusive)],
+                                 levels=levels, fanout=2)
+        res = {(r.g, r.o): (r.s, r.m) for r in got.collect()}
+        for g in {d[0] for d in data}:
+            seen = []
+            for (gg, o, v) in data:
+                if gg != g:
+                    continue
+                frame = seen + [v] if inclusive else list(seen)
+                vals = [x for x in frame if x is not None]
+                assert res[(g, o)] == (sum(vals), max(vals) if vals else None)
+                seen.append(v)
+
+    check()
