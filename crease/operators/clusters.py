@@ -52,10 +52,27 @@ def sample_rows(df: DataFrame, fraction: float, seed: int = 1,
     return df.filter(unit_hash(F.lit(seed), *cols) < fraction)
 
 
+# Rows per partition of the points an iterative fit scans again and again.
+FIT_ROWS_PER_PARTITION = 100_000
+
+
+def compact(df: DataFrame, rows: int | None = None) -> DataFrame:
+    """``df`` in as many partitions as its row count needs (at most its own), without a shuffle.
+
+    Iterative fits run one job per iteration over the same rows; each task of
+    a job costs a fixed overhead, so a few thousand players belong in one
+    partition, while a large table keeps one partition per
+    ``FIT_ROWS_PER_PARTITION`` rows.
+    """
+    n = df.count() if rows is None else rows
+    return df.coalesce(max(1, -(-n // FIT_ROWS_PER_PARTITION)))
+
+
 def fit_clusters(points: DataFrame, k: int, seed: int = 1, features: str = "features",
                  max_iter: int = 20) -> KMeansModel:
-    """MLlib K-means fit (M2)."""
-    return KMeans(k=k, seed=seed, featuresCol=features, maxIter=max_iter).fit(points)
+    """MLlib K-means fit (M2), on the points compacted to the partitions they need."""
+    return KMeans(k=k, seed=seed, featuresCol=features, maxIter=max_iter).fit(
+        compact(points.select(features)))
 
 
 def centres_table(model: KMeansModel, k_label: int | None = None) -> DataFrame:
@@ -132,7 +149,8 @@ def elbow_curve(points: DataFrame, ks: Iterable[int] = ELBOW_KS, fraction: float
         raise ValueError("too many centres for one pass")
     spark = points.sparkSession
     pts = points.select(features).persist()
-    sample = sample_rows(pts, fraction, seed).persist()
+    drawn = sample_rows(pts, fraction, seed)
+    sample = compact(drawn).persist()
     try:
         # k-means needs more distinct points than k; with no more than k, the
         # optimal centres are the distinct sample points themselves (at most
@@ -144,7 +162,7 @@ def elbow_curve(points: DataFrame, ks: Iterable[int] = ELBOW_KS, fraction: float
         def centres_for(k: int) -> list:
             if n_distinct <= k:
                 return list(enumerate(small))
-            m = fit_clusters(sample, k, seed, features)
+            m = KMeans(k=k, seed=seed, featuresCol=features).fit(sample)
             return [(i, [float(x) for x in c]) for i, c in enumerate(m.clusterCenters())]
 
         with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
