@@ -476,10 +476,11 @@ def _pinned(train: DataFrame) -> DataFrame:
     """Fixed partition contents and row order for a training table.
 
     MLlib samples split candidates per partition, by row position; hashing
-    the over keys into a fixed number of partitions and sorting inside each
-    gives the same sample, hence the same trees, on every run.
+    the over keys into a number of partitions fixed by the row count (about
+    ``FIT_ROWS_PER_PARTITION`` each) and sorting inside each gives the same
+    sample, hence the same trees, on every run.
     """
-    n = int(train.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = max(1, -(-train.count() // CL.FIT_ROWS_PER_PARTITION))
     return train.repartition(n, *OV.PLAN_KEYS).sortWithinPartitions(*OV.PLAN_KEYS)
 
 
