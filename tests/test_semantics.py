@@ -365,3 +365,12 @@ def test_optional_feature_scaling(spark):
     scaled = [r.features[1] for r in assemble_features(df, ["a", "b"], scale=True).collect()]
     assert raw[-1] == 29.0 * 29.0                        # unscaled by default (Q14)
     assert statistics.stdev(scaled) == pytest.approx(1.0)
+
+
+def test_schema_and_partition_report(spark):
+    from crease.sources.files import profile_partitions, repartition_rows, schema_report
+    df = spark.createDataFrame([(i, f"p{i % 7}") for i in range(100)], "id long, player string")
+    rep = [tuple(r) for r in schema_report(df).orderBy("position").collect()]
+    assert rep == [(0, "id", "bigint", True), (1, "player", "string", True)]
+    parts = profile_partitions(repartition_rows(df, 5, ["player"])).collect()
+    assert sum(r.rows for r in parts) == 100 and len(parts) <= 5
