@@ -488,16 +488,17 @@ def _fitted(t: V.Tables):
     """Over features and the two trees fitted on them.
 
     The features feed two fits (tens of passes each) and the scoring, so the
-    cut strike log, the features and the training table are checkpointed to
-    the shared checkpoint folder: later passes read files instead of re-running
-    the ball-log windows, and a lost executor costs a re-read, not a re-run of
-    the lineage.  The strike log feeds both the over plan and the over totals
+    cut strike log and the features are written as parquet to the shared
+    checkpoint folder and the training table is checkpointed there: later
+    passes read files instead of re-running the ball-log windows, and a lost
+    executor costs a re-read, not a re-run of the lineage.  The strike log feeds both the over plan and the over totals
     (the labels), so the ordered passes run once.
     """
-    from crease.session import ensure_checkpoint_dir
+    from crease.session import ensure_checkpoint_dir, materialize
     ensure_checkpoint_dir(t.spark)
-    strikes = _strikes_cut(t).checkpoint()
-    feats = _features(t, strikes).checkpoint()
+    strikes = materialize(_strikes_cut(t), "strikes")
+    feats = materialize(_features(t, strikes), "over-features")
+    # the training table keeps its exact partitions (MLlib's split sampling reads them)
     train = _pinned(feats.join(IN.over_totals(strikes), OV.PLAN_KEYS)).checkpoint()
     rm, wm = OV.fit_over_models(train)
     return feats, rm, wm

@@ -79,3 +79,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared checkpoint folder for a written table."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/crease-{name}-{uuid.uuid4().hex}"
+
+
+def materialize(df, name: str):
+    """Write ``df`` as parquet to a fresh folder of the shared checkpoint folder and read it back.
+
+    Cuts the lineage like ``checkpoint()``, but computes ``df`` once (a
+    reliable checkpoint of an uncached plan runs it twice) and stores it
+    columnar, so later readers prune columns.  The files outlive a lost
+    executor.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
