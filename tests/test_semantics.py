@@ -374,3 +374,12 @@ def test_schema_and_partition_report(spark):
     assert rep == [(0, "id", "bigint", True), (1, "player", "string", True)]
     parts = profile_partitions(repartition_rows(df, 5, ["player"])).collect()
     assert sum(r.rows for r in parts) == 100 and len(parts) <= 5
+
+
+def test_materialize_cuts_lineage_in_checkpoint_folder(spark):
+    from crease.session import ensure_checkpoint_dir, materialize
+    df = spark.range(1000).select((F.col("id") * 3).alias("x"), F.array(F.col("id")).alias("a"))
+    m = materialize(df.filter("x % 2 = 0"), "test")
+    assert m.count() == 500 and m.exceptAll(df.filter("x % 2 = 0")).count() == 0
+    plan = m._jdf.queryExecution().executedPlan().toString()
+    assert ensure_checkpoint_dir(spark).rstrip("/").split(":")[-1] in plan and "Range" not in plan
