@@ -499,7 +499,8 @@ def _fitted(t: V.Tables):
     strikes = materialize(_strikes_cut(t), "strikes")
     feats = materialize(_features(t, strikes), "over-features")
     # the training table keeps its exact partitions (MLlib's split sampling reads them)
-    train = _pinned(feats.join(IN.over_totals(strikes), OV.PLAN_KEYS)).checkpoint()
+    joined = materialize(feats.join(IN.over_totals(strikes), OV.PLAN_KEYS), "over-train")
+    train = _pinned(joined).checkpoint()
     rm, wm = OV.fit_over_models(train)
     return feats, rm, wm
 
