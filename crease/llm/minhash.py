@@ -8,7 +8,11 @@ bin at random, round ``t + j`` sends every shingle to bin ``j``, so after
 is concentrated around the Jaccard similarity as with ``t`` independent
 min-hashes, at a cost of about ``t log t + n`` rather than ``t n``.
 
-Bands of bins give candidates; every link is confirmed on the full shingle sets.
+Bands of bins give candidates.  Before a pair is compared in full, two filters set
+it aside: the bins' digests, and an odd sketch (Mitzenmacher, Pagh and Pham, 2014):
+a bit per hash class, set where the class has an odd number of shingles.  Two sets
+whose difference has m shingles differ in at most m of these bits, so that filter
+loses nothing.  Every link is confirmed on the full shingle sets.
 """
 
 from __future__ import annotations
@@ -27,7 +31,8 @@ from crease.llm.text import mix, shingle_sets
 from crease.session import materialize
 
 BINS = 128
-NIBBLES = 8            # longs of 16 four-bit digests: one digest per bin
+NIBBLES = BINS // 16   # longs of 16 four-bit digests: one digest per bin
+ODD_BITS = 2048        # bits of a set's odd sketch
 MISS = 1e-6            # accepted chance that a pair at the threshold shares no band
 _U = np.uint64
 _EMPTY = _U((1 << 64) - 1)
@@ -39,14 +44,14 @@ def sketch(sets: list[np.ndarray], bins: int = BINS) -> np.ndarray:
     flat = out.reshape(-1)
     items = np.concatenate(sets) if sets else np.zeros(0, dtype=np.uint64)
     owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
-    low = _U((1 << 56) - 1)
+    low = _U((1 << 47) - 1)
     for i in range(2 * bins):
         if not len(items):
             break
         h = mix(items + _U((i + 1) * 0xA0761D6478BD642F & (1 << 64) - 1))
-        where = (h >> _U(56)).astype(np.int64) * bins >> 8 if i < bins else np.full(len(h), i - bins)
+        where = (h >> _U(48)).astype(np.int64) * bins >> 16 if i < bins else np.full(len(h), i - bins)
         # fractions come from the bits below the bin's; the round stands above them
-        np.minimum.at(flat, owner * bins + where, _U(min(i, 255) << 56) | (h & low))
+        np.minimum.at(flat, owner * bins + where, _U(i << 47) | (h & low))
         full = (out != _EMPTY).all(axis=1)
         keep = ~full[owner]
         items, owner = items[keep], owner[keep]
@@ -73,8 +78,25 @@ def _differ_limit(threshold: float, bins: int = BINS) -> int:
     return math.ceil(bins * p + 5 * math.sqrt(bins * p * (1 - p)))
 
 
+def _may_link(percent: int, also=None):
+    """False only for pairs that can't be linked, from the sizes and odd sketches of
+    both (columns x_n, y_n, x_odd, y_odd), but for ``also``.
+
+    With sizes a and b and a difference of m shingles the similarity is
+    (a + b - m) / (a + b + m), so a link needs m (100 + percent) <= (a + b) (100 - percent).
+    """
+    bits = None
+    for j in range(ODD_BITS // 64):
+        one = F.bit_count(F.col("x_odd")[j].bitwiseXOR(F.col("y_odd")[j]))
+        bits = one if bits is None else bits + one
+    fits = 100 * F.least("x_n", "y_n") >= percent * F.greatest("x_n", "y_n")
+    if also is not None:                          # a cheaper condition, asked in between
+        fits = fits & also
+    return fits & (bits * (100 + percent) <= (F.col("x_n") + F.col("y_n")) * (100 - percent))
+
+
 def _signatures(docs: DataFrame, width: int, threshold: float, id_col: str, text_col: str) -> DataFrame:
-    """(uid, doc_id, n, set_hi, set_lo, bands, nib) of every row; no words: n = 0 and no bands."""
+    """(uid, doc_id, n, set_hi, set_lo, bands, nib, odd) of every row; no words: n = 0 and no bands."""
     bands, rows = banding(threshold)
 
     def run(batches):
@@ -85,6 +107,7 @@ def _signatures(docs: DataFrame, width: int, threshold: float, id_col: str, text
             pair = np.frombuffer(b"".join(digests), dtype=np.int64).reshape(-1, 2)
             keys = np.zeros((len(sets), bands), dtype=np.uint64)
             nib = np.zeros((len(sets), NIBBLES), dtype=np.uint64)
+            odd = np.zeros((len(sets), ODD_BITS // 64), dtype=np.uint64)
             some = np.flatnonzero(n)
             for lo in range(0, len(some), 2048):
                 at = some[lo:lo + 2048]
@@ -96,16 +119,18 @@ def _signatures(docs: DataFrame, width: int, threshold: float, id_col: str, text
                 four = mix(sk) & _U(15)
                 for j in range(16):
                     nib[at] |= four[:, j::16][:, :NIBBLES] << _U(4 * j)
+            for i in some.tolist():
+                odd[i] = np.packbits(np.bincount((sets[i] >> _U(20)).astype(np.int64) & ODD_BITS - 1, minlength=ODD_BITS) & 1).view(np.uint64)
             as_list = lambda x, keep: pa.ListArray.from_arrays(
                 pa.array(np.concatenate([[0], np.cumsum(np.where(keep, x.shape[1], 0))]).astype(np.int32)),
                 pa.array(x[keep].reshape(-1).view(np.int64)))
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array(n), pa.array(pair[:, 0]), pa.array(pair[:, 1]),
-                 as_list(keys, n > 0), as_list(nib, n > 0)],
-                names=["doc_id", "n", "set_hi", "set_lo", "bands", "nib"])
+                 as_list(keys, n > 0), as_list(nib, n > 0), as_list(odd, n > 0)],
+                names=["doc_id", "n", "set_hi", "set_lo", "bands", "nib", "odd"])
 
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(
-        run, "doc_id long, n long, set_hi long, set_lo long, bands array<long>, nib array<long>").withColumn(
+        run, "doc_id long, n long, set_hi long, set_lo long, bands array<long>, nib array<long>, odd array<long>").withColumn(
         "uid", F.monotonically_increasing_id())
 
 
@@ -172,10 +197,10 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col:
     are candidates.  Of a band with many classes, first each class is compared
     with the least one; once components are formed, only classes outside a
     band's largest component are compared with the rest of the band, and of these
-    only pairs whose sketch digests differ in no more bins than a pair at the
-    threshold could (five standard deviations).  Links are confirmed on full
-    sets.  So no group emits all its pairs, and no link that joins two
-    components is left out but by the sketch's stated chance.
+    only pairs that their odd sketches allow and whose bins' digests differ in no
+    more bins than a pair at the threshold could (five standard deviations).
+    Links are confirmed on full sets.  So no group emits all its pairs, and no link
+    that joins two components is left out but by the sketch's stated chance.
 
     Null or blank text: no shingles, linked with nothing.  Null doc_id: linked
     with nothing, kept null.  Rows that repeat a doc_id stand for themselves: with
@@ -185,20 +210,22 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col:
     sig = materialize(_signatures(docs, width, threshold, id_col, text_col), "signatures")
     ided = sig.where("n > 0 and doc_id is not null")
     classes = materialize(ided.groupBy("set_hi", "set_lo").agg(
-        F.min_by(F.struct("uid", "n", "bands", "nib"), F.struct("doc_id", "uid")).alias("r"),
+        F.min_by(F.struct("uid", "n", "bands", "nib", "odd"), F.struct("doc_id", "uid")).alias("r"),
         F.min("doc_id").alias("doc_id")).select(
-        "set_hi", "set_lo", "doc_id", F.col("r.uid").alias("cls"), "r.n", "r.bands", "r.nib"), "classes")
+        "set_hi", "set_lo", "doc_id", F.col("r.uid").alias("cls"), "r.n", "r.bands", "r.nib", "r.odd"), "classes")
     exploded = classes.select("cls", F.posexplode("bands").alias("band", "key"))
     shared = materialize(exploded.groupBy("band", "key").agg(F.min("cls").alias("centre"), F.count("*").alias("k"))
                          .where("k > 1").select("band", "key", "centre"), "shared-bands")
     member = materialize(exploded.join(shared, ["band", "key"]).select("band", "key", "cls", "centre"), "band-members")
     reps = materialize(classes.join(member.select("cls").distinct(), "cls")
-                       .select("cls", "doc_id", "n", "nib", "set_hi", "set_lo"), "in-play")
+                       .select("cls", "doc_id", "n", "bands", "nib", "odd", "set_hi", "set_lo"), "in-play")
     blocks = max(16, math.ceil(reps.count() / rows_per_block))
     texts = _texts(docs, reps.select("cls", "doc_id", "set_hi", "set_lo"), width, id_col, text_col)
 
-    first = member.where("cls <> centre").groupBy("cls").agg(F.min("centre").alias("centre"))
-    tried = materialize(first.select(F.col("centre").alias("a"), F.col("cls").alias("b")), "star-pairs")
+    side = lambda x, c: reps.select(F.col("cls").alias(c), F.col("n").alias(f"{x}_n"), F.col("odd").alias(f"{x}_odd"))
+    tried = materialize(
+        member.where("cls <> centre").select(F.col("centre").alias("a"), F.col("cls").alias("b")).distinct()
+        .join(side("x", "a"), "a").join(side("y", "b"), "b").where(_may_link(percent)).select("a", "b"), "star-pairs")
     linked = materialize(_verify(tried, texts, width, percent, blocks), "star-links")
     comp = materialize(components(linked), "star-components")
 
@@ -207,9 +234,11 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col:
     sizes = placed.groupBy("band", "key", "comp").agg(F.count("*").alias("k"))
     major = (sizes.groupBy("band", "key").agg(F.max(F.struct("k", "comp")).alias("m"), F.count("*").alias("parts"))
              .where("parts > 1").select("band", "key", F.col("m.comp").alias("major")))
-    open_ = materialize(placed.join(major, ["band", "key"]).join(reps.select("cls", "n", "nib"), "cls"), "open-bands")
-    left = open_.where("comp <> major").select("band", "key", *[F.col(c).alias(f"x_{c}") for c in ("cls", "comp", "n", "nib")])
-    right = open_.select("band", "key", "major", *[F.col(c).alias(f"y_{c}") for c in ("cls", "comp", "n", "nib")])
+    open_ = materialize(placed.join(major, ["band", "key"]).join(reps.select("cls", "n", "bands", "nib", "odd"), "cls"), "open-bands")
+    fields = ("cls", "comp", "n", "bands", "nib", "odd")
+    left = open_.where("comp <> major").select("band", "key", *[F.col(c).alias(f"x_{c}") for c in fields])
+    right = open_.select("band", "key", "major", *[F.col(c).alias(f"y_{c}") for c in fields])
+    earlier = F.exists(F.sequence(F.lit(1), left.band), lambda j: F.col("x_bands")[j - 1] == F.col("y_bands")[j - 1])
     limit = _differ_limit(threshold)
     ones = F.lit(0x1111111111111111)
     differ = None
@@ -221,7 +250,9 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col:
     rest = (left.join(right, (left.band == right.band) & (left.key == right.key) & (F.col("x_comp") != F.col("y_comp"))
                       # both outside the largest component: only one of the two orders
                       & ((F.col("y_comp") == F.col("major")) | (F.col("x_cls") < F.col("y_cls")))
-                      & (100 * F.least("x_n", "y_n") >= percent * F.greatest("x_n", "y_n")) & (differ <= limit))
+                      & _may_link(percent, differ <= limit)
+                      # a pair comes from the first band that it shares
+                      & ((left.band == 0) | ~earlier))
             .select(F.least("x_cls", "y_cls").alias("a"), F.greatest("x_cls", "y_cls").alias("b")).distinct()
             .join(tried, ["a", "b"], "left_anti"))
     more = _verify(materialize(rest, "rest-pairs"), texts, width, percent, blocks)
