@@ -20,13 +20,14 @@ from pyspark.sql import functions as F
 from crease.fixed import ELBOW_FRACTION, ELBOW_KS, KMEANS_SEED
 from crease.functions import unit_hash
 
-# Centres travel inside the plan as one value; this bounds that value.
-MAX_CENTRES = 10_000
+# Partitions of the points that an iterative fit scans, a parameter of the fit.
+FIT_PARTITIONS = 8
 
 
 def assemble_features(df: DataFrame, cols: list[str], out: str = "features",
-                      handle_invalid: str = "skip", scale: bool = False) -> DataFrame:
-    """Feature vector per row (M1).  Rows with a NULL/NaN feature are skipped.
+                      handle_invalid: str = "error", scale: bool = False) -> DataFrame:
+    """Feature vector per row (M1).  A NULL/NaN feature raises; with
+    ``handle_invalid="skip"`` such rows are left out (:func:`invalid_rows` lists them).
 
     ``scale=True`` divides each feature by its standard deviation (the
     reference imports a scaler but does not use it, so the default is off).
@@ -39,40 +40,40 @@ def assemble_features(df: DataFrame, cols: list[str], out: str = "features",
     return res
 
 
-def sample_rows(df: DataFrame, fraction: float, seed: int = 1,
-                keys: Iterable[str] | None = None) -> DataFrame:
+def invalid_rows(df: DataFrame, cols: list[str], keys: list[str]) -> DataFrame:
+    """Keys of the rows that :func:`assemble_features` can't take (a NULL or NaN feature)."""
+    bad = F.lit(False)
+    for c in cols:
+        bad = bad | F.col(c).isNull() | F.isnan(F.col(c).cast("double"))
+    return df.where(bad).select(*keys)
+
+
+def sample_rows(df: DataFrame, fraction: float, seed: int, keys: Iterable[str]) -> DataFrame:
     """Bernoulli sample without replacement (M5): each row kept with probability ``fraction``.
 
-    The draw of a row is a hash of (seed, its ``keys``; all columns by
-    default), not a position in its partition, so a partition recomputed
+    The draw of a row is a hash of (seed, its unique ``keys``; rows that share
+    them are kept or left together), not a position in its partition, so a partition recomputed
     after a lost executor - whose rows may come back in another order -
     yields the same sample, and a cached sample never changes under a fit.
     """
-    cols = list(keys) if keys is not None else df.columns
-    return df.filter(unit_hash(F.lit(seed), *cols) < fraction)
-
-
-# Rows per partition of the points an iterative fit scans again and again.
-FIT_ROWS_PER_PARTITION = 100_000
+    return df.filter(unit_hash(F.lit(seed), *keys) < fraction)
 
 
-def compact(df: DataFrame, rows: int | None = None) -> DataFrame:
-    """``df`` in as many partitions as its row count needs (at most its own), without a shuffle.
+def placed(points: DataFrame, key: str = "Player", partitions: int = FIT_PARTITIONS) -> DataFrame:
+    """Points in a stated number of partitions, by a hash of their unique key and sorted inside.
 
-    Iterative fits run one job per iteration over the same rows; each task of
-    a job costs a fixed overhead, so a few thousand players belong in one
-    partition, while a large table keeps one partition per
-    ``FIT_ROWS_PER_PARTITION`` rows.
+    MLlib's start centres and sums depend on which rows stand where; with the
+    rows placed by key the same points give the same fit whatever the session's
+    shuffle setting, the input's order or a task that ran twice.
     """
-    n = df.count() if rows is None else rows
-    return df.coalesce(max(1, -(-n // FIT_ROWS_PER_PARTITION)))
+    return points.repartition(partitions, key).sortWithinPartitions(key)
 
 
 def fit_clusters(points: DataFrame, k: int, seed: int = 1, features: str = "features",
-                 max_iter: int = 20) -> KMeansModel:
-    """MLlib K-means fit (M2), on the points compacted to the partitions they need."""
+                 max_iter: int = 20, key: str = "Player", partitions: int = FIT_PARTITIONS) -> KMeansModel:
+    """MLlib K-means fit (M2) on points placed by their unique ``key``."""
     return KMeans(k=k, seed=seed, featuresCol=features, maxIter=max_iter).fit(
-        compact(points.select(features)))
+        placed(points.select(key, features), key, partitions))
 
 
 def centres_table(model: KMeansModel, k_label: int | None = None) -> DataFrame:
@@ -92,9 +93,7 @@ def as_array(col: str | Column) -> Column:
 
 
 def _centre_array(centres: DataFrame) -> Column:
-    """All centres, sorted by id, as one scalar value (at most ``MAX_CENTRES``, checked)."""
-    if centres.limit(MAX_CENTRES + 1).count() > MAX_CENTRES:
-        raise ValueError(f"more than {MAX_CENTRES} centres: too many to travel as one value")
+    """All centres, sorted by id, as one scalar value; the caller's k fixes its size."""
     return centres.select(F.array_sort(F.collect_list(F.struct(
         F.col("cluster").cast("int").alias("cluster"),
         F.col("center").cast("array<double>").alias("center"))))).scalar()
@@ -132,7 +131,8 @@ def _is_vector(df: DataFrame, col: str) -> bool:
 
 
 def elbow_curve(points: DataFrame, ks: Iterable[int] = ELBOW_KS, fraction: float = ELBOW_FRACTION,
-                seed: int = KMEANS_SEED, features: str = "features", parallelism: int = 4) -> DataFrame:
+                seed: int = KMEANS_SEED, features: str = "features", parallelism: int = 4,
+                key: str = "Player", partitions: int = FIT_PARTITIONS) -> DataFrame:
     """Cost for each k (M4): fit on a sample, cost on all points; a (k, cost) table.
 
     The points are cached for the sweep.  Each fit is a distributed MLlib job
@@ -142,26 +142,19 @@ def elbow_curve(points: DataFrame, ks: Iterable[int] = ELBOW_KS, fraction: float
     points: each point meets the centre sets of every k inside a projection,
     and a partial aggregate by k sums them.  The result has one row per k
     (a size fixed by ``ks``), so it is computed here and the cache released.
+    A sample with fewer points than the greatest k raises: raise ``fraction``.
     """
     from concurrent.futures import ThreadPoolExecutor
     ks = list(ks)
-    if sum(ks) > MAX_CENTRES:
-        raise ValueError("too many centres for one pass")
     spark = points.sparkSession
-    pts = points.select(features).persist()
-    drawn = sample_rows(pts, fraction, seed)
-    sample = compact(drawn).persist()
+    pts = points.select(key, features).persist()
+    sample = placed(sample_rows(pts, fraction, seed, [key]), key, partitions).persist()
     try:
-        # k-means needs more distinct points than k; with no more than k, the
-        # optimal centres are the distinct sample points themselves (at most
-        # k of them, so reading them on the driver is bounded by k)
-        n_distinct = sample.distinct().limit(max(ks) + 1).count()   # only "at most max(ks)?" matters
-        small = ([[float(x) for x in r[0]] for r in sample.distinct().collect()]
-                 if n_distinct <= max(ks) else [])
+        n = sample.count()
+        if n < max(ks):
+            raise ValueError(f"the sample holds {n} points, fewer than k = {max(ks)}; raise the fraction")
 
         def centres_for(k: int) -> list:
-            if n_distinct <= k:
-                return list(enumerate(small))
             m = KMeans(k=k, seed=seed, featuresCol=features).fit(sample)
             return [(i, [float(x) for x in c]) for i, c in enumerate(m.clusterCenters())]
 

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from crease.fixed import BALLS_PER_OVER, SURVIVAL_CUT, TIE_WINNER, WICKET_LIMIT
+from crease.fixed import BALLS_PER_OVER, OVERS, SURVIVAL_CUT, TIE_WINNER, WICKET_LIMIT
 from crease.functions import odd
 from crease.operators.running import Running, running_aggregates
 
@@ -53,9 +53,9 @@ def _cut_specs(wickets: str, runs: str) -> tuple[dict, list[Running]]:
 
 
 def _apply_cut(x: DataFrame, match: str, innings: str, first_innings: int,
-               limit: int) -> DataFrame:
+               limit: int, order: str, last: int) -> DataFrame:
     """Keep rows of ``x`` (with running _w_before, _r_before, _r) before each innings ends."""
-    x = x.filter(F.col("_w_before") < limit)
+    x = x.filter((F.col("_w_before") < limit) & (F.col(order) <= last))
     target = (x.filter(F.col(innings) == first_innings).groupBy(match)
               .agg(F.sum("_r").alias("_target")))
     x = x.join(target, match, "left")
@@ -66,11 +66,12 @@ def _apply_cut(x: DataFrame, match: str, innings: str, first_innings: int,
 
 def innings_cutoff(log: DataFrame, match: str = "match_id", innings: str = "innings",
                    order: str = "ball_no", runs: str = "runs", wickets: str = "wicket",
-                   first_innings: int = 1, limit: int = WICKET_LIMIT,
+                   first_innings: int = 1, limit: int = WICKET_LIMIT, last: int = OVERS * BALLS_PER_OVER,
                    chunk: Column | None = None, bounded: bool = False) -> DataFrame:
     """Drop the rows after an innings ends.
 
-    An innings ends at its ``limit``-th wicket; the second innings also ends
+    An innings ends at its ``limit``-th wicket or with the row numbered ``last``
+    (the last ball of its 20 overs, numbered from 1); the second innings also ends
     as soon as its total passes the first innings' total.  The row that ends
     an innings is kept.  ``wickets`` may be a boolean (one ball) or a count
     (one over).  Adds nothing; returns the kept rows.  ``bounded=True`` says
@@ -86,7 +87,7 @@ def innings_cutoff(log: DataFrame, match: str = "match_id", innings: str = "inni
     else:
         chunk = ball_chunk(order) if chunk is None else chunk
         x = running_aggregates(x, [match, innings], [order], chunk, specs)
-    return _apply_cut(x, match, innings, first_innings, limit)
+    return _apply_cut(x, match, innings, first_innings, limit, order, last)
 
 
 def strike_reconstruct(log: DataFrame, lineups: DataFrame, match: str = "match_id",
@@ -124,7 +125,7 @@ def strike_reconstruct(log: DataFrame, lineups: DataFrame, match: str = "match_i
         x, specs = x.withColumns(cols), specs + cut_specs
     x = running_aggregates(x, keys, [order], ball_chunk(order), specs)
     if cut:
-        x = _apply_cut(x, match, innings, 1, WICKET_LIMIT)
+        x = _apply_cut(x, match, innings, 1, WICKET_LIMIT, order, OVERS * BALLS_PER_OVER)
     x = x.withColumn("_slot", F.pmod(F.col("_odd_before") + over_of(order), F.lit(2)))
     # at most WICKET_LIMIT entries per innings: a bounded array, built by a partial aggregate
     falls = (x.filter(is_w & (F.col("_w_upto") <= WICKET_LIMIT)).groupBy(*keys)
@@ -167,8 +168,9 @@ def over_totals(log: DataFrame, keys: list[str] | None = None, order: str = "bal
 
 def scorecard(rows: DataFrame, match: str = "match_id", innings: str = "innings",
               runs: str = "runs", wickets: str = "wicket", limit: int = WICKET_LIMIT,
-              tie: str = TIE_WINNER) -> DataFrame:
-    """Runs, wickets and balls of both innings, and the winner, per match.
+              tie: str = TIE_WINNER, unit: str = "balls") -> DataFrame:
+    """Runs, wickets and rows of both innings, and the winner, per match.
+    ``unit`` says what a row is and names the count (``balls_1`` or ``overs_1``).
 
     ``rows`` are balls (boolean wicket) or overs (wicket counts) already cut
     by :func:`innings_cutoff`.  Wickets are capped at ``limit``.  Team 2 wins
@@ -181,7 +183,7 @@ def scorecard(rows: DataFrame, match: str = "match_id", innings: str = "innings"
         return [F.coalesce(F.sum(F.when(on, F.col(runs))), F.lit(0)).cast("long").alias(f"runs_{i}"),
                 F.least(F.coalesce(F.sum(F.when(on, w)), F.lit(0)), F.lit(limit))
                 .cast("long").alias(f"wickets_{i}"),
-                F.count_if(on).alias(f"balls_{i}")]
+                F.count_if(on).alias(f"{unit}_{i}")]
 
     s = rows.groupBy(match).agg(*side(1), *side(2))
     return s.withColumn("winner", F.when(F.col("runs_2") > F.col("runs_1"), F.lit("Team 2"))

@@ -147,10 +147,10 @@ def score_overs(pred: DataFrame, replicates: int = 1, seed: int = NOISE_SEED,
                        "over_wickets": F.bround(F.col("pred_wickets") * wf, 0).cast("long")})
     x = x.withColumn("over_runs", wicket_discount("_runs0", "over_wickets").cast("long"))
     x = x.withColumn("_game", F.struct("match_id", "replicate"))
-    # an innings has at most OVERS rows here, so plain windows are safe
+    # an innings ends with over OVERS - 1 (numbered from 0), so plain windows hold few rows
     kept = innings_cutoff(x, match="_game", innings="innings", order="over",
-                          runs="over_runs", wickets="over_wickets", bounded=True)
-    card = scorecard(kept, match="_game", runs="over_runs", wickets="over_wickets")
+                          runs="over_runs", wickets="over_wickets", last=OVERS - 1, bounded=True)
+    card = scorecard(kept, match="_game", runs="over_runs", wickets="over_wickets", unit="overs")
     return card.select(F.col("_game.match_id").alias("match_id"),
                        F.col("_game.replicate").alias("replicate"),
                        *[c for c in card.columns if c != "_game"])

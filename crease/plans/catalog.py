@@ -187,7 +187,12 @@ from crease.operators import outcomes as OC  # noqa: E402
 REQ_COLS = ["request_id", "line", "batsman", "bowler", "u"]
 
 
-def _probs(t: V.Tables, threshold: int = 24) -> DataFrame:
+# Stand-in pairs have many balls; this threshold leaves enough of them without odds
+# of their own that a batch reaches all three tiers.
+TIER_THRESHOLD = 24
+
+
+def _probs(t: V.Tables, threshold: int = PAIR_THRESHOLD) -> DataFrame:
     return M.matchup_probs(M.matchup_counts(V.ball_events(t)), threshold)
 
 
@@ -195,8 +200,8 @@ def _probs(t: V.Tables, threshold: int = 24) -> DataFrame:
 SELECT r.request_id, r.line, r.batsman, r.bowler, r.u,
        {", ".join(f"round(p.{c}, 6) AS {c}" for c in [*CUMS, "survive"])},
        p.batsman IS NOT NULL AS pair_found
-FROM requests r LEFT JOIN probs24 p ON r.batsman = p.batsman AND r.bowler = p.bowler""",
-          ["requests", "probs24"])
+FROM requests r LEFT JOIN probs p ON r.batsman = p.batsman AND r.bowler = p.bowler""",
+          ["requests", "probs"])
 def q_pair_lookup(spark, d):
     t = V.Tables(spark, d)
     return rounded(OC.pair_lookup(V.requests(t), _probs(t)))
@@ -226,8 +231,8 @@ SELECT r.request_id, r.line, r.batsman, r.bowler, r.u, k.bat_cluster, k.bowl_clu
        coalesce(pm.n, 0) AS pool_n,
        {", ".join(f"round(pm.{c}, 6) AS pool_{c}" for c in [*CUMS, "survive"])}
 FROM requests r JOIN known_pairs k ON r.batsman = k.batsman AND r.bowler = k.bowler
-LEFT JOIN pool_means24 pm ON r.batsman = pm.batsman AND r.bowler = pm.bowler""",
-          ["requests", "known_pairs", "pool_means24"])
+LEFT JOIN pool_means pm ON r.batsman = pm.batsman AND r.bowler = pm.bowler""",
+          ["requests", "known_pairs", "pool_means"])
 def q_cluster_pool(spark, d):
     t = V.Tables(spark, d)
     return rounded(OC.cluster_pool(V.requests(t), _probs(t), V.bat_clusters(t), V.bowl_clusters(t)))
@@ -235,8 +240,8 @@ def q_cluster_pool(spark, d):
 
 @register("outcome_pick", f"""
 SELECT r.request_id, r.line, r.batsman, r.bowler, r.u, {O.pick_sql("p.", "r.u")} AS runs
-FROM requests r JOIN probs24 p ON r.batsman = p.batsman AND r.bowler = p.bowler""",
-          ["requests", "probs24"])
+FROM requests r JOIN probs p ON r.batsman = p.batsman AND r.bowler = p.bowler""",
+          ["requests", "probs"])
 def q_outcome_pick(spark, d):
     from crease.functions import outcome_pick
     t = V.Tables(spark, d)
@@ -244,7 +249,8 @@ def q_outcome_pick(spark, d):
     return j.select(*REQ_COLS, outcome_pick([F.col(c) for c in CUMS], "u").alias("runs"))
 
 
-@register("batch_outcomes", f"""
+def _batch_sql(probs: str, pools: str, priors: str) -> str:
+    return f"""
 SELECT request_id, line, batsman, bowler, u, tier, {O.pick_sql("")} AS runs,
        round(survive, 6) AS survive
 FROM (SELECT r.request_id, r.line, r.batsman, r.bowler, r.u,
@@ -252,14 +258,25 @@ FROM (SELECT r.request_id, r.line, r.batsman, r.bowler, r.u,
              {", ".join(f"CASE WHEN p.batsman IS NOT NULL THEN p.{c} WHEN pm.n > 0 THEN pm.{c} ELSE g.{c} END AS {c}"
                         for c in [*CUMS, "survive"])}
       FROM requests r
-      LEFT JOIN probs24 p ON r.batsman = p.batsman AND r.bowler = p.bowler
-      LEFT JOIN pool_means24 pm ON r.batsman = pm.batsman AND r.bowler = pm.bowler
-      CROSS JOIN priors24 g) x""", ["requests", "probs24", "pool_means24", "priors24"])
+      LEFT JOIN {probs} p ON r.batsman = p.batsman AND r.bowler = p.bowler
+      LEFT JOIN {pools} pm ON r.batsman = pm.batsman AND r.bowler = pm.bowler
+      CROSS JOIN {priors} g) x"""
+
+
+@register("batch_outcomes", _batch_sql("probs", "pool_means", "priors"), ["requests", "probs", "pool_means", "priors"])
 def q_batch_outcomes(spark, d):
     t = V.Tables(spark, d)
     return rounded(OC.batch_outcomes(V.requests(t), _probs(t), V.bat_clusters(t), V.bowl_clusters(t)))
 
 
+@register("batch_outcomes_tiers", _batch_sql("probs24", "pool_means24", "priors24"),
+          ["requests", "probs24", "pool_means24", "priors24"])
+def q_batch_outcomes_tiers(spark, d):
+    """The flagship at ``TIER_THRESHOLD``: requests fall on all three tiers."""
+    t = V.Tables(spark, d)
+    return rounded(OC.batch_outcomes(V.requests(t), _probs(t, TIER_THRESHOLD), V.bat_clusters(t), V.bowl_clusters(t)))
+
+
 @register("cluster_sizes", """
 SELECT Cluster, count(*) AS players FROM bat_clusters GROUP BY Cluster""", ["bat_clusters"])
 def q_cluster_sizes(spark, d):
@@ -476,12 +493,10 @@ def _pinned(train: DataFrame) -> DataFrame:
     """Fixed partition contents and row order for a training table.
 
     MLlib samples split candidates per partition, by row position; hashing
-    the over keys into a number of partitions fixed by the row count (about
-    ``FIT_ROWS_PER_PARTITION`` each) and sorting inside each gives the same
+    the over keys into ``FIT_PARTITIONS`` partitions and sorting inside each gives the same
     sample, hence the same trees, on every run.
     """
-    n = max(1, -(-train.count() // CL.FIT_ROWS_PER_PARTITION))
-    return train.repartition(n, *OV.PLAN_KEYS).sortWithinPartitions(*OV.PLAN_KEYS)
+    return train.repartition(CL.FIT_PARTITIONS, *OV.PLAN_KEYS).sortWithinPartitions(*OV.PLAN_KEYS)
 
 
 def _fitted(t: V.Tables):
@@ -673,7 +688,7 @@ def q_assemble_features(spark, d):
 
 @register("sample_rows")
 def q_sample_rows(spark, d):
-    return CL.sample_rows(V.ball_events(V.Tables(spark, d)), ELBOW_FRACTION, seed=KMEANS_SEED)
+    return CL.sample_rows(V.Tables(spark, d).customer, ELBOW_FRACTION, KMEANS_SEED, ["c_custkey"])
 
 
 @register("fit_clusters")

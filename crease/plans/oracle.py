@@ -8,7 +8,7 @@ places in the outermost select, in both engines.
 
 from __future__ import annotations
 
-from crease.fixed import PAIR_THRESHOLD, SURVIVAL_PRIOR_BOOST, WICKET_LIMIT
+from crease.fixed import BALLS_PER_OVER, OVERS, PAIR_THRESHOLD, SURVIVAL_PRIOR_BOOST, WICKET_LIMIT
 
 VIEWS: dict[str, str] = {}
 DEPS: dict[str, list[str]] = {}
@@ -162,17 +162,18 @@ SELECT DISTINCT r.batsman, r.bowler, b.Cluster AS bat_cluster, w.Cluster AS bowl
 FROM requests r JOIN bat_clusters b ON r.batsman = b.Player
 JOIN bowl_clusters w ON r.bowler = w.Player""", ["requests", "bat_clusters", "bowl_clusters"])
 
-view("pool_means24", """
+for _name, _src in (("pool_means", "probs"), ("pool_means24", "probs24")):
+    view(_name, f"""
 SELECT batsman, bowler, count(*) AS n, avg(c0) AS c0, avg(c1) AS c1, avg(c2) AS c2, avg(c3) AS c3,
        avg(c4) AS c4, avg(c6) AS c6, avg(survive) AS survive
 FROM (SELECT k.batsman, k.bowler, p.c0, p.c1, p.c2, p.c3, p.c4, p.c6, p.survive
       FROM known_pairs k JOIN bat_clusters b2 ON b2.Cluster = k.bat_cluster
-      JOIN probs24 p ON p.batsman = b2.Player AND p.bowler = k.bowler
+      JOIN {_src} p ON p.batsman = b2.Player AND p.bowler = k.bowler
       UNION ALL
       SELECT k.batsman, k.bowler, p.c0, p.c1, p.c2, p.c3, p.c4, p.c6, p.survive
       FROM known_pairs k JOIN bowl_clusters w2 ON w2.Cluster = k.bowl_cluster
-      JOIN probs24 p ON p.bowler = w2.Player AND p.batsman = k.batsman) u
-GROUP BY batsman, bowler""", ["known_pairs", "probs24"])
+      JOIN {_src} p ON p.bowler = w2.Player AND p.batsman = k.batsman) u
+GROUP BY batsman, bowler""", ["known_pairs", _src])
 
 
 def pick_sql(prefix: str, u: str = "u") -> str:
@@ -191,7 +192,7 @@ SELECT * FROM (
   FROM ball_log
   WINDOW w AS (PARTITION BY match_id, innings ORDER BY ball_no
                ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)) a
-WHERE w_before < {WICKET_LIMIT}""", ["ball_log"])
+WHERE w_before < {WICKET_LIMIT} AND ball_no <= {OVERS * BALLS_PER_OVER}""", ["ball_log"])
 
 view("cut_log", """
 SELECT c.match_id, c.innings, c.ball_no, c.batsman, c.runs, c.wicket, c.p_survive

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 
@@ -60,10 +61,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and written tables.
 
     On a cluster ``spark.checkpoint.dir`` names a shared file system path and is
-    used as is; only when it is unset (local tests) a scratch folder is made.
+    used as is; when it is unset, a ``local`` session makes a scratch folder and
+    any other session raises.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        master = spark.conf.get("spark.master", "")
+        if not (master == "local" or master.startswith("local[")):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
         path = tempfile.mkdtemp(prefix="crease-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
     try:
@@ -78,7 +83,29 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared checkpoint folder for a written table."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/crease-{name}-{uuid.uuid4().hex}"
+    path = f"{base}/crease-{name}-{uuid.uuid4().hex}"
+    if not _WRITTEN:
+        atexit.register(remove_written, spark)
+    _WRITTEN.append(path)
+    return path
+
+
+_WRITTEN: list[str] = []
+
+
+def remove_written(spark: SparkSession) -> None:
+    """Delete the folders that this process wrote (also done when Python exits).
+
+    Results that still read them must have been written or collected before.
+    """
+    try:
+        jvm = spark._jvm
+        conf = jvm.org.apache.hadoop.conf.Configuration()
+        while _WRITTEN:
+            path = jvm.org.apache.hadoop.fs.Path(_WRITTEN.pop())
+            path.getFileSystem(conf).delete(path, True)
+    except Exception:          # the JVM has gone first; the shared folder's own clean-up remains
+        _WRITTEN.clear()
 
 
 def materialize(df, name: str):

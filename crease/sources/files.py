@@ -10,17 +10,36 @@ from pyspark.sql import types as T
 
 # Reader options of every scan in the reference: a header line, "-" for a
 # missing value, and stop at the first malformed row.
+# Columns are matched to the header by name, and all of the schema's columns are
+# parsed even when few are selected, so a malformed cell in one stops the scan.
 CSV_OPTIONS = {"header": "true", "nullValue": "-", "mode": "FAILFAST"}
 
 
 def csv_scan(spark: SparkSession, path: str | list[str], schema: T.StructType | str,
-             **options: str) -> DataFrame:
+             names: dict[str, str] | None = None, **options: str) -> DataFrame:
     """CSV scan with an explicit schema (S1): no inference pass over the file.
 
     Any Hadoop path works (``hdfs://``, ``s3a://``, a local folder); a row that
-    does not fit the schema raises at read time.
+    does not fit the schema raises at read time.  Columns are found by the names in
+    the header, whatever their order there; ``names`` gives the header's name of a
+    schema column where they differ.  A column the header lacks raises.
     """
-    return spark.read.schema(schema).options(**{**CSV_OPTIONS, **options}).csv(path)
+    want = T._parse_datatype_string(schema) if isinstance(schema, str) else schema
+    names = names or {}
+    opts = {**CSV_OPTIONS, **options}
+    if opts["header"] != "true":
+        return spark.read.schema(want).options(**opts).csv(path)
+    # the header alone is read here (no inference); a name that is missing raises below
+    header = spark.read.options(**{**opts, "inferSchema": "false"}).csv(path).columns
+    types = {names.get(f.name, f.name): f for f in want.fields}
+    lost = [n for n in types if n not in header]
+    if lost:
+        raise ValueError(f"the header of {path} lacks the columns {lost}")
+    ordered = T.StructType([T.StructField(n, types[n].dataType if n in types else T.StringType()) for n in header])
+    rows = spark.read.schema(ordered).options(**opts).csv(path).select(
+        *[F.col(f"`{n}`").alias(f.name) for n, f in types.items()])
+    # true for every row; it reads all columns, so every cell is parsed even if few are selected
+    return rows.where(F.xxhash64(*[F.col(f"`{c}`") for c in rows.columns]) >= F.lit(-(1 << 63)))
 
 
 def csv_overwrite(df: DataFrame, path: str) -> None:

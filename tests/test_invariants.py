@@ -52,9 +52,25 @@ def test_fitted_clusters_cover_every_player_once(spark):
 
 
 def test_elbow_curve_shape(spark):
-    t = V.Tables(spark, SF001)
-    curve = {r.k: r.cost for r in CL.elbow_curve(C._bat_points(t), range(2, 6), 0.5).collect()}
-    assert sorted(curve) == [2, 3, 4, 5] and all(v >= 0 for v in curve.values())
+    pts = C._bat_points(V.Tables(spark, SF01))
+    curve = {r.k: r.cost for r in CL.elbow_curve(pts, range(2, 6), 0.5).collect()}
+    assert sorted(curve) == [2, 3, 4, 5] and all(v > 0 for v in curve.values())
+    assert len(set(curve.values())) == 4 and curve[5] < curve[2]
+    with pytest.raises(ValueError, match="fewer than k"):
+        CL.elbow_curve(pts, [5], 0.001)
+
+
+def test_fit_does_not_depend_on_the_shuffle_setting(spark):
+    pts = C._bat_points(V.Tables(spark, SF01))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    found = []
+    try:
+        for n in ("8", "31"):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            found.append([list(c) for c in CL.fit_clusters(pts, 4).clusterCenters()])
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert found[0] == found[1]
 
 
 def test_trees_predict_inside_label_range_and_scores_repeat(spark):
@@ -83,15 +99,40 @@ def test_empty_inputs(spark):
 
 
 def test_sample_independent_of_partitioning(spark):
-    b = V.ball_events(V.Tables(spark, SF001))
-    a = CL.sample_rows(b.repartition(3), 0.25, seed=1)
-    c = CL.sample_rows(b.repartition(7, "bowler").sortWithinPartitions("runs"), 0.25, seed=1)
+    b = V.Tables(spark, SF001).customer
+    key = ["c_custkey"]
+    a = CL.sample_rows(b.repartition(3), 0.25, 1, key)
+    c = CL.sample_rows(b.repartition(7, "c_nationkey").sortWithinPartitions("c_name"), 0.25, 1, key)
     assert a.count() > 0 and a.exceptAll(c).count() == 0 and c.exceptAll(a).count() == 0
-    assert CL.sample_rows(b, 0.25, seed=2).exceptAll(a).count() > 0
+    assert CL.sample_rows(b, 0.25, 2, key).exceptAll(a).count() > 0
 
 
-def test_centre_count_is_bounded(spark, monkeypatch):
-    t = V.Tables(spark, SF001)
-    monkeypatch.setattr(CL, "MAX_CENTRES", 5)
-    with pytest.raises(ValueError):
-        CL.assign_clusters(t.embeddings, C._centres(t), vec="embedding", keep=["vec_id"])
+def test_csv_columns_follow_the_header(spark, tmp_path):
+    from crease.sources import files as FS
+    (tmp_path / "a.csv").write_text("Runs,Player,Inns\n10,7,3\n")
+    r = FS.csv_scan(spark, str(tmp_path / "a.csv"), "Player string, Runs int, Inns int").first()
+    assert (r.Player, r.Runs, r.Inns) == ("7", 10, 3)
+    with pytest.raises(ValueError, match="lacks"):
+        FS.csv_scan(spark, str(tmp_path / "a.csv"), "Player string, HS int")
+
+
+def test_csv_malformed_cell_stops_a_narrow_read(spark, tmp_path):
+    from crease.sources import files as FS
+    (tmp_path / "b.csv").write_text("Player,Runs\nx,ten\n")
+    with pytest.raises(Exception, match="(?i)malformed"):
+        FS.csv_scan(spark, str(tmp_path / "b.csv"), "Player string, Runs int").select("Player").collect()
+
+
+def test_innings_ends_after_twenty_overs(spark):
+    from crease.operators import innings as IN
+    log = spark.range(1, 151).selectExpr("1 AS match_id", "1 AS innings", "id AS ball_no", "1 AS runs", "false AS wicket")
+    kept = IN.innings_cutoff(log)
+    assert kept.count() == 120 and kept.agg({"ball_no": "max"}).first()[0] == 120
+
+
+def test_null_feature_raises_and_is_listed(spark):
+    df = spark.createDataFrame([("a", 1.0), ("b", None)], "Player string, x double")
+    assert [r.Player for r in CL.invalid_rows(df, ["x"], ["Player"]).collect()] == ["b"]
+    with pytest.raises(Exception):
+        CL.assemble_features(df, ["x"]).collect()
+    assert CL.assemble_features(df, ["x"], handle_invalid="skip").count() == 1

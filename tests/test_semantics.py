@@ -258,10 +258,11 @@ def test_csv_quoted_cells_and_append(spark, tmp_path):
     src = tmp_path / "quoted.csv"
     src.write_text('"Player Name","Runs/Wickets","Economy"\n"A Ashish","22","9.2"\n"B, C","-","6.5"\n')
     schema = "player_name string, runs_per_wicket double, economy double"
-    rows = csv_scan(spark, str(src), schema).collect()
+    names = {"player_name": "Player Name", "runs_per_wicket": "Runs/Wickets", "economy": "Economy"}
+    rows = csv_scan(spark, str(src), schema, names).collect()
     assert [tuple(r) for r in rows] == [("A Ashish", 22.0, 9.2), ("B, C", None, 6.5)]
     out = str(tmp_path / "out")
-    df = csv_scan(spark, str(src), schema)
+    df = csv_scan(spark, str(src), schema, names)
     csv_append(df, out)
     csv_append(df, out)
     assert csv_scan(spark, out, schema).count() == 4     # each file keeps its own header line
