@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from crease.llm.text import keep_in_worker
 from crease.session import materialize
 
 SAMPLE_ROWS = 4000      # labelled rows of the fit
@@ -131,16 +132,6 @@ class Scorer(dict):
         return self.rows[at].sum(axis=0)
 
 
-_LAST: list = []
-
-
-def shared_scorer(model: dict) -> Scorer:
-    """The worker's scorer of this model; tasks that follow go on with it."""
-    if not _LAST or _LAST[0] != model["id"]:
-        _LAST[:] = [model["id"], Scorer(model)]
-    return _LAST[1]
-
-
 def predict(docs: DataFrame, model: dict, keep: list[str], text_col: str = "text") -> DataFrame:
     """``keep`` columns of every row, ``lang_pred`` and ``score`` (posterior chance).
 
@@ -150,11 +141,11 @@ def predict(docs: DataFrame, model: dict, keep: list[str], text_col: str = "text
     from pyspark.sql.types import StringType, StructType
 
     schema = StructType([docs.schema[c] for c in keep]).add("lang_pred", StringType()).add("score", "double")
-    langs = model["langs"]
+    langs, key = model["langs"], model["id"]
     shipped = docs.sparkSession.sparkContext.broadcast(model)       # bounded by the sample of the fit
 
     def run(batches):
-        scorer = shared_scorer(shipped.value) if langs else None
+        scorer = keep_in_worker(("language", key), lambda: Scorer(shipped.value)) if langs else None
         for b in batches:
             names, scores = [], []
             for text in b.column(len(keep)).to_pylist():

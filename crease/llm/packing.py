@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from crease.llm.text import hash_words, pieces, text_buffer, word_bounds
+from crease.llm.text import hash_words, keep_in_worker, pieces, text_buffer, word_bounds
 from crease.session import scratch_path
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -32,7 +32,7 @@ SHARD_DOCS = 2048           # documents of one inverted index
 SHARD_IDS = 1 << 22         # ids after which a shard ends
 QUERY_TERMS = 32            # a seed's rarest token ids that ask for neighbours
 K1, B = 1.2, 0.75
-CACHE = 1_500_000           # words whose ids a worker remembers
+CACHE = 1_000_000           # words whose ids a worker remembers
 
 # the tokenizer's word pattern for words of printable Latin-1 characters, where case
 # folding and normal form are character by character
@@ -121,22 +121,12 @@ class Encoder:
         return [ids[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
 
 
-_LAST: list[Encoder] = []
-
-
-def shared_encoder(path: str) -> Encoder:
-    """The worker's encoder; tasks that follow go on with the words it knows."""
-    if not _LAST or _LAST[0].path != path:
-        _LAST[:] = [Encoder(path)]
-    return _LAST[0]
-
-
 def tokenize(docs: DataFrame, tokenizer: str = TOKENIZER, id_col: str = "doc_id", text_col: str = "text") -> str:
     """Write ``kind=0`` rows (doc_id, ids as little-endian 16-bit numbers, the end id
     last) and ``kind=1`` rows (ids: how many of a task's documents hold each id) and
     return the folder, which lies in the shared checkpoint folder."""
     def run(batches):
-        encoder = shared_encoder(tokenizer)
+        encoder = keep_in_worker(("packing", tokenizer), lambda: Encoder(tokenizer))
         df, docs_seen, ids_seen = np.zeros(1 << 16, np.int64), 0, 0
         for b in batches:
             for part in pieces(b, 8 << 20):

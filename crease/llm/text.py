@@ -20,6 +20,18 @@ _U = np.uint64
 _BASE = 0x9E3779B97F4A7C15 | 1
 
 
+_KEPT: list = []
+
+
+def keep_in_worker(key, make):
+    """``make()``, kept in this Python worker for the tasks that follow with the same
+    key.  A worker keeps one such object: another operator's replaces it."""
+    if not _KEPT or _KEPT[0] != key:
+        _KEPT.clear()
+        _KEPT[:] = [key, make()]
+    return _KEPT[1]
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """64-bit finaliser (the public splitmix64 step) on an unsigned array."""
     x = x.astype(np.uint64, copy=True)

@@ -20,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from crease.llm.text import keep_in_worker
 from crease.session import materialize
 
 #: Sets of identity terms; a term may stand for any other of its set.
@@ -61,16 +62,6 @@ class Vocabulary(dict):
         return out
 
 
-_LAST: list[Vocabulary] = []
-
-
-def shared_vocabulary(wanted: frozenset) -> Vocabulary:
-    """The worker's vocabulary of these features; tasks that follow go on with it."""
-    if not _LAST or _LAST[0].wanted != wanted:
-        _LAST[:] = [Vocabulary(wanted)]
-    return _LAST[0]
-
-
 def text_features(text: str | None, vocabulary: Vocabulary) -> set[int]:
     return set().union(*map(vocabulary.__getitem__, set((text or "").lower().split())))
 
@@ -177,10 +168,11 @@ def score(docs: DataFrame, model: dict, keep: list[str], name: str = "score", te
 
     schema = StructType([docs.schema[c] for c in keep]).add(name, DoubleType())
     weights, bias = model["weights"], model["bias"]
+    wanted = frozenset(weights)
     columns = [F.col(c) for c in keep] + [F.col(text_col).alias("__text")]
 
     def run(batches):
-        vocabulary = shared_vocabulary(frozenset(weights))
+        vocabulary = keep_in_worker(("toxicity", wanted), lambda: Vocabulary(wanted))
         for b in batches:
             out = []
             for text in b.column(len(keep)).to_pylist():
