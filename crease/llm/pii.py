@@ -293,10 +293,11 @@ def examples(texts: list[str], seed: int = 3) -> tuple[np.ndarray, np.ndarray]:
 
 def fit(docs: DataFrame, sample_rows: int = SAMPLE_ROWS, id_col: str = "doc_id", text_col: str = "text") -> Tagger:
     """A tagger trained on at most ``sample_rows`` texts of 20,000 bytes or less that
-    hold a pattern (those whose ids hash lowest).  Without any, it adds nothing."""
+    hold a pattern (those whose ids hash lowest; of rows that share one, the least text).  Without any, it adds nothing."""
     some = F.col(text_col).rlike(r"[0-9]{3}|@[A-Za-z0-9-]+\.") & (F.octet_length(text_col) <= 20_000)
-    rows = docs.where(some).select(F.col(id_col).alias("i"), F.col(text_col).alias("t")).orderBy(
-        F.xxhash64("i"), "i", "t").limit(sample_rows).select("t").collect()
+    held = docs.where(some & F.col(id_col).isNotNull()).select(F.col(id_col).alias("i"), F.col(text_col).alias("t"))
+    chosen = held.select("i").distinct().orderBy(F.xxhash64("i"), "i").limit(sample_rows)       # at most sample_rows ids
+    rows = held.join(F.broadcast(chosen), "i").groupBy("i").agg(F.min("t").alias("t")).orderBy("i").collect()
     x, y = examples([r["t"] for r in rows])
     tagger = Tagger()
     if (y > 0).any():

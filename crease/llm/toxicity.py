@@ -91,7 +91,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, pena
 
     At most ``sample_rows`` labelled rows are used; the model has at most
     ``MAX_FEATURES`` weights, so it stays small whatever the corpus.  Without
-    labelled rows of both kinds the score is a constant.
+    labelled rows of both kinds the score is a constant: high if all are toxic, else low.
     """
     sample = materialize(_sample(docs, labels, sample_rows), "toxic-sample")
 
@@ -107,7 +107,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, pena
     total = sample.agg(F.count("*").alias("n"), F.coalesce(F.sum("toxic"), F.lit(0)).alias("t")).first()
     n, t = total["n"], int(total["t"])
     if t == 0 or t == n:
-        return {"bias": 0.0 if n == 0 else math.copysign(4.0, t - 0.5), "weights": {}}
+        return {"bias": 4.0 if t else -4.0, "weights": {}}
     p = t / n
     chosen = (sample.mapInArrow(count, "f long, t long, n long").groupBy("f").agg(F.sum("t").alias("t"), F.sum("n").alias("n"))
               .where(F.col("n") >= MIN_DOCS)

@@ -1,0 +1,376 @@
+"""The training-data operators against brute force, round trips and held-out rows,
+and on nulls, empty and long texts, ties, repeated rows, empty tables and extra columns."""
+
+import collections
+import hashlib
+import re
+import zlib
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from conftest import SF001
+from pyspark.sql import functions as F
+
+from crease.llm import chat, decontam, langid, licenses, minhash, packing, pii, queries, sharding, toxicity, vectors
+
+DOCS = "doc_id long, text string, lang string, source string, n_chars long"
+ODD = [(1, None, None, None, None), (2, "", "en", "s", 0), (3, "  \n\t ", "en", "s", 5), (4, "one", "en", "s", 3),
+       (5, "same text here twice over", "en", "s", 25), (5, "same text here twice over", "en", "s", 25),
+       (None, "no id at all", "en", "s", 12), (6, "long " * 60_000, "en", "s", 300_000), (7, "Ünïcödé ß 日本 <|endoftext|>", "de", "s", 9)]
+
+
+@pytest.fixture(scope="module")
+def odd(spark):
+    # extra columns whose names the operators use themselves
+    return spark.createDataFrame(ODD, DOCS).withColumn("score", F.lit("x")).withColumn("shard", F.lit(1)).withColumn("kind", F.lit(2))
+
+
+@pytest.fixture(scope="module")
+def none(spark):
+    return spark.createDataFrame([], DOCS)
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return spark.read.parquet(f"{SF001}/documents.parquet")
+
+
+# ---- sharding
+
+def test_shards_move_only_into_the_new_one(spark, docs):
+    rows = queries.op1_sharding(spark, SF001).collect()
+    text = {r.doc_id: r.text or "" for r in docs.collect()}
+    by = collections.defaultdict(list)
+    for r in rows:
+        raw = text[r.doc_id].encode()
+        assert r.size == len(raw) + 16 and r.text_crc32 == zlib.crc32(raw) and r.law == "key"
+        assert r.grown_shard in (r.shard, queries.SHARDS) and 0 <= r.shard < queries.SHARDS
+        by[r.shard].append(r.slot)
+    assert len(rows) == len(text) and all(sorted(v) == list(range(len(v))) for v in by.values())
+
+
+def test_shards_of_odd_rows(odd, none):
+    rows = sharding.assign_shards(odd, 3).collect()
+    assert len(rows) == len(ODD) and sharding.assign_shards(none, 3).count() == 0
+    assert {(r.size, r.text_crc32) for r in rows if r.doc_id == 1} == {(16, 0)}
+    assert len({r.shard for r in rows if r.doc_id == 5}) == 1 and len({(r.shard, r.slot) for r in rows}) == len(ODD)
+
+
+# ---- chat
+
+def test_chat_digests_equal_the_table(spark):
+    rows = {r.conv_id: r for r in queries.op2_chat_format(spark, SF001).collect()}
+    said = "</s>[INST] ok [/INST]"
+    turns = collections.defaultdict(list, {-1: [("user", said), ("assistant", said)]})
+    for r in spark.read.parquet(f"{SF001}/conversations.parquet").orderBy("conv_id", "turn").collect():
+        turns[r.conv_id].append((r.role, r.text or ""))
+    assert set(rows) == set(turns)
+    for c, t in turns.items():
+        loss = "".join(x for r, x in t if r == "assistant")
+        assert rows[c].n_turns == len(t) and rows[c].loss_chars == len(loss)
+        assert rows[c].turns_sha256 == hashlib.sha256("".join(f"{r}\n{x}\n" for r, x in t).encode()).hexdigest()
+        assert rows[c].loss_sha256 == hashlib.sha256(loss.encode()).hexdigest()
+
+
+def test_escape_is_reversible_and_hides_control_strings():
+    import random
+    r = random.Random(5)
+    bits = [*chat.CONTROL, "\\", "<", "|", ">", "[", "/", "a", "\n", "<|<|end|>", "é"]
+    for _ in range(3000):
+        t = "".join(r.choice(bits) for _ in range(r.randrange(12)))
+        e = chat.escape(t)
+        assert chat.unescape(e) == t and not any(c in e for c in chat.CONTROL)
+        assert chat.read_back(f"{chat.TURN}{e}{chat.BODY}{e}{chat.END}") == [(t, t)]
+
+
+def test_parts_become_placeholders(spark):
+    rows = [(1, 0, "user", [("text", "see ", None, None, None, None, None), ("image", None, "i.png", 56, 28, None, None),
+                            ("audio", None, "a.wav", None, None, 2.0, None), ("document", None, "d.pdf", None, None, None, 3)]),
+            (1, 1, "assistant", None), (2, None, None, [])]
+    df = spark.createDataFrame(rows, f"conv_id long, turn long, role string, parts array<{chat.PART}>")
+    got = {(r.conv_id, r.turn): r for r in chat.format_turns(df).collect()}
+    r = got[1, 0]
+    assert r.segment.endswith("see <|image|><|audio|><|document|><|end|>")
+    assert [(a.type, a.uri, a.tokens) for a in r.attachments] == [("image", "i.png", 2), ("audio", "a.wav", 50), ("document", "d.pdf", 3072)]
+    assert r.expanded_tokens == 3124 and got[1, 1].loss_start == got[1, 1].loss_end
+    assert chat.digests(chat.format_turns(df)).count() == 2 and chat.digests(chat.format_turns(df.limit(0))).count() == 0
+    bad = spark.createDataFrame([(1, 0, "user", [("video", None, None, None, None, None, None)])], df.schema)
+    with pytest.raises(Exception, match="unknown content part"):
+        chat.format_turns(bad).collect()
+
+
+# ---- personal data
+
+PATTERNS = [re.compile(p) for p in (r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+                                    r"[0-9]([\x20-]?[0-9])+", r"\+[0-9][\x20().0-9-]+[0-9]")]
+
+
+def plain_spans(text):
+    out = []
+    for k, p in enumerate(PATTERNS):
+        for m in p.finditer(text):
+            d = re.sub("[^0-9]", "", m[0])
+            if (k == 0 or k == 1 and all(int(x) <= 255 for x in m[0].split("."))
+                    or k == 2 and 14 <= len(d) <= 19 and pii.luhn(d) or k == 3 and 10 <= len(d) <= 15):
+                out.append((m.start(), k, m.end()))
+    return sorted(out)
+
+
+def test_base_spans_equal_the_plain_patterns():
+    import random
+    r = random.Random(1)
+    for _ in range(20_000):
+        t = "".join(r.choice("a.@-+1 2(0)é") for _ in range(r.randrange(50)))
+        assert pii.base_spans(t) == plain_spans(t), t
+
+
+def test_personal_data_query(spark, docs):
+    text = {r.doc_id: r.text or "" for r in docs.collect()}
+    for r in queries.op3_personal_data(spark, SF001).collect():
+        base = plain_spans(text[r.doc_id])
+        assert [r.n_email, r.n_ip, r.n_card, r.n_phone] == [sum(k == i for _, k, _ in base) for i in range(4)]
+        assert r.base_sha256 == hashlib.sha256(pii.joined(base).encode()).hexdigest()
+        assert set(filter(None, pii.joined(base).split(","))) <= set(r.spans.split(","))
+
+
+def test_tagger_learns_other_spellings(docs):
+    texts = [f"erin thon +1 (38{i % 10}) 555-37{i % 90 + 10} the blehe and ann.{i}@mail{i % 7}.example.com of ing" for i in range(150)]
+    tagger = pii.Tagger()
+    tagger.train(*pii.examples(texts), epochs=12)
+    (base, spans), = pii.Finder(tagger).spans(["erin thon 386-555-3733 the blehe and then of ing that was only there"])
+    assert base == [] and [k for _, k, _ in spans] == [3]
+
+
+def test_reconcile_takes_the_best_set():
+    assert pii.reconcile([(0, 10, 0, 0.9), (8, 12, 1, 1.0), (10, 20, 2, 0.5)]) == [(0, 0, 10), (10, 2, 20)]
+    assert pii.reconcile([]) == []
+
+
+def test_redaction_of_odd_rows(odd, none):
+    tagger = pii.fit(none)
+    out = pii.redact(odd.withColumn("text", F.when(F.col("doc_id") == 4, "mail a@b.cd now").otherwise(F.col("text"))), tagger)
+    assert out.columns == odd.columns and out.count() == len(ODD)
+    r = out.where("doc_id = 4").first()
+    assert r.text == "mail [EMAIL] now" and r.n_chars == len(r.text)
+    assert pii.find_personal(none, tagger).count() == 0 and pii.find_personal(odd, tagger).count() == len(ODD)
+
+
+# ---- licences
+
+def test_licences(spark, odd, none):
+    rows = [(1, "text\nLicensed under the Apache License, Version 2.0.\nmore"), (2, "Released under the MIT License"),
+            (3, "This work is licensed under the GNU General Public License, version 3."), (4, "no wording"),
+            (5, "Licensed under CC BY-NC 4.0."), (6, "we must conserve the licence of poets")]
+    got = {r.doc_id: (r.license, r.exact) for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: ("Apache-2.0", True), 2: ("MIT", True), 3: ("GPL-3.0", True), 5: ("CC-BY-NC-4.0", True)}
+    mit = licenses.TEMPLATES[3][1].replace("any person ", "any people ")
+    v = licenses.Scanner().judge(mit)
+    assert v[0] == "MIT" and v[4:] == (1, 1)
+    assert licenses.scan(odd).count() == 0 and licenses.scan(none).count() == 0
+
+
+# ---- near duplicates
+
+def test_sketch_estimates_similarity():
+    r = np.random.default_rng(0)
+    a = np.unique(r.integers(0, 2**63, 800).astype(np.uint64))
+    b = np.sort(np.concatenate([a[:640], np.unique(r.integers(0, 2**63, 160).astype(np.uint64))]))
+    s = minhash.sketch([a, b, a[:1]])
+    assert (s != np.uint64((1 << 64) - 1)).all()
+    assert abs((s[0] == s[1]).mean() - 640 / 960) < 0.2
+
+
+@pytest.mark.parametrize("width,percent", [(3, 85), (5, 80)])
+def test_near_duplicates_equal_brute_force(spark, docs, width, percent):
+    def shingles(t):
+        w = re.findall("[^\x20\x09-\x0d]+", (t or "").translate({k: k + 32 for k in range(65, 91)}))
+        return frozenset(tuple(w[i:i + width]) for i in range(len(w) - width + 1)) if len(w) >= width else frozenset([tuple(w)] if w else [])
+
+    sets = {r.doc_id: shingles(r.text) for r in docs.collect()}
+    root = {k: k for k in sets}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    ids = sorted(sets)
+    for i, a in enumerate(ids):
+        for b in ids[i + 1:]:
+            n = len(sets[a] & sets[b])
+            if sets[a] and 100 * n >= percent * (len(sets[a]) + len(sets[b]) - n):
+                x, y = find(a), find(b)
+                root[max(x, y)] = min(x, y)
+    got = {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in minhash.near_duplicates(docs, width, percent).collect()}
+    assert got == {d: (len(s), find(d), find(d) == d) for d, s in sets.items()}
+
+
+def test_near_duplicates_of_odd_rows(odd, none):
+    rows = minhash.near_duplicates(odd).collect()
+    assert len(rows) == len(ODD) and minhash.near_duplicates(none).count() == 0
+    assert all(r.component_id == r.doc_id for r in rows)
+    assert [r.n_shingles for r in rows if r.doc_id in (1, 2, 3)] == [0, 0, 0]
+
+
+# ---- vectors
+
+def test_vectors_equal_brute_force(spark):
+    v = spark.read.parquet(f"{SF001}/embeddings.parquet").toPandas().sort_values("vec_id")
+    x = np.stack(v.embedding).astype(float)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    link = x @ x.T >= 0.9
+    np.fill_diagonal(link, False)
+    rows = queries.op6_near_vectors(spark, SF001).orderBy("vec_id").collect()
+    assert [r.n_links for r in rows] == link.sum(axis=1).tolist()
+    label = np.arange(len(x))
+    for _ in range(len(x)):
+        new = np.minimum(label, np.where(link, label[None, :], len(x)).min(axis=1))
+        if (new == label).all():
+            break
+        label = new
+    assert [r.component_id for r in rows] == v.vec_id.to_numpy()[label].tolist()
+
+
+def test_odd_vectors(spark):
+    rows = [(1, [1.0, 0.0]), (2, [2.0, 0.0]), (2, [2.0, 0.0]), (3, [0.0, 0.0]), (4, None), (5, [float("nan"), 1.0]), (6, [None, 1.0]),
+            (7, [1.0]), (8, []), (None, [1.0, 0.0]), (9, [1e-30, 0.0]), (10, [float("inf"), 0.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").withColumn("list", F.lit(1))
+    got = sorted(((r.vec_id, r.n_links, r.component_id) for r in vectors.near_vectors(df).collect()), key=str)
+    linked = {1: 2, 2: 2, 9: 2}
+    assert got == sorted([(i, linked.get(i, 0), 1 if i in linked else i) for i in range(1, 11)] + [(None, 0, None)], key=str)
+    assert vectors.near_vectors(df.limit(0)).count() == 0
+
+
+# ---- toxicity and language
+
+def test_toxicity_and_counterfactuals(spark, odd, none):
+    good = [f"the {g} people walked to the market on day {i}" for i in range(60) for g in ("plain", "quiet")]
+    bad = [f"the muslim idiot people shouted on day {i}" for i in range(60)]
+    rows = [(i, t) for i, t in enumerate(good + bad)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i >= len(good))) for i, _ in rows], "doc_id long, toxic int")
+    shift = {}
+    for penalty in (0.0, 20.0):
+        m = toxicity.fit(docs, labels, penalty=penalty)
+        two = spark.createDataFrame([(0, "the muslim people walked"), (1, "the hindu people walked"), (2, "an idiot shouted")], docs.schema)
+        s = {r.doc_id: r.score for r in toxicity.score(two, m, ["doc_id"]).collect()}
+        shift[penalty] = abs(np.log(s[0] / (1 - s[0])) - np.log(s[1] / (1 - s[1])))
+        assert s[2] > 0.5
+    assert shift[20.0] < 0.5 * shift[0.0] and s[0] < 0.5
+    assert toxicity.drop_toxic(odd, m).columns == odd.columns and toxicity.score(none, m, ["doc_id"]).count() == 0
+    assert toxicity.fit(none, labels.limit(0))["weights"] == {}
+    assert len(toxicity.counterfactuals("A Muslim man")) == 6
+
+
+def test_language(spark, docs, odd, none):
+    model = langid.fit(docs.where(queries.fold(4) != 2))
+    held = langid.predict(docs.where(queries.fold(4) == 2), model, ["doc_id", "lang"]).collect()
+    assert np.mean([r.lang == r.lang_pred for r in held]) > 0.9
+    got = langid.predict(odd.where("doc_id < 5"), model, ["doc_id"]).collect()
+    assert {r.doc_id: r.lang_pred for r in got if r.doc_id < 4} == {1: "und", 2: "und", 3: "und"}
+    empty = langid.fit(none)
+    assert {r.lang_pred for r in langid.predict(odd, empty, ["doc_id"]).collect()} == {"und"}
+
+
+# ---- decontamination
+
+def test_myers_equals_dynamic_programming():
+    import random
+    r = random.Random(2)
+    for _ in range(500):
+        p, t = ("".join(r.choice("abc") for _ in range(r.randrange(1, n))) for n in (12, 30))
+        row = [0] * (len(t) + 1)
+        for i, c in enumerate(p, 1):
+            new = [i]
+            for j, d in enumerate(t, 1):
+                new.append(min(row[j] + 1, new[j - 1] + 1, row[j - 1] + (c != d)))
+            row = new
+        best = min(row[1:], default=len(p))
+        got = decontam.myers(decontam.positions(p), len(p), t, len(p) - 1)
+        assert (got[0] if got else len(p)) == min(best, len(p))
+
+
+def test_leaks_with_edits_are_found(spark, odd, none):
+    item = "The quick brown foxes were jumping over every lazy dog in town, while seven cats watched them all day."
+    near = item.replace("brown", "brwn").replace("seven", "sevens").upper().replace(",", " -- ")
+    bench = spark.createDataFrame([(1, item), (2, None), (None, "x"), (3, "tiny one"), (4, "")], "item_id long, text string")
+    rows = [(1, f"Before. {near} After."), (2, item[:50]), (3, "a tiny one here"), (4, "tiny ones"), (5, None)]
+    got = sorted((r.doc_id, r.item_id, r.distance) for r in decontam.find_leaks(spark.createDataFrame(rows, "doc_id long, text string"), bench).collect())
+    assert got == [(1, 1, 2), (3, 3, 0)]
+    assert decontam.drop_leaks(odd, bench).columns == odd.columns and decontam.drop_leaks(odd, bench).count() == len(ODD)
+    assert decontam.find_leaks(none, bench).count() == 0 and decontam.find_leaks(odd, bench.limit(0)).count() == 0
+
+
+def test_every_match_within_the_budget_is_found():
+    import random
+    r = random.Random(4)
+    item = "".join(r.choice("abcdef") for _ in range(120))
+    m = decontam.Matcher([(1, item)])
+    norm, k = m.items[0][1], m.items[0][2]
+    for _ in range(300):
+        t = list(norm)
+        for _ in range(r.randrange(k + 1)):
+            i = r.randrange(len(t))
+            t[i:i + 1] = r.choice([[], ["x"], [t[i], "y"]])
+        assert m.find("zz " + "".join(t) + " zz"), "".join(t)
+
+
+# ---- packing
+
+def test_encoder_equals_the_tokenizer():
+    import random
+    r, e = random.Random(0), packing.Encoder(packing.TOKENIZER)
+    texts = ["", None, "it's don't ''s !'s", "a\x1cb\x85c\xa0d ÀÉß µª²¼", "日本語 Ω İSS σς", "<|endoftext|> x", "\x00a\x7fb", "!" * 400]
+    texts += ["".join(r.choice("aB'slrevtdm 1²é!.ß\n-") for _ in range(60)) for _ in range(500)]
+    for t, ids in zip(texts, e.encode(pa.array(texts)), strict=True):
+        assert ids.tolist() == (e.tokenizer.encode(t, add_special_tokens=False).ids if t else []), t
+
+
+def test_every_id_is_packed_once(spark, docs, odd, none):
+    e = packing.Encoder(packing.TOKENIZER)
+    for df in (docs, odd):
+        texts = df.select("doc_id", "text").collect()
+        rows = packing.pack(df).collect()
+        want = sorted((r.doc_id or -1, *ids.tolist(), 1) for r, ids in zip(texts, e.encode(pa.array([r.text for r in texts])), strict=True))
+        if df is docs:
+            got = collections.defaultdict(list)
+            for r in sorted(rows, key=lambda r: r.start):
+                assert r.start == len(got[r.doc_id]) and zlib.crc32(r.ids) == r.ids_crc32
+                got[r.doc_id] += np.frombuffer(r.ids, "<u4").tolist()
+            assert sorted((d or -1, *x) for d, x in got.items()) == want
+        assert sum(r.length for r in rows) == sum(len(w) - 1 for w in want)
+        used = collections.defaultdict(list)
+        for r in rows:
+            used[r.sequence_id].append((r.offset, r.length))
+        for pieces in used.values():
+            at = 0
+            for offset, length in sorted(pieces):
+                assert offset == at
+                at += length
+            assert at <= packing.WINDOW
+    assert packing.pack(none).count() == 0
+
+
+# ---- pipeline
+
+def test_pipeline_stages(spark, docs):
+    import corpus_pipeline as cp
+    assert [n for n, _ in cp.STAGES] == ["toxicity", "near_duplicates", "decontamination", "personal_data", "packing"]
+    first = docs
+    for _, stage in cp.STAGES[:-1]:
+        got = stage(spark, first, SF001)
+        assert got.columns == docs.columns and got.count() <= first.count()
+    tox = {r.doc_id for r in spark.read.parquet(f"{SF001}/labels.parquet").where("toxic = 1").collect()}
+    left = {r.doc_id for r in cp.drop_toxic(spark, docs, SF001).select("doc_id").collect()}
+    assert len(left & tox) <= 0.5 * len(tox) and len(left) > 0.7 * docs.count()
+
+
+def test_pipeline_on_odd_rows(spark, tmp_path, none):
+    import corpus_pipeline as cp
+    spark.createDataFrame(ODD, DOCS).write.parquet(str(tmp_path / "documents.parquet"))
+    for t in ("labels", "benchmark"):
+        spark.read.parquet(f"{SF001}/{t}.parquet").limit(0).write.parquet(str(tmp_path / f"{t}.parquet"))
+    rows = cp.run(spark, str(tmp_path)).collect()
+    ids = sorted(r.doc_id for r in rows if r.start == 0 and r.doc_id is not None)
+    assert ids == [1, 2, 3, 4, 5, 6, 7] and sum(r.doc_id is None and r.start == 0 for r in rows) == 1
