@@ -92,7 +92,7 @@ def innings_cutoff(log: DataFrame, match: str = "match_id", innings: str = "inni
 
 def strike_reconstruct(log: DataFrame, lineups: DataFrame, match: str = "match_id",
                        innings: str = "innings", order: str = "ball_no", runs: str = "runs",
-                       wicket: str = "wicket", cut: bool = False) -> DataFrame:
+                       wicket: str = "wicket", cut: bool = False, last: int = OVERS * BALLS_PER_OVER) -> DataFrame:
     """Striker and non-striker of every ball (W4), from runs, wickets and the batting order.
 
     Two crease slots start with batters 1 and 2 of the order, slot A on strike.
@@ -125,7 +125,7 @@ def strike_reconstruct(log: DataFrame, lineups: DataFrame, match: str = "match_i
         x, specs = x.withColumns(cols), specs + cut_specs
     x = running_aggregates(x, keys, [order], ball_chunk(order), specs)
     if cut:
-        x = _apply_cut(x, match, innings, 1, WICKET_LIMIT, order, OVERS * BALLS_PER_OVER)
+        x = _apply_cut(x, match, innings, 1, WICKET_LIMIT, order, last)
     x = x.withColumn("_slot", F.pmod(F.col("_odd_before") + over_of(order), F.lit(2)))
     # at most WICKET_LIMIT entries per innings: a bounded array, built by a partial aggregate
     falls = (x.filter(is_w & (F.col("_w_upto") <= WICKET_LIMIT)).groupBy(*keys)

@@ -26,7 +26,7 @@ def test_hot_innings_spread_over_chunks(spark):
     log = spark.createDataFrame(rows, "match_id long, innings int, ball_no long, runs int, wicket boolean")
     lu = spark.createDataFrame([(m, 1, order) for m in range(21)],
                                "match_id long, innings int, batting array<string>")
-    out = IN.strike_reconstruct(log, lu, cut=True)
+    out = IN.strike_reconstruct(log, lu, cut=True, last=60_000)
     plan = out._jdf.queryExecution().executedPlan().toString()
     # the ordered passes shuffle the log by (match, innings, chunk): a hot match is split
     passes = [ln for ln in plan.splitlines() if "REPARTITION_BY_COL" in ln]
