@@ -17,7 +17,10 @@ compared node by node upwards and given up at the first that fails.
 
 from __future__ import annotations
 
+import math
 import re
+from collections.abc import Iterator
+from functools import reduce
 
 import ahocorasick
 import pyarrow as pa
@@ -25,7 +28,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructType
 
+from crease.session import materialize
+
 RATE = 0.08           # edits allowed per character of an item
+ITEM_BYTES = 1 << 19  # bytes of test items that a task matches at once (its automaton takes some hundred times that)
 MIN_CHARS = 30        # items shorter than this after normalising are met exactly, as whole words
 _WORDS = re.compile(r"[^\W_]+")
 _ASCII = re.compile(r"[a-z0-9]+")
@@ -146,23 +152,36 @@ class Matcher:
         return (start == 0 or norm[start - 1] == " ") and (end == len(norm) or norm[end] == " ")
 
 
-def _items(benchmark: DataFrame) -> list[tuple[int, str]]:
-    """The test items; the benchmark is the small, fixed side of this operator."""
-    rows = benchmark.where("item_id is not null and text is not null").select("item_id", "text").distinct().collect()
-    return sorted((r["item_id"], r["text"]) for r in rows)
+def _blocks(benchmark: DataFrame, item_bytes: int) -> tuple[int, Iterator[list[tuple[int, str]]]]:
+    """How many blocks of about ``item_bytes`` the test items make, and the blocks in
+    turn.  So driver and tasks hold one block at a time, however large the benchmark."""
+    items = benchmark.where("item_id is not null and text is not null").select("item_id", "text").distinct()
+    total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    n = max(1, math.ceil(total / item_bytes))
+    return n, (sorted((r["item_id"], r["text"]) for r in items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k).collect())
+               for k in range(n))
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, rate: float = RATE, id_col: str = "doc_id",
-               text_col: str = "text") -> DataFrame:
+               text_col: str = "text", item_bytes: int = ITEM_BYTES) -> DataFrame:
     """One row per document and item met: ``doc_id, item_id, distance, start, end``.
 
     Positions count characters of the normalised text, end exclusive.  Null or
     empty texts and items meet nothing; an item_id with several texts is met by
     any of them (a row for each text met); repeated rows are matched each for
-    itself.  No items or no documents: no rows.
+    itself.  No items or no documents: no rows.  The items pass in blocks, each over
+    all documents; the results of several blocks are written one after the other.
     """
-    items = _items(benchmark)
+    blocks, items = _blocks(benchmark, item_bytes)
+    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    found = []
+    for block in items:
+        got = texts.mapInArrow(_finder(block, rate), "doc_id long, item_id long, distance long, start long, end long")
+        found.append(materialize(got, "leaks") if blocks > 1 else got)
+    return reduce(DataFrame.union, found)
+
 
+def _finder(items: list[tuple[int, str]], rate: float):
     def run(batches):
         matcher = Matcher(items, rate)
         for b in batches:
@@ -172,16 +191,24 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, rate: float = RATE, id_col
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns],
                                              names=["doc_id", "item_id", "distance", "start", "end"])
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(
-        run, "doc_id long, item_id long, distance long, start long, end long")
+    return run
 
 
-def drop_leaks(docs: DataFrame, benchmark: DataFrame, rate: float = RATE, text_col: str = "text") -> DataFrame:
-    """The rows that meet no item, with the columns they had."""
-    items = _items(benchmark)
+def drop_leaks(docs: DataFrame, benchmark: DataFrame, rate: float = RATE, text_col: str = "text",
+               item_bytes: int = ITEM_BYTES) -> DataFrame:
+    """The rows that meet no item, with the columns they had.  The items pass in blocks;
+    what a block leaves is written before the next."""
     name = "__leaks"
     schema = StructType(list(docs.schema)).add(name, LongType())
+    blocks, items = _blocks(benchmark, item_bytes)
+    for k, block in enumerate(items):
+        docs = docs.mapInArrow(_counter(block, rate, text_col, name), schema).where(F.col(name) == 0).drop(name)
+        if k < blocks - 1:
+            docs = materialize(docs, "leaks-left")
+    return docs
+
 
+def _counter(items: list[tuple[int, str]], rate: float, text_col: str, name: str):
     def run(batches):
         matcher = Matcher(items, rate)
         for b in batches:
@@ -189,4 +216,4 @@ def drop_leaks(docs: DataFrame, benchmark: DataFrame, rate: float = RATE, text_c
             hits = pa.array([len(matcher.find(t)) for t in b.column(at).to_pylist()], pa.int64())
             yield b.append_column(name, hits)
 
-    return docs.mapInArrow(run, schema).where(F.col(name) == 0).drop(name)
+    return run

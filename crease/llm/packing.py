@@ -10,6 +10,7 @@ the next seed.  Only the last window of a shard holds padding.
 
 from __future__ import annotations
 
+import hashlib
 import re
 import zlib
 from array import array
@@ -59,7 +60,8 @@ class Encoder:
     a word (a run without white space) depend on the word alone.  Words are looked
     up by 64-bit hash, once per batch and distinct word; unseen ones are split by
     the tokenizer's pattern and go to its model, or, beyond printable Latin-1 or
-    with a special token's brackets, to the whole tokenizer.
+    with a special token's brackets, to the whole tokenizer.  Words with such brackets
+    are told apart by case, as the tokenizer does for special tokens alone.
     """
 
     def __init__(self, path: str):
@@ -89,6 +91,17 @@ class Encoder:
             ids = self.part[w] = array("H", [t.id for t in self.model.tokenize(spelt)]).tobytes()
         return ids
 
+    @staticmethod
+    def _keys(raw: np.ndarray, offsets: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Hash of every word, blind to case but in words that hold ``<|``."""
+        keys = hash_words(raw, starts, ends)
+        text = raw[int(offsets[0]):int(offsets[-1])]
+        brackets = np.flatnonzero((text[:-1] == 60) & (text[1:] == 124)) + int(offsets[0])
+        for w in np.unique(np.searchsorted(starts, brackets, side="right") - 1).tolist():
+            spelt = raw[starts[w]:ends[w]].tobytes()
+            keys[w] = int.from_bytes(hashlib.blake2b(spelt, digest_size=8).digest(), "little")
+        return keys
+
     def _learn(self, keys: list[int], words: list[str]) -> None:
         lists = list(map(self.word, words))
         size = np.fromiter(map(len, lists), dtype=np.int64, count=len(lists)) // 2
@@ -102,7 +115,7 @@ class Encoder:
         """Ids (uint16) of each text of a string column; null: none."""
         raw, offsets = text_buffer(column)
         starts, ends = word_bounds(raw, offsets)
-        hashes, first, back = np.unique(hash_words(raw, starts, ends), return_index=True, return_inverse=True)
+        hashes, first, back = np.unique(self._keys(raw, offsets, starts, ends), return_index=True, return_inverse=True)
         if len(self.slot) + len(hashes) > CACHE:
             self._forget()
         keys = hashes.tolist()

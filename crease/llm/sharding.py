@@ -6,6 +6,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructType
 
 from crease.llm.text import mix
 from crease.session import materialize
@@ -93,5 +94,5 @@ def write_shards(docs: DataFrame, shards: int, path: str, id_col: str = "doc_id"
     shard_col = "shard"
     while shard_col in docs.columns:              # a column of that name in the input is kept
         shard_col += "_"
-    schema = docs.schema.add(shard_col, "int")
+    schema = StructType(list(docs.schema)).add(shard_col, IntegerType())
     docs.mapInArrow(place, schema).write.partitionBy(shard_col).parquet(path)

@@ -57,6 +57,13 @@ def test_shards_of_odd_rows(odd, none):
     assert len({r.shard for r in rows if r.doc_id == 5}) == 1 and len({(r.shard, r.slot) for r in rows}) == len(ODD)
 
 
+def test_shards_are_written_whole(spark, odd, tmp_path):
+    for name in ("a", "b"):                       # the same table twice: its schema is left as it was
+        sharding.write_shards(odd, 3, str(tmp_path / name))
+        back = spark.read.parquet(str(tmp_path / name))
+        assert back.count() == len(ODD) and set(odd.columns) < set(back.columns)
+
+
 # ---- chat
 
 def test_chat_digests_equal_the_table(spark):
@@ -302,6 +309,14 @@ def test_leaks_with_edits_are_found(spark, odd, none):
     assert decontam.find_leaks(none, bench).count() == 0 and decontam.find_leaks(odd, bench.limit(0)).count() == 0
 
 
+def test_blocks_of_items_give_the_same_leaks(spark, docs):
+    bench = spark.read.parquet(f"{SF001}/benchmark.parquet")
+    one, many = (sorted(map(tuple, decontam.find_leaks(docs, bench, item_bytes=n).collect())) for n in (1 << 19, 2000))
+    assert one and one == many
+    left = sorted(r.doc_id for r in decontam.drop_leaks(docs, bench, item_bytes=2000).select("doc_id").collect())
+    assert left == sorted({r.doc_id for r in docs.select("doc_id").collect()} - {r[0] for r in one})
+
+
 def test_every_match_within_the_budget_is_found():
     import random
     r = random.Random(4)
@@ -321,7 +336,7 @@ def test_every_match_within_the_budget_is_found():
 def test_encoder_equals_the_tokenizer():
     import random
     r, e = random.Random(0), packing.Encoder(packing.TOKENIZER)
-    texts = ["", None, "it's don't ''s !'s", "a\x1cb\x85c\xa0d ÀÉß µª²¼", "日本語 Ω İSS σς", "<|endoftext|> x", "\x00a\x7fb", "!" * 400]
+    texts = ["", None, "it's don't ''s !'s", "a\x1cb\x85c\xa0d ÀÉß µª²¼", "日本語 Ω İSS σς", "<|endoftext|> x", "<|ENDOFTEXT|> <|endoftext|> <|EndOfText|>a <|", "\x00a\x7fb", "!" * 400]
     texts += ["".join(r.choice("aB'slrevtdm 1²é!.ß\n-") for _ in range(60)) for _ in range(500)]
     for t, ids in zip(texts, e.encode(pa.array(texts)), strict=True):
         assert ids.tolist() == (e.tokenizer.encode(t, add_special_tokens=False).ids if t else []), t
