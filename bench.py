@@ -22,8 +22,8 @@ from crease.session import build_session, scale_conf  # noqa: E402
 HEADLINE = ["matchup_counts", "multiway_join", "matchup_probs", "batch_outcomes",
             "batting_career", "bowling_career", "innings_cutoff", "dismissal_points",
             "strike_reconstruct", "scorecard", "over_features", "assign_clusters",
-            "elbow_curve", "score_overs"]
-MODEL = {"elbow_curve", "score_overs"}
+            "elbow_curve", "score_predicted"]
+MODEL = {"elbow_curve", "score_predicted"}
 
 
 def run(spark, name: str, sf_dir: str) -> float:

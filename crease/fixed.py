@@ -30,7 +30,13 @@ TIE_WINNER = "Team 1"
 # Regression trees of runs and wickets per over.
 TREE_DEPTH = 30
 TREE_BINS = 40
-# Noise on the predicted runs and wickets of an over, and its seed.
-RUNS_NOISE = (1.0, 1.2)
-WICKETS_NOISE = (1.0, 1.25)
-NOISE_SEED = 20
+# Columns of the season tables that make a career.
+BAT_SEASON_COLS = ["Player", "Inns", "Runs", "HS", "Ave", "BF", "SR"]
+BOWL_SEASON_COLS = ["Player", "Inns", "Runs", "Wkts", "Ave", "Econ", "SR"]
+# Career columns that players are clustered by.
+BAT_FEATURES = ["Runs", "HS", "Ave", "BF", "SR"]
+BOWL_FEATURES = ["Runs", "Wkts", "Ave", "Econ", "SR"]
+# Profile columns, in this order (snake case).
+BAT_PROFILE_COLS = ["runs_per_innings", "strike_rate", "innings_per_dismissal",
+                    "sixes_per_ball", "fours_per_ball"]
+BOWL_PROFILE_COLS = ["runs_per_wicket", "economy", "balls_per_wicket", "wickets_per_innings"]

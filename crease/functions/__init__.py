@@ -64,14 +64,10 @@ def wicket_discount(runs: Column | str, wickets: Column | str) -> Column:
 
 
 def unit_hash(*cols: Column | str) -> Column:
-    """Deterministic U[0,1) from the given columns; a retried task draws the same."""
-    h = F.pmod(F.xxhash64(*[_c(c) for c in cols]), F.lit(1 << 53))
-    return h.cast("double") / float(1 << 53)
-
-
-def noise_factor(low: float, high: float, *cols: Column | str) -> Column:
-    """Uniform factor in [low, high) keyed by ``cols``."""
-    return F.lit(low) + unit_hash(*cols) * (high - low)
+    """Deterministic number in [0, 1) from the given columns: the first 52 bits of the MD5
+    of their texts, joined by ``|`` (NULL as nothing).  A retried task gets the same."""
+    text = F.concat_ws("|", *[F.coalesce(_c(c).cast("string"), F.lit("")) for c in cols])
+    return F.conv(F.substring(F.md5(text), 1, 13), 16, 10).cast("double") / float(1 << 52)
 
 
 def odd(x: Column | str) -> Column:

@@ -7,16 +7,9 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from crease.fixed import BAT_PROFILE_COLS, BAT_SEASON_COLS, BOWL_PROFILE_COLS, BOWL_SEASON_COLS
 from crease.functions import ratio_or_zero, safe_ratio
 
-BAT_SEASON_COLS = ["Player", "Inns", "Runs", "HS", "Ave", "BF", "SR"]
-BOWL_SEASON_COLS = ["Player", "Inns", "Runs", "Wkts", "Ave", "Econ", "SR"]
-
-# Profile columns, in the order of the reference's profile files (snake_case).
-BAT_PROFILE_COLS = ["runs_per_innings", "strike_rate", "innings_per_dismissal",
-                    "sixes_per_ball", "fours_per_ball"]
-BOWL_PROFILE_COLS = ["runs_per_wicket", "economy", "balls_per_wicket", "wickets_per_innings"]
-
 
 def project_columns(df: DataFrame, keep: Iterable[str] | None = None,
                     drop: Iterable[str] | None = None) -> DataFrame:

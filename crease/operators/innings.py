@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from crease.fixed import BALLS_PER_OVER, OVERS, SURVIVAL_CUT, TIE_WINNER, WICKET_LIMIT
 from crease.functions import odd
 from crease.operators.running import Running, running_aggregates
+from crease.session import splittable
 
 CHUNK_BALLS = 4096
 
@@ -58,7 +59,7 @@ def _apply_cut(x: DataFrame, match: str, innings: str, first_innings: int,
     x = x.filter((F.col("_w_before") < limit) & (F.col(order) <= last))
     target = (x.filter(F.col(innings) == first_innings).groupBy(match)
               .agg(F.sum("_r").alias("_target")))
-    x = x.join(target, match, "left")
+    x = x.join(splittable(target, match), match, "left")
     keep = ((F.col(innings) == first_innings)
             | (F.col("_r_before") <= F.coalesce(F.col("_target"), F.lit(0))))
     return x.filter(keep).drop("_w", "_r", "_w_before", "_r_before", "_target")
@@ -132,7 +133,7 @@ def strike_reconstruct(log: DataFrame, lineups: DataFrame, match: str = "match_i
              .agg(F.collect_list(F.struct(F.col(order).alias("ball"), F.col("_slot").alias("slot"),
                                           (F.col("_w_upto") + 1).alias("next"))).alias("_falls")))
     side = lineups.select(*keys, "batting").join(falls, keys, "left")
-    x = x.join(side, keys, "left")
+    x = x.join(splittable(side, *keys), keys, "left")
 
     def latest(slot: int, opener: int) -> Column:
         earlier = F.filter(F.coalesce(F.col("_falls"), F.array()),

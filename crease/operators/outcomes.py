@@ -14,8 +14,9 @@ equi-joins only:
 * prior: one-row means, read as scalar subqueries (a size bound of one row).
 
 All dimension joins are plain equi-joins; AQE turns them into broadcasts only
-when the side measured at run time is under the broadcast threshold, and
-splits a hot request key with its skew-join handling.
+when the side measured at run time is under the broadcast threshold.  Beyond it
+a hot request key is split by AQE's skew-join handling, as aggregates on the join's
+keys are made ``splittable``.
 """
 
 from __future__ import annotations
@@ -25,6 +26,7 @@ from pyspark.sql import functions as F
 
 from crease.functions import CUM_COLS, outcome_pick
 from crease.operators.matchups import PAIR, global_priors
+from crease.session import splittable
 
 STATS = [*CUM_COLS, "survive"]
 
@@ -35,7 +37,7 @@ def _clusters(cl: DataFrame, key: str, name: str) -> DataFrame:
 
 def pair_lookup(requests: DataFrame, probs: DataFrame, keys: list[str] = PAIR) -> DataFrame:
     """Left join of requests to the pair table, with a ``pair_found`` flag."""
-    hit = probs.select(*keys, *STATS).withColumn("pair_found", F.lit(True))
+    hit = splittable(probs.select(*keys, *STATS).withColumn("pair_found", F.lit(True)), *keys)
     return (requests.join(hit, keys, "left")
             .withColumn("pair_found", F.coalesce(F.col("pair_found"), F.lit(False))))
 
@@ -84,17 +86,17 @@ def cluster_pool(requests: DataFrame, probs: DataFrame, bat_clusters: DataFrame,
     when the pool is empty).  Requests with an unknown player are dropped.
     """
     a, b = pool_aggregates(probs, bat_clusters, bowl_clusters)
-    r = (requests
-         .join(_clusters(bat_clusters, "batsman", "bat_cluster"), "batsman")
-         .join(_clusters(bowl_clusters, "bowler", "bowl_cluster"), "bowler")
-         .join(a, ["bat_cluster", "bowler"], "left")
-         .join(b, ["batsman", "bowl_cluster"], "left"))
     n = F.coalesce(F.col("a_n"), F.lit(0)) + F.coalesce(F.col("b_n"), F.lit(0))
-    means = {f"pool_{c}": (F.coalesce(F.col(f"a_{c}"), F.lit(0.0))
-                           + F.coalesce(F.col(f"b_{c}"), F.lit(0.0))) / F.nullif(n, F.lit(0))
-             for c in STATS}
-    return (r.withColumn("pool_n", n).withColumns(means)
-            .drop(*[f"a_{c}" for c in STATS], *[f"b_{c}" for c in STATS], "a_n", "b_n"))
+    means = [((F.coalesce(F.col(f"a_{c}"), F.lit(0.0)) + F.coalesce(F.col(f"b_{c}"), F.lit(0.0)))
+              / F.nullif(n, F.lit(0))).alias(f"pool_{c}") for c in STATS]
+    # the pool depends on the pair alone: one row per pair, then one join of the requests
+    pools = (requests.select(*PAIR).dropna().distinct()
+             .join(_clusters(bat_clusters, "batsman", "bat_cluster"), "batsman")
+             .join(_clusters(bowl_clusters, "bowler", "bowl_cluster"), "bowler")
+             .join(a, ["bat_cluster", "bowler"], "left")
+             .join(b, ["batsman", "bowl_cluster"], "left")
+             .select(*PAIR, "bat_cluster", "bowl_cluster", n.alias("pool_n"), *means))
+    return requests.join(splittable(pools, *PAIR), PAIR)
 
 
 def one_row(table: DataFrame, cols: list[str]) -> Column:
@@ -157,7 +159,7 @@ def batch_outcomes(requests: DataFrame, probs: DataFrame, bat_clusters: DataFram
         priors = global_priors(probs)
     pairs = requests.select(*PAIR).dropna().distinct()
     odds = pair_odds(pairs, probs, bat_clusters, bowl_clusters, priors)
-    r = requests.join(odds, PAIR, "left").withColumn("_prior", one_row(priors, STATS))
+    r = requests.join(splittable(odds, *PAIR), PAIR, "left").withColumn("_prior", one_row(priors, STATS))
     got = F.col("tier").isNotNull()
     x = {c: F.when(got, F.col(c)).otherwise(F.col("_prior")[c]) for c in STATS}
     req_cols = requests.columns

@@ -11,16 +11,21 @@ from __future__ import annotations
 
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import DecisionTreeRegressionModel, DecisionTreeRegressor
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crease.fixed import NOISE_SEED, OVERS, RUNS_NOISE, TREE_BINS, TREE_DEPTH, WICKETS_NOISE
-from crease.functions import flatten_features, noise_factor, wicket_discount
-from crease.operators.careers import BAT_PROFILE_COLS, BOWL_PROFILE_COLS, profile_means
+from crease.fixed import BAT_PROFILE_COLS, BOWL_PROFILE_COLS, OVERS, TREE_BINS, TREE_DEPTH
+from crease.functions import flatten_features, unit_hash, wicket_discount
+from crease.operators.careers import profile_means
 from crease.operators.innings import innings_cutoff, over_of, scorecard
+from crease.session import splittable
 
 # Explicit: PySpark's default seed is a Python string hash, which changes per process.
 TREE_SEED = 1
+# Most labelled overs of a fit.  It bounds the nodes of the trees, which are shipped to every task.
+TRAIN_ROWS = 100_000
+# Share of matches that no fit sees.
+HELD_OUT = 0.2
 
 PLAN_KEYS = ["match_id", "innings", "over"]
 
@@ -43,8 +48,8 @@ def over_plan(strikes: DataFrame, schedule: DataFrame, order: str = "ball_no") -
 
 
 def _profile(prof: DataFrame, key: str, cols: list[str], prefix: str) -> DataFrame:
-    return prof.select(F.col(prof.columns[0]).alias(key),
-                       *[F.col(c).alias(f"{prefix}{c}") for c in cols])
+    return splittable(prof.select(F.col(prof.columns[0]).alias(key),
+                                  *[F.col(c).alias(f"{prefix}{c}") for c in cols]), key)
 
 
 def over_features(plan: DataFrame, bat_prof: DataFrame, bowl_prof: DataFrame,
@@ -107,9 +112,31 @@ def fit_over_models(train: DataFrame, runs: str = "total_runs", wickets: str = "
     return r, w
 
 
-def tree_dump(model: DecisionTreeRegressionModel) -> str:
-    """Text form of a fitted tree (M7)."""
-    return model.toDebugString
+def held_out(match: str = "match_id", share: float = HELD_OUT) -> Column:
+    """Whether a match is kept from the fit, by a hash of its key."""
+    return unit_hash(F.lit("held out"), match) < share
+
+
+def training_rows(labelled: DataFrame, rows: int = TRAIN_ROWS, share: float = HELD_OUT) -> DataFrame:
+    """At most ``rows`` overs of matches that are not held out, those whose keys hash lowest."""
+    return (labelled.where(~held_out(share=share))
+            .orderBy(unit_hash(F.lit("training"), *PLAN_KEYS), *PLAN_KEYS).limit(rows))
+
+
+def tree_dump(model: DecisionTreeRegressionModel, path: str) -> DataFrame:
+    """Nodes of a fitted tree, one row each (M7): id, prediction, rows of the fit that reached it,
+    gain, children (-1 in a leaf), and for an inner node its feature and threshold.
+
+    The model is saved under ``path`` (in the shared folder) and its node table read back.
+    """
+    model.write().overwrite().save(path)
+    spark = SparkSession.getActiveSession()
+    inner = F.col("leftChild") >= 0
+    return spark.read.parquet(f"{path}/data").select(
+        F.col("id").alias("node"), "prediction", F.col("rawCount").alias("rows"), F.when(inner, F.col("gain")).alias("gain"),
+        F.col("leftChild").alias("left"), F.col("rightChild").alias("right"),
+        F.when(inner, F.col("split.featureIndex")).alias("feature"),
+        F.when(inner, F.col("split.leftCategoriesOrThreshold")[0]).alias("threshold"))
 
 
 def predict_overs(feats: DataFrame, runs_model: DecisionTreeRegressionModel,
@@ -123,47 +150,17 @@ def predict_overs(feats: DataFrame, runs_model: DecisionTreeRegressionModel,
     return x.drop("_vec")
 
 
-def score_overs(pred: DataFrame, replicates: int = 1, seed: int = NOISE_SEED,
-                noise: bool = True) -> DataFrame:
-    """Scores of every match from predicted overs (M8 with F3, F4, W3, A12).
+def score_overs(pred: DataFrame) -> DataFrame:
+    """Score of every match from predicted overs (M8 with F3, W3, A12).
 
-    Each over: runs = round(pred_runs x U(1, 1.2)), wickets = round(pred_wickets
-    x U(1, 1.25)) (half-even; ``noise=False`` uses the predictions alone), then
-    runs after wickets (F3).  An innings ends when wickets reach 10 (that over's
-    runs still count) or, for the chase, when its total passes the first
-    innings.  The draws come from a hash of (seed, replicate, match, innings,
-    over), so a retried task draws the same.  ``replicates`` copies of every
-    match are scored (one row per match and replicate); the copies are made
-    with a generator, not a join.
+    Each over: ``pred_runs`` and ``pred_wickets`` rounded half-even, then the runs
+    after wickets (F3).  An innings ends when wickets reach 10 (that over's runs
+    still count), after its 20 overs, or, for the chase, when its total passes the
+    first innings.
     """
-    x = pred.withColumn("replicate", F.explode(F.sequence(F.lit(1), F.lit(replicates))))
-    keys = [F.lit(seed), F.col("replicate"), F.col("match_id"), F.col("innings"), F.col("over")]
-    if noise:
-        rf = noise_factor(*RUNS_NOISE, F.lit("runs"), *keys)
-        wf = noise_factor(*WICKETS_NOISE, F.lit("wickets"), *keys)
-    else:
-        rf = wf = F.lit(1.0)
-    x = x.withColumns({"_runs0": F.bround(F.col("pred_runs") * rf, 0),
-                       "over_wickets": F.bround(F.col("pred_wickets") * wf, 0).cast("long")})
+    x = pred.withColumns({"_runs0": F.bround("pred_runs", 0), "over_wickets": F.bround("pred_wickets", 0).cast("long")})
     x = x.withColumn("over_runs", wicket_discount("_runs0", "over_wickets").cast("long"))
-    x = x.withColumn("_game", F.struct("match_id", "replicate"))
     # an innings ends with over OVERS - 1 (numbered from 0), so plain windows hold few rows
-    kept = innings_cutoff(x, match="_game", innings="innings", order="over",
-                          runs="over_runs", wickets="over_wickets", last=OVERS - 1, bounded=True)
-    card = scorecard(kept, match="_game", runs="over_runs", wickets="over_wickets", unit="overs")
-    return card.select(F.col("_game.match_id").alias("match_id"),
-                       F.col("_game.replicate").alias("replicate"),
-                       *[c for c in card.columns if c != "_game"])
-
-
-def win_share(scores: DataFrame) -> DataFrame:
-    """Share of replicates each team wins, and mean runs, per match."""
-    return scores.groupBy("match_id").agg(
-        F.count("*").alias("replicates"),
-        F.avg((F.col("winner") == "Team 1").cast("double")).alias("team1_share"),
-        F.avg("runs_1").alias("mean_runs_1"), F.avg("runs_2").alias("mean_runs_2"))
-
-
-def replicated_scores(pred: DataFrame, replicates: int, seed: int = NOISE_SEED) -> DataFrame:
-    """``replicates`` noisy scorings of every match and their win shares (M8)."""
-    return win_share(score_overs(pred, replicates, seed))
+    kept = innings_cutoff(x.where(F.col("over") < OVERS), order="over", runs="over_runs", wickets="over_wickets",
+                          last=OVERS - 1, bounded=True)
+    return scorecard(kept, runs="over_runs", wickets="over_wickets", unit="overs")

@@ -14,10 +14,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from crease.fixed import BAT_CLUSTERS as BAT_K, BOWL_CLUSTERS as BOWL_K
+from crease.fixed import BAT_FEATURES, BAT_PROFILE_COLS, BAT_SEASON_COLS, BOWL_FEATURES, BOWL_PROFILE_COLS
 from crease.fixed import ELBOW_FRACTION, ELBOW_KS, KMEANS_SEED, PAIR_THRESHOLD
 from crease.plans import oracle as O
 from crease.plans import standins as V
 from crease.operators import matchups as M
+from crease.session import splittable
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -168,7 +170,7 @@ SELECT Player, Inns, Runs, HS, BF, {O.round_cols(["Ave", "SR"])} FROM (
           ["season_bat", "debut_bat"])
 def q_append_debutants(spark, d):
     t = V.Tables(spark, d)
-    cols = CR.BAT_SEASON_COLS
+    cols = BAT_SEASON_COLS
     return rounded(CR.append_debutants(V.season_bat(t).select(*cols), V.debut_bat(t).select(*cols)))
 
 
@@ -245,7 +247,7 @@ FROM requests r JOIN probs p ON r.batsman = p.batsman AND r.bowler = p.bowler"""
 def q_outcome_pick(spark, d):
     from crease.functions import outcome_pick
     t = V.Tables(spark, d)
-    j = V.requests(t).join(_probs(t), ["batsman", "bowler"])
+    j = V.requests(t).join(splittable(_probs(t), *M.PAIR), M.PAIR)
     return j.select(*REQ_COLS, outcome_pick([F.col(c) for c in CUMS], "u").alias("runs"))
 
 
@@ -368,8 +370,8 @@ def q_scorecard(spark, d):
 
 # --------------------------------------------------------------------------- profiles and overs
 
-BAT_P = CR.BAT_PROFILE_COLS
-BOWL_P = CR.BOWL_PROFILE_COLS
+BAT_P = BAT_PROFILE_COLS
+BOWL_P = BOWL_PROFILE_COLS
 
 
 def _bat_prof(t: V.Tables) -> DataFrame:
@@ -414,18 +416,22 @@ def _features(t: V.Tables, strikes: DataFrame | None = None) -> DataFrame:
 FEATURE_COLS = [f"s_{c}" for c in BAT_P] + [f"ns_{c}" for c in BAT_P] + [f"b_{c}" for c in BOWL_P]
 
 
-@register("over_features", f"""
+O.view("over_feats", f"""
 SELECT p.match_id, p.innings, p.over, p.striker, p.non_striker, p.bowler,
-       {", ".join(f"round(coalesce(s.{c}, m.{c}), 6) AS s_{c}" for c in BAT_P)},
-       {", ".join(f"round(coalesce(ns.{c}, m.{c}), 6) AS ns_{c}" for c in BAT_P)},
-       {", ".join(f"round(coalesce(b.{c}, mb.{c}), 6) AS b_{c}" for c in BOWL_P)}
+       {", ".join(f"coalesce(s.{c}, m.{c}) AS s_{c}" for c in BAT_P)},
+       {", ".join(f"coalesce(ns.{c}, m.{c}) AS ns_{c}" for c in BAT_P)},
+       {", ".join(f"coalesce(b.{c}, mb.{c}) AS b_{c}" for c in BOWL_P)}
 FROM plan p
 LEFT JOIN bat_profile_known s ON p.striker = s.batsman
 LEFT JOIN bat_profile_known ns ON p.non_striker = ns.batsman
 LEFT JOIN bowl_profile_known b ON p.bowler = b.bowler
 CROSS JOIN (SELECT {", ".join(f"avg({c}) AS {c}" for c in BAT_P)} FROM bat_profile_known) m
 CROSS JOIN (SELECT {", ".join(f"avg({c}) AS {c}" for c in BOWL_P)} FROM bowl_profile_known) mb""",
-          ["plan", "bat_profile_known", "bowl_profile_known"])
+       ["plan", "bat_profile_known", "bowl_profile_known"])
+
+
+@register("over_features", f"""
+SELECT match_id, innings, over, striker, non_striker, bowler, {O.round_cols(FEATURE_COLS)} FROM over_feats""", ["over_feats"])
 def q_over_features(spark, d):
     f = _features(V.Tables(spark, d))
     return rounded(f.select("match_id", "innings", "over", "striker", "non_striker", "bowler",
@@ -451,20 +457,6 @@ def _train(t: V.Tables) -> DataFrame:
     return _features(t).join(IN.over_totals(_cut(t)), OV.PLAN_KEYS)
 
 
-O.view("over_feats", f"""
-SELECT p.match_id, p.innings, p.over,
-       {", ".join(f"coalesce(s.{c}, m.{c}) AS s_{c}" for c in BAT_P)},
-       {", ".join(f"coalesce(ns.{c}, m.{c}) AS ns_{c}" for c in BAT_P)},
-       {", ".join(f"coalesce(b.{c}, mb.{c}) AS b_{c}" for c in BOWL_P)}
-FROM plan p
-LEFT JOIN bat_profile_known s ON p.striker = s.batsman
-LEFT JOIN bat_profile_known ns ON p.non_striker = ns.batsman
-LEFT JOIN bowl_profile_known b ON p.bowler = b.bowler
-CROSS JOIN (SELECT {", ".join(f"avg({c}) AS {c}" for c in BAT_P)} FROM bat_profile_known) m
-CROSS JOIN (SELECT {", ".join(f"avg({c}) AS {c}" for c in BOWL_P)} FROM bowl_profile_known) mb""",
-       ["plan", "bat_profile_known", "bowl_profile_known"])
-
-
 def _vector_columns(vec, n: int) -> list:
     """A feature vector as n rounded scalar columns f00.. (one value per cell)."""
     from pyspark.ml.functions import vector_to_array
@@ -499,25 +491,27 @@ def _pinned(train: DataFrame) -> DataFrame:
     return train.repartition(CL.FIT_PARTITIONS, *OV.PLAN_KEYS).sortWithinPartitions(*OV.PLAN_KEYS)
 
 
+_FITS: dict[tuple[str, str], tuple] = {}
+
+
 def _fitted(t: V.Tables):
-    """Over features and the two trees fitted on them.
-
-    The features feed two fits (tens of passes each) and the scoring, so the
-    cut strike log and the features are written as parquet to the shared
-    checkpoint folder and the training table is checkpointed there: later
-    passes read files instead of re-running the ball-log windows, and a lost
-    executor costs a re-read, not a re-run of the lineage.  The strike log feeds both the over plan and the over totals
-    (the labels), so the ordered passes run once.
+    """Over features and the two trees fitted on the overs of matches that are not held out.
+
+    The cut strike log and the features are written as parquet to the shared checkpoint
+    folder, so the ordered passes run once, and the training table (at most
+    ``overs.TRAIN_ROWS`` overs) is checkpointed there with its exact partitions, which
+    MLlib's split sampling reads.  The model queries of a session share one fit.
     """
     from crease.session import ensure_checkpoint_dir, materialize
-    ensure_checkpoint_dir(t.spark)
-    strikes = materialize(_strikes_cut(t), "strikes")
-    feats = materialize(_features(t, strikes), "over-features")
-    # the training table keeps its exact partitions (MLlib's split sampling reads them)
-    joined = materialize(feats.join(IN.over_totals(strikes), OV.PLAN_KEYS), "over-train")
-    train = _pinned(joined).checkpoint()
-    rm, wm = OV.fit_over_models(train)
-    return feats, rm, wm
+    key = (t.spark.sparkContext.applicationId, t.sf_dir)
+    if key not in _FITS:
+        ensure_checkpoint_dir(t.spark)
+        strikes = materialize(_strikes_cut(t), "strikes")
+        feats = materialize(_features(t, strikes), "over-features")
+        labelled = feats.join(IN.over_totals(strikes), OV.PLAN_KEYS)
+        train = _pinned(materialize(OV.training_rows(labelled), "over-train")).checkpoint()
+        _FITS[key] = (feats, *OV.fit_over_models(train))
+    return _FITS[key]
 
 
 def _predicted(t: V.Tables) -> DataFrame:
@@ -526,20 +520,55 @@ def _predicted(t: V.Tables) -> DataFrame:
     return OV.predict_overs(feats, rm, wm)
 
 
+O.view("scored_overs", """
+SELECT match_id, innings, over, w,
+       CAST(CASE WHEN w <> 0 THEN round_even(r / 6 * (6 - w), 0) ELSE r END AS BIGINT) AS runs
+FROM (SELECT match_id, innings, CAST((ball_no - 1) // 6 AS INTEGER) AS over,
+             CAST(sum(runs) AS DOUBLE) AS r, count(*) FILTER (WHERE wicket) AS w
+      FROM ball_log GROUP BY 1, 2, 3) o WHERE over < 20""", ["ball_log"])
+
+O.view("running_overs", """
+SELECT *, coalesce(sum(w) OVER earlier, 0) AS w_before, coalesce(sum(runs) OVER earlier, 0) AS r_before
+FROM scored_overs
+WINDOW earlier AS (PARTITION BY match_id, innings ORDER BY over ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)""",
+       ["scored_overs"])
+
+O.view("kept_overs", """
+SELECT x.* FROM (SELECT * FROM running_overs WHERE w_before < 10) x
+LEFT JOIN (SELECT match_id, sum(runs) AS target FROM running_overs WHERE w_before < 10 AND innings = 1
+           GROUP BY match_id) f ON x.match_id = f.match_id
+WHERE x.innings = 1 OR x.r_before <= coalesce(f.target, 0)""", ["running_overs"])
+
+
 @register("over_predictions")
 def q_over_predictions(spark, d):
     p = _predicted(V.Tables(spark, d))
-    return p.select(*OV.PLAN_KEYS, "striker", "non_striker", "bowler", "pred_runs", "pred_wickets")
+    return p.select(*OV.PLAN_KEYS, "striker", "non_striker", "bowler", "pred_runs", "pred_wickets",
+                    OV.held_out().alias("held_out"))
 
 
-@register("score_overs")
+@register("score_overs", """
+SELECT match_id, runs_1, wickets_1, overs_1, runs_2, wickets_2, overs_2,
+       CASE WHEN runs_2 > runs_1 THEN 'Team 2' ELSE 'Team 1' END AS winner
+FROM (SELECT match_id,
+             CAST(coalesce(sum(runs) FILTER (WHERE innings = 1), 0) AS BIGINT) AS runs_1,
+             CAST(least(coalesce(sum(w) FILTER (WHERE innings = 1), 0), 10) AS BIGINT) AS wickets_1,
+             count(*) FILTER (WHERE innings = 1) AS overs_1,
+             CAST(coalesce(sum(runs) FILTER (WHERE innings = 2), 0) AS BIGINT) AS runs_2,
+             CAST(least(coalesce(sum(w) FILTER (WHERE innings = 2), 0), 10) AS BIGINT) AS wickets_2,
+             count(*) FILTER (WHERE innings = 2) AS overs_2
+      FROM kept_overs GROUP BY match_id) s""", ["kept_overs"])
 def q_score_overs(spark, d):
-    return OV.score_overs(_predicted(V.Tables(spark, d)), replicates=1)
+    """Scores from given over predictions: the over totals of the uncut log."""
+    o = IN.over_totals(V.ball_log(V.Tables(spark, d)))
+    return OV.score_overs(o.select(*OV.PLAN_KEYS, F.col("total_runs").cast("double").alias("pred_runs"),
+                                   F.col("total_wickets").cast("double").alias("pred_wickets")))
 
 
-@register("replicated_scores")
-def q_replicated_scores(spark, d):
-    return OV.replicated_scores(_predicted(V.Tables(spark, d)), replicates=8)
+@register("score_predicted")
+def q_score_predicted(spark, d):
+    """Scores, from the trees' predictions, of the matches that the fit has not seen."""
+    return OV.score_overs(_predicted(V.Tables(spark, d)).where(OV.held_out()))
 
 
 # --------------------------------------------------------------------------- pages
@@ -565,7 +594,23 @@ SELECT page_id, CAST(unnest(range(0, len(hrefs))) AS INTEGER) AS pos, unnest(hre
 FROM (SELECT page_id, regexp_extract_all(html, '{_ITEM}', 1) AS hrefs,
              regexp_extract_all(html, '{_ITEM}', 2) AS texts FROM pages) p""")
 def q_html_rows(spark, d):
-    return PG.html_rows(V.Tables(spark, d).pages)
+    """Every link item of a page with its target and text."""
+    return PG.link_rows(V.Tables(spark, d).pages)
+
+
+# The pages hold no tables: their list items stand in for rows, the links in them for cells.
+LIST_ROW_RE, LIST_CELL_RE = r"<li[^>]*>(.*?)</li>", r"<a [^>]*>([^<]*)</a>"
+
+
+@register("table_rows", f"""
+SELECT page_id, CAST(unnest(range(0, len(rows))) AS INTEGER) AS pos, unnest(rows) AS cells
+FROM (SELECT page_id, list_filter(list_transform(regexp_extract_all(html, '{LIST_ROW_RE}', 1),
+             lambda r: array_to_string(list_transform(regexp_extract_all(r, '{LIST_CELL_RE}', 1), lambda c: trim(c)), '|')),
+             lambda r: r <> '') AS rows FROM pages) p""")
+def q_table_rows(spark, d):
+    """Rows of a page as lists of cells (S3), joined by ``|``."""
+    rows = PG.html_rows(V.Tables(spark, d).pages, LIST_ROW_RE, LIST_CELL_RE)
+    return rows.select("page_id", "pos", F.array_join("cells", "|").alias("cells"))
 
 
 O.view("items", f"""
@@ -583,8 +628,7 @@ LEFT JOIN (SELECT page_id, pos // 2 AS pair, text FROM items WHERE pos % 2 = 1)
 LEFT JOIN (SELECT page_id, TRY_CAST(nullif(regexp_extract(regexp_replace(url, '{PG.TRAIL_RE}', ''), '{PG.SEASON_RE}', 1), '') AS INTEGER)
                   AS season FROM pages) c ON s.page_id = c.page_id""", ["items"])
 def q_pair_rows(spark, d):
-    pages = V.Tables(spark, d).pages
-    return PG.pair_rows(PG.html_rows(pages), PG.url_catalog(pages))
+    return PG.pair_rows(V.Tables(spark, d).pages)
 
 
 # --------------------------------------------------------------------------- files
@@ -620,9 +664,22 @@ def q_repartition_rows(spark, d):
     return FS.repartition_rows(V.ball_events(V.Tables(spark, d)), 5, ["batsman", "bowler"])
 
 
-@register("profile_partitions")
+@register("profile_partitions", """
+SELECT count(*) AS rows, 5 AS partitions FROM ball_events""", ["ball_events"])
 def q_profile_partitions(spark, d):
-    return FS.profile_partitions(FS.repartition_rows(V.ball_events(V.Tables(spark, d)), 5))
+    """Rows of all partitions, and how many hold any (rows are dealt to 5 in turn)."""
+    p = FS.profile_partitions(FS.repartition_rows(V.ball_events(V.Tables(spark, d)), 5))
+    return p.agg(F.sum("rows").alias("rows"), F.count("*").cast("int").alias("partitions"))
+
+
+@register("schema_report", """
+SELECT CAST(row_number() OVER () - 1 AS INTEGER) AS position, column_name AS name,
+       CASE column_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' WHEN 'DOUBLE' THEN 'double'
+                        WHEN 'VARCHAR' THEN 'string' ELSE column_type END AS type,
+       true AS nullable
+FROM (DESCRIBE SELECT * FROM customer) d""")
+def q_schema_report(spark, d):
+    return FS.schema_report(V.Tables(spark, d).customer)
 
 
 # --------------------------------------------------------------------------- clusters
@@ -667,10 +724,6 @@ def q_kmeans_cost(spark, d):
     return rounded(CL.kmeans_cost(t.embeddings, _centres(t), vec="embedding"))
 
 
-BAT_FEATURES = ["Runs", "HS", "Ave", "BF", "SR"]
-BOWL_FEATURES = ["Runs", "Wkts", "Ave", "Econ", "SR"]
-
-
 def _bat_points(t: V.Tables) -> DataFrame:
     c = CR.cast_features(_bat_career(t), BAT_FEATURES)
     return CL.assemble_features(c, BAT_FEATURES).select("Player", "features")
@@ -686,7 +739,10 @@ def q_assemble_features(spark, d):
     return p.select("Player", *_vector_columns(F.col("features"), len(BAT_FEATURES)))
 
 
-@register("sample_rows")
+@register("sample_rows", f"""
+SELECT * FROM customer
+WHERE CAST('0x' || substr(md5('{KMEANS_SEED}|' || CAST(c_custkey AS VARCHAR)), 1, 13) AS BIGINT) / 4503599627370496.0
+      < {ELBOW_FRACTION}""")
 def q_sample_rows(spark, d):
     return CL.sample_rows(V.Tables(spark, d).customer, ELBOW_FRACTION, KMEANS_SEED, ["c_custkey"])
 
@@ -707,6 +763,24 @@ def q_player_clusters(spark, d):
     return CL.assign_clusters(pts, centres, keep=["Player"])
 
 
+@register("cluster_checks", """
+SELECT count(*) AS players, count(*) AS assigned, CAST(0 AS BIGINT) AS not_nearest FROM bat_career
+WHERE Runs IS NOT NULL AND HS IS NOT NULL AND Ave IS NOT NULL AND BF IS NOT NULL AND SR IS NOT NULL""", ["bat_career"])
+def q_cluster_checks(spark, d):
+    """Of a fit and its assignment (M2 + M3): players, players assigned once, and players
+    with a centre nearer than their own."""
+    from pyspark.ml.functions import vector_to_array
+    pts = _bat_points(V.Tables(spark, d))
+    model = CL.fit_clusters(pts, BAT_K, seed=KMEANS_SEED)
+    got = CL.assign_clusters(pts, CL.centres_table(model), keep=["Player"]).select("Player", "distance")
+    x = vector_to_array(F.col("features"))
+    far = [F.aggregate(F.zip_with(x, F.array(*[F.lit(float(v)) for v in c]), lambda a, b: (a - b) * (a - b)),
+                       F.lit(0.0), lambda s, v: s + v) for c in model.clusterCenters()]
+    j = pts.select("Player", F.least(*far).alias("least")).join(got, "Player", "left")
+    return j.agg(F.countDistinct("Player").alias("players"), F.count("distance").alias("assigned"),
+                 F.count_if(F.col("distance") > F.col("least") * (1 + 1e-9) + 1e-9).alias("not_nearest"))
+
+
 @register("elbow_curve")
 def q_elbow_curve(spark, d):
     t = V.Tables(spark, d)
@@ -721,14 +795,14 @@ from crease import functions as FN  # noqa: E402
 @register("soft_cast", f"""
 SELECT page_id, pos, text, TRY_CAST(text AS DOUBLE) AS value FROM items""", ["items"])
 def q_soft_cast(spark, d):
-    rows = PG.html_rows(V.Tables(spark, d).pages)
+    rows = PG.link_rows(V.Tables(spark, d).pages)
     return rows.select("page_id", "pos", "text", FN.soft_cast("text").alias("value"))
 
 
 @register("strip_brackets", """
 SELECT page_id, pos, translate('(' || text || ')', '()', '') AS team FROM items""", ["items"])
 def q_strip_brackets(spark, d):
-    rows = PG.html_rows(V.Tables(spark, d).pages)
+    rows = PG.link_rows(V.Tables(spark, d).pages)
     team = F.concat(F.lit("("), F.col("text"), F.lit(")"))        # a team cell as the stat pages write it
     return rows.select("page_id", "pos", FN.strip_brackets(team).alias("team"))
 
@@ -738,9 +812,7 @@ SELECT i.page_id, i.pos, i.text,
        TRY_CAST(nullif(regexp_extract(regexp_replace(p.url, '{PG.TRAIL_RE}', ''), '{PG.SEASON_RE}', 1), '') AS INTEGER) AS season
 FROM items i JOIN pages p ON i.page_id = p.page_id""", ["items"])
 def q_tag_season(spark, d):
-    pages = V.Tables(spark, d).pages
-    seasons = PG.url_catalog(pages).select("page_id", "season")
-    return PG.html_rows(pages).select("page_id", "pos", "text").join(seasons, "page_id")
+    return PG.link_rows(V.Tables(spark, d).pages, url="url").select("page_id", "pos", "text", "season")
 
 
 @register("flatten_features", f"""
@@ -748,17 +820,7 @@ SELECT match_id, innings, over, {", ".join(f"round(x[{i + 1}], 6) AS f{i:02d}" f
 FROM (SELECT match_id, innings, over,
              flatten([[CAST(over AS DOUBLE)], [{", ".join(f"s_{c}" for c in BAT_P)}],
                       [{", ".join(f"ns_{c}" for c in BAT_P)}], [{", ".join(f"b_{c}" for c in BOWL_P)}]]) AS x
-      FROM (SELECT p.match_id, p.innings, p.over,
-                   {", ".join(f"coalesce(s.{c}, m.{c}) AS s_{c}" for c in BAT_P)},
-                   {", ".join(f"coalesce(ns.{c}, m.{c}) AS ns_{c}" for c in BAT_P)},
-                   {", ".join(f"coalesce(b.{c}, mb.{c}) AS b_{c}" for c in BOWL_P)}
-            FROM plan p
-            LEFT JOIN bat_profile_known s ON p.striker = s.batsman
-            LEFT JOIN bat_profile_known ns ON p.non_striker = ns.batsman
-            LEFT JOIN bowl_profile_known b ON p.bowler = b.bowler
-            CROSS JOIN (SELECT {", ".join(f"avg({c}) AS {c}" for c in BAT_P)} FROM bat_profile_known) m
-            CROSS JOIN (SELECT {", ".join(f"avg({c}) AS {c}" for c in BOWL_P)} FROM bowl_profile_known) mb) j) f""",
-          ["plan", "bat_profile_known", "bowl_profile_known"])
+      FROM over_feats) f""", ["over_feats"])
 def q_flatten_features(spark, d):
     f = _features(V.Tables(spark, d))
     return rounded(f.select("match_id", "innings", "over",
@@ -767,11 +829,12 @@ def q_flatten_features(spark, d):
 
 @register("tree_dump")
 def q_tree_dump(spark, d):
-    """Both fitted trees as text, one row per line (M7's dump)."""
+    """Nodes of both fitted trees."""
+    from crease.session import scratch_path
     _, rm, wm = _fitted(V.Tables(spark, d))
-    rows = [(name, i, line) for name, m in (("runs", rm), ("wickets", wm))
-            for i, line in enumerate(OV.tree_dump(m).splitlines())]
-    return spark.createDataFrame(rows, "model string, line_no int, line string")
+    runs, wickets = (OV.tree_dump(m, scratch_path(spark, "tree")).withColumn("model", F.lit(name))
+                     for name, m in (("runs", rm), ("wickets", wm)))
+    return runs.union(wickets)
 
 
 # --------------------------------------------------------------------------- clusters feeding the outcome tiers

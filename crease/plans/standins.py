@@ -142,6 +142,10 @@ def requests(t: Tables) -> DataFrame:
         (key.cast("double") / 1000).alias("u"))
 
 
+# Hours of one chunk of a user's events.
+CHUNK_HOURS = 24
+
+
 def hour_number(ts: str) -> F.Column:
     """Hours since year 0 of a timestamp, as an integer chunk id (no time zone involved)."""
     days = F.year(ts).cast("long") * 366 + F.dayofyear(ts)
@@ -152,10 +156,8 @@ def ball_log(t: Tables) -> DataFrame:
     """Strictly ordered ball log from ``events``: one user = one match.
 
     The position of an event in its user's history is a running count chunked
-    by the hour, so a user with a third of all events is not one task.  The
-    width is a trade-off: at this data's rate (a few events a day per user)
-    most chunks hold one row, so the chunk table is about as large as the log;
-    at a month per user a hot user still spreads over 720 chunks.
+    by ``CHUNK_HOURS``, so a user with a third of all events is not one task.  The
+    width is a trade-off between chunks of a hot user and the size of the chunk table.
     """
     ev = t.events.select(
         F.col("user_id").alias("match_id"), "ts", "event_id",
@@ -163,7 +165,7 @@ def ball_log(t: Tables) -> DataFrame:
         .when(F.col("event_type") == "purchase", 4).otherwise(0).alias("runs"),
         (F.col("event_type") == "error").alias("wicket"),
         (F.lit(1.0) - F.col("value") / 1000).alias("p_survive"))
-    n = ordinal(ev, ["match_id"], ["ts", "event_id"], hour_number("ts"), out="n")
+    n = ordinal(ev, ["match_id"], ["ts", "event_id"], F.floor(hour_number("ts") / CHUNK_HOURS), out="n")
     first = F.col("n") <= INNINGS_SPLIT
     return n.select(
         "match_id",

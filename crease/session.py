@@ -119,3 +119,17 @@ def materialize(df, name: str):
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def splittable(side, *keys: str):
+    """``side`` of a join on ``keys``, so that a hot key of the other side can be split.
+
+    AQE splits a hot key only when both sides are shuffled for the join itself.  An
+    aggregate on the join's own keys already lies by them, is not shuffled again,
+    and so pins each key to one task.  Its keys pass through an expression here
+    that keeps their values but not that knowledge: the join shuffles the aggregate,
+    the smaller side, once more (or broadcasts it, when it measures small).
+    """
+    from pyspark.sql import functions as F
+
+    return side.withColumns({k: F.array_max(F.array(k)) for k in keys})

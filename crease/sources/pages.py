@@ -8,13 +8,19 @@ HTTP is left to whatever loads that table.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from crease.functions import soft_cast, strip_brackets
 
-# Fixed patterns.  A navigation item: <li><a href="...">text</a></li>.
-ITEM_RE = r'<li><a href="([^"]*)">([^<]*)</a></li>'
+# Patterns of our own.  A navigation item: a list item that holds one link, whatever
+# other attributes the two have.  Groups: the target and the text.
+ITEM_RE = r'<li[^>]*><a [^>]*?href="([^"]*)"[^>]*>([^<]*)</a></li>'
+# A table row, and what its data and header cells hold.
+ROW_RE = r"(?is)<tr[^>]*>(.*?)</tr>"
+CELL_RE = r"(?is)<td[^>]*>(.*?)</td>"
+HEAD_RE = r"(?is)<th[^>]*>(.*?)</th>"
+TAG_RE = r"<[^>]*>"
 HOST_RE = r"^[a-z]+://([^/?#]+)"
 LANG_RE = r"^[a-z]+://[^/?#]+/([a-z]+)/"
 SEASON_RE = r"^[a-z]+://[^/?#]+[^?#]*?[/-]([0-9]+)"   # first number after / or - in the path
@@ -32,7 +38,7 @@ def url_catalog(pages: DataFrame, url: str = "url") -> DataFrame:
         "page_id", u.alias("url"),
         F.regexp_extract(u, HOST_RE, 1).alias("host"),
         F.regexp_extract(u, LANG_RE, 1).alias("lang"),
-        F.nullif(F.regexp_extract(u, SEASON_RE, 1), F.lit("")).try_cast("int").alias("season"))
+        season_of(url).alias("season"))
 
 
 def read_url_list(spark, path: str) -> DataFrame:
@@ -42,33 +48,87 @@ def read_url_list(spark, path: str) -> DataFrame:
     return lines.withColumn("page_id", F.xxhash64("url"))
 
 
-def html_rows(pages: DataFrame, pattern: str = ITEM_RE, html: str = "html") -> DataFrame:
-    """Every match of ``pattern`` in a page, with its 0-based position (S3).
+def season_of(url: str | Column = "url") -> Column:
+    """Season number in the path of a page's URL (C9); NULL when there is none."""
+    u = F.regexp_replace(F.col(url) if isinstance(url, str) else url, TRAIL_RE, "")
+    return F.nullif(F.regexp_extract(u, SEASON_RE, 1), F.lit("")).try_cast("int")
 
-    Groups 1 and 2 of the pattern become ``href`` and ``text``.
+
+def _cells(row: Column, cell_re: str) -> Column:
+    """Texts of the cells of a row: inner tags dropped, white space trimmed."""
+    return F.transform(F.regexp_extract_all(row, F.lit(cell_re), 1),
+                       lambda c: F.trim(F.regexp_replace(c, TAG_RE, "")))
+
+
+def html_rows(pages: DataFrame, row_re: str = ROW_RE, cell_re: str = CELL_RE, html: str = "html") -> DataFrame:
+    """Rows of every page: ``page_id, pos, cells`` (S3).
+
+    ``row_re`` finds the rows and ``cell_re`` the cells of one; group 1 is what each
+    holds.  Rows without a cell (such as a header row) are not counted.  ``pos`` is
+    0-based.  NULL html: no rows.
+    """
+    rows = F.transform(F.regexp_extract_all(F.col(html), F.lit(row_re), 1), lambda r: _cells(r, cell_re))
+    kept = pages.select("page_id", F.filter(rows, lambda c: F.size(c) > 0).alias("_rows"))
+    return kept.select("page_id", F.posexplode("_rows").alias("pos", "cells"))
+
+
+def header_cells(pages: DataFrame, html: str = "html", head_re: str = HEAD_RE) -> DataFrame:
+    """Header texts of every page in order: ``page_id, header``."""
+    return pages.select("page_id", _cells(F.col(html), head_re).alias("header"))
+
+
+def name_cells(rows: DataFrame, names: list[str], cells: str = "cells") -> DataFrame:
+    """Cells to columns by position; a row with fewer cells has NULL in the rest."""
+    others = [c for c in rows.columns if c != cells]
+    return rows.select(*others, *[F.get(F.col(cells), F.lit(i)).alias(n) for i, n in enumerate(names)])
+
+
+def table_pairs(pages: DataFrame, names: list[str], row_re: str = ROW_RE, cell_re: str = CELL_RE,
+                html: str = "html", url: str = "url") -> DataFrame:
+    """Tables that give each player a stat row and then a team row: ``page_id, pair``, the
+    stat cells under ``names``, ``team`` without brackets, ``season``.
+
+    A row is paired with the one after it inside the page's array, so nothing is
+    shuffled; a last stat row without a team row has a NULL team.
     """
-    h = F.col(html)
-    items = pages.select(
-        "page_id",
-        F.arrays_zip(F.regexp_extract_all(h, F.lit(pattern), 1).alias("href"),
-                     F.regexp_extract_all(h, F.lit(pattern), 2).alias("text")).alias("items"))
-    return items.select("page_id", F.posexplode("items").alias("pos", "item")).select(
-        "page_id", "pos", F.col("item.href").alias("href"), F.col("item.text").alias("text"))
+    rows = F.filter(F.transform(F.regexp_extract_all(F.col(html), F.lit(row_re), 1), lambda r: _cells(r, cell_re)),
+                    lambda c: F.size(c) > 0)
+    x = pages.select("page_id", season_of(url).alias("season"), rows.alias("_rows"))
+    x = x.select("page_id", "season", F.posexplode(_pairs(F.col("_rows"))).alias("pair", "_p"))
+    return x.select("page_id", "pair", *[F.get(F.col("_p.stat"), F.lit(i)).alias(n) for i, n in enumerate(names)],
+                    strip_brackets(F.get(F.col("_p.team"), F.lit(0))).alias("team"), "season")
+
+
+def _pairs(items: Column) -> Column:
+    """Items 0 and 1, 2 and 3, ... as structs (stat, team); an odd last item has a NULL team."""
+    starts = F.filter(F.sequence(F.lit(0), F.size(items)), lambda i: (i % 2 == 0) & (i < F.size(items)))
+    return F.transform(starts, lambda i: F.struct(F.get(items, i).alias("stat"), F.get(items, i + 1).alias("team")))
+
+
+def _texts(pattern: str, html: str) -> Column:
+    return F.regexp_extract_all(F.col(html), F.lit(pattern), 2)
+
+
+def link_rows(pages: DataFrame, pattern: str = ITEM_RE, html: str = "html", url: str | None = None) -> DataFrame:
+    """Every match of a link pattern in a page, with its 0-based position: ``page_id, pos,
+    href, text`` (groups 1 and 2), and with ``url`` the page's season (C9)."""
+    season = [season_of(url).alias("season")] if url else []
+    items = F.arrays_zip(F.regexp_extract_all(F.col(html), F.lit(pattern), 1).alias("href"),
+                         _texts(pattern, html).alias("text"))
+    x = pages.select("page_id", *season, items.alias("_items"))
+    x = x.select("page_id", *x.columns[1:-1], F.posexplode("_items").alias("pos", "_item"))
+    return x.select("page_id", "pos", F.col("_item.href").alias("href"), F.col("_item.text").alias("text"),
+                    *(["season"] if url else []))
 
 
-def pair_rows(rows: DataFrame, seasons: DataFrame | None = None) -> DataFrame:
-    """Join each stat row (even position) with the team row after it.
+def pair_rows(pages: DataFrame, pattern: str = ITEM_RE, html: str = "html", url: str = "url") -> DataFrame:
+    """Each stat item (even position) with the team item after it (J7), from link lists.
 
-    The team cell loses its brackets (C8), the stat cell gets a numeric twin
-    when it parses as a number (C7), and the season of the page is added (C9).
-    An equi-join on (page_id, pos div 2): no window, no ordering of the whole page.
+    The team loses its brackets (C8), the stat gets a numeric twin when it parses as
+    a number (C7), and the page's season is added (C9).  Items are paired inside the
+    page's array and the season comes in the same projection: no shuffle.
     """
-    r = rows.withColumn("pair", F.floor(F.col("pos") / 2).cast("int"))
-    stat = r.filter(F.col("pos") % 2 == 0).select("page_id", "pair", F.col("text").alias("stat"))
-    team = r.filter(F.col("pos") % 2 == 1).select("page_id", "pair", F.col("text").alias("team_raw"))
-    out = stat.join(team, ["page_id", "pair"], "left").select(
-        "page_id", "pair", "stat", soft_cast("stat").alias("stat_value"),
-        strip_brackets("team_raw").alias("team"))
-    if seasons is not None:
-        out = out.join(seasons.select("page_id", "season"), "page_id", "left")
-    return out
+    x = pages.select("page_id", season_of(url).alias("season"), _texts(pattern, html).alias("_items"))
+    x = x.select("page_id", "season", F.posexplode(_pairs(F.col("_items"))).alias("pair", "_p"))
+    return x.select("page_id", "pair", F.col("_p.stat").alias("stat"), soft_cast(F.col("_p.stat")).alias("stat_value"),
+                    strip_brackets(F.col("_p.team")).alias("team"), "season")

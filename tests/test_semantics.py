@@ -236,19 +236,19 @@ def test_csv_scan_null_and_failfast(spark, tmp_path):
 
 
 def test_page_rows_two_rows_per_player(spark):
-    from crease.sources.pages import html_rows, pair_rows, url_catalog
+    from crease.sources.pages import link_rows, pair_rows, url_catalog
     html = ('<ul><li><a href="/p/1">65*</a></li><li><a href="/t/1">(CSK)</a></li>'
             '<li><a href="/p/2">12.5</a></li><li><a href="/t/2">(SRH)</a></li>'
-            '<li><a href="/p/3">7</a></li></ul>')
+            '<li class="x"><a id="y" href="/p/3" rel="z">7</a></li></ul>')
     pages = spark.createDataFrame([(1, "http://stats.example.org/en/2016/averages\n", html)],
                                   "page_id long, url string, html string")
-    rows = html_rows(pages)
+    rows = link_rows(pages)
     assert [(r.pos, r.href, r.text) for r in rows.orderBy("pos").collect()][:2] == \
         [(0, "/p/1", "65*"), (1, "/t/1", "(CSK)")]
     cat = url_catalog(pages).first()
     assert (cat.host, cat.lang, cat.season, cat.url.endswith("averages")) == \
         ("stats.example.org", "en", 2016, True)
-    got = [tuple(r) for r in pair_rows(rows, url_catalog(pages)).orderBy("pair").collect()]
+    got = [tuple(r) for r in pair_rows(pages).orderBy("pair").collect()]
     assert got == [(1, 0, "65*", None, "CSK", 2016), (1, 1, "12.5", 12.5, "SRH", 2016),
                    (1, 2, "7", 7.0, None, 2016)]      # a stat row without its team row is kept
 
@@ -295,15 +295,31 @@ def test_url_list_file(spark, tmp_path):
     assert got == [("id=1", "stats.example.org", 2018), ("id=2", "stats.example.org", 2017)]
 
 
-def test_noise_factor_range_and_spread(spark):
-    from crease.functions import noise_factor
-    df = spark.range(20000).select(noise_factor(1.0, 1.2, F.lit(20), "id").alias("x"))
-    r = df.agg(F.min("x"), F.max("x"), F.avg("x"),
-               F.count_if(F.col("x") < 1.1).alias("low")).first()
-    assert 1.0 <= r[0] and r[1] < 1.2
-    assert abs(r[2] - 1.1) < 0.005 and abs(r["low"] / 20000 - 0.5) < 0.02
-    again = spark.range(20000).select(noise_factor(1.0, 1.2, F.lit(20), "id").alias("x"))
-    assert df.exceptAll(again).count() == 0                      # the same draw every time
+def test_unit_hash_range_and_spread(spark):
+    from crease.functions import unit_hash
+    df = spark.range(20000).select(unit_hash(F.lit(20), "id").alias("x"))
+    r = df.agg(F.min("x"), F.max("x"), F.avg("x"), F.count_if(F.col("x") < 0.5).alias("low")).first()
+    assert 0 <= r[0] and r[1] < 1
+    assert abs(r[2] - 0.5) < 0.01 and abs(r["low"] / 20000 - 0.5) < 0.02
+    again = spark.range(20000).select(unit_hash(F.lit(20), "id").alias("x"))
+    assert df.exceptAll(again).count() == 0                      # the same number every time
+
+
+def test_table_page(spark):
+    from crease.sources.pages import header_cells, html_rows, name_cells, table_pairs
+    html = ("<table><tr><th>Player</th><th>Runs</th></tr>\n<tr class='a'><td><b>A One</b></td><td> 65 </td></tr>"
+            "<TR><td colspan=2>(CSK)</td></TR><tr><td>B Two</td><td>7</td></tr></table>")
+    pages = spark.createDataFrame([(1, "http://x.org/2016/averages", html), (2, "http://x.org/none", None)],
+                                  "page_id long, url string, html string")
+    rows = html_rows(pages).orderBy("pos")
+    assert [(r.page_id, r.pos, r.cells) for r in rows.collect()] == [
+        (1, 0, ["A One", "65"]), (1, 1, ["(CSK)"]), (1, 2, ["B Two", "7"])]
+    assert header_cells(pages).where("page_id = 1").first().header == ["Player", "Runs"]
+    assert tuple(name_cells(rows, ["Player", "Runs"]).where("pos = 1").first()) == (1, 1, "(CSK)", None)
+    pairs = table_pairs(pages, ["Player", "Runs"])
+    assert [tuple(r) for r in pairs.orderBy("pair").collect()] == [
+        (1, 0, "A One", "65", "CSK", 2016), (1, 1, "B Two", "7", None, 2016)]
+    assert "Exchange" not in pairs._jdf.queryExecution().executedPlan().toString()
 
 
 def test_csv_overwrite_replaces(spark, tmp_path):
