@@ -567,8 +567,8 @@ def q_score_overs(spark, d):
 
 @register("score_predicted")
 def q_score_predicted(spark, d):
-    """Scores, from the trees' predictions, of the matches that the fit has not seen."""
-    return OV.score_overs(_predicted(V.Tables(spark, d)).where(OV.held_out()))
+    """Scores of all matches from the trees' predictions; ``held_out``: the fit has not seen the match."""
+    return OV.score_overs(_predicted(V.Tables(spark, d))).withColumn("held_out", OV.held_out())
 
 
 # --------------------------------------------------------------------------- pages

@@ -95,6 +95,13 @@ def test_training_rows_are_bounded_and_hold_matches_out(spark):
     assert 0.1 < share < 0.3 and OV.training_rows(x).count() == x.where(~OV.held_out()).count()
 
 
+def test_all_matches_are_scored(spark):
+    rows = C.QUERIES["score_predicted"](spark, SF001).collect()
+    matches = C._predicted(V.Tables(spark, SF001)).select("match_id", OV.held_out().alias("h")).distinct().collect()
+    assert {(r.match_id, r.held_out) for r in rows} == {(r.match_id, r.h) for r in matches}
+    assert len(rows) == len(matches) > sum(r.held_out for r in rows) > 0
+
+
 def test_tree_dump_holds_the_tree(spark):
     rows = C.QUERIES["tree_dump"](spark, SF001).collect()
     _, rm, wm = C._fitted(V.Tables(spark, SF001))
