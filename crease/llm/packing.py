@@ -6,6 +6,7 @@ documents' token ids, weighted by BM25 with document frequencies and mean length
 of the whole corpus.  A seed document opens a window; its nearest unused
 neighbours fill it, and the last one is cut where the window ends and becomes
 the next seed.  Only the last window of a shard holds padding.
+A seed asks with all its distinct ids, and finds documents of its own shard alone.
 """
 
 from __future__ import annotations
@@ -31,7 +32,7 @@ WINDOW = 2048
 END_ID = 1
 SHARD_DOCS = 2048           # documents of one inverted index
 SHARD_IDS = 1 << 22         # ids after which a shard ends
-QUERY_TERMS = 32            # a seed's rarest token ids that ask for neighbours
+COMMON = 8                  # ids in at least a COMMON-th of a shard's documents have their weights held densely
 K1, B = 1.2, 0.75
 CACHE = 1_000_000           # words whose ids a worker remembers
 
@@ -206,18 +207,31 @@ class Shard:
         order = np.argsort(term, kind="stable")
         self.doc, self.weight = doc[order].astype(np.int32), weight[order].astype(np.float32)
         self.at = np.searchsorted(term[order], np.arange(1 << 16 | 1, dtype=np.int64))
+        # at most 4 * COMMON bytes for each document and distinct id of it
+        count = np.diff(self.at)
+        common = np.flatnonzero(count * COMMON >= max(COMMON, len(ids)))
+        self.row = np.full(1 << 16, -1, np.int32)
+        self.row[common] = np.arange(len(common))
+        self.dense = np.zeros((len(common), len(ids)), np.float32)
+        held = np.repeat(self.row, count)
+        self.dense[held[held >= 0], self.doc[held >= 0]] = self.weight[held >= 0]
         self.free = np.ones(len(ids), dtype=bool)
         self.next = 0
 
-    def neighbours(self, seed: int) -> np.ndarray:
-        """Unused documents that share the seed's rarest ids, best first (ties: the earlier)."""
+    def scores(self, seed: int) -> np.ndarray:
+        """BM25 of every document of the shard for all distinct ids of the seed."""
         terms = self.terms[seed]
-        if len(terms) > QUERY_TERMS:
-            terms = terms[np.argpartition(-self.idf[terms], QUERY_TERMS - 1)[:QUERY_TERMS]]
-        score = np.zeros(len(self.ids), dtype=np.float32)
-        for t in terms.tolist():
-            a, b = self.at[t], self.at[t + 1]
-            score[self.doc[a:b]] += self.weight[a:b]
+        row = self.row[terms]
+        score = self.dense[row[row >= 0]].sum(axis=0, dtype=np.float64)
+        rare = terms[row < 0].astype(np.int64)
+        size = self.at[rare + 1] - self.at[rare]
+        stop = np.cumsum(size)
+        at = np.arange(len(size) and stop[-1]) + np.repeat(self.at[rare] - stop + size, size)
+        return score + np.bincount(self.doc[at], self.weight[at], len(self.ids))
+
+    def neighbours(self, seed: int) -> np.ndarray:
+        """The best 64 unused documents by BM25, best first (ties: the earlier)."""
+        score = self.scores(seed)
         score[~self.free] = 0
         some = np.flatnonzero(score > 0)
         if len(some) > 64:

@@ -367,6 +367,33 @@ def test_every_id_is_packed_once(spark, docs, odd, none):
     assert packing.pack(none).count() == 0
 
 
+def test_neighbours_equal_full_bm25():
+    r = np.random.default_rng(5)
+    ids = [np.append(np.minimum(r.zipf(1.3, r.integers(1, 400)), 5000) + 1, 1).astype(np.uint16) for _ in range(300)]
+    # a long seed of ids that no other document has, but for common ones shared with one document
+    ids += [np.append(np.arange(100, dtype=np.uint16) + 30000, np.arange(20, dtype=np.uint16) + 20000), np.arange(20, dtype=np.uint16) + 20000]
+    n = len(ids)
+    df = np.bincount(np.concatenate([np.unique(x) for x in ids]), minlength=1 << 16)
+    df[20000:20020] = n // 2                      # common in the corpus, not in this shard
+    idf, mean = np.log1p((n - df + 0.5) / (df + 0.5)), sum(map(len, ids)) / n
+    shard = packing.Shard(ids, idf, mean)
+    shard.free[:7] = False
+
+    def bm25(seed, doc):
+        tf = collections.Counter(doc.tolist())
+        norm = packing.K1 * (1 - packing.B + packing.B * len(doc) / mean)
+        return sum(idf[t] * tf[t] * (packing.K1 + 1) / (tf[t] + norm) for t in set(seed.tolist()) if t in tf)
+    for seed in (0, 11, 150, 299, n - 2):
+        want = np.array([bm25(ids[seed], x) for x in ids])
+        np.testing.assert_allclose(shard.scores(seed), want, rtol=1e-5)
+        want[:7] = 0
+        got = shard.neighbours(seed)
+        assert len(got) == min(64, (want > 0).sum())
+        np.testing.assert_allclose(want[got], np.sort(want)[::-1][:len(got)], rtol=1e-5)
+    shard.free[n - 2] = False
+    assert shard.neighbours(n - 2).tolist() == [n - 1]
+
+
 # ---- pipeline
 
 def test_pipeline_stages(spark, docs):
