@@ -2,8 +2,10 @@
 
 The patterns give the base spans.  A tagger, trained in numpy from labelled spans
 (the base spans of a bounded sample, and the same spans respelled), then reads
-windows around digits and at-signs that no base span covers.  Windows overlap by
-half; a span is taken from windows that see all of it, and of all windows' spans
+windows around digits, at-signs and spelled-out ones (``_AT``) that no base span
+covers: every span that ``plausible`` accepts holds one of these.  Windows overlap
+by half; a span is taken from windows that see all of it, a window that cuts one is
+read again twice as wide, until the span or the text ends, and of all windows' spans
 of a text the set without overlaps that has the greatest sum of scores is kept.
 """
 
@@ -32,7 +34,8 @@ _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz01234567
 _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
-_ANCHOR = re.compile(r"[0-9@]")
+_AT = r"@| at |\[at\]|\(at\)"       # what an e-mail holds at least
+_ANCHOR = re.compile(rf"[0-9]|{_AT}")
 
 
 def luhn(digits: str) -> bool:
@@ -333,7 +336,8 @@ def reconcile(spans: list[tuple[int, int, int, float]]) -> list[tuple[int, int,
 
 
 def _open_windows(text: str, base: list[tuple[int, int, int]]) -> list[int]:
-    """Window numbers that hold an anchor no base span covers."""
+    """Window numbers that hold an anchor no base span covers: any span without an
+    overlap that holds one lies within one of them or has ``STRIDE`` characters there."""
     found, k, reach = set(), 0, -1
     for m in _ANCHOR.finditer(text):
         at = m.start()
@@ -377,18 +381,29 @@ class Finder:
             out.append((b, sorted(b + reconcile(free)) if free else b))
         return out
 
-    def _tag(self, texts, where, windows, added) -> None:
+    def _tag(self, texts, where, windows, added, width: int = WINDOW) -> None:
         unique, back = np.unique(np.array(windows), axis=0, return_inverse=True)
-        found = [s for lo in range(0, len(unique), 1024) for s in self.tagger.decode(unique[lo:lo + 1024])]
+        step = max(1, 1024 * WINDOW // width)
+        found = [s for lo in range(0, len(unique), step) for s in self.tagger.decode(unique[lo:lo + step])]
+        cut = set()
         for (i, lo), u in zip(where, back.reshape(-1), strict=True):
             n = len(texts[i])
             for a, b, kind, p in found[u]:
                 a, b = a + lo, min(b + lo, n)
-                if (a == lo and lo) or (b >= lo + WINDOW and lo + WINDOW < n):
-                    continue                       # cut by the window's edge; another window sees it whole
+                if (a == lo and lo) or (b >= lo + width and lo + width < n):
+                    if b - a >= STRIDE:            # else another window sees it whole
+                        cut.add((i, max(0, (lo // (width // 2) - 1) * (width // 2))))
+                    continue
                 value = texts[i][a:b]
                 if p >= MIN_POSTERIOR and plausible(value, kind):
                     added[i].append((a, b, kind, round(p, 6)))
+        wider = sorted(cut)
+        for k in range(0, len(wider), step):
+            x = np.zeros((len(wider[k:k + step]), 2 * width), np.uint8)
+            for row, (i, lo) in zip(x, wider[k:k + step], strict=True):
+                piece = encode(texts[i][lo:lo + 2 * width])
+                row[:len(piece)] = piece
+            self._tag(texts, wider[k:k + step], x, added, 2 * width)
 
 
 def plausible(value: str, kind: int) -> bool:
@@ -397,7 +412,7 @@ def plausible(value: str, kind: int) -> bool:
     if value != value.strip():
         return False
     if kind == 0:
-        return len(value) >= 6 and re.search(r"@| at |\[at\]|\(at\)", value) is not None
+        return len(value) >= 6 and re.search(_AT, value) is not None
     if kind == 1:
         return digits >= 4 and len(re.findall("[0-9]+", value)) == 4
     rest = sum(c not in "0123456789 ().+-" for c in value)

@@ -149,6 +149,25 @@ def test_tagger_learns_other_spellings(docs):
     assert base == [] and [k for _, k, _ in spans] == [3]
 
 
+def test_spelled_out_addresses_at_any_offset():
+    class Runs:
+        """Marks every run of other characters than dashes as an e-mail."""
+        def decode(self, x):
+            dash = pii.encode("-")[0]
+            out = []
+            for row in x:
+                on = np.flatnonzero(np.diff(np.concatenate([[0], (row != dash) & (row != 0), [0]])))
+                out.append([(int(a), int(b), 0, 1.0) for a, b in zip(on[::2], on[1::2], strict=True)])
+            return out
+    finder = pii.Finder(Runs())
+    for value in ("name at host dot org", "name[at]host dot org", "name(at)host dot org", "n" * 40 + " at host dot org",
+                  "name at " + "host dot " * 30 + "org", "n" * 200 + " at " + "h" * 500):
+        for lo in (*range(0, 100, 7), 47, 48, 95, 96, 1000):
+            for tail in (0, 1, 300):
+                (base, spans), = finder.spans(["-" * lo + value + "-" * tail])
+                assert base == [] and spans == [(lo, 0, lo + len(value))], (value, lo, tail)
+
+
 def test_reconcile_takes_the_best_set():
     assert pii.reconcile([(0, 10, 0, 0.9), (8, 12, 1, 1.0), (10, 20, 2, 0.5)]) == [(0, 0, 10), (10, 2, 20)]
     assert pii.reconcile([]) == []
