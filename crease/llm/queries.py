@@ -1,9 +1,10 @@
 """One query per training-data operator, over whole tables with production parameters.
 
-None of these has a DuckDB oracle: each needs CRC-32, SHA-256, a tokenizer, a trained
-model, Arrow-side hashing or a transitive closure over all documents, which SQL
-can't express or not on whole tables.  ``tests/llm`` compares them with brute-force
-versions, exact round trips or held-out accuracy instead.
+Clustering is whole-number arithmetic and has a DuckDB oracle.  The others have none:
+each needs CRC-32, a tokenizer, a trained model, Arrow-side hashing or a transitive
+closure over all documents, which SQL can't express or not on whole tables.
+``tests/llm`` compares them with brute-force versions, exact round trips or held-out
+accuracy instead.
 """
 
 from __future__ import annotations
@@ -13,7 +14,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crease.llm import chat, decontam, langid, licenses, minhash, packing, pii, sharding, toxicity, vectors
+from crease.llm import (
+    chat, decontam, langid, licenses, minhash, packing, pii, repair, sharding, toxicity, urls, vectors, zones)
 from crease.session import ensure_checkpoint_dir
 
 SHARDS = 40
@@ -79,6 +81,19 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), with_ids=False)
 
 
+def op11_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(table(spark, sf_dir, "pages"), urls.fit(urls.labelled_urls(spark)))
+
+
+def op12_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations")
+    return repair.with_all(repair.repair(repair.damaged(turns)), turns)
+
+
+def op13_zone_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return zones.cluster(table(spark, sf_dir, "embeddings"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -88,5 +103,6 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_sharding, op2_chat_format, op3_personal_data, op4_license_scan, op5_near_duplicates,
-                            op6_near_vectors, op7_toxicity, op8_language, op9_decontamination, op10_packing, pipeline)}
-ORACLES: dict[str, str] = {}
+                            op6_near_vectors, op7_toxicity, op8_language, op9_decontamination, op10_packing,
+                            op11_url_filter, op12_turn_repair, op13_zone_clusters, pipeline)}
+ORACLES: dict[str, str] = {"op13_zone_clusters": zones.ORACLE_SQL}
