@@ -12,10 +12,11 @@ OUTCOMES = (0, 1, 2, 3, 4, 6)
 PAIR_THRESHOLD = 9
 # Survival prior = mean pair survival times this (not clamped to 1).
 SURVIVAL_PRIOR_BOOST = 1.05
-# Batting clusters, bowling clusters and the K-means seed.
+# Batting clusters, bowling clusters, the K-means seed and its most rounds.
 BAT_CLUSTERS = 4
 BOWL_CLUSTERS = 5
 KMEANS_SEED = 1
+KMEANS_ROUNDS = 20
 # Elbow sweep: k from 2 to 14, each fit on a 25 % sample.
 ELBOW_KS = range(2, 15)
 ELBOW_FRACTION = 0.25

@@ -121,3 +121,29 @@ def ordinal(df: DataFrame, keys: list[str], order: list[str], chunk: Column,
     """1-based position of each row inside its group (``row_number``), chunked."""
     return running_aggregates(df, keys, order, chunk,
                               [Running(out, "sum", F.lit(1).cast("long"))])
+
+
+def levels_for(rows: int, chunk: int = 4096, fanout: int = 4096) -> int:
+    """The ``levels`` for a group of that many rows in chunks of ``chunk``: no window holds more than ``fanout`` chunks."""
+    levels, chunks = 1, -(-rows // chunk)
+    while chunks > fanout:
+        levels, chunks = levels + 1, -(-chunks // fanout)
+    return levels
+
+
+def dense_ordinal(df: DataFrame, keys: list[str], order: list[str], out: str = "n") -> DataFrame:
+    """1-based position of each row inside its group, however unevenly its rows lie along ``order``.
+
+    No chunk width is needed: rows are dealt by sampled ranges of (keys, order), so
+    a group with very many rows within one hour, or one instant, is cut where its rows are.  A row's
+    position is its place among all rows (:func:`crease.sources.files.ordered_rows`) less
+    the first place of its group, which a partial aggregate finds.  Rows with a null key are dropped; rows
+    that share all of ``order`` too stand in the order of a hash of the row.
+    """
+    from crease.session import splittable
+    from crease.sources.files import ordered_rows
+
+    placed = ordered_rows(df.dropna(subset=keys), [*keys, *order], "_place")
+    first = placed.groupBy(*keys).agg(F.min("_place").alias("_first"))
+    return placed.join(splittable(first, *keys), keys).select(
+        *df.columns, (F.col("_place") - F.col("_first") + 1).alias(out))

@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from crease.fixed import BAT_CLUSTERS as BAT_K, BOWL_CLUSTERS as BOWL_K
 from crease.fixed import BAT_FEATURES, BAT_PROFILE_COLS, BAT_SEASON_COLS, BOWL_FEATURES, BOWL_PROFILE_COLS
-from crease.fixed import ELBOW_FRACTION, ELBOW_KS, KMEANS_SEED, PAIR_THRESHOLD
+from crease.fixed import ELBOW_FRACTION, ELBOW_KS, KMEANS_ROUNDS, KMEANS_SEED, OVERS, PAIR_THRESHOLD
 from crease.plans import oracle as O
 from crease.plans import standins as V
 from crease.operators import matchups as M
@@ -295,6 +295,8 @@ def flagship(spark: SparkSession, d: str) -> DataFrame:
 
 from crease.operators import innings as IN  # noqa: E402
 from crease.operators import overs as OV  # noqa: E402
+from crease.operators import trees as TR  # noqa: E402
+from crease.operators import winshare as WS  # noqa: E402
 
 LOG_COLS = ["match_id", "innings", "ball_no", "batsman", "runs", "wicket"]
 
@@ -484,11 +486,11 @@ def q_labeled_features(spark, d):
 def _pinned(train: DataFrame) -> DataFrame:
     """Fixed partition contents and row order for a training table.
 
-    MLlib samples split candidates per partition, by row position; hashing
-    the over keys into ``FIT_PARTITIONS`` partitions and sorting inside each gives the same
-    sample, hence the same trees, on every run.
+    MLlib samples split candidates per partition, by row position; hashing the over
+    keys into partitions (as many as the number of rows asks for) and sorting inside each
+    gives the same sample, hence the same trees, on every run.
     """
-    return train.repartition(CL.FIT_PARTITIONS, *OV.PLAN_KEYS).sortWithinPartitions(*OV.PLAN_KEYS)
+    return CL.placed(train, OV.PLAN_KEYS)
 
 
 _FITS: dict[tuple[str, str], tuple] = {}
@@ -520,36 +522,28 @@ def _predicted(t: V.Tables) -> DataFrame:
     return OV.predict_overs(feats, rm, wm)
 
 
-O.view("scored_overs", """
+def _score_views(name: str, source: str, deps: list[str]) -> None:
+    """Views of kept overs for ``source`` rows (match_id, innings, over, r, w), rounded predictions."""
+    O.view(f"{name}_scored", f"""
 SELECT match_id, innings, over, w,
        CAST(CASE WHEN w <> 0 THEN round_even(r / 6 * (6 - w), 0) ELSE r END AS BIGINT) AS runs
-FROM (SELECT match_id, innings, CAST((ball_no - 1) // 6 AS INTEGER) AS over,
-             CAST(sum(runs) AS DOUBLE) AS r, count(*) FILTER (WHERE wicket) AS w
-      FROM ball_log GROUP BY 1, 2, 3) o WHERE over < 20""", ["ball_log"])
-
-O.view("running_overs", """
+FROM ({source}) o WHERE over < 20""", deps)
+    O.view(f"{name}_running", f"""
 SELECT *, coalesce(sum(w) OVER earlier, 0) AS w_before, coalesce(sum(runs) OVER earlier, 0) AS r_before
-FROM scored_overs
+FROM {name}_scored
 WINDOW earlier AS (PARTITION BY match_id, innings ORDER BY over ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)""",
-       ["scored_overs"])
-
-O.view("kept_overs", """
-SELECT x.* FROM (SELECT * FROM running_overs WHERE w_before < 10) x
-LEFT JOIN (SELECT match_id, sum(runs) AS target FROM running_overs WHERE w_before < 10 AND innings = 1
+           [f"{name}_scored"])
+    O.view(f"{name}_kept", f"""
+SELECT x.* FROM (SELECT * FROM {name}_running WHERE w_before < 10) x
+LEFT JOIN (SELECT match_id, sum(runs) AS target FROM {name}_running WHERE w_before < 10 AND innings = 1
            GROUP BY match_id) f ON x.match_id = f.match_id
-WHERE x.innings = 1 OR x.r_before <= coalesce(f.target, 0)""", ["running_overs"])
-
-
-@register("over_predictions")
-def q_over_predictions(spark, d):
-    p = _predicted(V.Tables(spark, d))
-    return p.select(*OV.PLAN_KEYS, "striker", "non_striker", "bowler", "pred_runs", "pred_wickets",
-                    OV.held_out().alias("held_out"))
+WHERE x.innings = 1 OR x.r_before <= coalesce(f.target, 0)""", [f"{name}_running"])
 
 
-@register("score_overs", """
+def _score_sql(name: str, more: str = "") -> str:
+    return f"""
 SELECT match_id, runs_1, wickets_1, overs_1, runs_2, wickets_2, overs_2,
-       CASE WHEN runs_2 > runs_1 THEN 'Team 2' ELSE 'Team 1' END AS winner
+       CASE WHEN runs_2 > runs_1 THEN 'Team 2' ELSE 'Team 1' END AS winner{more}
 FROM (SELECT match_id,
              CAST(coalesce(sum(runs) FILTER (WHERE innings = 1), 0) AS BIGINT) AS runs_1,
              CAST(least(coalesce(sum(w) FILTER (WHERE innings = 1), 0), 10) AS BIGINT) AS wickets_1,
@@ -557,7 +551,152 @@ FROM (SELECT match_id,
              CAST(coalesce(sum(runs) FILTER (WHERE innings = 2), 0) AS BIGINT) AS runs_2,
              CAST(least(coalesce(sum(w) FILTER (WHERE innings = 2), 0), 10) AS BIGINT) AS wickets_2,
              count(*) FILTER (WHERE innings = 2) AS overs_2
-      FROM kept_overs GROUP BY match_id) s""", ["kept_overs"])
+      FROM {name}_kept GROUP BY match_id) s"""
+
+
+_score_views("log", """SELECT match_id, innings, CAST((ball_no - 1) // 6 AS INTEGER) AS over,
+             CAST(sum(runs) AS DOUBLE) AS r, count(*) FILTER (WHERE wicket) AS w
+      FROM ball_log GROUP BY 1, 2, 3""", ["ball_log"])
+
+
+# A stated tree of three levels: over, then the striker's strike rate or the bowler's economy, then
+# (for the free hitters) the non-striker's runs per innings.  (node, feature, left, right)
+SPLITS = [(0, 0, 1, 2), (1, 2, 3, 4), (2, 12, 5, 6), (4, 6, 7, 8)]
+SPLIT_DEPTH = 3
+HELD_OUT_SQL = f"""CAST('0x' || substr(md5('held out|' || CAST(match_id AS VARCHAR)), 1, 13) AS BIGINT) / 4503599627370496.0
+       < {OV.HELD_OUT}"""
+
+O.view("tree_rows", f"""
+SELECT f.match_id, f.innings, f.over, f.striker, f.non_striker, f.bowler, t.runs, t.wickets, {HELD_OUT_SQL.replace("match_id", "f.match_id")} AS held_out,
+       [CAST(f.over AS DOUBLE), {", ".join(f"f.{c}" for c in FEATURE_COLS)}] AS feats
+FROM over_feats f
+JOIN (SELECT match_id, innings, CAST((ball_no - 1) // 6 AS INTEGER) AS over, sum(runs) AS runs,
+             count(*) FILTER (WHERE wicket) AS wickets FROM cut_log GROUP BY 1, 2, 3) t
+  ON f.match_id = t.match_id AND f.innings = t.innings AND f.over = t.over""", ["over_feats", "cut_log"], kept=True)
+
+O.view("tree_splits", " UNION ALL ".join(
+    f"SELECT {n} AS node, {f} AS feature, (SELECT round(avg(feats[{f + 1}]), 6) FROM tree_rows WHERE NOT held_out) AS threshold, "
+    f"{a} AS l, {b} AS r" for n, f, a, b in SPLITS), ["tree_rows"], kept=True)
+
+O.view("tree_walk", """
+SELECT match_id, innings, over, feats, 0 AS node FROM tree_rows
+UNION ALL
+SELECT w.match_id, w.innings, w.over, w.feats, CASE WHEN w.feats[s.feature + 1] <= s.threshold THEN s.l ELSE s.r END
+FROM tree_walk w JOIN tree_splits s ON s.node = w.node""", ["tree_splits"], recursive=True)
+
+O.view("tree_leaves", """
+SELECT t.*, w.node FROM tree_rows t JOIN tree_walk w ON t.match_id = w.match_id AND t.innings = w.innings AND t.over = w.over
+WHERE w.node NOT IN (SELECT node FROM tree_splits)""", ["tree_walk"], kept=True)
+
+O.view("tree_nodes", """
+SELECT n.node, s.feature, s.threshold, coalesce(s.l, -1) AS l, coalesce(s.r, -1) AS r,
+       coalesce(m.runs, (SELECT avg(runs) FROM tree_rows WHERE NOT held_out)) AS pred_runs,
+       coalesce(m.wickets, (SELECT avg(wickets) FROM tree_rows WHERE NOT held_out)) AS pred_wickets
+FROM (SELECT 0 AS node UNION SELECT l FROM tree_splits UNION SELECT r FROM tree_splits) n
+LEFT JOIN tree_splits s ON s.node = n.node
+LEFT JOIN (SELECT node, avg(runs) AS runs, avg(wickets) AS wickets FROM tree_leaves WHERE NOT held_out GROUP BY node) m
+  ON m.node = n.node""", ["tree_leaves"], kept=True)
+
+O.view("tree_preds", """
+SELECT l.match_id, l.innings, l.over, l.striker, l.non_striker, l.bowler, l.held_out, l.node, n.pred_runs, n.pred_wickets
+FROM tree_leaves l JOIN tree_nodes n ON n.node = l.node""", ["tree_nodes"])
+
+_score_views("tree", "SELECT match_id, innings, over, round_even(pred_runs, 0) AS r, CAST(round_even(pred_wickets, 0) AS BIGINT) AS w "
+             "FROM tree_preds", ["tree_preds"])
+
+
+def _labelled(t: V.Tables) -> DataFrame:
+    """Over features with the totals of the over and whether its match is held out, written once."""
+    from crease.session import materialize
+    strikes = materialize(_strikes_cut(t), "strikes")
+    feats = _features(t, strikes).join(IN.over_totals(strikes), OV.PLAN_KEYS)
+    return materialize(feats.withColumn("held_out", OV.held_out()), "labelled-overs")
+
+
+def _stated(overs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The stated tree as two node tables, with the mean runs and the mean wickets of each leaf's overs."""
+    seen = overs.where("not held_out")
+    nodes = TR.stated_tree(seen, SPLITS)
+    return TR.leaf_means(nodes, seen, "total_runs", SPLIT_DEPTH), TR.leaf_means(nodes, seen, "total_wickets", SPLIT_DEPTH)
+
+
+def _stated_predictions(overs: DataFrame) -> DataFrame:
+    """Every over with its prediction from the stated tree; the held-out matches' overs had no part in it."""
+    runs, wickets = _stated(overs)
+    x = TR.descend(overs, runs, SPLIT_DEPTH, prediction="pred_runs")
+    return TR.descend(x.drop("leaf"), wickets, SPLIT_DEPTH, prediction="pred_wickets")
+
+
+@register("tree_nodes", f"""
+SELECT node, CAST(feature AS INTEGER) AS feature, {O.round_cols(["threshold"])}, CAST(l AS INTEGER) AS "left", CAST(r AS INTEGER) AS "right",
+       {O.round_cols(["pred_runs", "pred_wickets"])} FROM tree_nodes""", ["tree_nodes"])
+def q_tree_nodes(spark, d):
+    """The stated tree: thresholds are feature means, leaves the mean runs and wickets of their overs."""
+    runs, wickets = _stated(_labelled(V.Tables(spark, d)))
+    both = runs.withColumnRenamed("prediction", "pred_runs").join(
+        wickets.select("node", F.col("prediction").alias("pred_wickets")), "node")
+    return rounded(both.select("node", "feature", "threshold", "left", "right", "pred_runs", "pred_wickets"))
+
+
+@register("over_predictions", f"""
+SELECT match_id, innings, over, striker, non_striker, bowler, {O.round_cols(["pred_runs", "pred_wickets"])}, node AS leaf, held_out
+FROM tree_preds""", ["tree_preds"])
+def q_over_predictions(spark, d):
+    """Expected runs and wickets of every over, and the leaf it ends at, from the stated tree."""
+    p = _stated_predictions(_labelled(V.Tables(spark, d)))
+    return rounded(p.select(*OV.PLAN_KEYS, "striker", "non_striker", "bowler", "pred_runs", "pred_wickets", "leaf", "held_out"))
+
+
+@register("score_predicted", _score_sql("tree", ", " + HELD_OUT_SQL + " AS held_out"), ["tree_kept"])
+def q_score_predicted(spark, d):
+    """Scores of all matches from the stated tree; ``held_out``: its leaves have not seen the match."""
+    p = _stated_predictions(_labelled(V.Tables(spark, d))).select(*OV.PLAN_KEYS, "pred_runs", "pred_wickets")
+    return OV.score_overs(p).withColumn("held_out", OV.held_out())
+
+
+def _fitted_nodes(t: V.Tables) -> tuple[DataFrame, DataFrame, int]:
+    """Node tables of both fitted trees, with levels, and the greater depth."""
+    from crease.session import materialize, scratch_path
+    _, rm, wm = _fitted(t)
+    depth = max(rm.depth, wm.depth)
+    runs, wickets = (materialize(TR.with_levels(OV.tree_dump(m, scratch_path(t.spark, "tree")).select(*TR.NODE), m.depth), "nodes")
+                     for m in (rm, wm))
+    return runs, wickets, depth
+
+
+def _walked(t: V.Tables) -> DataFrame:
+    """Predictions of every over by walking the fitted trees' node tables."""
+    runs, wickets, depth = _fitted_nodes(t)
+    x = TR.descend(_fitted(t)[0], runs, depth, prediction="pred_runs").drop("leaf")
+    return TR.descend(x, wickets, depth, prediction="pred_wickets")
+
+
+@register("over_predictions_fitted")
+def q_over_predictions_fitted(spark, d):
+    """As ``over_predictions`` with the fitted trees, whose node tables are walked."""
+    p = _walked(V.Tables(spark, d))
+    return p.select(*OV.PLAN_KEYS, "striker", "non_striker", "bowler", "pred_runs", "pred_wickets", OV.held_out().alias("held_out"))
+
+
+@register("tree_checks", "SELECT count(*) AS overs, CAST(0 AS BIGINT) AS runs_differ, CAST(0 AS BIGINT) AS wickets_differ FROM plan", ["plan"])
+def q_tree_checks(spark, d):
+    """Of the fitted trees (M7): overs, and overs where walking the node tables gives another
+    prediction of runs or of wickets than the models do."""
+    t = V.Tables(spark, d)
+    model = _predicted(t).select(*OV.PLAN_KEYS, F.col("pred_runs").alias("r"), F.col("pred_wickets").alias("w"))
+    both = _walked(t).join(model, OV.PLAN_KEYS, "left")
+    differ = lambda a, b: F.count_if(~F.col(a).eqNullSafe(F.col(b)))
+    return both.agg(F.count("*").alias("overs"), differ("pred_runs", "r").alias("runs_differ"),
+                    differ("pred_wickets", "w").alias("wickets_differ"))
+
+
+@register("score_fitted")
+def q_score_fitted(spark, d):
+    """Scores of all matches from the fitted trees' predictions; ``held_out``: the fit has not seen the match."""
+    return OV.score_overs(_predicted(V.Tables(spark, d))).withColumn("held_out", OV.held_out())
+
+
+@register("score_overs", _score_sql("log"), ["log_kept"])
 def q_score_overs(spark, d):
     """Scores from given over predictions: the over totals of the uncut log."""
     o = IN.over_totals(V.ball_log(V.Tables(spark, d)))
@@ -565,10 +704,55 @@ def q_score_overs(spark, d):
                                    F.col("total_wickets").cast("double").alias("pred_wickets")))
 
 
-@register("score_predicted")
-def q_score_predicted(spark, d):
-    """Scores of all matches from the trees' predictions; ``held_out``: the fit has not seen the match."""
-    return OV.score_overs(_predicted(V.Tables(spark, d))).withColumn("held_out", OV.held_out())
+# the distribution of an over at each leaf, folded over by over, in SQL by innings
+O.view("leaf_share", """
+SELECT node, CAST(CASE WHEN wickets <> 0 THEN round_even(CAST(runs AS DOUBLE) / 6 * (6 - wickets), 0) ELSE runs END AS BIGINT) AS r,
+       wickets AS w, CAST(count(*) AS DOUBLE) / sum(count(*)) OVER (PARTITION BY node) AS share
+FROM tree_leaves WHERE NOT held_out GROUP BY node, runs, wickets""", ["tree_leaves"], kept=True)
+
+O.view("innings_leaves", """
+SELECT match_id, innings, node, row_number() OVER (PARTITION BY match_id, innings ORDER BY over) AS k
+FROM tree_leaves WHERE over < 20""", ["tree_leaves"], kept=True)
+
+O.view("innings_p0", """
+SELECT DISTINCT match_id, innings, CAST(0 AS BIGINT) AS r, CAST(0 AS BIGINT) AS w, CAST(1 AS DOUBLE) AS p
+FROM innings_leaves""", ["innings_leaves"], kept=True)
+
+for _k in range(1, OVERS + 1):
+    O.view(f"innings_p{_k}", f"""
+SELECT match_id, innings, r, w, sum(p) AS p FROM (
+  SELECT s.match_id, s.innings, s.r + CASE WHEN s.w < 10 THEN d.r ELSE 0 END AS r,
+         least(s.w + CASE WHEN s.w < 10 THEN d.w ELSE 0 END, 10) AS w, s.p * d.share AS p
+  FROM innings_p{_k - 1} s JOIN innings_leaves l ON l.match_id = s.match_id AND l.innings = s.innings AND l.k = {_k}
+  JOIN leaf_share d ON d.node = l.node
+  UNION ALL
+  SELECT s.* FROM innings_p{_k - 1} s LEFT JOIN innings_leaves l ON l.match_id = s.match_id AND l.innings = s.innings AND l.k = {_k}
+  WHERE l.k IS NULL) x GROUP BY match_id, innings, r, w""", [f"innings_p{_k - 1}", "leaf_share"], kept=True)
+
+O.view("totals_p", f"SELECT match_id, innings, r, sum(p) AS p FROM innings_p{OVERS} GROUP BY match_id, innings, r", [f"innings_p{OVERS}"], kept=True)
+
+
+@register("win_share", """
+SELECT m.match_id, round(coalesce(e.e1, 0), 6) AS expected_1, round(coalesce(e.e2, 0), 6) AS expected_2,
+       round(sum(CASE WHEN a.r > b.r THEN a.p * b.p ELSE 0 END), 6) AS win_1,
+       round(sum(CASE WHEN a.r = b.r THEN a.p * b.p ELSE 0 END), 6) AS tie,
+       round(sum(CASE WHEN a.r < b.r THEN a.p * b.p ELSE 0 END), 6) AS win_2
+FROM (SELECT DISTINCT match_id FROM innings_leaves) m
+JOIN (SELECT match_id, sum(r * p) FILTER (WHERE innings = 1) AS e1, sum(r * p) FILTER (WHERE innings = 2) AS e2
+      FROM totals_p GROUP BY match_id) e ON e.match_id = m.match_id
+JOIN (SELECT match_id, r, p FROM totals_p WHERE innings = 1 UNION ALL
+      SELECT match_id, 0, 1 FROM totals_p GROUP BY match_id HAVING count(*) FILTER (WHERE innings = 1) = 0) a ON a.match_id = m.match_id
+JOIN (SELECT match_id, r, p FROM totals_p WHERE innings = 2 UNION ALL
+      SELECT match_id, 0, 1 FROM totals_p GROUP BY match_id HAVING count(*) FILTER (WHERE innings = 2) = 0) b ON b.match_id = m.match_id
+GROUP BY m.match_id, e.e1, e.e2""", ["totals_p"])
+def q_win_share(spark, d):
+    """Win share and expected totals of every match, from the runs and wickets at the leaves of the stated tree."""
+    overs = _labelled(V.Tables(spark, d))
+    seen = overs.where("not held_out")
+    nodes = TR.stated_tree(seen, SPLITS)
+    dist = WS.over_distribution(TR.leaf_counts(nodes, seen, ["total_runs", "total_wickets"], SPLIT_DEPTH))
+    leaves = TR.descend(overs, nodes, SPLIT_DEPTH).select(*OV.PLAN_KEYS, "leaf")
+    return rounded(WS.win_share(leaves, dist))
 
 
 # --------------------------------------------------------------------------- pages
@@ -631,6 +815,34 @@ def q_pair_rows(spark, d):
     return PG.pair_rows(V.Tables(spark, d).pages)
 
 
+_SEEN = f"regexp_replace(html, '<!--.*?-->|<script\\b.*?</script\\s*>|<style\\b.*?</style\\s*>', '', 'gis')"
+
+
+@register("element_rows", f"""
+SELECT page_id, element, 'body' AS section, CAST(unnest(range(0, len(rows))) AS INTEGER) AS pos, unnest(rows) AS cells
+FROM (SELECT page_id, element, list_filter(list_transform(regexp_extract_all(content, '(?is)<li\\b[^>]*>(.*?)</li', 1),
+             lambda r: array_to_string(list_transform(regexp_extract_all(r, '(?is)<a\\b[^>]*>(.*?)</a', 1),
+                                                      lambda c: trim(regexp_replace(c, '<[^>]*>', '', 'g'))), '|')), lambda r: r <> '') AS rows
+      FROM (SELECT page_id, CAST(unnest(range(0, len(lists))) AS INTEGER) AS element, unnest(lists) AS content
+            FROM (SELECT page_id, regexp_extract_all({_SEEN}, '(?is)<ul\\b[^>]*>(.*?)</ul\\s*>', 1) AS lists FROM pages) l) e) r""")
+def q_element_rows(spark, d):
+    """Rows of the lists of a page (S3): an element's items, and the links in an item for cells."""
+    rows = PG.element_rows(V.Tables(spark, d).pages, tag="ul", row_tag="li", cell_tags=("a",))
+    return rows.withColumn("cells", F.array_join("cells", "|"))
+
+
+@register("classed_elements", f"""
+SELECT page_id, CAST(n AS INTEGER) AS element, trim(regexp_replace(said, '<[^>]*>', '', 'g')) AS text
+FROM (SELECT page_id, unnest(range(0, len(tags))) AS n, unnest(tags) AS tag, unnest(said) AS said
+      FROM (SELECT page_id, regexp_extract_all({_SEEN}, '(?is)<div\\b([^>]*)>.*?</div\\s*>', 1) AS tags,
+                   regexp_extract_all({_SEEN}, '(?is)<div\\b[^>]*>(.*?)</div\\s*>', 1) AS said FROM pages) p) e
+WHERE regexp_matches(tag, 'class="([^"]* )?ad( [^"]*)?"')""")
+def q_classed_elements(spark, d):
+    """The boxes of a page that have a class, with what they say."""
+    boxes = PG.elements(V.Tables(spark, d).pages, "div", classed="ad")
+    return boxes.select("page_id", "element", PG.element_text().alias("text"))
+
+
 # --------------------------------------------------------------------------- files
 
 CUSTOMER_SCHEMA = ("c_custkey long, c_name string, c_nationkey int, c_acctbal double, "
@@ -659,6 +871,55 @@ def q_csv_append(spark, d):
     return _customer_csv(spark, d, append=True)
 
 
+@register("csv_append_once", "SELECT * FROM customer UNION ALL SELECT * FROM customer WHERE c_custkey % 2 = 0")
+def q_csv_append_once(spark, d):
+    """Two batches, the first of them appended again by a repeated job: each counts once."""
+    from crease.session import scratch_path
+    cust, path = V.Tables(spark, d).customer, scratch_path(spark, "batches")
+    even = cust.where("c_custkey % 2 = 0")
+    for batch, rows in (("all", cust), ("even", even), ("all", cust)):
+        FS.csv_append_batch(rows, path, batch)
+    return FS.csv_scan_batches(spark, path, CUSTOMER_SCHEMA)
+
+
+@register("ordered_rows", """
+SELECT event_id, event_type, row_number() OVER (ORDER BY event_type, value DESC, event_id) AS position FROM events""")
+def q_ordered_rows(spark, d):
+    """All events in order of type, falling value and id, numbered throughout (O1)."""
+    ev = V.Tables(spark, d).events.select("event_id", "event_type", "value")
+    return FS.ordered_rows(ev, ["event_type", F.col("value").desc(), "event_id"]).drop("value")
+
+
+@register("ordered_groups", """
+SELECT batsman, bowler, balls, row_number() OVER (ORDER BY batsman, bowler) AS position FROM counts""", ["counts"])
+def q_ordered_groups(spark, d):
+    """Pair counts in key order (O1), as a group-by of the reference gives them."""
+    pairs = M.matchup_counts(V.ball_events(V.Tables(spark, d))).select("batsman", "bowler", "balls")
+    return FS.ordered_rows(pairs, ["batsman", "bowler"])
+
+
+@register("season_list", f"""
+SELECT position, url, 2018 - position AS season FROM (
+  SELECT row_number() OVER (ORDER BY page_id) - 1 AS position, regexp_replace(url, '{PG.TRAIL_RE}', '') AS url FROM pages) p
+WHERE url <> ''""")
+def q_season_list(spark, d):
+    """The pages' URLs as a list in files, read back with the season of each from its place."""
+    from crease.session import scratch_path
+    path = scratch_path(spark, "urls")
+    urls = V.Tables(spark, d).pages.select("page_id", F.coalesce("url", F.lit("")).alias("url"))
+    urls.repartitionByRange(4, "page_id").sortWithinPartitions("page_id").select("url").write.text(path)
+    return PG.season_list(spark, path)
+
+
+@register("dense_ordinal", """
+SELECT user_id, event_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS n FROM events WHERE user_id IS NOT NULL""")
+def q_dense_ordinal(spark, d):
+    """Position of every event in its user's history, by ranges instead of chunks of time."""
+    from crease.operators.running import dense_ordinal
+    ev = V.Tables(spark, d).events.select("user_id", "ts", "event_id")
+    return dense_ordinal(ev, ["user_id"], ["ts", "event_id"]).drop("ts")
+
+
 @register("repartition_rows", "SELECT * FROM ball_events", ["ball_events"])
 def q_repartition_rows(spark, d):
     return FS.repartition_rows(V.ball_events(V.Tables(spark, d)), 5, ["batsman", "bowler"])
@@ -747,20 +1008,70 @@ def q_sample_rows(spark, d):
     return CL.sample_rows(V.Tables(spark, d).customer, ELBOW_FRACTION, KMEANS_SEED, ["c_custkey"])
 
 
-@register("fit_clusters")
+# ---- K-means rounds from stated start points, in whole numbers, in both engines
+
+
+def _kmeans_views(name: str, source: str, deps: list[str], features: list[str], ks, sampled: bool = False) -> None:
+    """Views ``<name>_points`` (Player, v), the start and each round's centres ``<name>_c<round>`` (k, id, v)."""
+    steps = ", ".join(f"CAST(floor(CAST({c} AS DOUBLE) * {CL.GRID} + 0.5) AS BIGINT)" for c in features)
+    given = " AND ".join(f"{c} IS NOT NULL" for c in features)
+    O.view(f"{name}_points", f"SELECT Player, [{steps}] AS v FROM {source} WHERE {given}", deps, kept=True)
+    draw = f"CAST('0x' || substr(md5('{KMEANS_SEED}|' || CAST(Player AS VARCHAR)), 1, 13) AS BIGINT) / 4503599627370496.0"
+    O.view(f"{name}_fit", f"SELECT Player, v FROM {name}_points" + f" WHERE {draw} < {ELBOW_FRACTION}" * sampled, [f"{name}_points"], kept=True)
+    O.view(f"{name}_c0", f"""
+SELECT k, id, v FROM (SELECT CAST(row_number() OVER (ORDER BY {draw}, Player) - 1 AS INTEGER) AS id, v FROM {name}_fit) s
+JOIN (SELECT unnest({list(ks)}) AS k) n ON id < k""", [f"{name}_fit"], kept=True)
+    for r in range(KMEANS_ROUNDS):
+        O.view(f"{name}_c{r + 1}", f"""
+SELECT c.k, c.id, coalesce(m.v, c.v) AS v FROM {name}_c{r} c LEFT JOIN (
+  SELECT k, id, list(x ORDER BY i) AS v FROM (
+    SELECT k, id, i, CAST((sum(x) - ((sum(x) % count(*)) + count(*)) % count(*)) // count(*) AS BIGINT) AS x FROM (
+      SELECT k, id, unnest(range(1, {len(features) + 1})) AS i, unnest(v) AS x FROM ({_near_sql(f"{name}_fit", f"{name}_c{r}")}) a) u
+    GROUP BY k, id, i) f GROUP BY k, id) m ON m.k = c.k AND m.id = c.id""", [f"{name}_c{r}"], kept=True)
+
+
+def _near_sql(points: str, centres: str) -> str:
+    """(k, Player, v, id, d): each point's nearest centre of each k."""
+    d = "list_sum(list_transform(range(1, len(p.v) + 1), lambda i: (p.v[i] - c.v[i]) * (p.v[i] - c.v[i])))"
+    return f"""SELECT k, Player, v, near['id'] AS id, near['d'] AS d FROM (
+        SELECT c.k, p.Player, any_value(p.v) AS v, min({{'d': {d}, 'id': c.id}}) AS near
+        FROM {points} p CROSS JOIN {centres} c GROUP BY c.k, p.Player) n"""
+
+
+_LAST = f"c{KMEANS_ROUNDS}"
+_kmeans_views("batk", "bat_career", ["bat_career"], BAT_FEATURES, [BAT_K])
+_kmeans_views("bowlk", "bowl_career", ["bowl_career"], BOWL_FEATURES, [BOWL_K])
+_kmeans_views("bate", "bat_career", ["bat_career"], BAT_FEATURES, ELBOW_KS, sampled=True)
+_kmeans_views("bowle", "bowl_career", ["bowl_career"], BOWL_FEATURES, ELBOW_KS, sampled=True)
+_kmeans_views("profk", "(SELECT bowler AS Player, * FROM bowl_profile)", ["bowl_profile"], BOWL_P, [BOWL_K])
+
+
+def _bat_grid(t: V.Tables) -> DataFrame:
+    from crease.session import materialize
+    return materialize(CL.on_grid(_bat_career(t), BAT_FEATURES), "bat-points")
+
+
+def _bowl_grid(t: V.Tables) -> DataFrame:
+    from crease.session import materialize
+    return materialize(CL.on_grid(_bowl_career(t), BOWL_FEATURES), "bowl-points")
+
+
+@register("fit_clusters", f"""
+SELECT CAST(id AS INTEGER) AS cluster, {", ".join(f"v[{i + 1}] / {CL.GRID}.0 AS {c}" for i, c in enumerate(BAT_FEATURES))}
+FROM batk_{_LAST}""", [f"batk_{_LAST}"])
 def q_fit_clusters(spark, d):
-    t = V.Tables(spark, d)
-    pts = _bat_points(t)
-    return CL.centres_table(CL.fit_clusters(pts, BAT_K, seed=KMEANS_SEED))
+    """Centres of the batting clusters (k = 4) after the rounds, one column a feature."""
+    centres = CL.lloyd(_bat_grid(V.Tables(spark, d)), [BAT_K])[BAT_K]
+    return CL.grid_centres(spark, centres).select("cluster", *[F.col("center")[i].alias(c) for i, c in enumerate(BAT_FEATURES)])
 
 
-@register("player_clusters")
+@register("player_clusters", f"""
+SELECT Player, CAST(id AS INTEGER) AS cluster, round(d / {CL.GRID ** 2}.0, 6) AS distance
+FROM ({_near_sql("batk_points", f"batk_{_LAST}")}) a""", [f"batk_{_LAST}"])
 def q_player_clusters(spark, d):
-    """Batting clusters of every player from a K-means fit (M2 + M3)."""
-    t = V.Tables(spark, d)
-    pts = _bat_points(t)
-    centres = CL.centres_table(CL.fit_clusters(pts, BAT_K, seed=KMEANS_SEED))
-    return CL.assign_clusters(pts, centres, keep=["Player"])
+    """Batting clusters of every player and the distance to his centre (M2 + M3)."""
+    points = _bat_grid(V.Tables(spark, d))
+    return rounded(CL.grid_assign(points, CL.lloyd(points, [BAT_K])[BAT_K]))
 
 
 @register("cluster_checks", """
@@ -781,10 +1092,12 @@ def q_cluster_checks(spark, d):
                  F.count_if(F.col("distance") > F.col("least") * (1 + 1e-9) + 1e-9).alias("not_nearest"))
 
 
-@register("elbow_curve")
+@register("elbow_curve", f"""
+SELECT CAST(k AS INTEGER) AS k, round(sum(d) / {CL.GRID ** 2}.0, 6) AS cost FROM ({_near_sql("bate_points", f"bate_{_LAST}")}) a GROUP BY k""",
+          [f"bate_{_LAST}"])
 def q_elbow_curve(spark, d):
-    t = V.Tables(spark, d)
-    return CL.elbow_curve(_bat_points(t), ELBOW_KS, ELBOW_FRACTION, seed=KMEANS_SEED, parallelism=8)
+    """Cost of each k on all batters, from fits of all k at once on a sample (M4)."""
+    return rounded(CL.lloyd_elbow(_bat_grid(V.Tables(spark, d))))
 
 
 # --------------------------------------------------------------------------- single scalar operators
@@ -841,41 +1154,39 @@ def q_tree_dump(spark, d):
 
 
 
-def _bowl_points(t: V.Tables) -> DataFrame:
-    c = CR.cast_features(_bowl_career(t), BOWL_FEATURES)
-    return CL.assemble_features(c, BOWL_FEATURES).select("Player", "features")
-
-
-def _fitted_clusters(points: DataFrame, k: int) -> DataFrame:
-    """(Player, Cluster) from a K-means fit on the points (M2 + M3)."""
-    centres = CL.centres_table(CL.fit_clusters(points, k, seed=KMEANS_SEED))
-    return (CL.assign_clusters(points, centres, keep=["Player"])
-            .select("Player", F.col("cluster").alias("Cluster")))
-
-
-@register("bowling_clusters")
+@register("bowling_clusters", f"""
+SELECT Player, CAST(id AS INTEGER) AS "Cluster" FROM ({_near_sql("bowlk_points", f"bowlk_{_LAST}")}) a""", [f"bowlk_{_LAST}"])
 def q_bowling_clusters(spark, d):
     """Bowling clusters (k = 5) of every bowler from his career features."""
-    return _fitted_clusters(_bowl_points(V.Tables(spark, d)), BOWL_K)
+    points = _bowl_grid(V.Tables(spark, d))
+    return CL.grid_assign(points, CL.lloyd(points, [BOWL_K])[BOWL_K]).select("Player", F.col("cluster").alias("Cluster"))
 
 
-@register("elbow_curve_bowling")
+@register("elbow_curve_bowling", f"""
+SELECT CAST(k AS INTEGER) AS k, round(sum(d) / {CL.GRID ** 2}.0, 6) AS cost FROM ({_near_sql("bowle_points", f"bowle_{_LAST}")}) a GROUP BY k""",
+          [f"bowle_{_LAST}"])
 def q_elbow_curve_bowling(spark, d):
-    t = V.Tables(spark, d)
-    return CL.elbow_curve(_bowl_points(t), ELBOW_KS, ELBOW_FRACTION, seed=KMEANS_SEED, parallelism=8)
+    return rounded(CL.lloyd_elbow(_bowl_grid(V.Tables(spark, d))))
+
+
+O.view("fit_bat", f"SELECT Player, id AS Cluster FROM ({_near_sql('batk_points', f'batk_{_LAST}')}) a", [f"batk_{_LAST}"], kept=True)
+O.view("fit_bowl", f"SELECT Player, id AS Cluster FROM ({_near_sql('profk_points', f'profk_{_LAST}')}) a", [f"profk_{_LAST}"], kept=True)
+O.pool_views("known_pairs_fit", "pool_means_fit", "probs", "fit_bat", "fit_bowl")
 
 
-@register("batch_outcomes_fitted")
+@register("batch_outcomes_fitted", _batch_sql("probs", "pool_means_fit", "priors"), ["requests", "probs", "pool_means_fit", "priors"])
 def q_batch_outcomes_fitted(spark, d):
-    """Outcome tiers with clusters from K-means, as in the reference's own flow.
+    """Outcome tiers with fitted clusters, as in the reference's own flow.
 
     Batters are clustered (k = 4) on their careers.  The bowlers of the ball
     log are brands, which have no season table here, so they are clustered
     (k = 5) on their bowling profiles from the log itself.
     """
+    from crease.session import materialize
     t = V.Tables(spark, d)
-    bat_cl = _fitted_clusters(_bat_points(t), BAT_K)
+    bat = _bat_grid(t)
     prof = CR.bowling_profile(V.ball_events(t)).withColumnRenamed("bowler", "Player")
-    bowl_pts = CL.assemble_features(prof, BOWL_P).select("Player", "features")
-    bowl_cl = _fitted_clusters(bowl_pts, BOWL_K)
-    return OC.batch_outcomes(V.requests(t), _probs(t), bat_cl, bowl_cl)
+    bowl = materialize(CL.on_grid(prof, BOWL_P), "bowl-profiles")
+    bat_cl, bowl_cl = (CL.grid_assign(p, CL.lloyd(p, [k])[k]).select("Player", F.col("cluster").alias("Cluster"))
+                       for p, k in ((bat, BAT_K), (bowl, BOWL_K)))
+    return rounded(OC.batch_outcomes(V.requests(t), _probs(t), bat_cl, bowl_cl))

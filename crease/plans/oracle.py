@@ -12,11 +12,17 @@ from crease.fixed import BALLS_PER_OVER, OVERS, PAIR_THRESHOLD, SURVIVAL_PRIOR_B
 
 VIEWS: dict[str, str] = {}
 DEPS: dict[str, list[str]] = {}
+RECURSIVE: set[str] = set()         # views that read themselves
+KEPT: set[str] = set()              # views computed once however often they are read
 
 
-def view(name: str, sql: str, deps: list[str] | None = None) -> None:
+def view(name: str, sql: str, deps: list[str] | None = None, recursive: bool = False, kept: bool = False) -> None:
     VIEWS[name] = sql.strip()
     DEPS[name] = deps or []
+    if recursive:
+        RECURSIVE.add(name)
+    if kept:
+        KEPT.add(name)
 
 
 view("balls", """
@@ -157,23 +163,26 @@ SELECT Player, CAST(coalesce(sum(Inns), 0) AS BIGINT) AS Inns, coalesce(sum(Runs
 FROM bowl_rows WHERE Player IS NOT NULL GROUP BY Player""", ["bowl_rows"])
 
 # cluster pool in its direct form: the union all of both halves, per request pair
-view("known_pairs", """
+def pool_views(pairs: str, means: str, probs: str, bat: str = "bat_clusters", bowl: str = "bowl_clusters") -> None:
+    view(pairs, f"""
 SELECT DISTINCT r.batsman, r.bowler, b.Cluster AS bat_cluster, w.Cluster AS bowl_cluster
-FROM requests r JOIN bat_clusters b ON r.batsman = b.Player
-JOIN bowl_clusters w ON r.bowler = w.Player""", ["requests", "bat_clusters", "bowl_clusters"])
-
-for _name, _src in (("pool_means", "probs"), ("pool_means24", "probs24")):
-    view(_name, f"""
+FROM requests r JOIN {bat} b ON r.batsman = b.Player
+JOIN {bowl} w ON r.bowler = w.Player""", ["requests", bat, bowl])
+    view(means, f"""
 SELECT batsman, bowler, count(*) AS n, avg(c0) AS c0, avg(c1) AS c1, avg(c2) AS c2, avg(c3) AS c3,
        avg(c4) AS c4, avg(c6) AS c6, avg(survive) AS survive
 FROM (SELECT k.batsman, k.bowler, p.c0, p.c1, p.c2, p.c3, p.c4, p.c6, p.survive
-      FROM known_pairs k JOIN bat_clusters b2 ON b2.Cluster = k.bat_cluster
-      JOIN {_src} p ON p.batsman = b2.Player AND p.bowler = k.bowler
+      FROM {pairs} k JOIN {bat} b2 ON b2.Cluster = k.bat_cluster
+      JOIN {probs} p ON p.batsman = b2.Player AND p.bowler = k.bowler
       UNION ALL
       SELECT k.batsman, k.bowler, p.c0, p.c1, p.c2, p.c3, p.c4, p.c6, p.survive
-      FROM known_pairs k JOIN bowl_clusters w2 ON w2.Cluster = k.bowl_cluster
-      JOIN {_src} p ON p.bowler = w2.Player AND p.batsman = k.batsman) u
-GROUP BY batsman, bowler""", ["known_pairs", _src])
+      FROM {pairs} k JOIN {bowl} w2 ON w2.Cluster = k.bowl_cluster
+      JOIN {probs} p ON p.bowler = w2.Player AND p.batsman = k.batsman) u
+GROUP BY batsman, bowler""", [pairs, probs])
+
+
+pool_views("known_pairs", "pool_means", "probs")
+pool_views("known_pairs", "pool_means24", "probs24")
 
 
 def pick_sql(prefix: str, u: str = "u") -> str:
@@ -275,8 +284,9 @@ def _order(names: list[str]) -> list[str]:
 
 def with_views(sql: str, names: list[str]) -> str:
     """Prefix ``sql`` with the named views (and what they need) as CTEs."""
-    ctes = ",\n".join(f"{n} AS (\n{VIEWS[n]}\n)" for n in _order(names))
-    return f"WITH {ctes}\n{sql.strip()}" if ctes else sql.strip()
+    order = _order(names)
+    ctes = ",\n".join(f"{n} AS {'MATERIALIZED ' * (n in KEPT)}(\n{VIEWS[n]}\n)" for n in order)
+    return f"WITH {'RECURSIVE ' * any(n in RECURSIVE for n in order)}{ctes}\n{sql.strip()}" if ctes else sql.strip()
 
 
 def round_cols(cols: list[str], places: int = 6) -> str:

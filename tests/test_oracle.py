@@ -9,8 +9,7 @@ from conftest import SF01
 
 SQL_KEYS = sorted(C.ORACLES)
 ROWS_ONLY = sorted(set(C.QUERIES) - set(C.ORACLES))
-SLOW = {"elbow_curve", "over_predictions", "score_predicted",
-        "labeled_features", "player_clusters", "fit_clusters"}
+SLOW = {"over_predictions_fitted", "score_fitted"}
 
 
 def test_every_query_has_a_callable():
