@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructType
 
+from crease.llm.text import forget_in_worker
 from crease.session import materialize
 
 RATE = 0.08           # edits allowed per character of an item
@@ -183,6 +184,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, rate: float = RATE, id_col
 
 def _finder(items: list[tuple[int, str]], rate: float):
     def run(batches):
+        forget_in_worker()
         matcher = Matcher(items, rate)
         for b in batches:
             rows = [(d, *hit) for d, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True)
@@ -210,6 +212,7 @@ def drop_leaks(docs: DataFrame, benchmark: DataFrame, rate: float = RATE, text_c
 
 def _counter(items: list[tuple[int, str]], rate: float, text_col: str, name: str):
     def run(batches):
+        forget_in_worker()
         matcher = Matcher(items, rate)
         for b in batches:
             at = b.schema.get_field_index(text_col)

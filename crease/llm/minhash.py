@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from crease.llm.graph import components
-from crease.llm.text import mix, shingle_sets
+from crease.llm.text import forget_in_worker, mix, shingle_sets
 from crease.session import materialize
 
 BINS = 128
@@ -100,6 +100,7 @@ def _signatures(docs: DataFrame, width: int, threshold: float, id_col: str, text
     bands, rows = banding(threshold)
 
     def run(batches):
+        forget_in_worker()
         for b in batches:
             sets = list(shingle_sets(b.column(1), width))
             n = np.array([len(s) for s in sets], dtype=np.int64)

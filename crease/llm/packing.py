@@ -15,7 +15,6 @@ import hashlib
 import re
 import zlib
 from array import array
-from itertools import repeat
 
 import numpy as np
 import public_tokenizers
@@ -34,7 +33,9 @@ SHARD_DOCS = 2048           # documents of one inverted index
 SHARD_IDS = 1 << 22         # ids after which a shard ends
 COMMON = 8                  # ids in at least a COMMON-th of a shard's documents have their weights held densely
 K1, B = 1.2, 0.75
-CACHE = 1_000_000           # words whose ids a worker remembers
+CACHE = 1_000_000           # words whose ids a worker remembers (some 25 bytes each)
+PARTS = 60_000              # pieces of words whose ids a worker remembers (some 200 bytes each)
+PIECE_BYTES = 2 << 20       # text that is encoded at once
 
 # the tokenizer's word pattern for words of printable Latin-1 characters, where case
 # folding and normal form are character by character
@@ -72,24 +73,28 @@ class Encoder:
         self._forget()
 
     def _forget(self) -> None:
-        self.slot: dict[int, int] = {}           # word hash -> slot
+        self.keys = np.zeros(0, np.uint64)       # word hashes in order, and the slot of each
+        self.slot = np.zeros(0, np.int32)
         self.part: dict[str, bytes] = {}         # piece of a word -> ids
-        self.at = np.zeros(0, np.int64)          # by slot: where its ids begin, and how many
-        self.size = np.zeros(0, np.int64)
+        self.at = np.zeros(0, np.int32)          # by slot: where its ids begin, and how many
+        self.size = np.zeros(0, np.int32)
         self.pool = np.zeros(0, np.uint16)
 
     def word(self, text: str) -> bytes:
         """Ids of a word as 16-bit numbers."""
         if "<|" in text or not _PLAIN.fullmatch(text):
             return array("H", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
-        found = _WORD.findall(text.lower())
-        return self.piece(found[0]) if len(found) == 1 else b"".join(map(self.piece, found))
+        return b"".join(map(self.piece, _WORD.findall(text.lower())))
 
     def piece(self, w: str) -> bytes:
         ids = self.part.get(w)
         if ids is None:
+            if len(self.part) >= PARTS:
+                self.part.clear()
             spelt = w if w.isascii() else w.encode().decode("latin-1").translate(_LETTERS)
-            ids = self.part[w] = array("H", [t.id for t in self.model.tokenize(spelt)]).tobytes()
+            ids = array("H", [t.id for t in self.model.tokenize(spelt)]).tobytes()
+            if len(w) <= 64:                     # so the pieces' bytes are bounded too
+                self.part[w] = ids
         return ids
 
     @staticmethod
@@ -103,32 +108,41 @@ class Encoder:
             keys[w] = int.from_bytes(hashlib.blake2b(spelt, digest_size=8).digest(), "little")
         return keys
 
-    def _learn(self, keys: list[int], words: list[str]) -> None:
+    def _find(self, hashes: np.ndarray) -> np.ndarray:
+        """Slot of every hash, -1 where the word is unseen."""
+        if not len(self.keys):
+            return np.full(len(hashes), -1, np.int64)
+        at = np.minimum(np.searchsorted(self.keys, hashes), len(self.keys) - 1)
+        return np.where(self.keys[at] == hashes, self.slot[at], np.int32(-1)).astype(np.int64)
+
+    def _learn(self, keys: np.ndarray, words: list[str]) -> None:
+        """Remember words by their hashes, which are sorted and unseen."""
         lists = list(map(self.word, words))
         size = np.fromiter(map(len, lists), dtype=np.int64, count=len(lists)) // 2
         flat = np.frombuffer(b"".join(lists), dtype=np.uint16)
-        self.at = np.concatenate([self.at, len(self.pool) + np.cumsum(size) - size])
-        self.size = np.concatenate([self.size, size])
+        at = np.searchsorted(self.keys, keys)
+        self.slot = np.insert(self.slot, at, np.arange(len(self.at), len(self.at) + len(keys), dtype=np.int32))
+        self.keys = np.insert(self.keys, at, keys)
+        self.at = np.concatenate([self.at, (len(self.pool) + np.cumsum(size) - size).astype(np.int32)])
+        self.size = np.concatenate([self.size, size.astype(np.int32)])
         self.pool = np.concatenate([self.pool, flat])
-        self.slot.update(zip(keys, range(len(self.slot), len(self.slot) + len(keys)), strict=True))
 
     def encode(self, column: pa.Array) -> list[np.ndarray]:
         """Ids (uint16) of each text of a string column; null: none."""
         raw, offsets = text_buffer(column)
         starts, ends = word_bounds(raw, offsets)
         hashes, first, back = np.unique(self._keys(raw, offsets, starts, ends), return_index=True, return_inverse=True)
-        if len(self.slot) + len(hashes) > CACHE:
+        if len(self.keys) + len(hashes) > CACHE or len(self.pool) > 8 * CACHE:
             self._forget()
-        keys = hashes.tolist()
-        slots = np.fromiter(map(self.slot.get, keys, repeat(-1)), dtype=np.int64, count=len(keys))
+        slots = self._find(hashes)
         new = np.flatnonzero(slots < 0)
         if len(new):
-            slots[new] = np.arange(len(self.slot), len(self.slot) + len(new))
+            slots[new] = np.arange(len(self.at), len(self.at) + len(new))
             lo, text = int(offsets[0]), raw[int(offsets[0]):int(offsets[-1])].tobytes()
             spans = zip((starts[first[new]] - lo).tolist(), (ends[first[new]] - lo).tolist(), strict=True)
-            self._learn([keys[i] for i in new.tolist()], [text[a:b].decode() for a, b in spans])
+            self._learn(hashes[new], [text[a:b].decode() for a, b in spans])
         slots = slots[back]
-        sizes = self.size[slots]
+        sizes = self.size[slots].astype(np.int64)
         stop = np.cumsum(sizes)
         ids = self.pool[np.arange(len(sizes) and stop[-1]) + np.repeat(self.at[slots] - stop + sizes, sizes)]
         cuts = np.append(0, stop)[np.searchsorted(starts, offsets)]
@@ -143,7 +157,7 @@ def tokenize(docs: DataFrame, tokenizer: str = TOKENIZER, id_col: str = "doc_id"
         encoder = keep_in_worker(("packing", tokenizer), lambda: Encoder(tokenizer))
         df, docs_seen, ids_seen = np.zeros(1 << 16, np.int64), 0, 0
         for b in batches:
-            for part in pieces(b, 8 << 20):
+            for part in pieces(b, PIECE_BYTES):
                 out = []
                 for ids in encoder.encode(part.column(1)):
                     ids = np.append(ids, np.uint16(END_ID))

@@ -20,6 +20,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from crease.llm.text import forget_in_worker
+
 KINDS = ("email", "ip", "card", "phone")
 SAMPLE_ROWS = 600       # documents with base spans that the tagger learns from
 WINDOW, STRIDE = 96, 48
@@ -94,8 +96,8 @@ def _sigmoid(x):
     return 1 / (1 + np.exp(-x))
 
 
-def _lstm(x, w, b):
-    """x (T, B, E) -> h (T, B, H), and what the backward pass needs."""
+def _lstm(x, w, b, training: bool = True):
+    """x (T, B, E) -> h (T, B, H), and, ``training``, what the backward pass needs."""
     t, n, _ = x.shape
     hid = w.shape[1] // 4
     h, c = np.zeros((n, hid), x.dtype), np.zeros((n, hid), x.dtype)
@@ -111,7 +113,8 @@ def _lstm(x, w, b):
         tc = np.tanh(c)
         h = gates[:, 2 * hid:] * tc
         out[i] = h
-        keep.append((gates, g, before, h_before, tc))
+        if training:
+            keep.append((gates, g, before, h_before, tc))
     return out, keep
 
 
@@ -160,10 +163,10 @@ class Tagger:
             self.legal[[k, len(KINDS) + k], len(KINDS) + k] = 0
             self.legal_start[len(KINDS) + k] = -1e4
 
-    def _scores(self, x):
+    def _scores(self, x, training: bool = True):
         emb = self.p["emb"][x.T]                   # (T, B, E)
-        hf, kf = _lstm(emb, self.p["wf"], self.p["bf"])
-        hb, kb = _lstm(emb[::-1], self.p["wb"], self.p["bb"])
+        hf, kf = _lstm(emb, self.p["wf"], self.p["bf"], training)
+        hb, kb = _lstm(emb[::-1], self.p["wb"], self.p["bb"], training)
         h = np.concatenate([hf, hb[::-1]], axis=2)
         return emb, h, kf, kb, h @ self.p["out"] + self.p["bias"]
 
@@ -220,7 +223,7 @@ class Tagger:
 
     def decode(self, x: np.ndarray) -> list[list[tuple[int, int, int, float]]]:
         """(start, end, kind, mean posterior) of the best tag sequence of each window."""
-        _, _, _, _, s = self._scores(x)
+        s = self._scores(x, training=False)[-1]
         _, _, post, tr, _ = self._marginals(s)
         t, n, _ = s.shape
         best, back = s[0] + self.p["start"] + self.legal_start, np.empty((t, n, _N_TAGS), np.int8)
@@ -431,6 +434,7 @@ def find_personal(docs: DataFrame, tagger: Tagger, id_col: str = "doc_id", text_
     spans overlap nothing.
     """
     def run(batches):
+        forget_in_worker()
         finder = Finder(tagger)
         for b in batches:
             got = finder.spans(b.column(1).to_pylist())
@@ -465,6 +469,7 @@ def redact(docs: DataFrame, tagger: Tagger, text_col: str = "text", length_col:
     names = docs.columns
 
     def run(batches):
+        forget_in_worker()
         finder = Finder(tagger)
         for b in batches:
             at = b.schema.get_field_index(text_col)

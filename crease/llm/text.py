@@ -9,6 +9,8 @@ at a time, whatever the batch or the text length.
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import hashlib
 from collections.abc import Iterator
 
@@ -27,11 +29,23 @@ def keep_in_worker(key, make):
     """``make()``, kept in this Python worker for the tasks that follow with the same
     key.  A worker keeps one such object: another operator's replaces it."""
     if not _KEPT or _KEPT[0] != key:
-        _KEPT.clear()
+        forget_in_worker()
         _KEPT[:] = [key, make()]
     return _KEPT[1]
 
 
+def forget_in_worker() -> None:
+    """Drop what an earlier operator's tasks kept in this Python worker, and hand its
+    memory back; operators that keep nothing call this when a task starts."""
+    if _KEPT:
+        _KEPT.clear()
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)      # glibc only
+        if trim is not None:
+            trim(0)
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """64-bit finaliser (the public splitmix64 step) on an unsigned array."""
     x = x.astype(np.uint64, copy=True)

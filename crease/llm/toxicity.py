@@ -36,7 +36,7 @@ SAMPLE_ROWS = 20_000       # labelled rows of the fit
 MAX_FEATURES = 4096        # size of the model
 MIN_DOCS = 5               # texts a feature must occur in
 MIN_Z = 4.0                # significance a feature must have
-CACHE = 1_000_000          # words whose features a worker remembers
+CACHE = 250_000            # words whose features a worker remembers (some 140 bytes each)
 
 _WORD = re.compile(r"[^\W\d_]+")
 _SETS = {t: s for s in IDENTITY for t in s}
