@@ -201,6 +201,8 @@ def drop_leaks(docs: DataFrame, benchmark: DataFrame, rate: float = RATE, text_c
     """The rows that meet no item, with the columns they had.  The items pass in blocks;
     what a block leaves is written before the next."""
     name = "__leaks"
+    while name in docs.columns:                   # a column of that name in the input is kept
+        name += "_"
     schema = StructType(list(docs.schema)).add(name, LongType())
     blocks, items = _blocks(benchmark, item_bytes)
     for k, block in enumerate(items):

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from crease.session import materialize
+from crease.session import materialize, splittable
 
 
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
@@ -26,14 +26,15 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         # large star: each greater neighbour of x hangs on the least of x and its neighbours
         both = e.select(F.col("v").alias("x"), F.col("u").alias("y")).union(
             e.select(F.col("u").alias("x"), F.col("v").alias("y")))
+        # the centre of a star has all its leaves: a hot key of the joins, which AQE can split
         least = both.groupBy("x").agg(F.least(F.min("y"), F.first("x")).alias("m"))
-        large = (both.where("y > x").join(least, "x").select(F.col("y").alias("v"), F.col("m").alias("u"))
+        large = (both.where("y > x").join(splittable(least, "x"), "x").select(F.col("y").alias("v"), F.col("m").alias("u"))
                  .where("u <> v").distinct())
         large = materialize(large, "large-star")
         # small star: the lesser neighbours of v, and v, hang on the least of them
         low = large.groupBy("v").agg(F.min("u").alias("m"))
         small = materialize(
-            large.join(low, "v").select(F.explode(F.array("u", "v")).alias("v"), F.col("m").alias("u"))
+            large.join(splittable(low, "v"), "v").select(F.explode(F.array("u", "v")).alias("v"), F.col("m").alias("u"))
             .where("u <> v").distinct(), "small-star")
         # stars around least nodes: nobody is both a centre and a leaf, and a leaf has one centre
         state = small.agg(F.count("*").alias("n"), F.countDistinct("v").alias("leaves")).first()

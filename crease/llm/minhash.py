@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from crease.llm.graph import components
 from crease.llm.text import forget_in_worker, mix, shingle_sets
-from crease.session import materialize
+from crease.session import materialize, splittable
 
 BINS = 128
 NIBBLES = BINS // 16   # longs of 16 four-bit digests: one digest per bin
@@ -259,7 +259,8 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col:
     more = _verify(materialize(rest, "rest-pairs"), texts, width, percent, blocks)
     final = components(linked.union(more)).join(reps.select(F.col("cls").alias("node"), "doc_id"), "node")
     names = final.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    named = materialize(final.join(names, "component").select(F.col("node").alias("cls"), "component_id"), "names")
+    # a component may hold very many classes: a hot key of this join
+    named = materialize(final.join(splittable(names, "component"), "component").select(F.col("node").alias("cls"), "component_id"), "names")
     # of a class in no link, its least member
     of_class = materialize(classes.select("set_hi", "set_lo", "cls", "doc_id").join(named, "cls", "left").select(
         "set_hi", "set_lo", F.coalesce("component_id", "doc_id").alias("component_id")), "class-components")

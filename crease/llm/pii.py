@@ -7,6 +7,9 @@ covers: every span that ``plausible`` accepts holds one of these.  Windows overl
 by half; a span is taken from windows that see all of it, a window that cuts one is
 read again twice as wide, until the span or the text ends, and of all windows' spans
 of a text the set without overlaps that has the greatest sum of scores is kept.
+A span of more than ``MAX_SPAN`` characters is no such datum, so windows grow no further than twice that.
+
+Secrets (keys, tokens, passwords that are stated as such) are a label of their own, by patterns.
 """
 
 from __future__ import annotations
@@ -23,11 +26,16 @@ from pyspark.sql import functions as F
 from crease.llm.text import forget_in_worker
 
 KINDS = ("email", "ip", "card", "phone")
+LABELS = (*KINDS, "secret")
 SAMPLE_ROWS = 600       # documents with base spans that the tagger learns from
 WINDOW, STRIDE = 96, 48
-MIN_POSTERIOR = 0.95    # least mean posterior of a span that the tagger adds
-HIDDEN, EMBED = 16, 12
-EPOCHS = 8
+MIN_POSTERIOR = 0.5     # least mean posterior of a span that the tagger adds
+SURE_POSTERIOR = 0.95   # and of an e-mail address without a dot after its at-sign
+HIDDEN, EMBED = 20, 12
+EPOCHS = 14
+LEARNT = 64             # characters of a window of the fit
+COPIES = 12             # respelled windows that the tagger learns from for each labelled span
+MAX_SPAN = 2048         # characters of a datum at most (an e-mail address has 254; written out, more)
 
 # the base patterns; possessive or anchored forms of the contract's, with the same matches in linear time
 _AT_LEFT = re.compile(r"[A-Za-z0-9._%+-]+\Z")
@@ -37,9 +45,36 @@ _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _AT = r"@| at |\[at\]|\(at\)"       # what an e-mail holds at least
+_DOT = re.compile(rf"(?:{_AT}).*[^ ](?:\.| dot )", re.DOTALL)
 _ANCHOR = re.compile(rf"[0-9]|{_AT}")
 
 
+#: Secrets: a value that is said to be one, and keys of well-known forms.  Group 1 or 2 is the secret.
+_SECRET = re.compile(
+    r"""(?<![A-Za-z0-9])(?:token|secret|passw(?:or)?d|pwd|api[_-]?key|access[_-]?key|secret[_-]?key|private[_-]?key|client[_-]?secret|auth)"""
+    r"""["']?[ \t]{0,8}[:=][ \t]{0,8}["']?([A-Za-z0-9+/_.=-]{8,})"""
+    r"""|((?<![A-Za-z0-9])(?:(?:AKIA|ASIA)[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36,}|xox[abprs]-[A-Za-z0-9-]{10,}|sk-[A-Za-z0-9_-]{20,}"""
+    r"""|eyJ[A-Za-z0-9_-]{10,}\.eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]*)|-----BEGIN [A-Z ]*PRIVATE KEY-----[A-Za-z0-9+/=\s]*-----END [A-Z ]*PRIVATE KEY-----)""",
+    re.IGNORECASE)
+_HINTS = ("token", "secret", "passw", "pwd", "key", "auth", "akia", "asia", "gho_", "ghp_", "ghr_", "ghs_", "ghu_", "xox", "sk-", "eyj")
+SECRET = len(KINDS)     # the kind's number after the contract's four; ``spans`` never holds it
+
+
+def secret_spans(text: str | None) -> list[tuple[int, int, int]]:
+    """(start, SECRET, end) of every secret, leftmost first; a stated value needs a digit, so that words don't count."""
+    if not text:
+        return []
+    low = text.lower()
+    if not any(h in low for h in _HINTS):          # every pattern holds one of these
+        return []
+    out = []
+    for m in _SECRET.finditer(text):
+        a, b = m.span(1) if m[1] else m.span(2)
+        if m[2] or any(c in "0123456789" for c in m[1]):
+            out.append((a, SECRET, b))
+    return out
+
+
 def luhn(digits: str) -> bool:
     total = 0
     for i, c in enumerate(reversed(digits)):
@@ -139,11 +174,6 @@ def _lstm_back(x, w, dout, keep):
     return dw, db, dx
 
 
-def _logsum(x, axis):
-    top = x.max(axis=axis, keepdims=True)
-    return np.squeeze(top, axis) + np.log(np.exp(x - top).sum(axis=axis))
-
-
 class Tagger:
     """BiLSTM over characters, linear scores, CRF over begin/inside/outside tags."""
 
@@ -171,19 +201,22 @@ class Tagger:
         return emb, h, kf, kb, h @ self.p["out"] + self.p["bias"]
 
     def _marginals(self, s):
-        """Posterior of every tag (T, B, K), pairwise sums (K, K) and log-partition (B)."""
+        """Posterior of every tag (T, B, K), and what the pairwise sums need: forward and backward
+        chances, rescaled at every character so that no length of text overflows, the scores' exponentials,
+        the transitions' and the scales."""
         t, n, k = s.shape
-        tr = self.p["trans"] + self.legal
-        a, b = np.empty_like(s), np.zeros_like(s)
-        a[0] = s[0] + self.p["start"] + self.legal_start
-        for i in range(1, t):
-            a[i] = s[i] + _logsum(a[i - 1][:, :, None] + tr, 1)
+        to = np.exp((self.p["trans"] + self.legal).astype(np.float64))
+        e = np.exp(s.astype(np.float64) - s.max(axis=2, keepdims=True))
+        a, b, scale = np.empty_like(e), np.ones_like(e), np.empty((t, n, 1))
+        for i in range(t):
+            x = e[0] * np.exp((self.p["start"] + self.legal_start).astype(np.float64)) if i == 0 else (a[i - 1] @ to) * e[i]
+            scale[i] = x.sum(axis=1, keepdims=True)
+            a[i] = x / scale[i]
         for i in range(t - 2, -1, -1):
-            b[i] = _logsum(tr + (s[i + 1] + b[i + 1])[:, None, :], 2)
-        z = _logsum(a[-1], 1)
-        return a, b, np.exp(a + b - z[:, None]), tr, z
+            b[i] = (e[i + 1] * b[i + 1] / scale[i + 1]) @ to.T
+        return a * b, (a, b, e, to, scale)
 
-    def train(self, x: np.ndarray, y: np.ndarray, epochs: int = EPOCHS, batch: int = 64, rate: float = 0.01) -> None:
+    def train(self, x: np.ndarray, y: np.ndarray, epochs: int = EPOCHS, batch: int = 96, rate: float = 0.015) -> None:
         """x, y (rows, WINDOW): character ids and tags; Adam on the CRF's log-loss."""
         m = {k: np.zeros_like(v) for k, v in self.p.items()}
         v2 = {k: np.zeros_like(v) for k, v in self.p.items()}
@@ -203,15 +236,16 @@ class Tagger:
 
     def _gradient(self, x, y):
         emb, h, kf, kb, s = self._scores(x)
-        a, b, post, tr, z = self._marginals(s)
+        post, (a, b, e, to, scale) = self._marginals(s)
         n, gold = x.shape[0], y.T
         one = np.eye(_N_TAGS, dtype=np.float32)[gold]
         ds = ((post - one) / n).astype(np.float32)
-        dtr = np.zeros_like(tr)
+        dtr = np.zeros_like(to)
         for i in range(1, len(s)):
-            pair = np.exp(a[i - 1][:, :, None] + tr + (s[i] + b[i])[:, None, :] - z[:, None, None])
-            dtr += pair.sum(axis=0) / n
-            np.add.at(dtr, (gold[i - 1], gold[i]), -1.0 / n)
+            dtr += a[i - 1].T @ (e[i] * b[i] / scale[i])
+        dtr *= to / n
+        np.add.at(dtr, (gold[:-1].reshape(-1), gold[1:].reshape(-1)), -1.0 / n)
+        dtr = dtr.astype(np.float32)
         dh = ds @ self.p["out"].T
         dwf, dbf, dxf = _lstm_back(emb, self.p["wf"], dh[:, :, :HIDDEN], kf)
         dwb, dbb, dxb = _lstm_back(emb[::-1], self.p["wb"], dh[::-1, :, HIDDEN:], kb)
@@ -224,7 +258,7 @@ class Tagger:
     def decode(self, x: np.ndarray) -> list[list[tuple[int, int, int, float]]]:
         """(start, end, kind, mean posterior) of the best tag sequence of each window."""
         s = self._scores(x, training=False)[-1]
-        _, _, post, tr, _ = self._marginals(s)
+        post, tr = self._marginals(s)[0], self.p["trans"] + self.legal
         t, n, _ = s.shape
         best, back = s[0] + self.p["start"] + self.legal_start, np.empty((t, n, _N_TAGS), np.int8)
         for i in range(1, t):
@@ -265,36 +299,73 @@ def _respell(value: str, kind: int, r: random.Random) -> str:
     return r.choice([f"({a}) {b}-{c}", f"{a}-{b}-{c}", f"{a}.{b}.{c}", f"{a} {b} {c}", f"1-{a}-{b}-{c}", f"00{digits[:-10]} {a} {b} {c}"])
 
 
-def examples(texts: list[str], seed: int = 3) -> tuple[np.ndarray, np.ndarray]:
-    """Windows and tags of labelled texts: as they are, respelled, and with other digits around."""
+def _other(value: str, kind: int, r: random.Random) -> str:
+    """A datum of the same shape: other letters and digits, but for well-known endings."""
+    tail = re.search(r"\.[A-Za-z]{2,4}\Z", value)
+    keep = tail.start() if tail else len(value)
+    new = lambda c: r.choice("abcdefghijklmnopqrstuvwxyz") if c.isascii() and c.isalpha() else r.choice("0123456789") if c in "0123456789" else c
+    out = "".join(new(c) for c in value[:keep]) + value[keep:]
+    return next((out[:-1] + c for c in "0123456789" if luhn(re.sub("[^0-9]", "", out[:-1] + c))), out) if kind == 2 else out
+
+
+def _address(r: random.Random) -> str:
+    """An e-mail address of another shape: one to three parts of a name, a host of one or two."""
+    word = lambda lo, hi: "".join(r.choice("bcdfghjklmnprstvwz") if i % 2 == r.randrange(9) // 8 else r.choice("aeiou") for i in range(r.randrange(lo, hi)))
+    name = r.choice([".", "_", "-", ""]).join(word(2, 9) for _ in range(r.choice((1, 1, 2, 2, 3)))) + r.choice(["", "", str(r.randrange(2000))])
+    host = ".".join(word(3, 9) + r.choice(["", "", "", str(r.randrange(10))]) for _ in range(r.choice((1, 1, 2))))
+    return f"{name}@{host}.{r.choice(('com', 'org', 'net', 'de', 'fr', 'es', 'io', 'edu', 'co.uk'))}"
+
+
+#: Text about an at, a dot or numbers that are no such datum; ``#`` stands for a digit.
+_DECOYS = (" at ## ", " look at the dot ", " version #.#.## ", " in #### and #### ", " ###,###.## ", " #### ", " ##.##.#### ", " at home ", " ##:## ",
+           " nr ###### ", " ###-### ", " dot dot ", " ##########################", " #### #### ", " id ######## ", " (at) ", " #.## ")
+
+
+def examples(texts: list[str], seed: int = 3, copies: int = COPIES) -> tuple[np.ndarray, np.ndarray]:
+    """Windows and tags of labelled texts.
+
+    All windows of the texts that hold a span or an anchor, as they are; and for every span ``copies`` windows
+    of its text around it in which the span is respelled, of other letters and digits,
+    at a place of its own, beside words or a decoy.
+    """
     r, xs, ys = random.Random(seed), [], []
+
+    def add(text: str, tags: list[int]) -> None:
+        x, y = np.zeros(LEARNT, np.uint8), np.zeros(LEARNT, np.int64)
+        ids = encode(text[:LEARNT])
+        x[:len(ids)], y[:len(ids)] = ids, tags[:LEARNT]
+        if y[0] > len(KINDS):                      # a span cut by the window's edge begins there
+            y[0] -= len(KINDS)
+        xs.append(x)
+        ys.append(y)
+
+    mark = lambda kind, value: [1 + kind] + [1 + len(KINDS) + kind] * (len(value) - 1)
     for text in texts:
-        spans = base_spans(text)
-        for copy in range(3):
-            parts, tags, last = [], [], 0
-            for start, kind, end in spans:
-                if start < last:
-                    continue
-                value = text[start:end] if copy == 0 else _respell(text[start:end], kind, r)
-                gap = text[last:start]
-                parts += [gap, value]
-                tags += [0] * len(gap) + [1 + kind] + [1 + len(KINDS) + kind] * (len(value) - 1)
-                last = end
-            parts.append(text[last:])
-            tags += [0] * (len(text) - last)
-            ids, tags = encode("".join(parts)), np.array(tags, dtype=np.int64)
-            hot = {int(i) for i in np.flatnonzero(tags)} | {m.start() for m in _ANCHOR.finditer("".join(parts))}
-            for w in sorted({max(0, i // STRIDE - r.randrange(2)) for i in hot})[:12]:
-                lo = w * STRIDE
-                x, y = np.zeros(WINDOW, np.uint8), np.zeros(WINDOW, np.int64)
-                piece = ids[lo:lo + WINDOW]
-                x[:len(piece)], y[:len(piece)] = piece, tags[lo:lo + WINDOW]
-                inside = y > len(KINDS)
-                if inside[0]:                      # a span cut by the window's edge begins there
-                    y[0] -= len(KINDS)
-                xs.append(x)
-                ys.append(y)
-    return (np.array(xs, np.uint8), np.array(ys)) if xs else (np.zeros((0, WINDOW), np.uint8), np.zeros((0, WINDOW), np.int64))
+        spans, tags = base_spans(text), [0] * len(text)
+        for start, kind, end in spans:
+            if not any(tags[start:end]):
+                tags[start:end] = mark(kind, text[start:end])
+        hot = {i for i, t in enumerate(tags) if t} | {m.start() for m in _ANCHOR.finditer(text)}
+        for w in sorted({i // LEARNT for i in hot}):
+            lo = max(0, w * LEARNT - r.randrange(LEARNT // 2))
+            add(text[lo:lo + LEARNT], tags[lo:lo + LEARNT])
+        for start, kind, end in spans:
+            for _ in range(copies):
+                value = text[start:end] if r.random() < 0.2 else _other(text[start:end], kind, r)
+                value = _address(r) if kind == 0 and r.random() < 0.5 else value
+                value = _respell(value, kind, r)
+                room = max(0, LEARNT - len(value))
+                lead = r.randrange(room + 1)
+                before, after = text[max(0, start - lead):start], text[end:end + room]
+                if r.random() < 0.5:               # words from elsewhere in the text
+                    at = r.randrange(len(text))
+                    before, after = (text[at:at + lead].split(" ", 1)[-1] + " ")[-lead:] if lead else "", " " + text[at:at + room]
+                if r.random() < 0.4:
+                    decoy = re.sub("#", lambda m: str(r.randrange(10)), r.choice(_DECOYS))
+                    before, after = (before + decoy, after) if r.random() < 0.5 else (before, decoy + after)
+                cut = max(0, len(before) + len(value) - LEARNT)
+                add((before + value + after)[cut:], ([0] * len(before) + mark(kind, value) + [0] * len(after))[cut:])
+    return (np.array(xs, np.uint8), np.array(ys)) if xs else (np.zeros((0, LEARNT), np.uint8), np.zeros((0, LEARNT), np.int64))
 
 
 def fit(docs: DataFrame, sample_rows: int = SAMPLE_ROWS, id_col: str = "doc_id", text_col: str = "text") -> Tagger:
@@ -394,11 +465,13 @@ class Finder:
             for a, b, kind, p in found[u]:
                 a, b = a + lo, min(b + lo, n)
                 if (a == lo and lo) or (b >= lo + width and lo + width < n):
-                    if b - a >= STRIDE:            # else another window sees it whole
+                    if b - a >= STRIDE and width <= 2 * MAX_SPAN:      # else another window sees it whole, or it is too long
                         cut.add((i, max(0, (lo // (width // 2) - 1) * (width // 2))))
                     continue
                 value = texts[i][a:b]
-                if p >= MIN_POSTERIOR and plausible(value, kind):
+                # an address whose host has no dot must be surer
+                sure = MIN_POSTERIOR if kind or _DOT.search(value) else SURE_POSTERIOR
+                if p >= sure and plausible(value, kind):
                     added[i].append((a, b, kind, round(p, 6)))
         wider = sorted(cut)
         for k in range(0, len(wider), step):
@@ -412,22 +485,25 @@ class Finder:
 def plausible(value: str, kind: int) -> bool:
     """What the tagger marks must still be able to be such a datum."""
     digits = sum(c in "0123456789" for c in value)
-    if value != value.strip():
+    if value != value.strip() or len(value) > MAX_SPAN:
         return False
     if kind == 0:
         return len(value) >= 6 and re.search(_AT, value) is not None
     if kind == 1:
         return digits >= 4 and len(re.findall("[0-9]+", value)) == 4
     rest = sum(c not in "0123456789 ().+-" for c in value)
-    return rest == 0 and (13 <= digits <= 19 if kind == 2 else 9 <= digits <= 15)
+    if kind == 2:
+        return rest == 0 and 13 <= digits <= 19 and luhn(re.sub("[^0-9]", "", value))
+    return rest == 0 and 9 <= digits <= 15
 
 
 def joined(spans: list[tuple[int, int, int]]) -> str:
-    return ",".join(f"{KINDS[k]}:{a}:{b}" for a, k, b in spans)
+    return ",".join(f"{LABELS[k]}:{a}:{b}" for a, k, b in spans)
 
 
 def find_personal(docs: DataFrame, tagger: Tagger, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per row: ``doc_id``, counts of base spans by kind, ``base_sha256`` and ``spans``.
+    """One row per row: ``doc_id``, counts of base spans by kind, ``base_sha256`` and ``spans``; then ``n_added``
+    (spans that the tagger adds), ``n_secret`` and ``secrets`` (apart from ``spans``), ``n_found`` (all of these).
 
     Null and empty texts have no spans (the digest of the empty string).  Repeated
     rows give repeated results.  Spans of different kinds may overlap; added
@@ -437,17 +513,21 @@ def find_personal(docs: DataFrame, tagger: Tagger, id_col: str = "doc_id", text_
         forget_in_worker()
         finder = Finder(tagger)
         for b in batches:
-            got = finder.spans(b.column(1).to_pylist())
+            texts = b.column(1).to_pylist()
+            got, secrets = finder.spans(texts), [secret_spans(t) for t in texts]
             counts = [[sum(k == kind for _, k, _ in base) for base, _ in got] for kind in range(len(KINDS))]
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), *[pa.array(c, pa.int64()) for c in counts],
                  pa.array([hashlib.sha256(joined(base).encode()).hexdigest() for base, _ in got], pa.string()),
                  pa.array([joined(s) for _, s in got], pa.string()),
-                 pa.array([len(s) - len(base) for base, s in got], pa.int64())],
-                names=["doc_id", *[f"n_{k}" for k in KINDS], "base_sha256", "spans", "n_added"])
+                 pa.array([len(s) - len(base) for base, s in got], pa.int64()),
+                 pa.array([len(s) for s in secrets], pa.int64()), pa.array([joined(s) for s in secrets], pa.string()),
+                 pa.array([len(s) + len(x) for (_, s), x in zip(got, secrets, strict=True)], pa.int64())],
+                names=["doc_id", *[f"n_{k}" for k in KINDS], "base_sha256", "spans", "n_added", "n_secret", "secrets", "n_found"])
 
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(
-        run, "doc_id long, " + ", ".join(f"n_{k} long" for k in KINDS) + ", base_sha256 string, spans string, n_added long")
+        run, "doc_id long, " + ", ".join(f"n_{k} long" for k in KINDS) + ", base_sha256 string, spans string, n_added long, "
+        "n_secret long, secrets string, n_found long")
 
 
 def redact_text(text: str, spans: list[tuple[int, int, int]]) -> str:
@@ -456,7 +536,7 @@ def redact_text(text: str, spans: list[tuple[int, int, int]]) -> str:
     out, last, end = [], 0, -1
     for a, kind, b in spans:
         if a >= end:
-            out += [text[last:a], f"[{KINDS[kind].upper()}]"]
+            out += [text[last:a], f"[{LABELS[kind].upper()}]"]
             last = end = b
         elif b > end:
             last = end = b
@@ -464,7 +544,7 @@ def redact_text(text: str, spans: list[tuple[int, int, int]]) -> str:
 
 
 def redact(docs: DataFrame, tagger: Tagger, text_col: str = "text", length_col: str | None = "n_chars") -> DataFrame:
-    """All rows and columns, with personal data in the text replaced; the length
+    """All rows and columns, with personal data and secrets in the text replaced; the length
     column (where there is one) follows the new text.  Null texts stay null."""
     names = docs.columns
 
@@ -474,7 +554,10 @@ def redact(docs: DataFrame, tagger: Tagger, text_col: str = "text", length_col:
         for b in batches:
             at = b.schema.get_field_index(text_col)
             texts = b.column(at).to_pylist()
-            new = [t if not s else redact_text(t, s) for t, (_, s) in zip(texts, finder.spans(texts), strict=True)]
+            new = []
+            for t, (_, s) in zip(texts, finder.spans(texts), strict=True):
+                s = sorted(s + secret_spans(t))
+                new.append(redact_text(t, s) if s else t)
             columns = list(b.columns)
             columns[at] = pa.array(new, pa.string())
             if length_col in names:

@@ -7,10 +7,16 @@ logistic regression is fitted in numpy with a penalty on score changes: every
 sampled text that names an identity group gets copies in which the term is
 swapped for the other terms of its set, and the squared change of the logit is
 added to the loss.  So a neutral mention of a group can't earn a high score.
+
+Groups are named by stated terms in four languages and by learnt ones: words that most
+often are said neutrally, yet stand beside insults in the sample more often than other
+such words do (the targets of abuse, whatever the language).  These are the words that a
+classifier would learn to hold against a text.  Learnt terms of like standing form sets.
 """
 
 from __future__ import annotations
 
+import collections
 import math
 import re
 import zlib
@@ -23,15 +29,28 @@ from pyspark.sql import functions as F
 from crease.llm.text import keep_in_worker
 from crease.session import materialize
 
-#: Sets of identity terms; a term may stand for any other of its set.
+#: Sets of identity terms (English, German, French, Spanish); a term may stand for any other of its set.
 IDENTITY = (
     ("muslim", "christian", "jewish", "hindu", "buddhist", "catholic", "atheist"),
+    ("moslem", "christ", "jude", "katholik", "buddhist"), ("muslimisch", "christlich", "jüdisch", "katholisch"),
+    ("musulman", "chrétien", "juif", "catholique", "bouddhiste"), ("musulmán", "cristiano", "judío", "católico", "budista"),
     ("black", "white", "asian", "latino", "african", "european", "arab"),
-    ("gay", "lesbian", "bisexual", "straight", "transgender", "queer"),
-    ("man", "woman"), ("men", "women"), ("male", "female"), ("boy", "girl"),
-    ("immigrant", "refugee", "foreigner", "citizen"),
-    ("disabled", "blind", "deaf", "elderly", "young"),
+    ("schwarze", "weiße", "asiatische", "afrikanische"), ("noir", "blanc", "asiatique", "africain", "arabe"),
+    ("negro", "blanco", "asiático", "africano", "árabe"),
+    ("gay", "lesbian", "bisexual", "straight", "transgender", "queer"), ("schwul", "lesbisch", "bisexuell", "hetero"),
+    ("homosexuel", "lesbienne", "bisexuel", "hétéro"), ("homosexual", "lesbiana", "heterosexual"),
+    ("man", "woman"), ("men", "women"), ("male", "female"), ("boy", "girl"), ("mann", "frau"), ("männer", "frauen"),
+    ("homme", "femme"), ("hommes", "femmes"), ("hombre", "mujer"), ("hombres", "mujeres"),
+    ("immigrant", "refugee", "foreigner", "citizen"), ("einwanderer", "flüchtling", "ausländer", "bürger"),
+    ("immigré", "réfugié", "étranger", "citoyen"), ("inmigrante", "refugiado", "extranjero", "ciudadano"),
+    ("disabled", "blind", "deaf", "elderly", "young"), ("behindert", "taub", "alt", "jung"),
+    ("handicapé", "aveugle", "sourd", "âgé", "jeune"), ("discapacitado", "ciego", "sordo", "anciano", "joven"),
 )
+LEARNT = 48                # learnt terms at most, in sets of ``LEARNT_SET``
+LEARNT_SET = 3
+NEUTRAL = 3.0              # a word whose texts are toxic at most so many times as often as all are is said neutrally too
+MIN_SHARE = 0.002          # share of the sample's texts that a learnt term must occur in
+BESIDE = 2                 # words between a term and an insult at most
 SAMPLE_ROWS = 20_000       # labelled rows of the fit
 MAX_FEATURES = 4096        # size of the model
 MIN_DOCS = 5               # texts a feature must occur in
@@ -39,7 +58,15 @@ MIN_Z = 4.0                # significance a feature must have
 CACHE = 250_000            # words whose features a worker remembers (some 140 bytes each)
 
 _WORD = re.compile(r"[^\W\d_]+")
-_SETS = {t: s for s in IDENTITY for t in s}
+
+
+def places(sets) -> dict[str, tuple[tuple[str, ...], int]]:
+    """Term -> its set and its place there; a term of several sets keeps the first."""
+    out: dict[str, tuple[tuple[str, ...], int]] = {}
+    for one in sets:
+        for i, term in enumerate(one):
+            out.setdefault(term, (tuple(one), i))
+    return out
 
 
 def word_features(word: str) -> list[int]:
@@ -66,14 +93,65 @@ def text_features(text: str | None, vocabulary: Vocabulary) -> set[int]:
     return set().union(*map(vocabulary.__getitem__, set((text or "").lower().split())))
 
 
-def counterfactuals(text: str) -> list[str]:
+def counterfactuals(text: str, terms: dict | None = None) -> list[str]:
     """The text with every identity term moved on by 1, 2, ... places in its set."""
-    terms = {t for t in _WORD.findall(text.lower()) if t in _SETS}
-    if not terms:
+    terms = places(IDENTITY) if terms is None else terms
+    met = {t for t in _WORD.findall(text.lower()) if t in terms}
+    if not met:
         return []
-    shift = lambda k: lambda m: (
-        (s := _SETS[m[0].lower()])[(s.index(m[0].lower()) + k) % len(s)] if m[0].lower() in _SETS else m[0])
-    return [_WORD.sub(shift(k), text) for k in range(1, max(len(_SETS[t]) for t in terms))]
+
+    def moved(k):
+        def swap(m):
+            held = terms.get(m[0].lower())
+            return m[0] if held is None else held[0][(held[1] + k) % len(held[0])]
+        return swap
+
+    return [_WORD.sub(moved(k), text) for k in range(1, max(len(terms[t][0]) for t in met))]
+
+
+def learn_terms(sample: DataFrame, rows: int, toxic: int) -> tuple[tuple[str, ...], ...]:
+    """Sets of words that are mostly said neutrally and stand beside insults (see above).
+
+    A word's standing is the share of its texts in which an insult is at most
+    ``BESIDE`` words away; the ``LEARNT`` of greatest standing form sets in that order.  The
+    results sent to the driver are bounded by ``LEARNT`` and the numbers below.
+    """
+    def count(batches):
+        n, t = collections.Counter(), collections.Counter()
+        for b in batches:
+            for label, text in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
+                met = set(_WORD.findall((text or "").lower()))
+                n.update(met)
+                if label:
+                    t.update(met)
+            yield pa.RecordBatch.from_arrays([pa.array(n.keys(), pa.string()), pa.array([t[w] for w in n], pa.int64()),
+                                              pa.array(n.values(), pa.int64())], names=["w", "t", "n"])
+            n.clear()
+            t.clear()
+
+    p = toxic / rows
+    words = materialize(sample.mapInArrow(count, "w string, t long, n long").groupBy("w").agg(F.sum("t").alias("t"), F.sum("n").alias("n"))
+                        .where(F.col("n") >= MIN_DOCS)
+                        .withColumn("z", (F.col("t") - F.col("n") * p) / F.sqrt(F.col("n") * p * (1 - p))), "toxic-words")
+    insults = frozenset(r["w"] for r in words.where(F.col("z") >= MIN_Z).orderBy(F.desc("z"), "w").limit(500).collect())
+    plain = {r["w"]: r["n"] for r in words.where((F.col("t") <= NEUTRAL * p * F.col("n")) & (F.col("t") < 0.5 * F.col("n")) & (F.col("n") >= MIN_SHARE * rows) & (F.length("w") > 2))
+             .orderBy(F.desc("n"), "w").limit(2000).collect()}
+    if not insults or not plain:
+        return ()
+
+    def beside(batches):
+        near = collections.Counter()
+        for b in batches:
+            for text in b.column(2).to_pylist():
+                said = _WORD.findall((text or "").lower())
+                at = [i for i, w in enumerate(said) if w in insults]
+                near.update({w for i in at for w in said[max(0, i - BESIDE):i + BESIDE + 1] if w in plain})
+        yield pa.RecordBatch.from_arrays([pa.array(near.keys(), pa.string()), pa.array(near.values(), pa.int64())], names=["w", "n"])
+
+    near = sample.mapInArrow(beside, "w string, n long").groupBy("w").agg(F.sum("n").alias("n")).collect()      # at most 2,000 rows
+    best = [w for _, w in sorted((-r["n"] / plain[r["w"]], r["w"]) for r in near)][:LEARNT]
+    sets = [tuple(best[i:i + LEARNT_SET]) for i in range(0, len(best), LEARNT_SET)]
+    return tuple(x for x in sets if len(x) > 1)
 
 
 def _sample(docs: DataFrame, labels: DataFrame, rows: int) -> DataFrame:
@@ -86,8 +164,9 @@ def _sample(docs: DataFrame, labels: DataFrame, rows: int) -> DataFrame:
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, penalty: float = 1.0,
-        l2: float = 1e-4, rounds: int = 600) -> dict:
-    """``{"bias": b, "weights": {feature: w}}`` from ``labels`` (doc_id, toxic) of ``docs``.
+        l2: float = 1e-4, rounds: int = 600, identity=IDENTITY, learnt: bool = True) -> dict:
+    """``{"bias": b, "weights": {feature: w}, "copies": n, "terms": sets}`` from ``labels`` (doc_id, toxic) of ``docs``:
+    ``copies`` says how many swapped copies were held to their texts' scores, ``terms`` by which sets.
 
     At most ``sample_rows`` labelled rows are used; the model has at most
     ``MAX_FEATURES`` weights, so it stays small whatever the corpus.  Without
@@ -107,7 +186,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, pena
     total = sample.agg(F.count("*").alias("n"), F.coalesce(F.sum("toxic"), F.lit(0)).alias("t")).first()
     n, t = total["n"], int(total["t"])
     if t == 0 or t == n:
-        return {"bias": 4.0 if t else -4.0, "weights": {}}
+        return {"bias": 4.0 if t else -4.0, "weights": {}, "copies": 0, "terms": ()}
     p = t / n
     chosen = (sample.mapInArrow(count, "f long, t long, n long").groupBy("f").agg(F.sum("t").alias("t"), F.sum("n").alias("n"))
               .where(F.col("n") >= MIN_DOCS)
@@ -115,13 +194,15 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, pena
               .where(F.abs("z") >= MIN_Z).orderBy(F.abs("z").desc(), "f").limit(MAX_FEATURES))
     names = sorted(r["f"] for r in chosen.select("f").collect())         # at most MAX_FEATURES numbers
     number = {f: i for i, f in enumerate(names)}
+    sets = tuple(identity) + (learn_terms(sample, n, t) if learnt else ())
+    terms = places(sets)
 
     def select(batches):
         vocabulary = Vocabulary(frozenset(number))
         for b in batches:
             rows = {"toxic": [], "x": [], "of": []}
             for i, (label, text) in enumerate(zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True)):
-                copies = counterfactuals(text or "")
+                copies = counterfactuals(text or "", terms)
                 for k, v in enumerate([text, *copies]):
                     rows["toxic"].append(label if k == 0 else None)
                     rows["x"].append(sorted(number[f] for f in text_features(v, vocabulary)))
@@ -135,7 +216,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, pena
     label = np.array([-1 if v is None else v for v in got.column("toxic").to_pylist()])
     own = np.maximum.accumulate(np.where(label >= 0, np.arange(len(label)), 0))
     bias, weights = _train(xs, label, own, len(names), penalty, l2, rounds)
-    return {"bias": bias, "weights": {f: float(w) for f, w in zip(names, weights, strict=True) if w != 0.0}}
+    return {"bias": bias, "weights": {f: float(w) for f, w in zip(names, weights, strict=True) if w != 0.0},
+            "copies": int((label < 0).sum()), "terms": sets}
 
 
 def _train(xs, label, own, width, penalty, l2, rounds) -> tuple[float, np.ndarray]:
@@ -186,4 +268,6 @@ def score(docs: DataFrame, model: dict, keep: list[str], name: str = "score", te
 def drop_toxic(docs: DataFrame, model: dict, cutoff: float = 0.5) -> DataFrame:
     """The rows that score below ``cutoff``, with the columns they had."""
     name = "__toxicity"
+    while name in docs.columns:                   # a column of that name in the input is kept
+        name += "_"
     return score(docs, model, docs.columns, name).where(F.col(name) < cutoff).drop(name)
