@@ -22,6 +22,7 @@ from crease.functions import unit_hash
 
 # Rows of a partition that an iterative fit scans; the partitions of a fit follow from the number of its rows.
 FIT_ROWS = 20_000
+FIT_PARTITIONS = 8          # partitions of a fit at least
 # Points and centres of ``lloyd`` lie on a grid of this many steps to a unit.
 GRID = 1024
 
@@ -63,7 +64,7 @@ def sample_rows(df: DataFrame, fraction: float, seed: int, keys: Iterable[str])
 
 def fit_partitions(rows: int, per: int = FIT_ROWS) -> int:
     """Partitions of an iterative fit on that many rows: no task holds more than about ``per`` of them."""
-    return max(1, -(-rows // per))
+    return max(FIT_PARTITIONS, -(-rows // per))
 
 
 def placed(points: DataFrame, key: str | list[str] = "Player", partitions: int | None = None) -> DataFrame:

@@ -171,6 +171,6 @@ def test_rounds_with_few_or_equal_points(spark):
 
 
 def test_partitions_of_a_fit_follow_its_rows(spark):
-    assert [CL.fit_partitions(n, 100) for n in (0, 1, 100, 101, 10**6)] == [1, 1, 1, 2, 10_000]
+    assert [CL.fit_partitions(n, 100) for n in (0, 1, 800, 801, 10**6)] == [8, 8, 8, 9, 10_000]
     points = spark.range(500).withColumnRenamed("id", "Player")
-    assert CL.placed(points).rdd.getNumPartitions() == 1 and CL.placed(points, "Player", 3).rdd.getNumPartitions() == 3
+    assert CL.placed(points).rdd.getNumPartitions() == 8 and CL.placed(points, "Player", 3).rdd.getNumPartitions() == 3
