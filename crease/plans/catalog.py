@@ -412,7 +412,9 @@ def _plan(t: V.Tables, strikes: DataFrame | None = None) -> DataFrame:
 
 
 def _features(t: V.Tables, strikes: DataFrame | None = None) -> DataFrame:
-    return OV.over_features(_plan(t, strikes), _bat_prof(t), _bowl_prof(t))
+    """Over features; the profiles, which striker, non-striker and the means read, are written once."""
+    from crease.session import materialize
+    return OV.over_features(_plan(t, strikes), materialize(_bat_prof(t), "bat-profile"), materialize(_bowl_prof(t), "bowl-profile"))
 
 
 FEATURE_COLS = [f"s_{c}" for c in BAT_P] + [f"ns_{c}" for c in BAT_P] + [f"b_{c}" for c in BOWL_P]
