@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import DecisionTreeRegressionModel, DecisionTreeRegressor
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from crease.fixed import BAT_PROFILE_COLS, BOWL_PROFILE_COLS, OVERS, TREE_BINS, TREE_DEPTH
@@ -24,6 +24,8 @@ from crease.session import splittable
 TREE_SEED = 1
 # Most labelled overs of a fit.  It bounds the nodes of the trees, which are shipped to every task.
 TRAIN_ROWS = 100_000
+# Slices of the hashes by which the overs of a fit are picked.
+TRAIN_SLICES = 1 << 16
 # Share of matches that no fit sees.
 HELD_OUT = 0.2
 
@@ -118,9 +120,21 @@ def held_out(match: str = "match_id", share: float = HELD_OUT) -> Column:
 
 
 def training_rows(labelled: DataFrame, rows: int = TRAIN_ROWS, share: float = HELD_OUT) -> DataFrame:
-    """At most ``rows`` overs of matches that are not held out, those whose keys hash lowest."""
-    return (labelled.where(~held_out(share=share))
-            .orderBy(unit_hash(F.lit("training"), *PLAN_KEYS), *PLAN_KEYS).limit(rows))
+    """At most ``rows`` overs of matches that are not held out, those whose keys hash lowest.
+
+    A count per slice of the hashes finds the slice that holds the last of them: all overs below
+    it are taken where they lie, and only that slice is put in order, so no task meets
+    the lowest ``rows`` of every partition.
+    """
+    x = labelled.where(~held_out(share=share)).withColumn("_hash", unit_hash(F.lit("training"), *PLAN_KEYS))
+    x = x.withColumn("_slice", F.floor(F.col("_hash") * TRAIN_SLICES))
+    upto = F.sum("_n").over(Window.orderBy("_slice"))                # a row per slice at most
+    last = (x.groupBy("_slice").agg(F.count("*").alias("_n")).withColumn("_upto", upto)
+            .where(F.col("_upto") >= rows).orderBy("_slice").first())
+    if last is not None:
+        of = x.where(F.col("_slice") == last["_slice"]).orderBy("_hash", *PLAN_KEYS)
+        x = x.where(F.col("_slice") < last["_slice"]).union(of.limit(rows - (last["_upto"] - last["_n"])))
+    return x.drop("_hash", "_slice")
 
 
 def tree_dump(model: DecisionTreeRegressionModel, path: str) -> DataFrame:

@@ -1,6 +1,8 @@
 """Invariants on the stand-in tables (random or iterative operators have no SQL oracle)."""
 
 import numpy as np
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -95,6 +97,26 @@ def test_training_rows_are_bounded_and_hold_matches_out(spark):
     assert 0.1 < share < 0.3 and OV.training_rows(x).count() == x.where(~OV.held_out()).count()
 
 
+def test_training_rows_are_those_whose_keys_hash_lowest(spark):
+    x = spark.range(3000).selectExpr("id % 500 AS match_id", "1 AS innings", "CAST(id / 500 AS INT) AS over", "id")
+    h = C.OV.unit_hash(F.lit("training"), *OV.PLAN_KEYS)
+    order = [r.id for r in x.where(~OV.held_out()).orderBy(h, *OV.PLAN_KEYS).collect()]
+    for n in (1, 700, len(order) - 1, len(order), len(order) + 1):
+        assert sorted(r.id for r in OV.training_rows(x, rows=n).collect()) == sorted(order[:n])
+    assert OV.training_rows(x.limit(0), rows=5).count() == 0
+    none = x.withColumns({k: F.lit(None).cast("int") for k in OV.PLAN_KEYS})       # one key for all: any of them
+    assert OV.training_rows(none, rows=5).count() in (0, 5)
+
+
+def test_training_rows_meet_in_one_slice_only(spark):
+    """No task orders the lowest ``rows`` of every partition: only the rows of the last slice are put in order."""
+    x = spark.range(4000).selectExpr("id AS match_id", "1 AS innings", "0 AS over")
+    got = OV.training_rows(x.repartition(8), rows=1000)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    limits = [int(n) for n in re.findall(r"GlobalLimit (\d+)", plan)]
+    assert got.count() == 1000 and max(limits, default=0) <= 5
+
+
 def test_all_matches_are_scored(spark):
     rows = C.QUERIES["score_predicted"](spark, SF001).collect()
     matches = C._predicted(V.Tables(spark, SF001)).select("match_id", OV.held_out().alias("h")).distinct().collect()
