@@ -402,8 +402,16 @@ def q_profile_means(spark, d):
     return rounded(CR.profile_means(_bat_prof(V.Tables(spark, d)), BAT_P))
 
 
-def _strikes_cut(t: V.Tables) -> DataFrame:
-    return IN.strike_reconstruct(V.ball_log(t), V.lineups(t), cut=True)
+def _strikes_cut(t: V.Tables, log: DataFrame | None = None) -> DataFrame:
+    return IN.strike_reconstruct(V.ball_log(t) if log is None else log, V.lineups(t), cut=True)
+
+
+def _strikes_written(t: V.Tables) -> DataFrame:
+    """The cut strike log, written once, from the ball log written once: the cut, the falls of wickets and
+    the balls each read the log, and the events are put in order for one of them only."""
+    from crease.session import materialize
+    log = materialize(V.ball_log(t).select("match_id", "innings", "ball_no", "runs", "wicket"), "ball-log")
+    return materialize(_strikes_cut(t, log), "strikes")
 
 
 def _plan(t: V.Tables, strikes: DataFrame | None = None) -> DataFrame:
@@ -510,7 +518,7 @@ def _fitted(t: V.Tables):
     key = (t.spark.sparkContext.applicationId, t.sf_dir)
     if key not in _FITS:
         ensure_checkpoint_dir(t.spark)
-        strikes = materialize(_strikes_cut(t), "strikes")
+        strikes = _strikes_written(t)
         feats = materialize(_features(t, strikes), "over-features")
         labelled = feats.join(IN.over_totals(strikes), OV.PLAN_KEYS)
         train = _pinned(materialize(OV.training_rows(labelled), "over-train")).checkpoint()
@@ -610,7 +618,7 @@ _score_views("tree", "SELECT match_id, innings, over, round_even(pred_runs, 0) A
 def _labelled(t: V.Tables) -> DataFrame:
     """Over features with the totals of the over and whether its match is held out, written once."""
     from crease.session import materialize
-    strikes = materialize(_strikes_cut(t), "strikes")
+    strikes = _strikes_written(t)
     feats = _features(t, strikes).join(IN.over_totals(strikes), OV.PLAN_KEYS)
     return materialize(feats.withColumn("held_out", OV.held_out()), "labelled-overs")
 

@@ -117,6 +117,16 @@ def test_training_rows_meet_in_one_slice_only(spark):
     assert got.count() == 1000 and max(limits, default=0) <= 5
 
 
+def test_model_queries_order_the_events_once(spark, tmp_path, monkeypatch):
+    """The ball log is written once; the cut, the falls and the balls read that."""
+    from crease import session
+    written = []
+    monkeypatch.setattr(session, "materialize", lambda df, name, f=session.materialize: (written.append(name), f(df, name))[1])
+    rows = C._strikes_written(V.Tables(spark, SF001))
+    assert written == ["ball-log", "strikes"]
+    assert rows.exceptAll(C._strikes_cut(V.Tables(spark, SF001)).select(*rows.columns)).count() == 0
+
+
 def test_all_matches_are_scored(spark):
     rows = C.QUERIES["score_predicted"](spark, SF001).collect()
     matches = C._predicted(V.Tables(spark, SF001)).select("match_id", OV.held_out().alias("h")).distinct().collect()
