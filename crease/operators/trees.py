@@ -20,7 +20,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from crease.session import splittable
+from crease.session import materialize, splittable
 
 TOP = 5                # levels that are walked inside one value
 NODE = ["node", "feature", "threshold", "left", "right", "prediction"]
@@ -109,11 +109,15 @@ def leaf_means(nodes: DataFrame, rows: DataFrame, label: str, depth: int, featur
 def leaf_counts(nodes: DataFrame, rows: DataFrame, values: list[str], depth: int, features: str = "features") -> DataFrame:
     """How often each combination of ``values`` occurs among the rows that end at a leaf, and its share
     there: ``leaf, <values>, n, share``.  The leaf's distribution, as counts; a leaf that no
-    row reaches has that of all rows."""
+    row reaches has that of all rows.
+
+    The counts are written once (at most a row per leaf and combination): all that follows, the
+    counts of all rows too, reads them, and the rows walk down once.
+    """
     at = descend(rows.select(features, *values), nodes, depth, features)
-    counts = at.groupBy("leaf", *values).agg(F.count("*").alias("n"))
+    counts = materialize(at.groupBy("leaf", *values).agg(F.count("*").alias("n")), "leaf-counts")
     unseen = nodes.where("left < 0").select(F.col("node").alias("leaf")).join(counts, "leaf", "left_anti")
-    every = rows.groupBy(*values).agg(F.count("*").alias("n")).withColumn("_all", F.lit(True))
+    every = counts.groupBy(*values).agg(F.sum("n").alias("n")).withColumn("_all", F.lit(True))
     counts = counts.union(unseen.withColumn("_all", F.lit(True)).join(every, "_all").select("leaf", *values, "n"))
     total = counts.groupBy("leaf").agg(F.sum("n").alias("_all"))
     return counts.join(total, "leaf").select("leaf", *values, "n", (F.col("n") / F.col("_all")).alias("share"))

@@ -90,6 +90,10 @@ def win_share(leaves: DataFrame, dist: DataFrame) -> DataFrame:
         side = totals.select(F.col("seq").alias(f"seq_{i}"), F.col("totals").alias(f"t{i}"))
         pairs = pairs.join(splittable(side, f"seq_{i}"), f"seq_{i}", "left").withColumn(
             f"t{i}", F.coalesce(f"t{i}", F.array(F.lit(1.0))))
+    # a pair is a small row but long work: as many partitions as the session shuffles to, which AQE does not merge
+    # by size (by a hash, as a shuffle by the pair itself would be taken for that of ``distinct``)
+    parts = int(leaves.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    pairs = pairs.repartition(parts, F.xxhash64("seq_1", "seq_2"))
     top = F.greatest(F.size("t1"), F.size("t2")) - 1
     at = lambda t, r: F.coalesce(F.get(F.col(t), r), F.lit(0.0))
     names = ("above_1", "above_2", "win_1", "win_2", "tie", "e1", "e2")

@@ -757,9 +757,10 @@ JOIN (SELECT match_id, r, p FROM totals_p WHERE innings = 2 UNION ALL
 GROUP BY m.match_id, e.e1, e.e2""", ["totals_p"])
 def q_win_share(spark, d):
     """Win share and expected totals of every match, from the runs and wickets at the leaves of the stated tree."""
+    from crease.session import materialize
     overs = _labelled(V.Tables(spark, d))
     seen = overs.where("not held_out")
-    nodes = TR.stated_tree(seen, SPLITS)
+    nodes = materialize(TR.stated_tree(seen, SPLITS), "nodes")
     dist = WS.over_distribution(TR.leaf_counts(nodes, seen, ["total_runs", "total_wickets"], SPLIT_DEPTH))
     leaves = TR.descend(overs, nodes, SPLIT_DEPTH).select(*OV.PLAN_KEYS, "leaf")
     return rounded(WS.win_share(leaves, dist))

@@ -103,6 +103,33 @@ def plain_share(innings, dist):
             part(lambda r, s: r > s), part(lambda r, s: r == s), part(lambda r, s: r < s)]
 
 
+def test_leaf_counts_walk_the_rows_once(spark):
+    """Shares, unseen leaves and the counts of all rows come from counts that are written once."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def met(y):
+        seen.add(1)
+        return y
+
+    df = spark.createDataFrame([(i, [float(i % 3)], i % 4) for i in range(60)], "i int, features array<double>, y int")
+    rows = df.withColumn("y", F.udf(met, "int")("y"))
+    nodes = spark.createDataFrame([(0, 0, 0.5, 1, 2, None), (1, None, None, -1, -1, None), (2, 0, 9.0, 3, 4, None),
+                                   (3, None, None, -1, -1, None), (4, None, None, -1, -1, None)], NODES)
+    got = {(c.leaf, c.y): (c.n, c.share) for c in TR.leaf_counts(nodes, rows, ["y"], 2).collect()}
+    assert seen.value == 60
+    assert got == {(leaf, y): (n, 0.25) for leaf, n in ((1, 5), (3, 10), (4, 15)) for y in range(4)}
+
+
+def test_pairs_of_a_win_share_are_dealt_out(spark):
+    """Few short rows, long work each: they stay in as many partitions as the session shuffles to."""
+    dist = spark.createDataFrame([(0, 1, 0, 0.5), (0, 2, 0, 0.5), (1, 3, 0, 1.0)], "leaf int, r long, w long, share double")
+    rows = [(m, i + 1, o, (m >> (3 * i + o)) & 1) for m in range(64) for i in range(2) for o in range(3)]
+    shares = WS.win_share(spark.createDataFrame(rows, "match_id int, innings int, over int, leaf int"), dist)
+    n = spark.conf.get("spark.sql.shuffle.partitions")
+    plan = shares._jdf.queryExecution().executedPlan().toString()
+    assert f", {n}), REPARTITION_BY_NUM" in plan and shares.count() == 64
+
+
 def test_win_share_equals_every_course(spark):
     r = random.Random(2)
     dist = {}
