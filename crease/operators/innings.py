@@ -53,13 +53,30 @@ def _cut_specs(wickets: str, runs: str) -> tuple[dict, list[Running]]:
                   Running("_r_before", "sum", "_r", inclusive=False)]
 
 
+def _bounded_running(x: DataFrame, match: str, innings: str, order: str, specs: list[Running]) -> DataFrame:
+    """``specs`` (sums) as plain windows: a match has a few hundred rows at most, so one shuffle
+    by match serves these and all that follows within it."""
+    w = Window.partitionBy(match, innings).orderBy(order)
+    upto, before = (w.rowsBetween(Window.unboundedPreceding, end) for end in (Window.currentRow, -1))
+    return x.repartition(match).withColumns({
+        s.out: F.coalesce(F.sum(s.value).over(upto if s.inclusive else before), F.lit(0)) for s in specs})
+
+
 def _apply_cut(x: DataFrame, match: str, innings: str, first_innings: int,
-               limit: int, order: str, last: int) -> DataFrame:
-    """Keep rows of ``x`` (with running _w_before, _r_before, _r) before each innings ends."""
+               limit: int, order: str, last: int, bounded: bool = False) -> DataFrame:
+    """Keep rows of ``x`` (with running _w_before, _r_before, _r) before each innings ends.
+
+    The rows of a bounded match lie together, so its target is a window over them and ``x`` is
+    computed once; a NULL match has no target in either form.
+    """
     x = x.filter((F.col("_w_before") < limit) & (F.col(order) <= last))
-    target = (x.filter(F.col(innings) == first_innings).groupBy(match)
-              .agg(F.sum("_r").alias("_target")))
-    x = x.join(splittable(target, match), match, "left")
+    if bounded:
+        first = (F.col(innings) == first_innings) & F.col(match).isNotNull()
+        x = x.withColumn("_target", F.sum(F.when(first, F.col("_r"))).over(Window.partitionBy(match)))
+    else:
+        target = (x.filter(F.col(innings) == first_innings).groupBy(match)
+                  .agg(F.sum("_r").alias("_target")))
+        x = x.join(splittable(target, match), match, "left")
     keep = ((F.col(innings) == first_innings)
             | (F.col("_r_before") <= F.coalesce(F.col("_target"), F.lit(0))))
     return x.filter(keep).drop("_w", "_r", "_w_before", "_r_before", "_target")
@@ -82,18 +99,17 @@ def innings_cutoff(log: DataFrame, match: str = "match_id", innings: str = "inni
     cols, specs = _cut_specs(wickets, runs)
     x = log.withColumns(cols)
     if bounded:
-        w = (Window.partitionBy(match, innings).orderBy(order)
-             .rowsBetween(Window.unboundedPreceding, -1))
-        x = x.withColumns({s.out: F.coalesce(F.sum(s.value).over(w), F.lit(0)) for s in specs})
+        x = _bounded_running(x, match, innings, order, specs)
     else:
         chunk = ball_chunk(order) if chunk is None else chunk
         x = running_aggregates(x, [match, innings], [order], chunk, specs)
-    return _apply_cut(x, match, innings, first_innings, limit, order, last)
+    return _apply_cut(x, match, innings, first_innings, limit, order, last, bounded)
 
 
 def strike_reconstruct(log: DataFrame, lineups: DataFrame, match: str = "match_id",
                        innings: str = "innings", order: str = "ball_no", runs: str = "runs",
-                       wicket: str = "wicket", cut: bool = False, last: int = OVERS * BALLS_PER_OVER) -> DataFrame:
+                       wicket: str = "wicket", cut: bool = False, last: int = OVERS * BALLS_PER_OVER,
+                       bounded: bool = False) -> DataFrame:
     """Striker and non-striker of every ball (W4), from runs, wickets and the batting order.
 
     Two crease slots start with batters 1 and 2 of the order, slot A on strike.
@@ -113,8 +129,16 @@ def strike_reconstruct(log: DataFrame, lineups: DataFrame, match: str = "match_i
     running sums of both share one pass.  Balls after a tenth wicket are
     outside an innings (no batter is left to come in).  ``lineups`` has
     (match, innings, batting array).
+
+    ``bounded=True`` (with ``cut``) is for a small ``last``, such as the 120 balls of 20 overs:
+    balls after it are left out first, since no earlier ball depends on them, and however
+    long the log of a match is, the few left are read once, in plain windows.
     """
+    if bounded and not cut:
+        raise ValueError("bounded rows are those up to the last ball of a cut")
     keys = [match, innings]
+    if bounded:
+        log = log.dropna(subset=keys).where(F.col(order) <= last)
     is_w = F.coalesce(F.col(wicket), F.lit(False))
     x = log.withColumns({
         "_odd": (~is_w & (odd(runs) == 1)).cast("long"),
@@ -124,16 +148,20 @@ def strike_reconstruct(log: DataFrame, lineups: DataFrame, match: str = "match_i
     if cut:
         cols, cut_specs = _cut_specs(wicket, runs)
         x, specs = x.withColumns(cols), specs + cut_specs
-    x = running_aggregates(x, keys, [order], ball_chunk(order), specs)
+    x = (_bounded_running(x, match, innings, order, specs) if bounded
+         else running_aggregates(x, keys, [order], ball_chunk(order), specs))
     if cut:
-        x = _apply_cut(x, match, innings, 1, WICKET_LIMIT, order, last)
+        x = _apply_cut(x, match, innings, 1, WICKET_LIMIT, order, last, bounded)
     x = x.withColumn("_slot", F.pmod(F.col("_odd_before") + over_of(order), F.lit(2)))
-    # at most WICKET_LIMIT entries per innings: a bounded array, built by a partial aggregate
-    falls = (x.filter(is_w & (F.col("_w_upto") <= WICKET_LIMIT)).groupBy(*keys)
-             .agg(F.collect_list(F.struct(F.col(order).alias("ball"), F.col("_slot").alias("slot"),
-                                          (F.col("_w_upto") + 1).alias("next"))).alias("_falls")))
-    side = lineups.select(*keys, "batting").join(falls, keys, "left")
-    x = x.join(splittable(side, *keys), keys, "left")
+    # at most WICKET_LIMIT entries per innings: a bounded array, built by a window or a partial aggregate
+    fell = is_w & (F.col("_w_upto") <= WICKET_LIMIT)
+    fall = F.struct(F.col(order).alias("ball"), F.col("_slot").alias("slot"), (F.col("_w_upto") + 1).alias("next"))
+    side = lineups.select(*keys, "batting")
+    if bounded:
+        x = x.withColumn("_falls", F.collect_list(F.when(fell, fall)).over(Window.partitionBy(*keys)))
+    else:
+        falls = x.filter(fell).groupBy(*keys).agg(F.collect_list(fall).alias("_falls"))
+        x = x.join(splittable(side.join(falls, keys, "left"), *keys), keys, "left")
 
     def latest(slot: int, opener: int) -> Column:
         earlier = F.filter(F.coalesce(F.col("_falls"), F.array()),
@@ -141,6 +169,9 @@ def strike_reconstruct(log: DataFrame, lineups: DataFrame, match: str = "match_i
         return F.coalesce(F.array_max(F.transform(earlier, lambda e: e["next"])), F.lit(opener))
 
     a, b = latest(0, 0), latest(1, 1)
+    if bounded:         # the two numbers, not the array, go into the join
+        x = x.withColumns({"_a": a, "_b": b}).drop("_falls").join(splittable(side, *keys), keys, "left")
+        a, b = F.col("_a"), F.col("_b")
     on_a = F.col("_slot") == 0
     bat = F.col("batting")
     return x.select(

@@ -18,7 +18,7 @@ from crease.fixed import BAT_PROFILE_COLS, BOWL_PROFILE_COLS, OVERS, TREE_BINS,
 from crease.functions import flatten_features, unit_hash, wicket_discount
 from crease.operators.careers import profile_means
 from crease.operators.innings import innings_cutoff, over_of, scorecard
-from crease.session import splittable
+from crease.session import at_once, splittable
 
 # Explicit: PySpark's default seed is a Python string hash, which changes per process.
 TREE_SEED = 1
@@ -99,8 +99,6 @@ def fit_over_models(train: DataFrame, runs: str = "total_runs", wickets: str = "
     give ``train`` a fixed order (sort, then checkpoint) for the same trees
     on every run.
     """
-    from concurrent.futures import ThreadPoolExecutor
-
     def fit(label: str) -> DecisionTreeRegressionModel:
         data = labeled_features(train, label, features)
         # cacheNodeIds: for deep trees, executors keep each row's node id instead
@@ -109,8 +107,7 @@ def fit_over_models(train: DataFrame, runs: str = "total_runs", wickets: str = "
                                      featuresCol="features", labelCol="label",
                                      cacheNodeIds=True, seed=TREE_SEED).fit(data)
     # the two fits are independent distributed jobs: submit them together
-    with ThreadPoolExecutor(max_workers=2) as pool:
-        r, w = pool.map(fit, [runs, wickets])
+    r, w = at_once(lambda: fit(runs), lambda: fit(wickets))
     return r, w
 
 

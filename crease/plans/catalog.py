@@ -376,13 +376,13 @@ BAT_P = BAT_PROFILE_COLS
 BOWL_P = BOWL_PROFILE_COLS
 
 
-def _bat_prof(t: V.Tables) -> DataFrame:
+def _bat_prof(t: V.Tables, balls: DataFrame | None = None) -> DataFrame:
     known = V.bat_clusters(t).select(F.col("Player").alias("batsman"))
-    return CR.batting_profile(V.ball_events(t)).join(known, "batsman", "left_semi")
+    return CR.batting_profile(V.ball_events(t) if balls is None else balls).join(known, "batsman", "left_semi")
 
 
-def _bowl_prof(t: V.Tables) -> DataFrame:
-    return CR.bowling_profile(V.ball_events(t)).filter(F.col("bowler") != V.UNKNOWN_BRAND)
+def _bowl_prof(t: V.Tables, balls: DataFrame | None = None) -> DataFrame:
+    return CR.bowling_profile(V.ball_events(t) if balls is None else balls).filter(F.col("bowler") != V.UNKNOWN_BRAND)
 
 
 @register("batting_profile", f"SELECT batsman, {O.round_cols(BAT_P)} FROM bat_profile", ["bat_profile"])
@@ -402,16 +402,22 @@ def q_profile_means(spark, d):
     return rounded(CR.profile_means(_bat_prof(V.Tables(spark, d)), BAT_P))
 
 
-def _strikes_cut(t: V.Tables, log: DataFrame | None = None) -> DataFrame:
-    return IN.strike_reconstruct(V.ball_log(t) if log is None else log, V.lineups(t), cut=True)
+def _strikes_cut(t: V.Tables) -> DataFrame:
+    return IN.strike_reconstruct(V.ball_log(t), V.lineups(t), cut=True)
 
 
 def _strikes_written(t: V.Tables) -> DataFrame:
-    """The cut strike log, written once, from the ball log written once: the cut, the falls of wickets and
-    the balls each read the log, and the events are put in order for one of them only."""
+    """The cut strike log, written once; the cut, the falls of wickets and the balls are windows of one pass over the ball log."""
     from crease.session import materialize
-    log = materialize(V.ball_log(t).select("match_id", "innings", "ball_no", "runs", "wicket"), "ball-log")
-    return materialize(_strikes_cut(t, log), "strikes")
+    log = V.ball_log(t).select("match_id", "innings", "ball_no", "runs", "wicket")
+    return materialize(IN.strike_reconstruct(log, V.lineups(t), cut=True, bounded=True), "strikes")
+
+
+def _profiles_written(t: V.Tables) -> list[DataFrame]:
+    """Batting and bowling profiles, each written once, from the balls written once: the log is joined with its bowlers for both."""
+    from crease.session import at_once, materialize
+    balls = materialize(V.ball_events(t), "balls")
+    return at_once(lambda: materialize(_bat_prof(t, balls), "bat-profile"), lambda: materialize(_bowl_prof(t, balls), "bowl-profile"))
 
 
 def _plan(t: V.Tables, strikes: DataFrame | None = None) -> DataFrame:
@@ -419,10 +425,9 @@ def _plan(t: V.Tables, strikes: DataFrame | None = None) -> DataFrame:
     return OV.over_plan(strikes, OV.bowling_schedule(V.lineups(t)))
 
 
-def _features(t: V.Tables, strikes: DataFrame | None = None) -> DataFrame:
+def _features(t: V.Tables, strikes: DataFrame | None = None, profiles: list[DataFrame] | None = None) -> DataFrame:
     """Over features; the profiles, which striker, non-striker and the means read, are written once."""
-    from crease.session import materialize
-    return OV.over_features(_plan(t, strikes), materialize(_bat_prof(t), "bat-profile"), materialize(_bowl_prof(t), "bowl-profile"))
+    return OV.over_features(_plan(t, strikes), *(_profiles_written(t) if profiles is None else profiles))
 
 
 FEATURE_COLS = [f"s_{c}" for c in BAT_P] + [f"ns_{c}" for c in BAT_P] + [f"b_{c}" for c in BOWL_P]
@@ -509,8 +514,8 @@ _FITS: dict[tuple[str, str], tuple] = {}
 def _fitted(t: V.Tables):
     """Over features and the two trees fitted on the overs of matches that are not held out.
 
-    The cut strike log and the features are written as parquet to the shared checkpoint
-    folder, so the ordered passes run once, and the training table (at most
+    The features, with the totals of the over, are written as parquet to the shared checkpoint
+    folder, so the passes before them run once, and the training table (at most
     ``overs.TRAIN_ROWS`` overs) is checkpointed there with its exact partitions, which
     MLlib's split sampling reads.  The model queries of a session share one fit.
     """
@@ -518,11 +523,9 @@ def _fitted(t: V.Tables):
     key = (t.spark.sparkContext.applicationId, t.sf_dir)
     if key not in _FITS:
         ensure_checkpoint_dir(t.spark)
-        strikes = _strikes_written(t)
-        feats = materialize(_features(t, strikes), "over-features")
-        labelled = feats.join(IN.over_totals(strikes), OV.PLAN_KEYS)
+        labelled = _labelled(t)
         train = _pinned(materialize(OV.training_rows(labelled), "over-train")).checkpoint()
-        _FITS[key] = (feats, *OV.fit_over_models(train))
+        _FITS[key] = (labelled.drop("total_runs", "total_wickets", "balls", "held_out"), *OV.fit_over_models(train))
     return _FITS[key]
 
 
@@ -617,9 +620,10 @@ _score_views("tree", "SELECT match_id, innings, over, round_even(pred_runs, 0) A
 
 def _labelled(t: V.Tables) -> DataFrame:
     """Over features with the totals of the over and whether its match is held out, written once."""
-    from crease.session import materialize
-    strikes = _strikes_written(t)
-    feats = _features(t, strikes).join(IN.over_totals(strikes), OV.PLAN_KEYS)
+    from crease.session import at_once, ensure_checkpoint_dir, materialize
+    ensure_checkpoint_dir(t.spark)
+    strikes, profiles = at_once(lambda: _strikes_written(t), lambda: _profiles_written(t))
+    feats = _features(t, strikes, profiles).join(IN.over_totals(strikes), OV.PLAN_KEYS)
     return materialize(feats.withColumn("held_out", OV.held_out()), "labelled-overs")
 
 

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from crease.operators import clusters as CL
+from crease.operators import innings as IN
 from crease.operators import matchups as M
 from crease.operators import overs as OV
 from crease.plans import catalog as C
@@ -186,3 +187,68 @@ def test_null_feature_raises_and_is_listed(spark):
     with pytest.raises(Exception):
         CL.assemble_features(df, ["x"]).collect()
     assert CL.assemble_features(df, ["x"], handle_invalid="skip").count() == 1
+
+
+def _random_log(spark, null_match=True):
+    import random
+    r = random.Random(4)
+    rows = []
+    for m in [None, *range(9)] if null_match else range(9):
+        for inn in (1, 2):
+            n = 400 if m == 3 else r.choice([0, 1, 6, 50, 119, 121, 150])       # some go on after their 120 balls
+            rows += [(m, inn, b, r.choice([0, 1, 2, 3, 4, 6]), r.choice([False] * 11 + [True, None])) for b in range(1, n + 1)]
+    r.shuffle(rows)
+    log = spark.createDataFrame(rows, "match_id int, innings int, ball_no long, runs int, wicket boolean")
+    order = [(m, inn, [100 * m + 20 * inn + k for k in range(11)]) for m in range(8) for inn in (1, 2)]      # match 8 has no line-up
+    return log, spark.createDataFrame(order, "match_id int, innings int, batting array<int>")
+
+
+def test_bounded_strikes_equal_those_in_chunks(spark):
+    log, lineups = _random_log(spark)
+    want = IN.strike_reconstruct(log, lineups, cut=True).collect()
+    got = IN.strike_reconstruct(log, lineups, cut=True, bounded=True)
+    key = lambda x: tuple(-1 if v is None else v for v in x)
+    assert sorted(got.collect(), key=key) == sorted(want, key=key) and len(want) > 200 and got.columns == log.columns + ["striker", "non_striker"]
+    with pytest.raises(ValueError):
+        IN.strike_reconstruct(log, lineups, bounded=True)
+
+
+def test_bounded_passes_compute_their_rows_once(spark):
+    """A target by a join, and falls by another, computed the rows (predictions, ordered events) again for each."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def met(x):
+        seen.add(1)
+        return x
+
+    log, lineups = _random_log(spark, null_match=False)
+    log = log.cache()
+    watched = log.withColumn("runs", F.udf(met, "int")("runs"))
+    IN.strike_reconstruct(watched, lineups, cut=True, bounded=True).collect()
+    assert seen.value == log.where("ball_no <= 120").count()
+    seen.value = 0
+    overs = log.where("ball_no <= 20").select("match_id", "innings", (F.col("ball_no") - 1).cast("int").alias("over"), "runs")
+    pred = overs.withColumns({"pred_runs": F.udf(met, "int")("runs").cast("double"), "pred_wickets": F.lit(0.4)})
+    OV.score_overs(pred.drop("runs")).collect()
+    assert seen.value == overs.count()
+
+
+def test_a_null_match_has_no_target_in_bounded_form(spark):
+    rows = [(m, inn, o, 10, 0) for m in (None, 1) for inn in (1, 2) for o in range(4)]
+    df = spark.createDataFrame(rows, "match_id int, innings int, over int, r int, w int")
+    kept = IN.innings_cutoff(df, order="over", runs="r", wickets="w", bounded=True)
+    assert {(x.match_id, x.innings): x["count"] for x in kept.groupBy("match_id", "innings").count().collect()} == {(None, 1): 4, (None, 2): 1, (1, 1): 4, (1, 2): 4}
+
+
+def test_profiles_join_the_balls_once(spark, monkeypatch, tmp_path):
+    suppliers = spark.createDataFrame([(i, 0, float(i - 2)) for i in range(6)], "s_suppkey long, s_nationkey int, s_acctbal double")
+    suppliers.write.parquet(str(tmp_path / "supplier.parquet"))
+    rows = [(i % 7, i % 6, f"Brand#{i % 3 + 1}", i % 5, i % 4 == 0, False) for i in range(90)] + [(None, 3, "Brand#2", 1, False, True), (1, None, None, 2, None, None)]
+    balls = spark.createDataFrame(rows, "match_id long, batsman long, bowler string, runs_by_batsman int, wicket boolean, same_player_out boolean")
+    calls = []
+    monkeypatch.setattr(V, "balls", lambda t: calls.append(t) or balls)
+    t = V.Tables(spark, str(tmp_path))
+    bat, bowl = C._profiles_written(t)
+    assert len(calls) == 1 and bat.count() == 4
+    for got, want in ((bat, C._bat_prof(t)), (bowl, C._bowl_prof(t))):
+        assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
