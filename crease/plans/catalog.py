@@ -407,9 +407,10 @@ def _strikes_cut(t: V.Tables) -> DataFrame:
 
 
 def _strikes_written(t: V.Tables) -> DataFrame:
-    """The cut strike log, written once; the cut, the falls of wickets and the balls are windows of one pass over the ball log."""
+    """The cut strike log, written once, from the ball log written once; the cut, the falls of wickets
+    and the balls are windows of one pass over it."""
     from crease.session import materialize
-    log = V.ball_log(t).select("match_id", "innings", "ball_no", "runs", "wicket")
+    log = materialize(V.ball_log(t).select("match_id", "innings", "ball_no", "runs", "wicket"), "ball-log")
     return materialize(IN.strike_reconstruct(log, V.lineups(t), cut=True, bounded=True), "strikes")
 
 
