@@ -10,21 +10,18 @@ rules (wicket discount, all out, chase passed) are running aggregates.
 from __future__ import annotations
 
 from pyspark.ml.functions import array_to_vector
-from pyspark.ml.regression import DecisionTreeRegressionModel, DecisionTreeRegressor
+from pyspark.ml.regression import DecisionTreeRegressionModel
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from crease.fixed import BAT_PROFILE_COLS, BOWL_PROFILE_COLS, OVERS, TREE_BINS, TREE_DEPTH
 from crease.functions import flatten_features, unit_hash, wicket_discount
 from crease.operators.careers import profile_means
+from crease.operators.growing import GrownTree, grow_trees
 from crease.operators.innings import innings_cutoff, over_of, scorecard
-from crease.session import at_once, splittable
+from crease.session import splittable
 
-# Explicit: PySpark's default seed is a Python string hash, which changes per process.
-TREE_SEED = 1
-# Most labelled overs of a fit.  It bounds the nodes of the trees, which are shipped to every task.
-TRAIN_ROWS = 100_000
-# Slices of the hashes by which the overs of a fit are picked.
+# Slices of the hashes by which a stated number of overs is picked.
 TRAIN_SLICES = 1 << 16
 # Share of matches that no fit sees.
 HELD_OUT = 0.2
@@ -92,22 +89,12 @@ def labeled_features(df: DataFrame, label: str, features: str = "features") -> D
 
 def fit_over_models(train: DataFrame, runs: str = "total_runs", wickets: str = "total_wickets",
                     features: str = "features", depth: int = TREE_DEPTH, bins: int = TREE_BINS
-                    ) -> tuple[DecisionTreeRegressionModel, DecisionTreeRegressionModel]:
+                    ) -> tuple[GrownTree, GrownTree]:
     """Regression trees of runs and of wickets per over (M7); variance impurity.
 
-    MLlib draws split candidates from a sample that depends on row order;
-    give ``train`` a fixed order (sort, then checkpoint) for the same trees
-    on every run.
+    Both are grown on all rows of ``train``, whatever its order (:func:`crease.operators.growing.grow_trees`).
     """
-    def fit(label: str) -> DecisionTreeRegressionModel:
-        data = labeled_features(train, label, features)
-        # cacheNodeIds: for deep trees, executors keep each row's node id instead
-        # of receiving the whole growing tree at every level (same tree, faster)
-        return DecisionTreeRegressor(impurity="variance", maxDepth=depth, maxBins=bins,
-                                     featuresCol="features", labelCol="label",
-                                     cacheNodeIds=True, seed=TREE_SEED).fit(data)
-    # the two fits are independent distributed jobs: submit them together
-    r, w = at_once(lambda: fit(runs), lambda: fit(wickets))
+    r, w = grow_trees(train, [runs, wickets], features, depth, bins)
     return r, w
 
 
@@ -116,14 +103,17 @@ def held_out(match: str = "match_id", share: float = HELD_OUT) -> Column:
     return unit_hash(F.lit("held out"), match) < share
 
 
-def training_rows(labelled: DataFrame, rows: int = TRAIN_ROWS, share: float = HELD_OUT) -> DataFrame:
-    """At most ``rows`` overs of matches that are not held out, those whose keys hash lowest.
+def training_rows(labelled: DataFrame, rows: int | None = None, share: float = HELD_OUT) -> DataFrame:
+    """All overs of matches that are not held out; with ``rows`` at most so many, those whose keys hash lowest.
 
-    A count per slice of the hashes finds the slice that holds the last of them: all overs below
+    For these a count per slice of the hashes finds the slice that holds the last of them: all overs below
     it are taken where they lie, and only that slice is put in order, so no task meets
     the lowest ``rows`` of every partition.
     """
-    x = labelled.where(~held_out(share=share)).withColumn("_hash", unit_hash(F.lit("training"), *PLAN_KEYS))
+    x = labelled.where(~held_out(share=share))
+    if rows is None:
+        return x
+    x = x.withColumn("_hash", unit_hash(F.lit("training"), *PLAN_KEYS))
     x = x.withColumn("_slice", F.floor(F.col("_hash") * TRAIN_SLICES))
     upto = F.sum("_n").over(Window.orderBy("_slice"))                # a row per slice at most
     last = (x.groupBy("_slice").agg(F.count("*").alias("_n")).withColumn("_upto", upto)
@@ -134,12 +124,14 @@ def training_rows(labelled: DataFrame, rows: int = TRAIN_ROWS, share: float = HE
     return x.drop("_hash", "_slice")
 
 
-def tree_dump(model: DecisionTreeRegressionModel, path: str) -> DataFrame:
+def tree_dump(model: GrownTree | DecisionTreeRegressionModel, path: str) -> DataFrame:
     """Nodes of a fitted tree, one row each (M7): id, prediction, rows of the fit that reached it,
     gain, children (-1 in a leaf), and for an inner node its feature and threshold.
 
-    The model is saved under ``path`` (in the shared folder) and its node table read back.
+    An MLlib model is saved under ``path`` (in the shared folder) and its node table read back.
     """
+    if isinstance(model, GrownTree):
+        return model.nodes().drop("level")
     model.write().overwrite().save(path)
     spark = SparkSession.getActiveSession()
     inner = F.col("leftChild") >= 0
@@ -150,15 +142,9 @@ def tree_dump(model: DecisionTreeRegressionModel, path: str) -> DataFrame:
         F.when(inner, F.col("split.leftCategoriesOrThreshold")[0]).alias("threshold"))
 
 
-def predict_overs(feats: DataFrame, runs_model: DecisionTreeRegressionModel,
-                  wickets_model: DecisionTreeRegressionModel) -> DataFrame:
-    """Expected runs and wickets of every over in one pass (M8)."""
-    x = feats.withColumn("_vec", array_to_vector("features"))
-    x = runs_model.copy({runs_model.featuresCol: "_vec",
-                         runs_model.predictionCol: "pred_runs"}).transform(x)
-    x = wickets_model.copy({wickets_model.featuresCol: "_vec",
-                            wickets_model.predictionCol: "pred_wickets"}).transform(x)
-    return x.drop("_vec")
+def predict_overs(feats: DataFrame, runs_model: GrownTree, wickets_model: GrownTree) -> DataFrame:
+    """Expected runs and wickets of every over (M8)."""
+    return wickets_model.transform(runs_model.transform(feats, "features", "pred_runs"), "features", "pred_wickets")
 
 
 def score_overs(pred: DataFrame) -> DataFrame:

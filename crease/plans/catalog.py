@@ -499,16 +499,6 @@ def q_labeled_features(spark, d):
     return lf.select("label", *_vector_columns(F.col("features"), 15))
 
 
-def _pinned(train: DataFrame) -> DataFrame:
-    """Fixed partition contents and row order for a training table.
-
-    MLlib samples split candidates per partition, by row position; hashing the over
-    keys into partitions (as many as the number of rows asks for) and sorting inside each
-    gives the same sample, hence the same trees, on every run.
-    """
-    return CL.placed(train, OV.PLAN_KEYS)
-
-
 _FITS: dict[tuple[str, str], tuple] = {}
 
 
@@ -516,17 +506,15 @@ def _fitted(t: V.Tables):
     """Over features and the two trees fitted on the overs of matches that are not held out.
 
     The features, with the totals of the over, are written as parquet to the shared checkpoint
-    folder, so the passes before them run once, and the training table (at most
-    ``overs.TRAIN_ROWS`` overs) is checkpointed there with its exact partitions, which
-    MLlib's split sampling reads.  The model queries of a session share one fit.
+    folder, so the passes before them run once; the trees are grown on all these overs.
+    The model queries of a session share one fit.
     """
-    from crease.session import ensure_checkpoint_dir, materialize
+    from crease.session import ensure_checkpoint_dir
     key = (t.spark.sparkContext.applicationId, t.sf_dir)
     if key not in _FITS:
         ensure_checkpoint_dir(t.spark)
         labelled = _labelled(t)
-        train = _pinned(materialize(OV.training_rows(labelled), "over-train")).checkpoint()
-        _FITS[key] = (labelled.drop("total_runs", "total_wickets", "balls", "held_out"), *OV.fit_over_models(train))
+        _FITS[key] = (labelled.drop("total_runs", "total_wickets", "balls", "held_out"), *OV.fit_over_models(OV.training_rows(labelled)))
     return _FITS[key]
 
 
@@ -671,11 +659,10 @@ def q_score_predicted(spark, d):
 
 def _fitted_nodes(t: V.Tables) -> tuple[DataFrame, DataFrame, int]:
     """Node tables of both fitted trees, with levels, and the greater depth."""
-    from crease.session import materialize, scratch_path
+    from crease.session import materialize
     _, rm, wm = _fitted(t)
     depth = max(rm.depth, wm.depth)
-    runs, wickets = (materialize(TR.with_levels(OV.tree_dump(m, scratch_path(t.spark, "tree")).select(*TR.NODE), m.depth), "nodes")
-                     for m in (rm, wm))
+    runs, wickets = (materialize(m.nodes().select(*TR.NODE, "level"), "nodes") for m in (rm, wm))
     return runs, wickets, depth
 
 
