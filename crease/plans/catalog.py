@@ -695,7 +695,9 @@ def q_tree_checks(spark, d):
 @register("score_fitted")
 def q_score_fitted(spark, d):
     """Scores of all matches from the fitted trees' predictions; ``held_out``: the fit has not seen the match."""
-    return OV.score_overs(_predicted(V.Tables(spark, d))).withColumn("held_out", OV.held_out())
+    feats, rm, wm = _fitted(V.Tables(spark, d))
+    p = OV.predict_overs(feats.select(*OV.PLAN_KEYS, "features"), rm, wm)
+    return OV.score_overs(p.drop("features")).withColumn("held_out", OV.held_out())
 
 
 @register("score_overs", _score_sql("log"), ["log_kept"])

@@ -87,3 +87,12 @@ def test_fitted_trees_have_seen_every_over(spark):
     assert C.QUERIES["tree_checks"](spark, SF001).first()[1:] == (0, 0)
     leaves = C.QUERIES["tree_dump"](spark, SF001).where("left < 0").groupBy("model").agg(F.sum("rows").alias("n")).collect()
     assert {r.n for r in leaves} == {overs}
+
+
+def test_scores_are_of_the_walked_trees(spark):
+    """Scoring needs keys and features only; overs meet their cell's nodes, or walk the node tables: the same scores."""
+    from crease.plans import catalog as C
+    from crease.plans import standins as V
+    got = C.QUERIES["score_fitted"](spark, SF001)
+    want = OV.score_overs(C._walked(V.Tables(spark, SF001)).select(*OV.PLAN_KEYS, "pred_runs", "pred_wickets")).withColumn("held_out", OV.held_out())
+    assert got.columns == want.columns and sorted(got.collect()) == sorted(want.collect())
