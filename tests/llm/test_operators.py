@@ -411,6 +411,38 @@ def test_odd_vectors(spark):
     assert vectors.near_vectors(df.limit(0)).count() == 0
 
 
+def test_many_lists_blocks_and_groups_lose_no_pair(spark):
+    r = np.random.default_rng(5)
+    x = r.normal(size=(400, 12))
+    x = np.concatenate([x, x[:150] + 0.05 * r.normal(size=(150, 12)), np.repeat(x[:1], 90, axis=0)])
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    link = u @ u.T >= 0.9
+    np.fill_diagonal(link, False)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = vectors.near_vectors(df, list_rows=25).orderBy("vec_id").collect()
+    assert [g.n_links for g in got] == link.sum(axis=1).tolist()
+
+
+def test_a_batch_of_vectors_asks_in_small_steps(monkeypatch):
+    """However many lists a vector asks, a worker holds few copies at once (they were one batch)."""
+    r = np.random.default_rng(6)
+    x = r.normal(size=(1500, 16))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    q = vectors.Quantiser(x, 60)
+    near = q.nearest(x)
+    radius = np.full(60, 2.0)
+    batch = pa.RecordBatch.from_arrays([pa.array(np.arange(1500)), pa.array(near.astype(np.int32)), pa.array([b""] * 1500), pa.array(np.zeros(1500)),
+                                        pa.array(np.zeros(1500)), pa.array([v.tobytes() for v in x], pa.binary())],
+                                       names=["vec_id", "list", "codes", "lost", "far", "x"])
+    monkeypatch.setattr(vectors, "PIECE", 4096)
+    found = list(vectors.asks([batch], q, 16, 0.45, radius))
+    assert max(b.num_rows for b in found) <= 4096 // 16 and len(found) > 1500 // 256
+    got = sorted((i, t, own) for b in found for i, t, own in zip(*(b.column(c).to_pylist() for c in (1, 0, 3)), strict=True))
+    want = sorted((i, int(t), own) for i, p in enumerate(q.probes(x, near, 0.45, radius)) for t, own in [(near[i], True), *((t, False) for t in p)])
+    assert got == want
+    assert all(b.column(2)[0].as_py() == x[b.column(1)[0].as_py()].tobytes() for b in found)
+
+
 # ---- toxicity and language
 
 def test_toxicity_and_counterfactuals(spark, odd, none):
